@@ -7,11 +7,41 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, splitting
+from . import mixing, near_duplicates, neighbours, packing, quality, splitting
 from .common import materialise, table, usable_text
 from .tokens import with_token_counts
 
 
+#: Words, threshold and least length that the statement of the problem sets for its pairs.
+_ALIKE = near_duplicates.Settings(words=3, threshold=0.6, min_words=20)
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = near_duplicates.found_pairs(table(spark, sf, "knowledge_main"), "chunk_id", "text", _ALIKE)
+    return pairs.select(F.col("id_a").alias("chunk_id_a"), F.col("id_b").alias("chunk_id_b"))
+
+
+def p1_groups(spark: SparkSession, sf: str) -> DataFrame:
+    found = near_duplicates.groups(table(spark, sf, "knowledge_main"), "chunk_id", "text", near_duplicates.Settings())
+    return found.withColumnRenamed("id", "chunk_id")
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    items = table(spark, sf, "knowledge_item")
+    near = neighbours.nearest(neighbours.unit_vectors(items, "item_id", "embedding", 64), items.count(), k=5, dim=64, min_similarity=0.85)
+    return near.select(F.least("id", "other_id").alias("item_id_a"), F.greatest("id", "other_id").alias("item_id_b")).distinct()
+
+
+def p4_items(spark: SparkSession, sf: str) -> DataFrame:
+    items = table(spark, sf, "knowledge_item")
+    return neighbours.nearest(neighbours.unit_vectors(items, "item_id", "embedding", 64), items.count(), k=5, dim=64, queries="id % 50 = 0")
+
+
+def p4_texts(spark: SparkSession, sf: str) -> DataFrame:
+    texts = table(spark, sf, "knowledge_main")
+    return neighbours.nearest(neighbours.text_vectors(texts, "chunk_id", "text"), texts.count(), k=5, dim=64, queries="id % 50 = 0")
+
+
 def _over(spark: SparkSession, sf: str) -> DataFrame:
     spec = table(spark, sf, "split_spec")
     content = splitting.oversized(table(spark, sf, "source_document"), "id", "content", "source_document.content", spec)
@@ -19,7 +49,8 @@ def _over(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    return splitting.split_levels(_over(spark, sf))
+    pieces = splitting.split_pieces(_over(spark, sf), with_text=False)
+    return pieces.where("chunk_index = 0").select("field_name", "record_key", "boundary_level")
 
 
 def p5_pieces(spark: SparkSession, sf: str) -> DataFrame:
@@ -57,6 +88,6 @@ def p8_statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p5_found, p5_pieces, p6_containers, p6_fill, p7_mixture, p7_shares, p8_found, p8_statistics)
+    f.__name__: f for f in (p1_found, p1_groups, p4_found, p4_items, p4_texts, p5_found, p5_pieces, p6_containers, p6_fill, p7_mixture, p7_shares, p8_found, p8_statistics)
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -90,27 +90,24 @@ def split_text(text: str, max_chars: int, overlap_chars: int) -> list[tuple[int,
     return [(max(0, begin[i] - overlap_chars), begin[i], end[i]) for i in range(n) if alive[i]]
 
 
-_PIECES = "field_name string, record_key string, boundary_level string, chunk_index int, own_start int, piece string"
-
-
 def _split(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
             for field, key, text, most, overlap in zip(*(b.column(c).to_pylist() for c in ("field_name", "record_key", "text", "max_chars", "overlap_chars"))):
                 level = boundary_level(text, most)
-                for k, (a, own, z) in enumerate(split_text(text, most, overlap) if with_text else [(0, 0, 0)]):
-                    out.append((field, key, level, k, own - a, text[a:z]) if with_text else (field, key, level))
-            if with_text:
-                kinds = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string())
-                names = ["field_name", "record_key", "boundary_level", "chunk_index", "own_start", "piece"]
-            else:
-                kinds, names = (pa.string(),) * 3, ["field_name", "record_key", "boundary_level"]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=names)
+                for k, (a, own, z) in enumerate(split_text(text, most, overlap)):
+                    out.append((field, key, level, k, own, z, own - a, text[a:z] if with_text else None))
+            kinds = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=_NAMES)
 
     return run
 
 
+_NAMES = ["field_name", "record_key", "boundary_level", "chunk_index", "start", "end", "overlap", "piece"]
+_PIECES = "field_name string, record_key string, boundary_level string, chunk_index int, start int, end int, overlap int, piece string"
+
+
 def oversized(texts: DataFrame, key_col: str, text_col: str, field_name: str, spec: DataFrame) -> DataFrame:
     """Texts above the limit of ``field_name`` in ``spec`` (a table of a few rows, one per field)."""
     limit = spec.where(F.col("field_name") == field_name).select("field_name", "max_chars", "overlap_chars").limit(1)
@@ -118,11 +115,12 @@ def oversized(texts: DataFrame, key_col: str, text_col: str, field_name: str, sp
     return src.join(F.broadcast(limit), F.length("text") > F.col("max_chars")).select("field_name", "record_key", "text", "max_chars", "overlap_chars")
 
 
-def split_pieces(over: DataFrame) -> DataFrame:
-    """The pieces of each text of :func:`oversized`, with a new sequence ``chunk_index`` from 0."""
-    return over.dropDuplicates(["field_name", "record_key"]).mapInArrow(_split(True), _PIECES)
-
+def split_pieces(over: DataFrame, with_text: bool = True) -> DataFrame:
+    """The pieces of each text of :func:`oversized`, with a new sequence ``chunk_index`` from 0.
 
-def split_levels(over: DataFrame) -> DataFrame:
-    """The level of boundary that cutting each text needs; texts aren't shuffled, repeats go afterwards."""
-    return over.mapInArrow(_split(False), "field_name string, record_key string, boundary_level string").distinct()
+    A piece is characters ``start`` to ``end`` of the text, after ``overlap`` characters from before them.
+    Without the text of the pieces no text is shuffled: repeats are dropped afterwards.
+    """
+    if with_text:
+        return over.dropDuplicates(["field_name", "record_key"]).mapInArrow(_split(True), _PIECES)
+    return over.mapInArrow(_split(False), _PIECES).drop("piece").dropDuplicates(["field_name", "record_key", "chunk_index"])
