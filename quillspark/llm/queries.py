@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, near_duplicates, neighbours, packing, quality, splitting
+from . import mixing, near_duplicates, neighbours, packing, quality, splitting, transcripts
 from .common import materialise, table, usable_text
 from .tokens import with_token_counts
 
@@ -26,6 +26,14 @@ def p1_groups(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumnRenamed("id", "chunk_id")
 
 
+def p3_turns(spark: SparkSession, sf: str) -> DataFrame:
+    return transcripts.turns(*(table(spark, sf, n) for n in ("audio_item", "audio_chunk", "audio_roster")))
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p3_turns(spark, sf).select("audio_id", "turn_no", "speaker_no")
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "knowledge_item")
     near = neighbours.nearest(neighbours.unit_vectors(items, "item_id", "embedding", 64), items.count(), k=5, dim=64, min_similarity=0.85)
@@ -88,6 +96,6 @@ def p8_statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_groups, p4_found, p4_items, p4_texts, p5_found, p5_pieces, p6_containers, p6_fill, p7_mixture, p7_shares, p8_found, p8_statistics)
+    f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_turns, p4_found, p4_items, p4_texts, p5_found, p5_pieces, p6_containers, p6_fill, p7_mixture, p7_shares, p8_found, p8_statistics)
 }
 ORACLE_SQL: dict[str, str] = {}
