@@ -41,7 +41,7 @@ class Settings:
     threshold: float = 0.8
     min_words: int = 1
     rows: int = 4
-    miss: float = 0.004
+    miss: float = 0.001
     hashes: int = 128
     step: int = 16
     tolerance: float = 1e-4
