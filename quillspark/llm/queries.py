@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, near_duplicates, neighbours, packing, quality, splitting, transcripts
+from . import mixing, near_duplicates, neighbours, packing, quality, scans, splitting, transcripts
 from .common import materialise, table, usable_text
 from .tokens import with_token_counts
 
@@ -26,6 +26,16 @@ def p1_groups(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumnRenamed("id", "chunk_id")
 
 
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "source_document")
+    return scans.defects(scans.scanned_texts(documents, table(spark, sf, "knowledge_main")), scans.corpus_lexicon(documents))
+
+
+def p2_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "source_document")
+    return scans.repaired(scans.scanned_texts(documents, table(spark, sf, "knowledge_main")), scans.corpus_lexicon(documents))
+
+
 def p3_turns(spark: SparkSession, sf: str) -> DataFrame:
     return transcripts.turns(*(table(spark, sf, n) for n in ("audio_item", "audio_chunk", "audio_roster")))
 
@@ -96,6 +106,6 @@ def p8_statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_turns, p4_found, p4_items, p4_texts, p5_found, p5_pieces, p6_containers, p6_fill, p7_mixture, p7_shares, p8_found, p8_statistics)
+    f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_paragraphs, p3_found, p3_turns, p4_found, p4_items, p4_texts, p5_found, p5_pieces, p6_containers, p6_fill, p7_mixture, p7_shares, p8_found, p8_statistics)
 }
 ORACLE_SQL: dict[str, str] = {}
