@@ -254,6 +254,8 @@ def found_pairs(texts: DataFrame, id_col: str, text_col: str, settings: Settings
     # classes with more than one id; of their texts only those with enough words count
     many = of.groupBy("class").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("class")
     src = texts.where(F.col(text_col).isNotNull()).select(_class(text_col).alias("class"), F.col(text_col).alias("t"))
+    many = materialise(many)
+    many = F.broadcast(many) if many.count() <= BROADCAST_IDS else many
     long = countable(src.where(F.length("t") >= 2 * max(settings.min_words, settings.words) - 1).join(many, "class", "left_semi"), "t", settings).distinct()
     copies = of.join(long, "class", "left_semi")
     within = copies.alias("l").join(copies.alias("r"), (F.col("l.class") == F.col("r.class")) & (F.col("l.id") < F.col("r.id"))).select(F.col("l.id").alias("x"), F.col("r.id").alias("y"))
