@@ -91,14 +91,14 @@ def hash_embedding(text: Column, dim: int = 64) -> Column:
 def bm25(df: DataFrame, key: str, text: str, query: str, k: int | None = None) -> DataFrame:
     """(key, score): rows with a word of the query, best first if ``k`` is given.
 
-    One pass makes the corpus's numbers (rows, mean length, rows with each word), a second the scores; words of
-    rows are never exploded, as only the query's words are counted.
+    One pass makes the corpus's numbers (rows, mean length, rows with each word), a second the scores; words are
+    counted in the text where it is read: nothing is exploded or shuffled but one row of numbers.
     """
     terms = sorted({t for t in query.lower().split() if t not in STOP_WORDS})
-    start = F.struct(F.lit(0).alias("n"), *(F.lit(0).alias(f"f{i}") for i in range(len(terms))))
-    stop = F.array(*(F.lit(w) for w in sorted(STOP_WORDS)))
-    step = lambda s, x: F.struct((s["n"] + (~F.array_contains(stop, x)).cast("int")).alias("n"), *((s[f"f{i}"] + (x == t).cast("int")).alias(f"f{i}") for i, t in enumerate(terms)))
-    counted = df.where(F.col(text).isNotNull()).select(key, F.aggregate(words(F.col(text)), start, step).alias("_c")).select(key, F.col("_c.n").alias("_n"), *(F.col(f"_c.f{i}").alias(f"_f{i}") for i in range(len(terms))))
+    low, edge, end = F.lower(F.col(text)), r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
+    times = lambda *ws: F.regexp_count(low, F.lit(f"{edge}(?:{'|'.join(re.escape(w) for w in ws)}){end}"))
+    n = F.regexp_count(low, F.lit(r"[\p{L}\p{N}]+")) - times(*sorted(STOP_WORDS))
+    counted = df.where(F.col(text).isNotNull()).select(key, n.alias("_n"), *(times(t).alias(f"_f{i}") for i, t in enumerate(terms)))
     stats = counted.agg(F.count(F.lit(1)).cast("double").alias("_rows"), F.avg("_n").alias("_mean"), *(F.sum((F.col(f"_f{i}") > 0).cast("double")).alias(f"_d{i}") for i in range(len(terms))))
     score = F.lit(0.0)
     for i in range(len(terms)):

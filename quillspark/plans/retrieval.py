@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import chunks as C
 from ..operators import layout as G
 from ..operators import nested as N
 from ..operators import retrieval as R
 from .common import base, once, once_sql
+from .lines import _C200, _P200
 
 KM = once_sql("knowledge_main", "chunk_id", "text", "document_id")
 QUERY = "mathematics lesson for reading and writing"
@@ -68,6 +70,14 @@ def context_concat(spark: SparkSession, sf: str) -> DataFrame:
     return R.context(R.nearest(d, "v", q, "chunk_id", 3), "text", "chunk_id")
 
 
+def chunk_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts cut into windows, embedded, ranked by distance to a question; the best window of each document."""
+    chunks = C.token_windows(base(spark, sf, "documents", "doc_id", "text"), "text", 200, 50)
+    key = chunks.withColumn("chunk_key", F.col("doc_id") * 1_000_000 + F.col("chunk_index")).withColumn("v", R.hash_embedding(F.col("content"))).drop("content", "n_tokens")
+    q = [float(x) for x in spark.range(1).select(R.hash_embedding(F.lit(QUERY)).alias("v")).first().v]
+    return R.best_per_document(R.nearest(key, "v", q, "chunk_key", 20), "doc_id", "chunk_key", 5).select("doc_id", "chunk_index", "distance", "total_chunks")
+
+
 def hash_embedding(spark: SparkSession, sf: str) -> DataFrame:
     d = base(spark, sf, "documents", "doc_id", "text").where("text is not null")
     return d.select("doc_id", F.posexplode(R.hash_embedding(F.col("text"))).alias("bucket", "n")).where("n > 0").select("doc_id", "bucket", F.col("n").cast("bigint").alias("n"))
@@ -156,6 +166,8 @@ ORACLES = {
     "knn_join": f"SELECT query_id, id, rank, distance FROM (SELECT query_id, id, distance, (row_number() OVER (PARTITION BY query_id ORDER BY distance, id))::INT AS rank FROM (SELECT q.vec_id AS query_id, e.vec_id AS id, {_DIST.replace('q::', 'q.embedding::').replace('(embedding', '(e.embedding').replace(', embedding', ', e.embedding')} AS distance FROM embeddings e JOIN embeddings q ON q.vec_id % 50 = 0 AND q.vec_id <> e.vec_id)) WHERE rank <= 5",
     "similar_chunks": f"SELECT chunk_id, distance FROM {_SIM} LIMIT 10",
     "context_concat": f"SELECT string_agg(text, chr(10) || chr(10) ORDER BY distance, chunk_id) AS context FROM (SELECT * FROM {_SIM} LIMIT 3)",
+    "chunk_search": f"""WITH c AS (SELECT doc_id, chunk_index, {_TEXTD} AS distance FROM (SELECT doc_id, chunk_index, {_VEC.format("array_to_string(" + _P200 + ", ' ')")} AS v, {_VEC.format(f"'{QUERY}'")} AS q FROM {_C200}) WHERE list_sum(v) > 0 ORDER BY distance, doc_id, chunk_index LIMIT 20)
+        SELECT doc_id, chunk_index, distance, total_chunks FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY distance, chunk_index) AS r, count(*) OVER (PARTITION BY doc_id) AS total_chunks FROM c) WHERE r = 1 ORDER BY distance, doc_id, chunk_index LIMIT 5""",
     "hash_embedding": r"SELECT doc_id, (('0x' || substring(md5(w), 1, 8))::BIGINT % 64)::INT AS bucket, count(*) AS n FROM (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')) AS w FROM documents WHERE text IS NOT NULL) GROUP BY 1, 2",
     "bm25_topk": f"SELECT * FROM {_BM.replace('@N', '10')}",
     "hybrid_search": f"""WITH v AS (SELECT doc_id, 1 - distance AS v FROM (SELECT doc_id, {_TEXTD} AS distance FROM (SELECT doc_id, {_VEC.format('text')} AS v, {_VEC.format(f"'{QUERY}'")} AS q FROM documents WHERE text IS NOT NULL) WHERE list_sum(v) > 0 ORDER BY distance, doc_id LIMIT 50)), k AS (SELECT * FROM {_BM.replace("@N", "50")}),
