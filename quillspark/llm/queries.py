@@ -108,4 +108,4 @@ def p8_statistics(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_paragraphs, p3_found, p3_turns, p4_found, p4_items, p4_texts, p5_found, p5_pieces, p6_containers, p6_fill, p7_mixture, p7_shares, p8_found, p8_statistics)
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLES: dict[str, str] = {}
