@@ -113,7 +113,7 @@ def uuid5(c: Column, namespace: str = URL_NAMESPACE) -> Column:
     """Name-based UUID, version 5."""
     h = F.sha1(F.concat(F.unhex(F.lit(namespace)), F.encode(c, "UTF-8")))
     variant = F.substring(F.lit("89ab"), F.conv(F.substring(h, 17, 1), 16, 10).cast("int") % 4 + 1, F.lit(1))
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
+    return F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-5"), F.substring(h, 14, 3), F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12))
 
 
 def is_url(c: Column) -> Column:

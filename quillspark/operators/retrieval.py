@@ -37,10 +37,16 @@ def cosine_to(a: Column, query: Sequence[float]) -> Column:
     return F.when((F.size(a) == len(query)) & (size > 0), F.try_divide(dot(a, q), norm(a) * F.lit(size)))
 
 
+def distance(cosine: Column) -> Column:
+    """1 minus the cosine to six decimals, without a negative zero."""
+    d = F.round(1 - cosine, 6)
+    return F.when(F.abs(d) < 1e-9, 0.0).otherwise(d)
+
+
 def nearest(df: DataFrame, vector: str, query: Sequence[float], key: str, k: int, where: Column | None = None) -> DataFrame:
     """The k nearest rows that pass the filter, with ``distance``; the filter goes first."""
     src = df if where is None else df.where(where)
-    scored = src.withColumn("distance", F.round(1 - cosine_to(F.col(vector), query), 6)).drop(vector)
+    scored = src.withColumn("distance", distance(cosine_to(F.col(vector), query))).drop(vector)
     return scored.where("distance is not null").orderBy("distance", key).limit(k)
 
 
@@ -95,10 +101,10 @@ def bm25(df: DataFrame, key: str, text: str, query: str, k: int | None = None) -
     counted in the text where it is read: nothing is exploded or shuffled but one row of numbers.
     """
     terms = sorted({t for t in query.lower().split() if t not in STOP_WORDS})
-    low, edge, end = F.lower(F.col(text)), r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
-    times = lambda *ws: F.regexp_count(low, F.lit(f"{edge}(?:{'|'.join(re.escape(w) for w in ws)}){end}"))
-    n = F.regexp_count(low, F.lit(r"[\p{L}\p{N}]+")) - times(*sorted(STOP_WORDS))
-    counted = df.where(F.col(text).isNotNull()).select(key, n.alias("_n"), *(times(t).alias(f"_f{i}") for i, t in enumerate(terms)))
+    # a lambda over an array of one binds the words, which are then split once for all numbers
+    numbers = lambda w: F.struct(F.size(F.filter(w, lambda x: ~x.isin(*STOP_WORDS))).alias("n"), *((F.size(w) - F.size(F.array_remove(w, t))).alias(f"f{i}") for i, t in enumerate(terms)))
+    c = F.get(F.transform(F.array(words(F.col(text))), numbers), F.lit(0))
+    counted = df.where(F.col(text).isNotNull()).select(key, c.alias("_c")).select(key, F.col("_c.n").alias("_n"), *(F.col(f"_c.f{i}").alias(f"_f{i}") for i in range(len(terms))))
     stats = counted.agg(F.count(F.lit(1)).cast("double").alias("_rows"), F.avg("_n").alias("_mean"), *(F.sum((F.col(f"_f{i}") > 0).cast("double")).alias(f"_d{i}") for i in range(len(terms))))
     score = F.lit(0.0)
     for i in range(len(terms)):
@@ -129,6 +135,6 @@ def knn_join(queries: DataFrame, df: DataFrame, key: str, vector: str, k: int, b
     q = queries.select(F.col(key).alias("query_id"), F.col(vector).alias("_q"), norm(F.col(vector)).alias("_qn"))
     rows = df.select(F.col(key).alias("id"), F.col(vector).alias("_v"), norm(F.col(vector)).alias("_vn"), F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_b"))
     q = q.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-    pairs = rows.join(q, "_b").where("query_id <> id").select("query_id", "id", "_b", F.round(1 - F.try_divide(dot(F.col("_q"), F.col("_v")), F.col("_qn") * F.col("_vn")), 6).alias("distance")).where("distance is not null")
+    pairs = rows.join(q, "_b").where("query_id <> id").select("query_id", "id", "_b", distance(F.try_divide(dot(F.col("_q"), F.col("_v")), F.col("_qn") * F.col("_vn"))).alias("distance")).where("distance is not null")
     first = pairs.withColumn("_r", F.row_number().over(Window.partitionBy("query_id", "_b").orderBy("distance", "id"))).where(F.col("_r") <= k)
     return first.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id"))).where(F.col("rank") <= k).select("query_id", "id", "rank", "distance")

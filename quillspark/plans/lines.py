@@ -95,8 +95,9 @@ def running_avg_eta(spark: SparkSession, sf: str) -> DataFrame:
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     events = base(spark, sf, "events", "event_id", "ts", "user_id", "value")
     left = F.count(F.lit(1)).over(Window.partitionBy("user_id")) - F.row_number().over(w)
-    mean = F.avg("value").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return events.select("event_id", F.round(mean, 3).alias("mean_value"), F.round(mean * left, 1).alias("eta"))
+    cents = F.sum(F.round(F.col("value") * 100).cast("bigint")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    mean = cents.cast("double") / F.row_number().over(w) / 100
+    return events.select("event_id", mean.alias("mean_value"), (mean * left).alias("eta"))
 
 
 def chunk_token_window(spark: SparkSession, sf: str) -> DataFrame:
@@ -167,7 +168,7 @@ ORACLES = {
     "question_lines": r"""WITH q AS (SELECT doc_id, list_filter(list_transform(list_transform(string_split(text, '? '), lambda x: trim(x)), lambda x: CASE WHEN ends_with(x, '?') THEN x ELSE x || '?' END), lambda x: length(x) > 5) AS q FROM documents WHERE text LIKE '%?%')
         SELECT doc_id, (unnest(generate_series(0, len(q) - 1)))::INT AS question_no, unnest(q) AS question FROM q""",
     "fill_forward_state": "SELECT event_id, user_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS last_signup FROM events",
-    "running_avg_eta": "WITH a AS (SELECT event_id, avg(value) OVER w AS m, count(*) OVER (PARTITION BY user_id) - row_number() OVER w AS l FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) SELECT event_id, round(m, 3) AS mean_value, round(m * l, 1) AS eta FROM a",
+    "running_avg_eta": "WITH a AS (SELECT event_id, (sum(round(value * 100)::BIGINT) OVER w)::DOUBLE / row_number() OVER w / 100 AS m, count(*) OVER (PARTITION BY user_id) - row_number() OVER w AS l FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) SELECT event_id, m AS mean_value, m * l AS eta FROM a",
     "chunk_token_window": f"SELECT doc_id, chunk_index, len({_P200})::INT AS n_tokens, md5(array_to_string({_P200}, ' ')) AS content_md5 FROM {_C200}",
     "chunk_counts": f"SELECT doc_id, lang, count(*) AS n_chunks, sum(len({_P200}))::BIGINT AS n_tokens FROM {_C200} GROUP BY doc_id, lang",
     "chunk_enriched": f"SELECT doc_id, chunk_index, title, source, array_to_string(topics, ', ') AS tags, length(array_to_string(t[chunk_index * 3800 + 1 : chunk_index * 3800 + 4000], ' '))::INT AS n_chars FROM {_CHUNKS.format(4000, 3800)}",

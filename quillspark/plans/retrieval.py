@@ -37,7 +37,7 @@ def near_object(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def certainty_threshold(spark: SparkSession, sf: str) -> DataFrame:
-    d = _emb(spark, sf).withColumn("distance", F.round(1 - R.cosine_to(F.col("embedding"), _query(spark, sf)), 6))
+    d = _emb(spark, sf).withColumn("distance", R.distance(R.cosine_to(F.col("embedding"), _query(spark, sf))))
     return d.where("1 - distance / 2 >= 0.6").select("vec_id", "label", "distance")
 
 
@@ -140,10 +140,11 @@ def nested_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _Q7 = "(SELECT embedding AS q FROM embeddings WHERE vec_id = {0})"
-_DIST = "round(1 - list_inner_product(embedding::DOUBLE[], q::DOUBLE[]) / (sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) * sqrt(list_inner_product(q::DOUBLE[], q::DOUBLE[]))), 6)"
+_ZERO = "CASE WHEN abs({0}) < 0.000000001 THEN 0.0::DOUBLE ELSE {0} END"
+_DIST = _ZERO.format("round(1 - list_inner_product(embedding::DOUBLE[], q::DOUBLE[]) / (sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) * sqrt(list_inner_product(q::DOUBLE[], q::DOUBLE[]))), 6)")
 _NEAR = "SELECT vec_id, label, " + _DIST + " AS distance FROM embeddings, " + _Q7
 _VEC = "list_transform(generate_series(0, 63), lambda i: len(list_filter(list_transform(list_filter(regexp_split_to_array(lower({0}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> ''), lambda w: ('0x' || substring(md5(w), 1, 8))::BIGINT % 64), lambda b: b = i))::DOUBLE)"
-_TEXTD = "round(1 - list_inner_product(v, q) / (sqrt(list_inner_product(v, v)) * sqrt(list_inner_product(q, q))), 6)"
+_TEXTD = _ZERO.format("round(1 - list_inner_product(v, q) / (sqrt(list_inner_product(v, v)) * sqrt(list_inner_product(q, q))), 6)")
 _SIM = f"(SELECT chunk_id, text, {_TEXTD} AS distance FROM (SELECT chunk_id, text, {_VEC.format('text')} AS v, {_VEC.format(f"'{QUERY}'")} AS q FROM {KM} WHERE text IS NOT NULL) WHERE list_sum(v) > 0 ORDER BY distance, chunk_id)"
 _STOP = ", ".join(f"'{w}'" for w in sorted(R.STOP_WORDS))
 _BM = f"""(WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '' AND NOT list_contains([{_STOP}], x)) AS w FROM documents WHERE text IS NOT NULL), n AS (SELECT count(*)::DOUBLE AS rows, avg(len(w)) AS mean FROM w),

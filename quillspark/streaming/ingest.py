@@ -21,11 +21,11 @@ def chunk_stream(documents: DataFrame, size: int = 800, overlap: int = 100) -> D
 
 def first_seen_stream(df: DataFrame, key: str, time: str, late: str = "1 day") -> DataFrame:
     """Each key once within the watermark; the state is bounded by it."""
-    return df.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
+    return df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).dropDuplicatesWithinWatermark([key])
 
 
 def counts_stream(df: DataFrame, time: str, group: str, window: str = "1 hour", late: str = "10 minutes") -> DataFrame:
-    g = df.withWatermark(time, late).groupBy(F.window(time, window).alias("w"), group).agg(F.count(F.lit(1)).alias("n"))
+    g = df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).groupBy(F.window(time, window).alias("w"), group).agg(F.count(F.lit(1)).alias("n"))
     return g.select(F.col("w.start").alias("start"), group, "n")
 
 
