@@ -32,12 +32,12 @@ LIST_SIZE = 800
 MAX_LISTS = 4_096
 SAMPLE = 131_072
 BLOCK = 4_000
-DEGREE = 12
-ENTRIES = 16
+DEGREE = 24
+ENTRIES = 128
 #: Lists of a vector: at most so many, whose distance is at most so many times that of the nearest centroid.
 COPIES, COPY_RATIO = 3, 1.12
 PROBES, PROBE_RATIO = 5, 1.25
-BEAM = 16
+BEAM = 48
 
 
 def usable(values: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
