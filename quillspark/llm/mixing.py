@@ -135,6 +135,6 @@ def shares(mixed: DataFrame, plan: DataFrame) -> DataFrame:
     got = mixed.groupBy("source").agg(F.count(F.lit(1)).alias("n_used"), F.countDistinct("doc_id").alias("n_records"), (F.max("repeat_no") + 1).alias("most_used"), F.sum("n_tokens").alias("used_tokens"))
     every = Window.partitionBy()  # over the rows of the target
     return plan.join(got, "source", "left").select(
-        "source", (F.col("weight") / F.sum("weight").over(every)).alias("target_share"), (F.coalesce("used_tokens", F.lit(0)) / F.sum(F.coalesce("used_tokens", F.lit(0))).over(every)).alias("actual_share"),
+        "source", F.try_divide("weight", F.sum("weight").over(every)).alias("target_share"), F.coalesce(F.try_divide(F.coalesce("used_tokens", F.lit(0)), F.sum(F.coalesce("used_tokens", F.lit(0))).over(every)), F.lit(0.0)).alias("actual_share"),
         F.coalesce("used_tokens", F.lit(0)).alias("used_tokens"), F.coalesce("n_used", F.lit(0)).alias("n_used"), F.coalesce("n_records", F.lit(0)).alias("n_records"), F.coalesce("most_used", F.lit(0)).alias("most_used"), "max_repeats",
     )

@@ -120,8 +120,7 @@ def _kind(x: dict) -> str:
     """What a whole line looks like: prose, list, table or junk."""
     body = x["chars"] - x["spaces"]
     mark = _BULLET.match(x["head"])
-    first = _WORD.findall(mark.group().lower())[:1] if mark else []
-    share = (x["common"] - (first != [] and first[0] in COMMON_WORDS)) / x["words"] if x["words"] else 0.0
+    share = (x["common"] - _common_in_mark(x)) / x["words"] if x["words"] else 0.0
     if not body:
         return "blank"
     if x["tag_chars"] > 0.5 * x["chars"]:
@@ -160,6 +159,13 @@ def _kind(x: dict) -> str:
     return "list"
 
 
+def _common_in_mark(x: dict) -> int:
+    """Whether a bullet such as ``a)`` was taken for a common word."""
+    mark = _BULLET.match(x["head"])
+    first = _WORD.findall(mark.group().lower())[:1] if mark else []
+    return int(first != [] and first[0] in COMMON_WORDS)
+
+
 def _cells(x: dict) -> bool:
     """Fields without a space after the commas, as in rows of values."""
     t = x["head"]
@@ -176,7 +182,7 @@ def partial(text: str) -> dict:
 
 
 def _empty() -> dict:
-    return {k: 0 for k in TOTALS} | {f"{k}_chars": 0 for k in KINDS} | {f"{k}_lines": 0 for k in KINDS} | {"bits": 0}
+    return {k: 0 for k in TOTALS} | {f"{k}_chars": 0 for k in KINDS} | {f"{k}_lines": 0 for k in KINDS} | {"list_words": 0, "list_common": 0, "bits": 0}
 
 
 def _add(total: dict, x: dict) -> None:
@@ -189,6 +195,9 @@ def _add(total: dict, x: dict) -> None:
         total[f"{kind}_chars"] += body
         total[f"{kind}_lines"] += 1
         total["symbols"] += body - x["letters"] - x["digits"]
+        if kind == "list":
+            total["list_words"] += x["words"]
+            total["list_common"] += x["common"] - _common_in_mark(x)
         total["lines_end_punct"] += x["tail"].rstrip()[-1:] in _END
     for k in ("chars", "words", "word_chars", "letters", "digits", "common"):
         total[k] += x[k]
@@ -221,13 +230,15 @@ def finish(p: dict) -> dict:
         best = max(("list", "table", "junk"), key=lambda k: t[f"{k}_chars"])
         other = body - t["prose_chars"]
         kind = best if other > 0.55 * body else "prose"
-        if words >= 20 and distinct <= min(12, 0.25 * words):
+        if kind == "list" and t["list_words"] >= 8 and t["list_common"] >= 0.25 * t["list_words"]:
+            kind = "prose"  # in lines too short to tell
+        if kind != "table" and words >= 20 and distinct <= min(12, 0.25 * words):
             kind = "junk"  # a few words over and over
         elif words >= 12 and kind == "list" and distinct <= 0.3 * min(words, 200):
             kind = "junk"
     r = lambda a, b: a / b if b else None
     return {
-        "n_chars": t["chars"], "n_words": words, "n_lines": t["lines"], "mean_word_length": r(t["word_chars"], words), "symbol_ratio": r(t["symbols"], body), "digit_ratio": r(t["digits"], body),
+        "n_chars": t["chars"] + max(0, t["lines"] - 1), "n_words": words, "n_lines": t["lines"], "mean_word_length": r(t["word_chars"], words), "symbol_ratio": r(t["symbols"], body), "digit_ratio": r(t["digits"], body),
         "share_lines_end_punct": r(t["lines_end_punct"], filled), "share_common_words": r(t["common"], words), "distinct_words_sketch": distinct, "prose_share": r(t["prose_chars"], body),
         "list_share": r(t["list_chars"], body), "table_share": r(t["table_chars"], body), "junk_share": r(t["junk_chars"], body), "text_kind": kind,
     }
