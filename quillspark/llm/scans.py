@@ -193,8 +193,11 @@ def wrong(token: str, d: Decoder, fragment: bool = False) -> bool:
         return False
     if _BAD_INSIDE.search(w) or w[0] == "(" and len(w) > 3:
         return fragment or d.read(low) is not None or not re.search(r"\d", w) or any(c.islower() for c in w)
-    if fragment or d.known(low):
+    if d.known(low):
         return False
+    if fragment:  # no part of a word is likely to be a long word with one confusion
+        found = d.read(low, True) if len(low) >= 5 else None
+        return found is not None and found[1] <= 1
     capital = w[0].isupper()
     found = d.read(low, capital)
     if found:
@@ -222,7 +225,7 @@ class Heads:
         self.titles = [t for t in dict.fromkeys([_letters(title or ""), slug]) if len(t) >= 6]
         self.org = org if len(org) >= 5 else ""
 
-    def match(self, line: str, edge: bool) -> bool:
+    def match(self, line: str) -> bool:
         words = line.split()
         if not words or len(line.strip()) > 110 or sum(w[0].isupper() or not w[0].isalpha() or len(w) <= 2 for w in words) < 0.5 * len(words):
             return False
@@ -247,10 +250,6 @@ class Heads:
                 for part in (line[: m.start()], line[m.end() :]):
                     if any(edit_distance(_letters(part), t, max(2, len(t) // 4)) <= max(2, len(t) // 4) for t in self.titles):
                         return True
-        if edge and len(said) >= 8:
-            for t in [*self.titles, self.org]:
-                if len(t) > len(said) and min(edit_distance(said, t[: len(said)], 2), edit_distance(said, t[-len(said) :], 2)) <= max(1, len(said) // 8):
-                    return True
         return False
 
 
@@ -268,15 +267,14 @@ def page_number(line: str) -> bool:
 def kinds(lines: list[str], heads: Heads) -> list[str]:
     """marker, blank, page_number, running_head, heading or body of each line."""
     out = []
-    last = len(lines) - 1
-    for i, line in enumerate(lines):
+    for line in lines:
         if _MARKER.match(line):
             out.append("marker")
         elif not line.strip():
             out.append("blank")
         elif page_number(line):
             out.append("page_number")
-        elif heads.match(line, i in (0, last)):
+        elif heads.match(line):
             out.append("running_head")
         else:
             out.append("body")
