@@ -90,3 +90,23 @@ def distinct_ignoring_case(tags: Column, most: int = 20) -> Column:
     low = F.transform(clean, lambda t: F.lower(t))
     firsts = F.filter(F.transform(clean, lambda t, i: F.when(F.array_position(low, F.lower(t)) == i + 1, t)), lambda t: t.isNotNull())
     return F.slice(firsts, 1, most)
+
+
+def similar_strings(df: DataFrame, col: str, ratio: float = 0.85, longest: int = 200) -> DataFrame:
+    """(a, b, ratio), a < b: distinct values alike by 1 - edit distance / longer length, found without comparing all pairs.
+
+    A value alike to a longer one by at most k edits has, cut into k + 1 pieces, one that is in the longer value as it
+    is, at most k characters off its place. Pieces meet such substrings in an equi-join on length, piece and text.
+    Nulls and values beyond ``longest`` characters are left out; values are distinct first, so that copies cost nothing.
+    """
+    v = df.select(F.col(col).alias("v")).where(F.col(col).isNotNull() & F.length(col).between(1, longest)).distinct().withColumn("n", F.length("v"))
+    edits = lambda n: F.floor(F.lit(1 - ratio) * F.floor(n / F.lit(ratio) + 1e-9) + 1e-9).cast("int")
+    start = lambda i, n, k: F.floor(i * n / (k + 1)).cast("int")
+    short = v.withColumn("k", edits(F.col("n"))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k"))))
+    short = short.select(F.col("v").alias("x"), "n", "i", F.substring("v", start(F.col("i"), F.col("n"), F.col("k")) + 1, start(F.col("i") + 1, F.col("n"), F.col("k")) - start(F.col("i"), F.col("n"), F.col("k"))).alias("piece"))
+    long = v.select(F.col("v").alias("y"), F.col("n").alias("m"), F.explode(F.sequence(F.ceil(F.col("n") * ratio - 1e-9).cast("int"), F.col("n"))).alias("n")).withColumn("k", edits(F.col("n"))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k"))))
+    long = long.withColumn("at", start(F.col("i"), F.col("n"), F.col("k"))).withColumn("size", start(F.col("i") + 1, F.col("n"), F.col("k")) - F.col("at"))
+    long = long.withColumn("p", F.explode(F.sequence(F.col("at") - F.col("k"), F.col("at") + F.col("k")))).where("p >= 0 and p + size <= m").select("y", "n", "i", F.substring("y", F.col("p") + 1, F.col("size")).alias("piece")).distinct()
+    pairs = short.join(long, ["n", "i", "piece"]).where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    alike = 1 - F.levenshtein("a", "b") / F.greatest(F.length("a"), F.length("b"))
+    return pairs.withColumn("ratio", F.round(alike, 4)).where(alike >= ratio - 1e-9)

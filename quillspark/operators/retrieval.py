@@ -111,8 +111,9 @@ def bm25(df: DataFrame, key: str, text: str, query: str, k: int | None = None) -
         idf = F.ln(1 + (F.col("_rows") - F.col(f"_d{i}") + 0.5) / (F.col(f"_d{i}") + 0.5))
         f = F.col(f"_f{i}").cast("double")
         score = score + idf * f * (BM25_K1 + 1) / (f + BM25_K1 * (1 - BM25_B + BM25_B * F.col("_n") / F.col("_mean")))
-    # the corpus's numbers are one row
-    scored = counted.crossJoin(F.broadcast(stats)).select(key, F.round(score, 6).alias("score")).where("score > 0")
+    # the corpus's numbers are one row, a scalar subquery
+    whole = counted.withColumn("_s", stats.select(F.struct("*")).scalar()).select("*", "_s.*")
+    scored = whole.select(key, F.round(score, 6).alias("score")).where("score > 0")
     return scored.orderBy(F.desc("score"), key).limit(k) if k else scored
 
 
@@ -123,7 +124,7 @@ def hybrid(vector_hits: DataFrame, keyword_hits: DataFrame, key: str, alpha: flo
     ends = both.agg(F.min("_v").alias("_v0"), F.max("_v").alias("_v1"), F.min("_k").alias("_k0"), F.max("_k").alias("_k1"))
     scaled = lambda c, a, b: F.coalesce(F.when(F.col(b) > F.col(a), (F.col(c) - F.col(a)) / (F.col(b) - F.col(a))).when(F.col(c).isNotNull(), F.lit(1.0)), F.lit(0.0))
     score = alpha * scaled("_v", "_v0", "_v1") + (1 - alpha) * scaled("_k", "_k0", "_k1")
-    return both.crossJoin(F.broadcast(ends)).select(key, F.round(score, 5).alias("score")).orderBy(F.desc("score"), key).limit(k)
+    return both.withColumn("_s", ends.select(F.struct("*")).scalar()).select("*", "_s.*").select(key, F.round(score, 5).alias("score")).orderBy(F.desc("score"), key).limit(k)
 
 
 def knn_join(queries: DataFrame, df: DataFrame, key: str, vector: str, k: int, blocks: int = 16) -> DataFrame:

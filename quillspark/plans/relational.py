@@ -38,6 +38,17 @@ def resume_anti_join(spark: SparkSession, sf: str) -> DataFrame:
     return R.remaining(_src(spark, sf, "source_path"), done, "id")
 
 
+def scan_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that were read, by kind, with their sizes; a projection of nested fields."""
+    d = base(spark, sf, "source_document", "id", "metadata", "error").where("id is not null")
+    one = d.groupBy("id").agg(F.lower(F.max("metadata.file_type")).alias("file_type"), F.max("metadata.file_size").alias("file_size"), F.max("error").alias("error"))
+    return one.groupBy("file_type").agg(F.count(F.lit(1)).alias("n"), F.sum("file_size").alias("bytes"), F.count("error").alias("n_errors"))
+
+
+def render_commands(spark: SparkSession, sf: str) -> DataFrame:
+    return _method(spark, sf).select("id", F.format_string("process --method %s --pages %d %s", F.col("method"), F.coalesce("num_pages", F.lit(0)), F.col("id")).alias("command"))
+
+
 def resume_pages(spark: SparkSession, sf: str) -> DataFrame:
     p = _src(spark, sf, "metadata.num_pages", "metadata.num_processed_pages").where("num_pages is not null")
     done = F.coalesce("num_processed_pages", F.lit(0))
@@ -98,11 +109,7 @@ def dedupe_content_hash(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fuzzy_title_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """Part names alike: compared within the same first letter and brand, not with everything."""
-    p = base(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    a, b = p.alias("a"), p.alias("b")
-    ratio = 1 - F.levenshtein(F.col("a.s_name"), F.col("b.s_name")) / F.greatest(F.length("a.s_name"), F.length("b.s_name"))
-    return a.join(b, (F.col("a.s_nationkey") == F.col("b.s_nationkey")) & (F.col("a.s_suppkey") < F.col("b.s_suppkey"))).withColumn("ratio", F.round(ratio, 4)).where("ratio >= 0.85").select(F.col("a.s_suppkey").alias("id_a"), F.col("b.s_suppkey").alias("id_b"), "ratio")
+    return R.similar_strings(base(spark, sf, "documents", "title"), "title", 0.75)
 
 
 def large_documents_topn(spark: SparkSession, sf: str) -> DataFrame:
@@ -294,6 +301,8 @@ _LEV = "(SELECT doc_id, coalesce(lang, 'none') AS lang, coalesce(source, 'none')
 ORACLES = {
     "lookup_left_join": "SELECT coalesce(n_name, c_nationkey::VARCHAR) AS nation_name, count(*) AS n, round(sum(c_acctbal), 2) AS balance FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) ON c_nationkey = n_nationkey GROUP BY 1",
     "resume_anti_join": f"SELECT id, source_path FROM {SRC} WHERE id NOT IN (SELECT document_id FROM {KM} WHERE document_id IS NOT NULL)",
+    "scan_documents": "SELECT file_type, count(*) AS n, sum(file_size)::BIGINT AS bytes, count(error) AS n_errors FROM (SELECT id, lower(max(metadata.file_type)) AS file_type, max(metadata.file_size) AS file_size, max(error) AS error FROM source_document WHERE id IS NOT NULL GROUP BY id) GROUP BY file_type",
+    "render_commands": f"SELECT id, 'process --method ' || CASE WHEN is_scanned THEN 'scan' ELSE 'text' END || ' --pages ' || coalesce(num_pages, 0) || ' ' || id AS command FROM {SRC}",
     "resume_pages": f"SELECT id, coalesce(num_processed_pages, 0) = num_pages AS complete, CASE WHEN coalesce(num_processed_pages, 0) < num_pages THEN coalesce(num_processed_pages, 0) + 1 END AS next_page FROM {SRC} WHERE num_pages IS NOT NULL",
     "semi_join_referenced": f"SELECT id, source_path FROM {SRC} WHERE id IN (SELECT document_id FROM {KM} WHERE document_id IS NOT NULL)",
     "first_match_join": f"SELECT org, source_rank, path FROM (SELECT {_ORG} AS org, CASE WHEN source_path LIKE '%.pdf' THEN 1 WHEN source_path LIKE '%.docx' THEN 2 ELSE 3 END AS source_rank, source_path AS path FROM {SRC}) QUALIFY row_number() OVER (PARTITION BY org ORDER BY source_rank, path) = 1",
@@ -305,7 +314,7 @@ ORACLES = {
     "hierarchy_levels": f"SELECT lang, count(DISTINCT source) AS n_children, count(*) AS n_leaves FROM {_LEV} GROUP BY lang",
     "dedupe_first_seen": "SELECT min(doc_id) AS doc_id, md5(text) AS text_md5 FROM documents WHERE text IS NOT NULL GROUP BY text",
     "dedupe_content_hash": "SELECT sha256(text) AS sha256, count(*) AS n, min(doc_id) AS first_id FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
-    "fuzzy_title_pairs": "SELECT * FROM (SELECT a.s_suppkey AS id_a, b.s_suppkey AS id_b, round(1 - levenshtein(a.s_name, b.s_name) / greatest(length(a.s_name), length(b.s_name)), 4) AS ratio FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey < b.s_suppkey) WHERE ratio >= 0.85",
+    "fuzzy_title_pairs": "WITH t AS (SELECT DISTINCT title AS v FROM documents WHERE length(title) BETWEEN 1 AND 200), p AS (SELECT a.v AS a, b.v AS b, 1 - levenshtein(a.v, b.v) / greatest(length(a.v), length(b.v)) AS r FROM t a JOIN t b ON a.v < b.v) SELECT a, b, round(r, 4) AS ratio FROM p WHERE r >= 0.75::DOUBLE - 0.000000001",
     "large_documents_topn": "SELECT doc_id, strlen(text)::BIGINT AS n_bytes FROM documents WHERE strlen(text) >= 2048 ORDER BY 2 DESC, 1 LIMIT 20",
     "point_lookup": "SELECT doc_id, title, source_org FROM documents WHERE doc_id = 42",
     "batch_assignment": "SELECT doc_id, source, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 10 AS batch FROM documents",

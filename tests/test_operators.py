@@ -134,3 +134,23 @@ def test_sheets(spark):
     d = spark.createDataFrame([(1, '{"a":[{"k":1},{"k":2}],"b":{"k":3}}'), (2, '{"a":1}'), (3, "[{\"x\":1}]"), (4, "5"), (5, "nonsense{"), (6, None)], "id int, j string")
     got = {(r.id, r.sheet, r.row_no): dict(r.cells) for r in N.sheets(d, "id", "j").collect() if r.id < 5}
     assert got == {(1, "a", 0): {"k": "1"}, (1, "a", 1): {"k": "2"}, (1, "b", 0): {"k": "3"}, (2, "Data", 0): {"a": "1"}, (3, "Data", 0): {"x": "1"}, (4, "Data", 0): {"value": "5"}}
+
+
+@pytest.mark.parametrize("ratio", [0.6, 0.75, 0.85, 1.0])
+def test_similar_strings_against_all_pairs(spark, ratio):
+    import random
+
+    rng = random.Random(5)
+    values = {"".join(rng.choice("abc") for _ in range(rng.randint(1, 14))) for _ in range(120)} | {"ab" * 20, "ab" * 19 + "cc"}
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    want = {(a, b) for a in values for b in values if a < b and 1 - distance(a, b) / max(len(a), len(b)) >= ratio - 1e-9}
+    d = spark.createDataFrame([(v,) for v in sorted(values)] * 2 + [(None,), ("",)], "v string")
+    assert {(r.a, r.b) for r in R.similar_strings(d, "v", ratio).collect()} == want
