@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 #: Items of a shard; a shard wastes at most part of one bin for each class.
 SHARD_ITEMS = 50_000
+#: Kinds of container; they are written by hand and are constants of the plan.
+MAX_KINDS = 1_000
 
 
 def pack(lengths: list[int], capacity: int) -> list[int]:
@@ -78,7 +80,9 @@ def fill_containers(counted: DataFrame, spec: DataFrame, n_items: int) -> DataFr
     """
     shards = max(1, -(-n_items // SHARD_ITEMS))
     spec = spec.where("capacity_tokens > 0").dropDuplicates(["container_name"]).select("container_name", F.col("capacity_tokens").cast("bigint").alias("capacity"))
-    rows = counted.where("n_tokens > 0").crossJoin(F.broadcast(spec))  # of a few rows
+    kinds = [F.struct(F.lit(r.container_name).alias("container_name"), F.lit(r.capacity).cast("bigint").alias("capacity")) for r in spec.limit(MAX_KINDS).collect()]
+    kind = F.array(*kinds) if kinds else F.from_json(F.lit("[]"), "array<struct<container_name:string,capacity:bigint>>")
+    rows = counted.where("n_tokens > 0").withColumn("_kind", F.explode(kind)).select("doc_id", "n_tokens", "_kind.container_name", "_kind.capacity")
     n_full = F.floor((F.col("n_tokens") - 1) / F.col("capacity")).cast("int")
     pieces = rows.withColumn("piece_no", F.explode(F.sequence(F.lit(0), n_full))).select(
         "container_name", "capacity", "doc_id", "piece_no", (F.col("piece_no") * F.col("capacity")).alias("token_start"),
