@@ -48,15 +48,11 @@ def released(path_df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Only the batches with rows."""
-    return (b for b in batches if b.num_rows)
-
-
-def spread(df: DataFrame, least: int | None = None) -> DataFrame:
-    """Enough partitions for work that costs much CPU a row, where the input's files give too few."""
-    n = least or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows: of long texts a whole Arrow batch as Python strings, with what is made of it, takes much memory."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
 
 
 def usable_text(col: str = "text"):

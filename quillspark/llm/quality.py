@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import sliced
+
 CHUNK_CHARS = 32_768
 #: Two levels hold 256 * 256 chunks, which is the largest string that Spark can hold.
 FAN_IN = 256
@@ -258,14 +260,14 @@ def _rows(ids, found: list[dict]) -> pa.RecordBatch:
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in sliced(batches):
         yield _rows(b.column("doc_id"), [finish(partial(t)) for t in b.column("text").to_pylist()])
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import pickle
 
-    for b in batches:
+    for b in sliced(batches):
         data = pa.array([pickle.dumps(partial(t)) for t in b.column("text").to_pylist()], pa.binary())
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("no"), data], names=["doc_id", "no", "part"])
 
@@ -282,13 +284,13 @@ def _fold(parts: list[bytes]) -> dict:
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import pickle
 
-    for b in batches:
+    for b in sliced(batches):
         data = pa.array([pickle.dumps(_fold(x)) for x in b.column("parts").to_pylist()], pa.binary())
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("no"), data], names=["doc_id", "no", "part"])
 
 
 def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in sliced(batches):
         yield _rows(b.column("doc_id"), [finish(_fold(x)) for x in b.column("parts").to_pylist()])
 
 

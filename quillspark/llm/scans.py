@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, sliced
 from .transcripts import edit_distance
 
 LEXICON_WORDS = 200_000
@@ -69,7 +69,7 @@ def word_counts(texts: DataFrame, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: Counter = Counter()
         flush = lambda: pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], names=["word", "n"])
-        for b in batches:
+        for b in sliced(batches):
             for t in b.column("t").to_pylist():
                 count.update(_WORD.findall(t.lower()))
             if len(count) > 500_000:
@@ -498,7 +498,7 @@ def _cased(word: str, like: str) -> str:
 
 
 def _sections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in sliced(batches):
         rows = zip(*(b.column(c).to_pylist() for c in ("text", "title", "path")))
         found = [section_heads(t, title, path) if t else [] for t, title, path in rows]
         yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("id", "text", "title", "path")), pa.array(found, pa.list_(pa.string()))], names=["id", "text", "title", "path", "sections"])
@@ -529,7 +529,7 @@ def corpus_lexicon(documents: DataFrame) -> dict[str, int]:
 def _each(words, run_one, names: list[str], types: list[pa.DataType]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = None
-        for b in batches:
+        for b in sliced(batches):
             d = d or Decoder(words.value)
             out: list[tuple] = []
             for field, key, text, title, path, sections in zip(*(b.column(c).to_pylist() for c in ("field_name", "record_key", "text", "title", "path", "sections"))):

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import sliced
+
 LEVELS = ("paragraph", "sentence", "word", "none")
 _CUTS = (re.compile(r"\n[ \t\r]*\n[ \t\r\n]*"), re.compile(r"[.!?][ \t\r\n]+"), re.compile(r"[ \t\r\n]+"))
 _BLANKS = " \t\r\n"
@@ -92,7 +94,7 @@ def split_text(text: str, max_chars: int, overlap_chars: int) -> list[tuple[int,
 
 def _split(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             out: list[tuple] = []
             for field, key, text, most, overlap in zip(*(b.column(c).to_pylist() for c in ("field_name", "record_key", "text", "max_chars", "overlap_chars"))):
                 level = boundary_level(text, most)

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import sliced
+
 TOKENIZER_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the published pre-tokenisation pattern of this vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -30,7 +32,7 @@ def with_token_counts(df: DataFrame, keys: list[str], text_col: str = "text", to
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(tokenizer_path)
-        for b in batches:
+        for b in sliced(batches):
             n = [len(enc.encode_ordinary(t)) if t else 0 for t in b.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keys), pa.array(n, pa.int64())], names=[*keys, "n_tokens"])
 

@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import sliced
+
 # Hesitation sounds and empty phrases that are no speech, and labels of unknown persons.
 HESITATIONS = """uh uhh uhhh um umm ummm er err erm ah ahh eh ehh eeh em emm hm hmm hmmm mm mmm mhm mm-hmm mmhmm uh-huh huh oh äh ähm hä ehm euh heu
 este este...""".split()
@@ -291,7 +293,7 @@ def recordings(items: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def _utterance_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in sliced(batches):
         out = []
         for i, text, people in zip(*(b.column(c).to_pylist() for c in ("audio_id", "text", "people"))):
             out += [(i, *u) for u in parse(text, [(p["speaker_no"], p["full_name"], p["role_name"]) for p in people or []])]
