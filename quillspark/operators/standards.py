@@ -95,3 +95,63 @@ def policy_tree(lines: DataFrame, key: str) -> DataFrame:
     item = held.where(F.col("line").rlike(r"^- \[[ x]\] ") & F.col("section").isNotNull())
     one = F.struct("line_no", F.trim(F.substring("line", 7, 1000)).alias("text"), F.when(F.substring("line", 4, 1) == "x", "adopted").otherwise("pending").alias("status"))
     return item.groupBy(key, "section", "subsection").agg(F.min("line_no").alias("place"), F.transform(F.array_sort(F.collect_list(one)), lambda x: F.struct(x["text"].alias("text"), x["status"].alias("status"))).alias("policies"))
+
+
+# Forms of lines in lists of arts and mathematics standards.
+ANCHOR_LINE = r"^Anchor Standard (\d+):\s*(.+)$"
+UNDERSTANDING_LINE = r"^Enduring Understanding:?\s*(.*)$"
+QUESTION_LINE = r"^Essential Questions?(?:\(s\))?:?\s*(.*)$"
+ARTS_LINE = r"^((?:VA|MU|TH|DA|MA):[A-Za-z0-9.]+)\s+(.+)$"
+MATH_DOMAIN_LINE = r"^(K|\d+|HS)\.([A-Z]+)$"
+MATH_STANDARD_LINE = r"^(\d+)\.\s*(.*)$"
+MATH_PART_LINE = r"^([a-z])\.\s*(.*)$"
+# End of the fixed values.
+
+
+def anchored_standards(lines: DataFrame, key: str) -> DataFrame:
+    """(key, line_no, code, text, anchor, understanding, question): standards with the anchor, understanding and question that hold at them.
+
+    The text of an understanding or question may stand on the next line; of several questions on a line the last holds. An
+    understanding and a question go on to hold after a new anchor.
+    """
+    from pyspark.sql.window import Window
+
+    from ..functions.text import questions
+
+    c = F.trim("line")
+    after = F.trim(F.coalesce(F.lead("line").over(Window.partitionBy(key).orderBy("line_no")), F.lit("")))
+    told = lines.withColumn("_eu", F.when(c.rlike(UNDERSTANDING_LINE), F.coalesce(group(c, UNDERSTANDING_LINE, 1), F.nullif(after, F.lit(""))))).withColumn("_eq", F.when(c.rlike(QUESTION_LINE), F.coalesce(group(c, QUESTION_LINE, 1), F.nullif(after, F.lit("")))))
+    last = F.element_at(questions(F.col("_eq")), -1)
+    held = L.fill_forward(told, [key], ["line_no"], anchor=group(c, ANCHOR_LINE, 1), understanding=F.col("_eu"), question=F.when(F.size(questions(F.col("_eq"))) > 0, last))
+    return held.where(c.rlike(ARTS_LINE)).select(key, "line_no", group(c, ARTS_LINE, 1).alias("code"), group(c, ARTS_LINE, 2).alias("text"), "anchor", "understanding", "question")
+
+
+def edges(standards: DataFrame, key: str) -> DataFrame:
+    """(anchor, other_id, type): which understandings and questions belong to which anchor, each once; ids are made of the texts."""
+    from ..functions.text import short_id
+
+    one = lambda col, kind: standards.where(F.col("anchor").isNotNull() & F.col(col).isNotNull()).select("anchor", short_id(f"{kind}_", F.col(col)).alias("other_id"), F.lit(kind).alias("type"))
+    return one("understanding", "eu").unionByName(one("question", "eq")).distinct()
+
+
+def math_records(lines: DataFrame, key: str) -> DataFrame:
+    """(key, record_no, code, grade, domain, cluster, text): numbered standards and their lettered parts, which have the number of the
+    standard before them. A cluster is the latest line of more than 20 characters that begins no record and goes on with none."""
+    from pyspark.sql.window import Window
+
+    c = F.trim("line")
+    w = Window.partitionBy(key).orderBy("line_no")
+    domain = c.rlike(MATH_DOMAIN_LINE)
+    number, part = c.rlike(MATH_STANDARD_LINE) & ~domain, c.rlike(MATH_PART_LINE)
+    state = L.fill_forward(lines, [key], ["line_no"], grade=group(c, MATH_DOMAIN_LINE, 1), domain=group(c, MATH_DOMAIN_LINE, 2))
+    # a record goes on until a blank line, another record or a domain; a long line outside a record names a cluster
+    state = state.withColumn("_mark", F.when(domain | (c == "") | c.rlike(r"^=== .* ===$"), 0).when(number | part, 1)).withColumn("_in", F.last("_mark", ignorenulls=True).over(w))
+    state = state.withColumn("_new", F.when(F.coalesce("_in", F.lit(0)) == 0, F.when(F.length(c) > 20, c)))
+    state = L.fill_forward(state, [key], ["line_no"], cluster=F.when(domain, "").otherwise(F.col("_new")), _number=F.when(domain, "").otherwise(group(c, MATH_STANDARD_LINE, 1)))
+    state = state.withColumn("record_no", F.sum((number | part).cast("int")).over(w)).where("_in = 1 and domain is not null")
+    text = F.when(number, group(c, MATH_STANDARD_LINE, 2)).when(part, group(c, MATH_PART_LINE, 2)).otherwise(c)
+    parts = F.array_sort(F.collect_list(F.struct("line_no", F.coalesce(text, F.lit("")).alias("t"))))
+    code = F.concat(F.col("grade"), F.lit("."), F.col("domain"), F.lit("."), F.col("_number"), F.coalesce(group(c, MATH_PART_LINE, 1), F.lit("")))
+    first = F.min(F.struct("line_no", code.alias("code"), "grade", "domain", "cluster"))
+    g = state.groupBy(key, "record_no").agg(first.alias("f"), F.array_join(F.filter(F.transform(parts, lambda x: x["t"]), lambda t: t != ""), " ").alias("text"))
+    return g.select(key, "record_no", "f.code", "f.grade", "f.domain", F.nullif("f.cluster", F.lit("")).alias("cluster"), "text")

@@ -52,6 +52,29 @@ POLICY = """Front matter
 # Library
 - [ ] Quiet in the hall"""
 
+ARTS = """Anchor Standard 1: Make plans
+Enduring Understanding: Ideas come from looking.
+Essential Question: Where do ideas come from? How do they grow?
+VA:Cr1.1.Ka Draw a thing you saw.
+=== Page 2 ===
+VA:Cr1.1.1a Draw a place.
+Enduring Understanding
+Work is shared.
+Anchor Standard 2: Share work
+MU:Pr4.1.2a Sing for others."""
+MATHS = """GRADE 2
+2.OA
+Represent and solve problems of adding
+1. Use adding within 100 to
+solve word problems.
+a. With two steps.
+2. Add within 20.
+
+Work with equal groups of objects
+3. Tell if a number is even.
+3.MD
+4. Measure time."""
+
 
 def _texts(spark: SparkSession, *texts: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(texts)), "id int, text string")
@@ -82,6 +105,18 @@ def record_inquiry(spark: SparkSession, sf: str) -> DataFrame:
     return S.inquiry_records(_lines(spark, INQUIRY), "id").select(F.col("record_no").cast("int").alias("record_no"), "dimension", "discipline", "number", "grade_band", "text")
 
 
+def anchor_states(spark: SparkSession, sf: str) -> DataFrame:
+    return S.anchored_standards(_lines(spark, ARTS), "id").drop("id")
+
+
+def relationship_edges(spark: SparkSession, sf: str) -> DataFrame:
+    return S.edges(S.anchored_standards(_lines(spark, ARTS), "id"), "id").groupBy("anchor", "type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def record_math(spark: SparkSession, sf: str) -> DataFrame:
+    return S.math_records(_lines(spark, MATHS), "id").select(F.col("record_no").cast("int").alias("record_no"), "code", "grade", "domain", "cluster", "text")
+
+
 def multi_pattern_extract(spark: SparkSession, sf: str) -> DataFrame:
     return S.course_states(_lines(spark, COURSE), "id").select("line_no", "big_idea", "understanding", "objective")
 
@@ -121,6 +156,9 @@ ORACLES = {
     "question_split": f"WITH q AS (SELECT id, list_filter(list_transform(list_transform(string_split(t, '? '), lambda x: trim(x)), lambda x: CASE WHEN ends_with(x, '?') THEN x ELSE x || '?' END), lambda x: length(x) > 5) AS q FROM (VALUES {_values(enumerate(QUESTIONS))}) v(id, t)) SELECT id, (unnest(generate_series(0, len(q) - 1)))::INT AS place, unnest(q) AS question FROM q",
     "record_multiline": "SELECT * FROM (VALUES " + _values([(1, "MS-PS2-1", "MS", "PS", "Apply a law of motion to a problem of two bodies.", "Bodies may be cars.", "One dimension only."), (2, "3-LS4-2", "3", "LS", "Use evidence to explain how traits help.", None, None), (3, "HS-ESS1-5", "HS", "ESS", "Weigh evidence of plates.", None, None)]) + ") v(record_no, code, grade, category, text, clarification, boundary)",
     "record_inquiry": "SELECT * FROM (VALUES " + _values([(1, "1", None, "2", "K-2", "Identify facts about a question."), (2, "2", "His", "3", "6-8", "Use questions to weigh events of the past. and their causes."), (3, "4", None, "7", "9-12", "Assess options.")]) + ") v(record_no, dimension, discipline, number, grade_band, text)",
+    "anchor_states": "SELECT * FROM (VALUES " + _values([(3, "VA:Cr1.1.Ka", "Draw a thing you saw.", "1", "Ideas come from looking.", "How do they grow?"), (5, "VA:Cr1.1.1a", "Draw a place.", "1", "Ideas come from looking.", "How do they grow?"), (9, "MU:Pr4.1.2a", "Sing for others.", "2", "Work is shared.", "How do they grow?")]) + ") v(line_no, code, text, anchor, understanding, question)",
+    "relationship_edges": "SELECT * FROM (VALUES " + _values([("1", "eu", 1), ("1", "eq", 1), ("2", "eu", 1), ("2", "eq", 1)]) + ") v(anchor, type, n)",
+    "record_math": "SELECT * FROM (VALUES " + _values([(1, "2.OA.1", "2", "OA", "Represent and solve problems of adding", "Use adding within 100 to solve word problems."), (2, "2.OA.1a", "2", "OA", "Represent and solve problems of adding", "With two steps."), (3, "2.OA.2", "2", "OA", "Represent and solve problems of adding", "Add within 20."), (4, "2.OA.3", "2", "OA", "Work with equal groups of objects", "Tell if a number is even."), (5, "3.MD.4", "3", "MD", None, "Measure time.")]) + ") v(record_no, code, grade, domain, cluster, text)",
     "multi_pattern_extract": "SELECT * FROM (VALUES " + _values([(0, "1", None, None), (1, "1", "1.A", None), (2, "1", "1.A", "1.A.1"), (3, "1", "1.A", "1.A.1"), (4, "1", "1.B", None), (5, "2", None, None), (6, "2", None, None), (7, "2", "2.A", None), (8, "2", "2.A", "2.A.3")]) + ") v(line_no, big_idea, understanding, objective)",
     "nested_json_build": "SELECT * FROM (VALUES " + _values([("School day", "Hours", 3, '[{"text":"Doors open at eight","status":"adopted"},{"text":"Late entry by the side door","status":"pending"}]'), ("School day", "Meals", 6, '[{"text":"Lunch at noon","status":"adopted"}]'), ("Library", "", 8, '[{"text":"Quiet in the hall","status":"pending"}]')]) + ") v(section, subsection, place, policies)",
     "table_format": "SELECT * FROM (VALUES " + _values([(0, "Name | Score\n------------\nAda | 9\nBo | 7"), (1, "only | one\n----------"), (2, None), (3, None)]) + ") v(id, text)",

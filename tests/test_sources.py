@@ -79,6 +79,15 @@ def test_sinks(spark, tmp_path):
     assert set(sinks.merged(("a", d.select("id")), ("b", d.select("content"))).columns) == {"id", "content", "source"}
 
 
+def test_workbook(spark, tmp_path):
+    d = spark.createDataFrame([(1, "a<b"), (2, None)], "id int, v string")
+    sinks.write_workbook(str(tmp_path / "b.xlsx"), {"All: of it": d, "Rest": d.limit(0)})
+    with zipfile.ZipFile(tmp_path / "b.xlsx") as z:
+        assert 'name="All_ of it"' in z.read("xl/workbook.xml").decode()
+        sheet = z.read("xl/worksheets/sheet1.xml").decode()
+    assert "a&lt;b" in sheet and sheet.count("<row>") == 3 and 'width="5"' in sheet
+
+
 def test_catalog(spark):
     c = Catalog(spark, "docs_test")
     assert sorted(c.ensure()) == sorted(COLLECTIONS) and c.ensure() == []
