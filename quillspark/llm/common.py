@@ -43,7 +43,7 @@ def released(path_df: DataFrame) -> None:
     spark = path_df.sparkSession
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for f in {p.rsplit("/", 1)[0] for p in path_df.inputFiles()}:
+    for f in {p.rsplit("/", 1)[0] for p in path_df.inputFiles() if "/quillspark/" in p}:
         path = jvm.org.apache.hadoop.fs.Path(f)
         path.getFileSystem(conf).delete(path, True)
 

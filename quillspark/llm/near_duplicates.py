@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, released
 
 _WORD = re.compile(r"[^\W_]+")
 #: Ids sent to all executors to choose the candidates' texts; above it they are joined by a shuffle.
@@ -291,7 +291,8 @@ def components(links: DataFrame) -> DataFrame:
         down = large.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b"))
         root = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(root, "a").select(F.col("b").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(root.select(F.col("a").alias("u"), F.col("m").alias("v"))).distinct()
-        edges = materialise(small.select(F.col("v").alias("a"), F.col("u").alias("b")))
+        old, edges = edges, materialise(small.select(F.col("v").alias("a"), F.col("u").alias("b")))
+        released(old)
         state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if state == before:
             break

@@ -19,7 +19,7 @@ no rows; ties go to the smaller id; a repeated id counts once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import materialise, sliced
+
 LIST_SIZE = 800
 MAX_LISTS = 4_096
 SAMPLE = 131_072
 BLOCK = 4_000
+#: Ids sent to all executors, of vectors that equal one indexed; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 DEGREE = 24
 ENTRIES = 128
 #: Lists of a vector: at most so many, whose distance is at most so many times that of the nearest centroid.
@@ -162,16 +166,17 @@ def _within(sims: np.ndarray, ids: np.ndarray, most: int, ratio: float) -> np.nd
     return keep
 
 
-def nearest(vectors: DataFrame, n_rows: int, k: int, dim: int, min_similarity: float = -2.0, queries: str | None = None) -> DataFrame:
+def nearest(vectors_of: Callable[[str], DataFrame], n_rows: int, k: int, dim: int, min_similarity: float = -2.0, queries: str | None = None) -> DataFrame:
     """(id, other_id, similarity, rank) of the k most similar others of each query.
 
-    ``vectors``: id, vec of :func:`unit_vectors`. ``n_rows``: about how many there are. ``queries``: an SQL
-    condition on ``id`` that says which are queries; all, if not given.
+    ``vectors_of``: gives id and vec, as of :func:`unit_vectors`, of the rows that meet an SQL condition on ``id``. ``n_rows``: about how
+    many there are. ``queries``: an SQL condition on ``id`` that says which are queries; all, if not given.
     """
+    vectors = vectors_of("true")
     spark = vectors.sparkSession
     lists = int(min(MAX_LISTS, max(1, -(-n_rows // LIST_SIZE))))
     wanted = min(SAMPLE, 40 * lists)
-    drawn = vectors if n_rows <= wanted else vectors.where(F.pmod(F.xxhash64("id"), F.lit(n_rows)) < wanted)
+    drawn = vectors if n_rows <= wanted else vectors_of(f"pmod(xxhash64(id), {n_rows}) < {wanted}")
     sample = _unpacked(drawn.select("vec").limit(2 * SAMPLE).toArrow().column("vec"), dim)
     if not len(sample):
         return spark.createDataFrame([], "id bigint, other_id bigint, similarity float, rank int")
@@ -181,14 +186,18 @@ def nearest(vectors: DataFrame, n_rows: int, k: int, dim: int, min_similarity: f
     blocks = np.maximum(1, np.ceil(share * n_rows * COPIES / BLOCK / 2)).astype(np.int32)
     graph = spark.sparkContext.broadcast((CentroidGraph(c), blocks))
 
-    reps = vectors.groupBy("vec").agg(F.min("id").alias("id"))
+    # equal vectors: one of each group is indexed; only hashes of vectors are shuffled to find them
     is_query = F.expr(queries) if queries else F.lit(True)
-    members = vectors.select(F.md5("vec").alias("key"), "id")
-    copies = members.distinct().groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.max(is_query).alias("any_query")).where("n > 1")
+    members = vectors.select(F.md5("vec").alias("key"), "id").distinct()
+    copies = members.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.max(is_query).alias("any_query")).where("n > 1")
+    of_copies = materialise(members.join(copies.select("key", "rep", "any_query"), "key").select("rep", "id", "any_query"))
+    left_out = of_copies.where("id <> rep").select("id")
+    reps = vectors.join(F.broadcast(left_out) if left_out.count() <= BROADCAST_IDS else left_out, "id", "left_anti")
     asked = is_query
     if queries:  # a vector is asked for if any of its copies is a query
-        reps = vectors.groupBy("vec").agg(F.min("id").alias("id"), F.max(is_query).alias("asked"))
-        asked = F.col("asked")
+        also = of_copies.where("any_query").select(F.col("rep").alias("id")).distinct().withColumn("_also", F.lit(True))
+        reps = reps.join(F.broadcast(also) if also.count() <= BROADCAST_IDS else also, "id", "left")
+        asked = is_query | F.coalesce("_also", F.lit(False))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g, n_blocks = graph.value
@@ -215,10 +224,11 @@ def nearest(vectors: DataFrame, n_rows: int, k: int, dim: int, min_similarity: f
         x, key, role = _unpacked(t.column("vec"), dim), t.column("id").to_numpy(), t.column("role").to_numpy()
         member = np.flatnonzero(role & 2)
         asks = np.flatnonzero(role & 1)
+        asks = asks[np.unique(key[asks], return_index=True)[1]]
         qs, xs, ss = [], [], []
         m, mk = x[member], key[member]
-        by_id = np.argsort(mk)
-        m, mk = m[by_id], mk[by_id]
+        mk, by_id = np.unique(mk, return_index=True)  # a repeated row counts once
+        m = m[by_id]
         top = min(k + 1, len(mk))
         for i in range(0, len(asks) if top else 0, 1024):
             a = asks[i : i + 1024]
@@ -236,8 +246,7 @@ def nearest(vectors: DataFrame, n_rows: int, k: int, dim: int, min_similarity: f
     placed = reps.select("id", "vec", asked.alias("asked")).mapInArrow(place, "cell bigint, id bigint, role tinyint, vec binary")
     pairs = placed.groupBy("cell").applyInArrow(compare, "id bigint, other bigint, similarity float")
 
-    # unfolding of equal vectors: of each group only the k + 1 smallest ids can be among anyone's k nearest
-    of_copies = members.distinct().join(copies.select("key", "rep", "any_query"), "key")
+    # of each group of equal vectors only the k + 1 smallest ids can be among anyone's k nearest
     salted = of_copies.select("rep", "id", F.row_number().over(Window.partitionBy("rep", F.pmod(F.xxhash64("id"), F.lit(64))).orderBy("id")).alias("n")).where(F.col("n") <= k + 1)
     firsts = salted.groupBy("rep").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids"))
     unfolded = pairs.join(firsts.withColumnRenamed("rep", "other"), "other", "left").select("id", "similarity", F.explode(F.coalesce("ids", F.array("other"))).alias("other"))
@@ -254,37 +263,36 @@ def nearest(vectors: DataFrame, n_rows: int, k: int, dim: int, min_similarity: f
 
 
 def text_vectors(texts: DataFrame, id_col: str, text_col: str, dim: int = 64) -> DataFrame:
-    """id and vec of texts with at least one word: signed hashes of words and of pairs of words, added up."""
+    """id and vec of texts with at least one word: the sum of a random vector of signs for each distinct word, weighted by its length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
 
         import xxhash
 
-        word, memo = re.compile(r"[^\W_]+"), {}
-        scale = np.float32(1 / np.sqrt(dim))
-
-        def signs(w: str) -> np.ndarray:
-            if w not in memo:
-                if len(memo) > 50_000:
-                    memo.clear()
-                h = xxhash.xxh3_128_digest(w.encode()) * (dim // 128 + 1)
-                memo[w] = (np.unpackbits(np.frombuffer(h, np.uint8))[:dim].astype(np.float32) * 2 - 1) * scale
-            return memo[w]
-
-        for b in batches:
-            ids, out = [], []
+        word, place, table = re.compile(r"[^\W_]+"), {}, np.empty((0, dim), np.float32)
+        for b in sliced(batches, 1024):
+            ids, at, sizes = [], [], []
+            if len(place) > 200_000:
+                place, table = {}, np.empty((0, dim), np.float32)
+            new = []
             for i, t in zip(b.column("id").to_pylist(), b.column("t").to_pylist()):
-                words = word.findall(t.lower())
+                words = dict.fromkeys(word.findall(t.lower()))
                 if words:
-                    n = {}
+                    ids.append(i)
+                    sizes.append(len(words))
                     for w in words:
-                        n[w] = n.get(w, 0) + 1
-                    v = np.log1p(np.fromiter(n.values(), np.float32, len(n))) @ np.stack([signs(w) * len(w) for w in n])
-                    size = np.linalg.norm(v)
-                    if size > 0:
-                        ids.append(i)
-                        out.append(v / size)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _packed(np.array(out, np.float32).reshape(-1, dim))], names=["id", "vec"])
+                        if w not in place:
+                            place[w] = len(place)
+                            new.append(w)
+                        at.append(place[w])
+            if new:
+                bits = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w.encode()) * (dim // 128 + 1) for w in new), np.uint8).reshape(len(new), -1)
+                signs = np.unpackbits(bits, axis=1)[:, :dim].astype(np.float32) * 2 - 1
+                table = np.vstack([table, signs * np.array([len(w) for w in new], np.float32)[:, None]])
+            x = np.add.reduceat(table[at], np.cumsum(sizes) - sizes, axis=0) if ids else np.empty((0, dim), np.float32)
+            size = np.linalg.norm(x, axis=1, keepdims=True)
+            keep = size[:, 0] > 0
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(ids, np.int64)[keep]), _packed(x[keep] / size[keep])], names=["id", "vec"])
 
     return texts.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t")).where("id is not null and t is not null").mapInArrow(run, "id bigint, vec binary")

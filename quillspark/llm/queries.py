@@ -44,20 +44,23 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return p3_turns(spark, sf).select("audio_id", "turn_no", "speaker_no")
 
 
+def _item_vectors(spark: SparkSession, sf: str):
+    items = table(spark, sf, "knowledge_item").withColumnRenamed("item_id", "id")
+    return lambda where: neighbours.unit_vectors(items.where(where), "id", "embedding", 64), items.count()
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    items = table(spark, sf, "knowledge_item")
-    near = neighbours.nearest(neighbours.unit_vectors(items, "item_id", "embedding", 64), items.count(), k=5, dim=64, min_similarity=0.85)
+    near = neighbours.nearest(*_item_vectors(spark, sf), k=5, dim=64, min_similarity=0.85)
     return near.select(F.least("id", "other_id").alias("item_id_a"), F.greatest("id", "other_id").alias("item_id_b")).distinct()
 
 
 def p4_items(spark: SparkSession, sf: str) -> DataFrame:
-    items = table(spark, sf, "knowledge_item")
-    return neighbours.nearest(neighbours.unit_vectors(items, "item_id", "embedding", 64), items.count(), k=5, dim=64, queries="id % 50 = 0")
+    return neighbours.nearest(*_item_vectors(spark, sf), k=5, dim=64, queries="id % 50 = 0")
 
 
 def p4_texts(spark: SparkSession, sf: str) -> DataFrame:
-    texts = table(spark, sf, "knowledge_main")
-    return neighbours.nearest(neighbours.text_vectors(texts, "chunk_id", "text"), texts.count(), k=5, dim=64, queries="id % 50 = 0")
+    texts = table(spark, sf, "knowledge_main").withColumnRenamed("chunk_id", "id")
+    return neighbours.nearest(lambda where: neighbours.text_vectors(texts.where(where), "id", "text"), texts.count(), k=5, dim=64, queries="id % 50 = 0")
 
 
 def _over(spark: SparkSession, sf: str) -> DataFrame:

@@ -24,16 +24,16 @@ def test_neighbours_against_brute_force(spark):
     centres = rng.normal(size=(40, 16))
     rows = {i: (centres[i % 40] + 0.3 * rng.normal(size=16)).tolist() for i in range(4000)}
     v = N.unit_vectors(frame(spark, list(rows.items())), "id", "v", 16)
-    got = {(r.id, r.other_id) for r in N.nearest(v, 4000, 5, 16).collect()}
+    got = {(r.id, r.other_id) for r in N.nearest(lambda w: v.where(w), 4000, 5, 16).collect()}
     assert len(got & set(brute(rows, 5))) >= 0.9 * 5 * 4000
-    asked = {(r.id, r.other_id) for r in N.nearest(v, 4000, 5, 16, queries="id % 50 = 0").collect()}
+    asked = {(r.id, r.other_id) for r in N.nearest(lambda w: v.where(w), 4000, 5, 16, queries="id % 50 = 0").collect()}
     assert {a for a, _ in asked} == {i for i in rows if i % 50 == 0} and len(asked & got) >= 0.95 * len(asked)
 
 
 def test_copies_unusable_vectors_and_ties(spark):
     e = np.eye(4).tolist()
     rows = [(i, e[0]) for i in range(1, 9)] + [(20, [1.0, 0.1, 0.0, 0.0]), (30, e[2]), (31, None), (32, [0.0] * 4), (33, [1.0]), (34, [float("nan"), 1.0, 1.0, 1.0]), (35, [None, 1.0, 1.0, 1.0]), (36, [float("inf"), 1.0, 1.0, 1.0]), (1, e[0])]
-    got = N.nearest(N.unit_vectors(frame(spark, rows), "id", "v", 4), len(rows), 3, 4).collect()
+    got = N.nearest(lambda w: N.unit_vectors(frame(spark, rows).where(w), "id", "v", 4), len(rows), 3, 4).collect()
     near = {}
     for r in sorted(got, key=lambda r: (r.id, r["rank"])):
         near.setdefault(r.id, []).append(r.other_id)
@@ -42,14 +42,14 @@ def test_copies_unusable_vectors_and_ties(spark):
 
 
 def test_no_vectors(spark):
-    assert N.nearest(N.unit_vectors(spark.createDataFrame([], "id bigint, v array<float>"), "id", "v", 4), 0, 3, 4).count() == 0
+    assert N.nearest(lambda w: N.unit_vectors(spark.createDataFrame([], "id bigint, v array<float>"), "id", "v", 4), 0, 3, 4).count() == 0
 
 
 def test_crowded_lists_are_divided(spark, monkeypatch):
     rng = np.random.default_rng(2)
     rows = {i: rng.normal(size=8).tolist() for i in range(600)}
     monkeypatch.setattr(N, "BLOCK", 50)
-    got = {(r.id, r.other_id) for r in N.nearest(N.unit_vectors(frame(spark, list(rows.items())), "id", "v", 8), 600, 4, 8).collect()}
+    got = {(r.id, r.other_id) for r in N.nearest(lambda w: N.unit_vectors(frame(spark, list(rows.items())).where(w), "id", "v", 8), 600, 4, 8).collect()}
     assert got == set(brute(rows, 4))
 
 
