@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+from heapq import nsmallest
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -48,3 +54,30 @@ def upload_rows(chunks: DataFrame, key: str) -> DataFrame:
     """Rows for a store of chunks: id made of document and index, so that loading again changes nothing; no blank texts."""
     name = F.concat_ws("/", F.col(key).cast("string"), F.col("chunk_index").cast("string"))
     return chunks.where(F.trim(F.coalesce("content", F.lit(""))) != "").select(uuid5(name).alias("id"), F.col("content").alias("text"), "chunk_index", F.col(key).cast("string").alias("document_id"))
+
+
+def top_phrases(df: DataFrame, key: str, text: str, words: int = 2, k: int = 15) -> DataFrame:
+    """(key, keyword, n, rank): the k most frequent runs of so many words of each text, the first by alphabet of equal ones.
+
+    Counted where a text is read, in Arrow batches: a text's phrases are many times its size and would all be shuffled
+    otherwise. Null texts and texts of fewer words give no rows.
+    """
+    word = re.compile(r"[^\W_]+")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(0, whole.num_rows, 512):
+                b = whole.slice(i, 512)
+                at, phrases, counts, ranks = [], [], [], []
+                for r, t in enumerate(b.column("_t").to_pylist()):
+                    w = word.findall(t.lower())
+                    n = Counter(map(" ".join, zip(*(w[j:] for j in range(words)))))
+                    for rank, (phrase, c) in enumerate(nsmallest(k, n.items(), key=lambda x: (-x[1], x[0])), 1):
+                        at.append(r)
+                        phrases.append(phrase)
+                        counts.append(c)
+                        ranks.append(rank)
+                yield pa.RecordBatch.from_arrays([b.column("_k").take(pa.array(at, pa.int64())), pa.array(phrases, pa.string()), pa.array(counts, pa.int64()), pa.array(ranks, pa.int32())], names=[key, "keyword", "n", "rank"])
+
+    src = df.select(F.col(key).alias("_k"), F.col(text).alias("_t")).where("_t is not null")
+    return src.mapInArrow(run, f"`{key}` {src.schema['_k'].dataType.simpleString()}, keyword string, n bigint, rank int")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
+from ..operators import chunks as C
 from ..operators import relational as R
 from .common import base, once, once_sql
 
@@ -278,13 +279,8 @@ def domain_tag_match(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def keywords_topk(spark: SparkSession, sf: str) -> DataFrame:
-    """The 15 most frequent pairs of words of a text; counted inside each row, without a shuffle of words."""
-    w = T.words(F.col("text"))
-    after = F.slice(w, F.lit(2), F.greatest(F.size(w), F.lit(1)))
-    pairs = F.filter(F.zip_with(w, after, lambda x, y: F.concat(x, F.lit(" "), y)), lambda p: p.isNotNull())
-    d = base(spark, sf, "documents", "doc_id", "text").where("text is not null").select("doc_id", pairs.alias("pairs"))
-    n = d.select("doc_id", F.explode("pairs").alias("keyword")).groupBy("doc_id", "keyword").agg(F.count(F.lit(1)).alias("n"))
-    return R.top_per_group(n, ["doc_id"], [F.desc("n"), F.col("keyword")], 15)
+    """The 15 most frequent pairs of words of a text."""
+    return C.top_phrases(base(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
 
 
 def tumbling_counts(spark: SparkSession, sf: str) -> DataFrame:

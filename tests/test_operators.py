@@ -154,3 +154,9 @@ def test_similar_strings_against_all_pairs(spark, ratio):
     want = {(a, b) for a in values for b in values if a < b and 1 - distance(a, b) / max(len(a), len(b)) >= ratio - 1e-9}
     d = spark.createDataFrame([(v,) for v in sorted(values)] * 2 + [(None,), ("",)], "v string")
     assert {(r.a, r.b) for r in R.similar_strings(d, "v", ratio).collect()} == want
+
+
+def test_top_phrases(spark):
+    d = spark.createDataFrame([("1", "b a b a. B-a c"), ("2", None), ("3", ""), ("4", "one"), ("5", "x y")], "key string, text string")
+    got = [(r.key, r.keyword, r.n, r["rank"]) for r in C.top_phrases(d, "key", "text", k=2).orderBy("key", "rank").collect()]
+    assert got == [("1", "b a", 3, 1), ("1", "a b", 2, 2), ("5", "x y", 1, 1)]
