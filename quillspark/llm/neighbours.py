@@ -39,8 +39,8 @@ BROADCAST_IDS = 1_000_000
 DEGREE = 24
 ENTRIES = 128
 #: Lists of a vector: at most so many, whose distance is at most so many times that of the nearest centroid.
-COPIES, COPY_RATIO = 3, 1.12
-PROBES, PROBE_RATIO = 5, 1.25
+COPIES, COPY_RATIO = 4, 1.2
+PROBES, PROBE_RATIO = 6, 1.3
 BEAM = 48
 
 
