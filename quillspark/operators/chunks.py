@@ -21,10 +21,11 @@ def token_windows(df: DataFrame, text: str, size: int = 800, overlap: int = 100)
     if not 0 <= overlap < size:
         raise ValueError("the overlap must be at least 0 and less than the size")
     step = size - overlap
-    src = df.withColumn("_tokens", tokens(F.col(text))).drop(text).where(F.size("_tokens") > 0)
+    src = df.withColumn("_tokens", tokens(F.col(text))).drop(text)
     n = F.size("_tokens")
     last = F.greatest(F.lit(0), F.ceil((n - size) / step)).cast("int")
-    out = src.withColumn("chunk_index", F.explode(F.sequence(F.lit(0), last))).withColumn("_part", F.slice("_tokens", F.col("chunk_index") * step + 1, F.lit(size)))
+    # a null array explodes to nothing; a filter on the number of tokens would be pushed down and split the text twice
+    out = src.withColumn("chunk_index", F.explode(F.when(n > 0, F.sequence(F.lit(0), last)))).withColumn("_part", F.slice("_tokens", F.col("chunk_index") * step + 1, F.lit(size)))
     return out.withColumn("content", F.array_join("_part", " ")).withColumn("n_tokens", F.size("_part")).drop("_tokens", "_part")
 
 

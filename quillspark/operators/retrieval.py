@@ -39,15 +39,15 @@ def cosine_to(a: Column, query: Sequence[float]) -> Column:
 
 def distance(cosine: Column) -> Column:
     """1 minus the cosine to six decimals, without a negative zero."""
-    d = F.round(1 - cosine, 6)
-    return F.when(F.abs(d) < 1e-9, 0.0).otherwise(d)
+    return F.round(1 - cosine, 6) + F.lit(0.0)
 
 
 def nearest(df: DataFrame, vector: str, query: Sequence[float], key: str, k: int, where: Column | None = None) -> DataFrame:
     """The k nearest rows that pass the filter, with ``distance``; the filter goes first."""
     src = df if where is None else df.where(where)
     scored = src.withColumn("distance", distance(cosine_to(F.col(vector), query))).drop(vector)
-    return scored.where("distance is not null").orderBy("distance", key).limit(k)
+    # the filter goes above the limit: pushed down, it would compute vectors and distances twice
+    return scored.orderBy(F.asc_nulls_last("distance"), key).limit(k).where("distance is not null")
 
 
 def best_per_document(hits: DataFrame, document: str, key: str, limit: int) -> DataFrame:
@@ -113,8 +113,9 @@ def bm25(df: DataFrame, key: str, text: str, query: str, k: int | None = None) -
         score = score + idf * f * (BM25_K1 + 1) / (f + BM25_K1 * (1 - BM25_B + BM25_B * F.col("_n") / F.col("_mean")))
     # the corpus's numbers are one row, a scalar subquery
     whole = counted.withColumn("_s", stats.select(F.struct("*")).scalar()).select("*", "_s.*")
-    scored = whole.select(key, F.round(score, 6).alias("score")).where("score > 0")
-    return scored.orderBy(F.desc("score"), key).limit(k) if k else scored
+    scored = whole.select(key, F.round(score, 6).alias("score"))
+    # the filter goes above the limit: pushed down, it would count the words again for each of its parts
+    return (scored.orderBy(F.desc("score"), key).limit(k) if k else scored).where("score > 0")
 
 
 def hybrid(vector_hits: DataFrame, keyword_hits: DataFrame, key: str, alpha: float, k: int) -> DataFrame:
@@ -136,6 +137,6 @@ def knn_join(queries: DataFrame, df: DataFrame, key: str, vector: str, k: int, b
     q = queries.select(F.col(key).alias("query_id"), F.col(vector).alias("_q"), norm(F.col(vector)).alias("_qn"))
     rows = df.select(F.col(key).alias("id"), F.col(vector).alias("_v"), norm(F.col(vector)).alias("_vn"), F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_b"))
     q = q.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-    pairs = rows.join(q, "_b").where("query_id <> id").select("query_id", "id", "_b", distance(F.try_divide(dot(F.col("_q"), F.col("_v")), F.col("_qn") * F.col("_vn"))).alias("distance")).where("distance is not null")
-    first = pairs.withColumn("_r", F.row_number().over(Window.partitionBy("query_id", "_b").orderBy("distance", "id"))).where(F.col("_r") <= k)
-    return first.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id"))).where(F.col("rank") <= k).select("query_id", "id", "rank", "distance")
+    pairs = rows.join(q, "_b").where("query_id <> id").select("query_id", "id", "_b", distance(F.try_divide(dot(F.col("_q"), F.col("_v")), F.col("_qn") * F.col("_vn"))).alias("distance"))
+    first = pairs.withColumn("_r", F.row_number().over(Window.partitionBy("query_id", "_b").orderBy(F.asc_nulls_last("distance"), "id"))).where(F.col("_r") <= k)
+    return first.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.asc_nulls_last("distance"), "id"))).where((F.col("rank") <= k) & F.col("distance").isNotNull()).select("query_id", "id", "rank", "distance")

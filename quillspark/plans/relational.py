@@ -101,7 +101,9 @@ def hierarchy_levels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedupe_first_seen(spark: SparkSession, sf: str) -> DataFrame:
-    return R.first_seen(base(spark, sf, "documents", "doc_id", "text").where("text is not null"), ["text"], ["doc_id"]).select("doc_id", F.md5("text").alias("text_md5"))
+    t = F.encode("text", "UTF-8")
+    hashed = base(spark, sf, "documents", "doc_id", "text").where("text is not null").select("doc_id", F.sha2(t, 256).alias("h"), F.md5(t).alias("text_md5"))
+    return R.first_seen(hashed, ["h"], ["doc_id"]).select("doc_id", "text_md5")
 
 
 def dedupe_content_hash(spark: SparkSession, sf: str) -> DataFrame:
