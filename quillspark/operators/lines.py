@@ -116,10 +116,41 @@ def fix_section_headers(lines: DataFrame, key: str) -> DataFrame:
     return lines.withColumn("fixed", F.when(lone, F.concat(F.lit("## "), F.col("line"))).otherwise(F.col("line")))
 
 
-def fill_forward(df: DataFrame, partition: list[str], order: list[str], **states: Column) -> DataFrame:
-    """Adds each state: its latest value that is not null, up to and with the row."""
-    w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({name: F.last(value, ignorenulls=True).over(w) for name, value in states.items()})
+def fill_forward(df: DataFrame, partition: list[str], order: list[str], bucket: Column | None = None, **states: Column) -> DataFrame:
+    """Adds each state: its latest value that is not null, up to and with the row.
+
+    ``bucket``: rises with the order (a day, a range of ids). With it no task gets a whole partition, as a hot key's would be: values
+    run on within each bucket, and what holds at a bucket's begin comes from one row per bucket.
+    """
+    if bucket is None:
+        w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumns({name: F.last(value, ignorenulls=True).over(w) for name, value in states.items()})
+    given = df.withColumn("_bucket", bucket).withColumns({f"_v_{n}": v for n, v in states.items()})
+    ends = given.groupBy(*partition, "_bucket").agg(*(F.max(F.when(F.col(f"_v_{n}").isNotNull(), F.struct(*order, f"_v_{n}"))).getField(f"_v_{n}").alias(f"_e_{n}") for n in states))
+    before = Window.partitionBy(*partition).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    held = ends.select(*partition, "_bucket", *(F.last(f"_e_{n}", ignorenulls=True).over(before).alias(f"_c_{n}") for n in states))
+    within = Window.partitionBy(*partition, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = _carried(given.withColumns({f"_v_{n}": F.last(f"_v_{n}", ignorenulls=True).over(within) for n in states}), held, partition)
+    return out.select(*df.columns, *(F.coalesce(f"_v_{n}", f"_c_{n}").alias(n) for n in states))
+
+
+def _carried(rows: DataFrame, held: DataFrame, partition: list[str]) -> DataFrame:
+    keys = [*partition, "_bucket"]
+    h = held.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & rows[k].eqNullSafe(h[f"_k_{k}"])
+    return rows.join(h, on, "left").drop(*(f"_k_{k}" for k in keys))
+
+
+def running_totals(df: DataFrame, partition: list[str], order: list[str], bucket: Column, **values: Column) -> DataFrame:
+    """Adds the running total of each value, up to and with the row, in buckets as in :func:`fill_forward`. Null values count 0."""
+    given = df.withColumn("_bucket", bucket).withColumns({f"_v_{n}": F.coalesce(v, F.lit(0)) for n, v in values.items()})
+    before = Window.partitionBy(*partition).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    held = given.groupBy(*partition, "_bucket").agg(*(F.sum(f"_v_{n}").alias(f"_e_{n}") for n in values)).select(*partition, "_bucket", *(F.sum(f"_e_{n}").over(before).alias(f"_c_{n}") for n in values))
+    within = Window.partitionBy(*partition, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = _carried(given.withColumns({f"_v_{n}": F.sum(f"_v_{n}").over(within) for n in values}), held, partition)
+    return out.select(*df.columns, *((F.col(f"_v_{n}") + F.coalesce(f"_c_{n}", F.lit(0))).alias(n) for n in values))
 
 
 def records(lines: DataFrame, key: str, begins: Column, stops: Column, skips: Column) -> DataFrame:

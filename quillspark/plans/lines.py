@@ -86,18 +86,15 @@ def question_lines(spark: SparkSession, sf: str) -> DataFrame:
 def fill_forward_state(spark: SparkSession, sf: str) -> DataFrame:
     """The latest sign-up before or at each event of a user."""
     events = base(spark, sf, "events", "event_id", "ts", "user_id", "event_type")
-    return L.fill_forward(events, ["user_id"], ["ts", "event_id"], last_signup=F.when(F.col("event_type") == "signup", F.col("event_id"))).select("event_id", "user_id", "last_signup")
+    return L.fill_forward(events, ["user_id"], ["ts", "event_id"], F.to_date("ts"), last_signup=F.when(F.col("event_type") == "signup", F.col("event_id"))).select("event_id", "user_id", "last_signup")
 
 
 def running_avg_eta(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql.window import Window
-
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     events = base(spark, sf, "events", "event_id", "ts", "user_id", "value")
-    left = F.count(F.lit(1)).over(Window.partitionBy("user_id")) - F.row_number().over(w)
-    cents = F.sum(F.round(F.col("value") * 100).cast("bigint")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    mean = cents.cast("double") / F.row_number().over(w) / 100
-    return events.select("event_id", mean.alias("mean_value"), (mean * left).alias("eta"))
+    run = L.running_totals(events, ["user_id"], ["ts", "event_id"], F.to_date("ts"), cents=F.round(F.col("value") * 100).cast("bigint"), done=F.lit(1))
+    run = run.join(events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")), "user_id")
+    mean = F.col("cents").cast("double") / F.col("done") / 100
+    return run.select("event_id", mean.alias("mean_value"), (mean * (F.col("n") - F.col("done"))).alias("eta"))
 
 
 def chunk_token_window(spark: SparkSession, sf: str) -> DataFrame:

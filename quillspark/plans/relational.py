@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as T
 from ..operators import chunks as C
+from ..operators import lines as L
 from ..operators import relational as R
 from .common import base, once, once_sql
 
@@ -124,9 +125,9 @@ def point_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def batch_assignment(spark: SparkSession, sf: str) -> DataFrame:
-    """Batches of 10 within each source, so that no task numbers all rows."""
-    w = Window.partitionBy("source").orderBy("doc_id")
-    return base(spark, sf, "documents", "doc_id", "source").select("doc_id", "source", F.floor((F.row_number().over(w) - 1) / 10).alias("batch"))
+    """Batches of 10 within each source."""
+    d = L.running_totals(base(spark, sf, "documents", "doc_id", "source"), ["source"], ["doc_id"], F.floor(F.col("doc_id") / 4096), place=F.lit(1))
+    return d.select("doc_id", "source", F.floor((F.col("place") - 1) / 10).alias("batch"))
 
 
 def top3_per_group(spark: SparkSession, sf: str) -> DataFrame:

@@ -160,3 +160,20 @@ def test_top_phrases(spark):
     d = spark.createDataFrame([("1", "b a b a. B-a c"), ("2", None), ("3", ""), ("4", "one"), ("5", "x y")], "key string, text string")
     got = [(r.key, r.keyword, r.n, r["rank"]) for r in C.top_phrases(d, "key", "text", k=2).orderBy("key", "rank").collect()]
     assert got == [("1", "b a", 3, 1), ("1", "a b", 2, 2), ("5", "x y", 1, 1)]
+
+
+def test_buckets_give_the_same_states_and_totals(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(rng.choice(["hot", "hot", "hot", "b", None]), i, rng.choice([None, None, i]), rng.choice([1, 2, None])) for i in range(200)]
+    d = spark.createDataFrame(rows, "k string, at int, v int, n int")
+    plain = L.fill_forward(d, ["k"], ["at"], state=F.col("v"))
+    cut = L.fill_forward(d, ["k"], ["at"], F.floor(F.col("at") / 7), state=F.col("v"))
+    assert cut.columns == plain.columns and sorted(map(str, cut.collect())) == sorted(map(str, plain.collect()))
+    total = {}
+    want = {}
+    for k, at, _, n in rows:
+        total[k] = total.get(k, 0) + (n or 0)
+        want[at] = total[k]
+    assert {r.at: r.t for r in L.running_totals(d, ["k"], ["at"], F.floor(F.col("at") / 7), t=F.col("n")).collect()} == want
