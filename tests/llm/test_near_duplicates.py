@@ -75,3 +75,11 @@ def test_query_on_whole_table(spark, data):
     got = {tuple(r) for r in Q.p1_found(spark, data).collect()}
     want = brute(rows.items(), S)
     assert got <= want and len(want - got) <= 1
+
+
+def test_queries_with_sql(spark, data):
+    from ..oracle import connect, rows
+
+    duck = connect(data)
+    for name, sql in Q.ORACLES.items():
+        assert rows(Q.QUERIES[name](spark, data).toPandas()) == rows(duck.sql(sql).df()), name
