@@ -113,7 +113,10 @@ def uuid5(c: Column, namespace: str = URL_NAMESPACE) -> Column:
     """Name-based UUID, version 5."""
     h = F.sha1(F.concat(F.unhex(F.lit(namespace)), F.encode(c, "UTF-8")))
     variant = F.substring(F.lit("89ab"), F.conv(F.substring(h, 17, 1), 16, 10).cast("int") % 4 + 1, F.lit(1))
-    return F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-5"), F.substring(h, 14, 3), F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12))
+    return F.concat(
+        F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-5"), F.substring(h, 14, 3), F.lit("-"), variant, F.substring(h, 18, 3),
+        F.lit("-"), F.substring(h, 21, 12),
+    )
 
 
 def is_url(c: Column) -> Column:
@@ -124,9 +127,16 @@ def is_url(c: Column) -> Column:
 # Prefixes of addresses of video pages.
 VIDEO_PREFIXES = ("https://www.youtube.com/", "https://youtube.com/", "https://youtu.be/", "http://www.youtube.com/")
 # Extension to loader.
-ROUTES = {"pdf": "pdf", "docx": "docx", "doc": "docx", "pptx": "pptx", "ppt": "pptx", "md": "text", "txt": "text", "json": "json", "jpg": "image", "jpeg": "image", "png": "image", "gif": "image", "mp4": "video", "mov": "video", "avi": "video", "mkv": "video", "mp3": "audio", "wav": "audio", "m4a": "audio"}
+ROUTES = {
+    "pdf": "pdf", "docx": "docx", "doc": "docx", "pptx": "pptx", "ppt": "pptx", "md": "text", "txt": "text", "json": "json", "jpg": "image",
+    "jpeg": "image", "png": "image", "gif": "image", "mp4": "video", "mov": "video", "avi": "video", "mkv": "video", "mp3": "audio", "wav": "audio",
+    "m4a": "audio",
+}
 # Parts of file names to framework, in order of precedence.
-FRAMEWORKS = (("ngss", ("ngss",)), ("common_core", ("ccss", "common_core")), ("c3", ("c3",)), ("colorado", ("cas", "colorado")), ("texas", ("teks", "texas")), ("framework", ("framework",)))
+FRAMEWORKS = (
+    ("ngss", ("ngss",)), ("common_core", ("ccss", "common_core")), ("c3", ("c3",)), ("colorado", ("cas", "colorado")), ("texas", ("teks", "texas")),
+    ("framework", ("framework",)),
+)
 # End of the fixed values.
 
 
@@ -186,7 +196,9 @@ def word_count(c: Column) -> Column:
 def subtitle_text(c: Column) -> Column:
     """Subtitles without time lines, numbers and headers; a blank line leaves a blank."""
     lines = F.transform(F.split(c, "\n"), lambda x: F.trim(x))
-    kept = F.filter(lines, lambda x: ~F.contains(x, F.lit("-->")) & ~x.rlike(r"^\d+$") & ~F.startswith(x, F.lit("WEBVTT")) & ~F.startswith(x, F.lit("<?xml")))
+    kept = F.filter(
+        lines, lambda x: ~F.contains(x, F.lit("-->")) & ~x.rlike(r"^\d+$") & ~F.startswith(x, F.lit("WEBVTT")) & ~F.startswith(x, F.lit("<?xml")),
+    )
     return F.array_join(kept, " ")
 
 
@@ -199,7 +211,10 @@ def questions(c: Column) -> Column:
 
 def table_text(rows: Column) -> Column:
     """Rows of cells as lines, with a rule below the first; rows without content are left out."""
-    lines = F.transform(F.filter(rows, lambda r: F.exists(r, lambda x: F.coalesce(F.trim(x), F.lit("")) != "")), lambda r: F.array_join(F.transform(r, lambda x: F.trim(F.coalesce(x, F.lit("")))), " | "))
+    lines = F.transform(
+        F.filter(rows, lambda r: F.exists(r, lambda x: F.coalesce(F.trim(x), F.lit("")) != "")),
+        lambda r: F.array_join(F.transform(r, lambda x: F.trim(F.coalesce(x, F.lit("")))), " | "),
+    )
     head = F.get(lines, F.lit(0))
     rest = F.when(F.size(lines) > 1, F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(1)))).otherwise(F.array().cast("array<string>"))
     return F.when(F.size(lines) > 0, F.array_join(F.concat(F.array(head, F.repeat(F.lit("-"), F.length(head))), rest), "\n"))

@@ -25,7 +25,9 @@ def token_windows(df: DataFrame, text: str, size: int = 800, overlap: int = 100)
     n = F.size("_tokens")
     last = F.greatest(F.lit(0), F.ceil((n - size) / step)).cast("int")
     # a null array explodes to nothing; a filter on the number of tokens would be pushed down and split the text twice
-    out = src.withColumn("chunk_index", F.explode(F.when(n > 0, F.sequence(F.lit(0), last)))).withColumn("_part", F.slice("_tokens", F.col("chunk_index") * step + 1, F.lit(size)))
+    out = src.withColumn("chunk_index", F.explode(F.when(n > 0, F.sequence(F.lit(0), last)))).withColumn(
+        "_part", F.slice("_tokens", F.col("chunk_index") * step + 1, F.lit(size)),
+    )
     return out.withColumn("content", F.array_join("_part", " ")).withColumn("n_tokens", F.size("_part")).drop("_tokens", "_part")
 
 
@@ -39,7 +41,9 @@ def fixed_chars(df: DataFrame, text: str, size: int = 500) -> DataFrame:
     """Adds ``chunk_index`` and ``content`` and drops the text: pieces of ``size`` characters."""
     src = df.withColumnRenamed(text, "_text").where(F.length("_text") > 0)
     last = ((F.length("_text") - 1) / size).cast("int")
-    return src.withColumn("chunk_index", F.explode(F.sequence(F.lit(0), last))).withColumn("content", F.substring("_text", F.col("chunk_index") * size + 1, F.lit(size))).drop("_text")
+    return src.withColumn("chunk_index", F.explode(F.sequence(F.lit(0), last))).withColumn(
+        "content", F.substring("_text", F.col("chunk_index") * size + 1, F.lit(size)),
+    ).drop("_text")
 
 
 def sentences(df: DataFrame, text: str, abbreviations: bool = True) -> DataFrame:
@@ -54,7 +58,9 @@ def sentences(df: DataFrame, text: str, abbreviations: bool = True) -> DataFrame
 def upload_rows(chunks: DataFrame, key: str) -> DataFrame:
     """Rows for a store of chunks: id made of document and index, so that loading again changes nothing; no blank texts."""
     name = F.concat_ws("/", F.col(key).cast("string"), F.col("chunk_index").cast("string"))
-    return chunks.where(F.trim(F.coalesce("content", F.lit(""))) != "").select(uuid5(name).alias("id"), F.col("content").alias("text"), "chunk_index", F.col(key).cast("string").alias("document_id"))
+    return chunks.where(F.trim(F.coalesce("content", F.lit(""))) != "").select(
+        uuid5(name).alias("id"), F.col("content").alias("text"), "chunk_index", F.col(key).cast("string").alias("document_id"),
+    )
 
 
 def top_phrases(df: DataFrame, key: str, text: str, words: int = 2, k: int = 15) -> DataFrame:
@@ -78,7 +84,13 @@ def top_phrases(df: DataFrame, key: str, text: str, words: int = 2, k: int = 15)
                         phrases.append(phrase)
                         counts.append(c)
                         ranks.append(rank)
-                yield pa.RecordBatch.from_arrays([b.column("_k").take(pa.array(at, pa.int64())), pa.array(phrases, pa.string()), pa.array(counts, pa.int64()), pa.array(ranks, pa.int32())], names=[key, "keyword", "n", "rank"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        b.column("_k").take(pa.array(at, pa.int64())), pa.array(phrases, pa.string()), pa.array(counts, pa.int64()),
+                        pa.array(ranks, pa.int32()),
+                    ],
+                    names=[key, "keyword", "n", "rank"],
+                )
 
     src = df.select(F.col(key).alias("_k"), F.col(text).alias("_t")).where("_t is not null")
     return src.mapInArrow(run, f"`{key}` {src.schema['_k'].dataType.simpleString()}, keyword string, n bigint, rank int")

@@ -14,7 +14,12 @@ def histogram(df: DataFrame, page: str, x: str) -> DataFrame:
     Null values are left out; where all are equal, they are in bin 5 as the middle of a range of 1."""
     ends = df.where(F.col(x).isNotNull()).groupBy(page).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
     spread = F.col("_hi") - F.col("_lo")
-    placed = df.where(F.col(x).isNotNull()).join(ends, page).withColumn("bin", F.when(spread == 0, BINS // 2).otherwise(F.least(F.floor((F.col(x) - F.col("_lo")) / F.nullif(spread, F.lit(0.0)) * BINS), F.lit(BINS - 1))).cast("int"))
+    placed = df.where(F.col(x).isNotNull()).join(ends, page).withColumn(
+        "bin",
+        F.when(spread == 0, BINS // 2).otherwise(
+            F.least(F.floor((F.col(x) - F.col("_lo")) / F.nullif(spread, F.lit(0.0)) * BINS), F.lit(BINS - 1))
+        ).cast("int"),
+    )
     counted = placed.groupBy(page, "bin").agg(F.count(F.lit(1)).alias("n"))
     dense = ends.select(page, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(BINS - 1))).alias("bin"))
     return dense.join(counted, [page, "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
@@ -25,7 +30,9 @@ def peaks(df: DataFrame, page: str, x: str, threshold: float = 0.3, pad_edges: b
     last bin are none unless ``pad_edges``."""
     w = Window.partitionBy(page).orderBy("bin")
     edge = F.lit(-1) if pad_edges else F.lit(None)
-    h = histogram(df, page, x).withColumn("_a", F.lag("n").over(w)).withColumn("_z", F.lead("n").over(w)).withColumn("_all", F.sum("n").over(Window.partitionBy(page)))
+    h = histogram(df, page, x).withColumn("_a", F.lag("n").over(w)).withColumn("_z", F.lead("n").over(w)).withColumn(
+        "_all", F.sum("n").over(Window.partitionBy(page)),
+    )
     high = (F.col("n") > F.coalesce("_a", edge)) & (F.col("n") > F.coalesce("_z", edge)) & (F.col("n") > threshold * F.col("_all"))
     width = F.when(F.col("_hi") == F.col("_lo"), 1.0).otherwise(F.col("_hi") - F.col("_lo"))
     return h.where(high).select(page, "bin", (F.col("_lo") + (F.col("bin") + 0.5) * width / BINS).alias("centre"), "n")

@@ -32,7 +32,9 @@ def continues(prev: Column, cur: Column) -> Column:
     last_word = F.lower(F.element_at(F.split(prev, r"\s+"), -1))
     no = (
         (prev == "") | (cur == "") | F.substring(prev, -1, 1).isin(".", "!", "?", ":", ";")
-        | (cur.rlike(r"^\p{Lu}") & ~last_word.isin(*STOP_WORDS)) | _capitals(cur) | F.contains(F.substring(cur, 1, 20), F.lit(":")) | cur.rlike(r"^(\d+|[•*-])[.)] ") | cur.rlike(r"^[A-Z]+:[A-Za-z0-9]")
+        | (
+            cur.rlike(r"^\p{Lu}") & ~last_word.isin(*STOP_WORDS)
+        ) | _capitals(cur) | F.contains(F.substring(cur, 1, 20), F.lit(":")) | cur.rlike(r"^(\d+|[•*-])[.)] ") | cur.rlike(r"^[A-Z]+:[A-Za-z0-9]")
     )
     return F.when(prev.isNull() | no, False).when(F.endswith(prev, F.lit("-")), True).otherwise(F.length(cur) < 50)
 
@@ -55,11 +57,17 @@ def merge_broken_lines(lines: DataFrame, key: str, glue_hyphen: bool = False) ->
     prev_own = (prev == "") | prev.rlike(r"^=== .* ===$")
     flagged = lines.withColumn("line", F.trim("line")).withColumn("prev", F.lag("line").over(w))
     flagged = flagged.withColumn("go", ~own & ~F.coalesce(prev_own, F.lit(True)) & continues(prev, line))
-    flagged = flagged.withColumn("paragraph", F.sum(F.when(F.col("go"), 0).otherwise(1)).over(w)).withColumn("next_go", F.coalesce(F.lead("go").over(w), F.lit(False)))
+    flagged = flagged.withColumn(
+        "paragraph", F.sum(F.when(F.col("go"), 0).otherwise(1)).over(w),
+    ).withColumn("next_go", F.coalesce(F.lead("go").over(w), F.lit(False)))
     hyphen = F.col("next_go") & F.endswith(line, F.lit("-"))
-    piece = F.when(hyphen, F.concat(F.expr("substring(line, 1, length(line) - 1)"), F.lit("" if glue_hyphen else " "))).otherwise(F.concat(line, F.when(F.col("next_go"), " ").otherwise("")))
+    piece = F.when(
+        hyphen, F.concat(F.expr("substring(line, 1, length(line) - 1)"), F.lit("" if glue_hyphen else " ")),
+    ).otherwise(F.concat(line, F.when(F.col("next_go"), " ").otherwise("")))
     parts = F.array_sort(F.collect_list(F.struct("line_no", piece.alias("piece"))))
-    return flagged.groupBy(key, "paragraph").agg(F.array_join(F.transform(parts, lambda x: x["piece"]), "").alias("text")).withColumn("paragraph", F.col("paragraph").cast("bigint"))
+    return flagged.groupBy(key, "paragraph").agg(
+        F.array_join(F.transform(parts, lambda x: x["piece"]), "").alias("text")
+    ).withColumn("paragraph", F.col("paragraph").cast("bigint"))
 
 
 def detect_headings(lines: DataFrame, key: str) -> DataFrame:
@@ -70,7 +78,9 @@ def detect_headings(lines: DataFrame, key: str) -> DataFrame:
     """
     w = by(key)
     bare = F.trim("line")
-    out = lines.withColumn("bare", bare).withColumn("prev_blank", F.coalesce(F.lag(F.col("bare") == "").over(w), F.lit(True))).withColumn("next_blank", F.lead(F.col("bare") == "").over(w))
+    out = lines.withColumn("bare", bare).withColumn(
+        "prev_blank", F.coalesce(F.lag(F.col("bare") == "").over(w), F.lit(True)),
+    ).withColumn("next_blank", F.lead(F.col("bare") == "").over(w))
     ahead = w.rowsBetween(2, 9)
     next_line = F.first(F.when(F.col("bare") != "", F.col("line")), ignorenulls=True).over(ahead)
     out = out.withColumn("ahead", next_line)
@@ -84,11 +94,16 @@ def detect_headings(lines: DataFrame, key: str) -> DataFrame:
 def extract_sections(lines: DataFrame, key: str) -> DataFrame:
     """(key, section_no, level, heading, n_lines, content): a section for each heading with a line below it; text
     before the first heading has a null heading."""
-    marked = lines.withColumn("level", F.length(F.regexp_extract("line", r"^(#{1,6})\s+", 1))).withColumn("is_heading", F.col("line").rlike(r"^#{1,6}\s+"))
+    marked = lines.withColumn(
+        "level", F.length(F.regexp_extract("line", r"^(#{1,6})\s+", 1)),
+    ).withColumn("is_heading", F.col("line").rlike(r"^#{1,6}\s+"))
     numbered = marked.withColumn("section_no", F.sum(F.col("is_heading").cast("int")).over(by(key)))
     heading = F.max(F.when(F.col("is_heading"), F.trim(F.regexp_replace("line", r"^#{1,6}\s+", ""))))
     body = F.array_sort(F.collect_list(F.when(~F.col("is_heading"), F.struct("line_no", "line"))))
-    out = numbered.groupBy(key, "section_no").agg(F.max(F.when(F.col("is_heading"), F.col("level"))).alias("level"), heading.alias("heading"), F.sum((~F.col("is_heading")).cast("int")).alias("n_lines"), F.array_join(F.transform(body, lambda x: x["line"]), "\n").alias("content"))
+    out = numbered.groupBy(key, "section_no").agg(
+        F.max(F.when(F.col("is_heading"), F.col("level"))).alias("level"), heading.alias("heading"),
+        F.sum((~F.col("is_heading")).cast("int")).alias("n_lines"), F.array_join(F.transform(body, lambda x: x["line"]), "\n").alias("content"),
+    )
     return out.where("n_lines > 0")
 
 
@@ -97,7 +112,10 @@ def split_at(lines: DataFrame, key: str, begins: Column) -> DataFrame:
     comes before the first."""
     numbered = lines.withColumn("_begins", begins).withColumn("part_no", F.sum(F.coalesce(F.col("_begins"), F.lit(False)).cast("int")).over(by(key)))
     body = F.array_sort(F.collect_list(F.struct("line_no", "line")))
-    return numbered.groupBy(key, "part_no").agg(F.min_by("line", "line_no").alias("first_line"), F.count(F.lit(1)).alias("n_lines"), F.array_join(F.transform(body, lambda x: x["line"]), "\n").alias("content"))
+    return numbered.groupBy(key, "part_no").agg(
+        F.min_by("line", "line_no").alias("first_line"), F.count(F.lit(1)).alias("n_lines"),
+        F.array_join(F.transform(body, lambda x: x["line"]), "\n").alias("content"),
+    )
 
 
 def split_nested(lines: DataFrame, key: str, outer: Column, inner: Column) -> DataFrame:
@@ -112,7 +130,9 @@ def fix_section_headers(lines: DataFrame, key: str) -> DataFrame:
     """Adds ``fixed``: ``N.N Title`` becomes a heading if the line before is blank and the next is not a numbered line."""
     w = by(key)
     numbered = r"^\d+\.\d+\s+\p{Lu}"
-    lone = F.col("line").rlike(numbered) & (F.coalesce(F.trim(F.lag("line").over(w)), F.lit("")) == "") & ~F.coalesce(F.lead("line").over(w).rlike(numbered), F.lit(False))
+    lone = F.col("line").rlike(numbered) & (
+        F.coalesce(F.trim(F.lag("line").over(w)), F.lit("")) == ""
+    ) & ~F.coalesce(F.lead("line").over(w).rlike(numbered), F.lit(False))
     return lines.withColumn("fixed", F.when(lone, F.concat(F.lit("## "), F.col("line"))).otherwise(F.col("line")))
 
 
@@ -126,7 +146,9 @@ def fill_forward(df: DataFrame, partition: list[str], order: list[str], bucket:
         w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({name: F.last(value, ignorenulls=True).over(w) for name, value in states.items()})
     given = df.withColumn("_bucket", bucket).withColumns({f"_v_{n}": v for n, v in states.items()})
-    ends = given.groupBy(*partition, "_bucket").agg(*(F.max(F.when(F.col(f"_v_{n}").isNotNull(), F.struct(*order, f"_v_{n}"))).getField(f"_v_{n}").alias(f"_e_{n}") for n in states))
+    ends = given.groupBy(*partition, "_bucket").agg(
+        *(F.max(F.when(F.col(f"_v_{n}").isNotNull(), F.struct(*order, f"_v_{n}"))).getField(f"_v_{n}").alias(f"_e_{n}") for n in states)
+    )
     before = Window.partitionBy(*partition).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     held = ends.select(*partition, "_bucket", *(F.last(f"_e_{n}", ignorenulls=True).over(before).alias(f"_c_{n}") for n in states))
     within = Window.partitionBy(*partition, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -147,7 +169,9 @@ def running_totals(df: DataFrame, partition: list[str], order: list[str], bucket
     """Adds the running total of each value, up to and with the row, in buckets as in :func:`fill_forward`. Null values count 0."""
     given = df.withColumn("_bucket", bucket).withColumns({f"_v_{n}": F.coalesce(v, F.lit(0)) for n, v in values.items()})
     before = Window.partitionBy(*partition).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    held = given.groupBy(*partition, "_bucket").agg(*(F.sum(f"_v_{n}").alias(f"_e_{n}") for n in values)).select(*partition, "_bucket", *(F.sum(f"_e_{n}").over(before).alias(f"_c_{n}") for n in values))
+    held = given.groupBy(*partition, "_bucket").agg(*(F.sum(f"_v_{n}").alias(f"_e_{n}") for n in values)).select(
+        *partition, "_bucket", *(F.sum(f"_e_{n}").over(before).alias(f"_c_{n}") for n in values),
+    )
     within = Window.partitionBy(*partition, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     out = _carried(given.withColumns({f"_v_{n}": F.sum(f"_v_{n}").over(within) for n in values}), held, partition)
     return out.select(*df.columns, *((F.col(f"_v_{n}") + F.coalesce(f"_c_{n}", F.lit(0))).alias(n) for n in values))
@@ -162,7 +186,9 @@ def records(lines: DataFrame, key: str, begins: Column, stops: Column, skips: Co
     within = Window.partitionBy(key, "record_no").orderBy("line_no")
     kept = numbered.withColumn("_stopped", F.max(F.col("_s").cast("int")).over(within)).where("_stopped = 0 and not _k")
     parts = F.array_sort(F.collect_list(F.struct("line_no", F.trim("line").alias("line"))))
-    return kept.groupBy(key, "record_no").agg(F.min("line_no").alias("first_line"), F.array_join(F.transform(parts, lambda x: x["line"]), " ").alias("text"))
+    return kept.groupBy(key, "record_no").agg(
+        F.min("line_no").alias("first_line"), F.array_join(F.transform(parts, lambda x: x["line"]), " ").alias("text"),
+    )
 
 
 def pages(df: DataFrame, key: str, text: str, mark: str = r"(?m)^=== Page \d+ ===$\n?") -> DataFrame:

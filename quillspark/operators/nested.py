@@ -52,7 +52,9 @@ def sheets(df: DataFrame, key: str, json_col: str) -> DataFrame:
     """(key, sheet, row_no, cells): one sheet per top-level key if all values are lists or objects, else one sheet ``Data``."""
     obj = F.from_json(json_col, "map<string,string>")
     src = df.select(key, F.col(json_col).alias("_j"), F.when(F.startswith(F.trim(json_col), F.lit("{")), obj).alias("_m"))
-    multi = F.coalesce((F.size(F.map_keys("_m")) > 0) & F.forall(F.map_values("_m"), lambda v: F.coalesce(v.rlike(r"^\s*[\[{]"), F.lit(False))), F.lit(False))
+    multi = F.coalesce(
+        (F.size(F.map_keys("_m")) > 0) & F.forall(F.map_values("_m"), lambda v: F.coalesce(v.rlike(r"^\s*[\[{]"), F.lit(False))), F.lit(False),
+    )
     entries = F.when(multi, F.map_entries("_m")).otherwise(F.array(F.struct(F.lit("Data").alias("key"), F.col("_j").alias("value"))))
     parts = src.select(key, F.explode(entries).alias("e"))
     return parts.select(key, F.col("e.key").alias("sheet"), F.posexplode(json_rows(F.col("e.value"))).alias("row_no", "cells"))

@@ -32,7 +32,9 @@ def referenced(df: DataFrame, refs: DataFrame, key: str) -> DataFrame:
 
 def first_match(df: DataFrame, sources: DataFrame, key: str, rank: str, value: str) -> DataFrame:
     """Adds the value of the match with the lowest rank; the smallest value decides between equal ranks."""
-    best = sources.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(rank, value)).alias("_b")).select(key, F.col(f"_b.{value}").alias(value), F.col(f"_b.{rank}").alias(rank))
+    best = sources.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(rank, value)).alias("_b")).select(
+        key, F.col(f"_b.{value}").alias(value), F.col(f"_b.{rank}").alias(rank),
+    )
     return df.join(best, key, "left")
 
 
@@ -50,8 +52,13 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], n: int)
 
 def outcome_report(df: DataFrame, group: str, done: Column) -> DataFrame:
     """Numbers and shares of done and failed per group and in all (``level`` 1)."""
-    counted = df.withColumn("_done", done.cast("bigint")).rollup(group).agg(F.count(F.lit(1)).alias("n"), F.sum("_done").alias("n_done"), F.grouping(group).cast("int").alias("level"))
-    return counted.select(group, "level", "n", F.coalesce("n_done", F.lit(0)).alias("n_done"), (F.col("n") - F.coalesce("n_done", F.lit(0))).alias("n_failed"), F.round(100 * F.coalesce("n_done", F.lit(0)) / F.col("n"), 2).alias("percent"))
+    counted = df.withColumn("_done", done.cast("bigint")).rollup(group).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_done").alias("n_done"), F.grouping(group).cast("int").alias("level"),
+    )
+    return counted.select(
+        group, "level", "n", F.coalesce("n_done", F.lit(0)).alias("n_done"), (F.col("n") - F.coalesce("n_done", F.lit(0))).alias("n_failed"),
+        F.round(100 * F.coalesce("n_done", F.lit(0)) / F.col("n"), 2).alias("percent"),
+    )
 
 
 def surrogate_keys(df: DataFrame, path: list[str], order: str, base: int = 50_000) -> DataFrame:
@@ -103,10 +110,22 @@ def similar_strings(df: DataFrame, col: str, ratio: float = 0.85, longest: int =
     edits = lambda n: F.floor(F.lit(1 - ratio) * F.floor(n / F.lit(ratio) + 1e-9) + 1e-9).cast("int")
     start = lambda i, n, k: F.floor(i * n / (k + 1)).cast("int")
     short = v.withColumn("k", edits(F.col("n"))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k"))))
-    short = short.select(F.col("v").alias("x"), "n", "i", F.substring("v", start(F.col("i"), F.col("n"), F.col("k")) + 1, start(F.col("i") + 1, F.col("n"), F.col("k")) - start(F.col("i"), F.col("n"), F.col("k"))).alias("piece"))
-    long = v.select(F.col("v").alias("y"), F.col("n").alias("m"), F.explode(F.sequence(F.ceil(F.col("n") * ratio - 1e-9).cast("int"), F.col("n"))).alias("n")).withColumn("k", edits(F.col("n"))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k"))))
-    long = long.withColumn("at", start(F.col("i"), F.col("n"), F.col("k"))).withColumn("size", start(F.col("i") + 1, F.col("n"), F.col("k")) - F.col("at"))
-    long = long.withColumn("p", F.explode(F.sequence(F.col("at") - F.col("k"), F.col("at") + F.col("k")))).where("p >= 0 and p + size <= m").select("y", "n", "i", F.substring("y", F.col("p") + 1, F.col("size")).alias("piece")).distinct()
+    short = short.select(
+        F.col("v").alias("x"), "n", "i",
+        F.substring(
+            "v", start(F.col("i"), F.col("n"), F.col("k")) + 1,
+            start(F.col("i") + 1, F.col("n"), F.col("k")) - start(F.col("i"), F.col("n"), F.col("k")),
+        ).alias("piece"),
+    )
+    long = v.select(
+        F.col("v").alias("y"), F.col("n").alias("m"), F.explode(F.sequence(F.ceil(F.col("n") * ratio - 1e-9).cast("int"), F.col("n"))).alias("n"),
+    ).withColumn("k", edits(F.col("n"))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k"))))
+    long = long.withColumn("at", start(F.col("i"), F.col("n"), F.col("k"))).withColumn(
+        "size", start(F.col("i") + 1, F.col("n"), F.col("k")) - F.col("at"),
+    )
+    long = long.withColumn(
+        "p", F.explode(F.sequence(F.col("at") - F.col("k"), F.col("at") + F.col("k"))),
+    ).where("p >= 0 and p + size <= m").select("y", "n", "i", F.substring("y", F.col("p") + 1, F.col("size")).alias("piece")).distinct()
     pairs = short.join(long, ["n", "i", "piece"]).where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     alike = 1 - F.levenshtein("a", "b") / F.greatest(F.length("a"), F.length("b"))
     return pairs.withColumn("ratio", F.round(alike, 4)).where(alike >= ratio - 1e-9)

@@ -18,7 +18,9 @@ from ..functions.text import words
 
 # Parameters of the ranking function and its stop words.
 BM25_K1, BM25_B = 1.2, 0.75
-STOP_WORDS = frozenset("a an and are as at be but by for if in into is it no not of on or such that the their then there these they this to was will with".split())
+STOP_WORDS = frozenset(
+    "a an and are as at be but by for if in into is it no not of on or such that the their then there these they this to was will with".split()
+)
 # End of the fixed values.
 
 
@@ -53,7 +55,9 @@ def nearest(df: DataFrame, vector: str, query: Sequence[float], key: str, k: int
 def best_per_document(hits: DataFrame, document: str, key: str, limit: int) -> DataFrame:
     """Of hits the best of each document, with the number of the document's hits."""
     w = Window.partitionBy(document)
-    ranked = hits.where(F.col(document).isNotNull()).withColumn("_r", F.row_number().over(w.orderBy("distance", key))).withColumn("total_chunks", F.count(F.lit(1)).over(w))
+    ranked = hits.where(F.col(document).isNotNull()).withColumn(
+        "_r", F.row_number().over(w.orderBy("distance", key)),
+    ).withColumn("total_chunks", F.count(F.lit(1)).over(w))
     return ranked.where("_r = 1").drop("_r").orderBy("distance", key).limit(limit)
 
 
@@ -102,10 +106,18 @@ def bm25(df: DataFrame, key: str, text: str, query: str, k: int | None = None) -
     """
     terms = sorted({t for t in query.lower().split() if t not in STOP_WORDS})
     # a lambda over an array of one binds the words, which are then split once for all numbers
-    numbers = lambda w: F.struct(F.size(F.filter(w, lambda x: ~x.isin(*STOP_WORDS))).alias("n"), *((F.size(w) - F.size(F.array_remove(w, t))).alias(f"f{i}") for i, t in enumerate(terms)))
+    numbers = lambda w: F.struct(
+        F.size(F.filter(w, lambda x: ~x.isin(*STOP_WORDS))).alias("n"),
+        *((F.size(w) - F.size(F.array_remove(w, t))).alias(f"f{i}") for i, t in enumerate(terms)),
+    )
     c = F.get(F.transform(F.array(words(F.col(text))), numbers), F.lit(0))
-    counted = df.where(F.col(text).isNotNull()).select(key, c.alias("_c")).select(key, F.col("_c.n").alias("_n"), *(F.col(f"_c.f{i}").alias(f"_f{i}") for i in range(len(terms))))
-    stats = counted.agg(F.count(F.lit(1)).cast("double").alias("_rows"), F.avg("_n").alias("_mean"), *(F.sum((F.col(f"_f{i}") > 0).cast("double")).alias(f"_d{i}") for i in range(len(terms))))
+    counted = df.where(F.col(text).isNotNull()).select(key, c.alias("_c")).select(
+        key, F.col("_c.n").alias("_n"), *(F.col(f"_c.f{i}").alias(f"_f{i}") for i in range(len(terms))),
+    )
+    stats = counted.agg(
+        F.count(F.lit(1)).cast("double").alias("_rows"), F.avg("_n").alias("_mean"),
+        *(F.sum((F.col(f"_f{i}") > 0).cast("double")).alias(f"_d{i}") for i in range(len(terms))),
+    )
     score = F.lit(0.0)
     for i in range(len(terms)):
         idf = F.ln(1 + (F.col("_rows") - F.col(f"_d{i}") + 0.5) / (F.col(f"_d{i}") + 0.5))
@@ -123,9 +135,13 @@ def hybrid(vector_hits: DataFrame, keyword_hits: DataFrame, key: str, alpha: flo
     v = vector_hits.select(key, (1 - F.col("distance")).alias("_v"))
     both = v.join(keyword_hits.select(key, F.col("score").alias("_k")), key, "full_outer")
     ends = both.agg(F.min("_v").alias("_v0"), F.max("_v").alias("_v1"), F.min("_k").alias("_k0"), F.max("_k").alias("_k1"))
-    scaled = lambda c, a, b: F.coalesce(F.when(F.col(b) > F.col(a), (F.col(c) - F.col(a)) / (F.col(b) - F.col(a))).when(F.col(c).isNotNull(), F.lit(1.0)), F.lit(0.0))
+    scaled = lambda c, a, b: F.coalesce(
+        F.when(F.col(b) > F.col(a), (F.col(c) - F.col(a)) / (F.col(b) - F.col(a))).when(F.col(c).isNotNull(), F.lit(1.0)), F.lit(0.0),
+    )
     score = alpha * scaled("_v", "_v0", "_v1") + (1 - alpha) * scaled("_k", "_k0", "_k1")
-    return both.withColumn("_s", ends.select(F.struct("*")).scalar()).select("*", "_s.*").select(key, F.round(score, 5).alias("score")).orderBy(F.desc("score"), key).limit(k)
+    return both.withColumn(
+        "_s", ends.select(F.struct("*")).scalar(),
+    ).select("*", "_s.*").select(key, F.round(score, 5).alias("score")).orderBy(F.desc("score"), key).limit(k)
 
 
 def knn_join(queries: DataFrame, df: DataFrame, key: str, vector: str, k: int, blocks: int = 16) -> DataFrame:
@@ -135,8 +151,16 @@ def knn_join(queries: DataFrame, df: DataFrame, key: str, vector: str, k: int, b
     is shuffled is queries x blocks x k rows, whatever the collection's size.
     """
     q = queries.select(F.col(key).alias("query_id"), F.col(vector).alias("_q"), norm(F.col(vector)).alias("_qn"))
-    rows = df.select(F.col(key).alias("id"), F.col(vector).alias("_v"), norm(F.col(vector)).alias("_vn"), F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_b"))
+    rows = df.select(
+        F.col(key).alias("id"), F.col(vector).alias("_v"), norm(F.col(vector)).alias("_vn"), F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_b"),
+    )
     q = q.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-    pairs = rows.join(q, "_b").where("query_id <> id").select("query_id", "id", "_b", distance(F.try_divide(dot(F.col("_q"), F.col("_v")), F.col("_qn") * F.col("_vn"))).alias("distance"))
-    first = pairs.withColumn("_r", F.row_number().over(Window.partitionBy("query_id", "_b").orderBy(F.asc_nulls_last("distance"), "id"))).where(F.col("_r") <= k)
-    return first.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.asc_nulls_last("distance"), "id"))).where((F.col("rank") <= k) & F.col("distance").isNotNull()).select("query_id", "id", "rank", "distance")
+    pairs = rows.join(q, "_b").where("query_id <> id").select(
+        "query_id", "id", "_b", distance(F.try_divide(dot(F.col("_q"), F.col("_v")), F.col("_qn") * F.col("_vn"))).alias("distance"),
+    )
+    first = pairs.withColumn(
+        "_r", F.row_number().over(Window.partitionBy("query_id", "_b").orderBy(F.asc_nulls_last("distance"), "id")),
+    ).where(F.col("_r") <= k)
+    return first.withColumn(
+        "rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.asc_nulls_last("distance"), "id")),
+    ).where((F.col("rank") <= k) & F.col("distance").isNotNull()).select("query_id", "id", "rank", "distance")

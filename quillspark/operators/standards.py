@@ -13,10 +13,18 @@ MATH_K8_CODE = r"^(?:CCSS\.MATH\.CONTENT\.)?(K|[1-8])\.([A-Z]{1,3})\.([A-Z])\.(\
 MATH_HS_CODE = r"^(?:CCSS\.MATH\.CONTENT\.)?HS([A-Z])-([A-Z]{1,4})\.([A-Z])\.(\d+)([a-z])?$"
 SCIENCE_RECORD = r"^(K|[1-5]|MS|HS)-([A-Z]{2,3})(\d+)-(\d+)\.\s+(.*)$"
 INQUIRY_RECORD = r"^D([1-4])\.(?:([A-Z][A-Za-z]{2})\.)?(\d+)\.(K-2|3-5|6-8|9-12)\.?\s+(.*)$"
-GRADE_NAMES = {"PK": "Pre-Kindergarten", "K": "Kindergarten", "1": "Grade 1", "2": "Grade 2", "3": "Grade 3", "4": "Grade 4", "5": "Grade 5", "6": "Grade 6", "7": "Grade 7", "8": "Grade 8", "I": "Proficient", "II": "Accomplished", "III": "Advanced", "MS": "Middle School", "HS": "High School"}
+GRADE_NAMES = {
+    "PK": "Pre-Kindergarten", "K": "Kindergarten", "1": "Grade 1", "2": "Grade 2", "3": "Grade 3", "4": "Grade 4", "5": "Grade 5", "6": "Grade 6",
+    "7": "Grade 7", "8": "Grade 8", "I": "Proficient", "II": "Accomplished", "III": "Advanced", "MS": "Middle School", "HS": "High School",
+}
 BIG_IDEA = (r"^BIG IDEA\s+(\d+)\s*[:\-]\s*(.+)$", r"^Big Idea\s+(\d+)\s*\((.+)\)$", r"^(\d+)\s*\|\s*BIG IDEA\s*\|\s*(.+)$")
-UNDERSTANDING = (r"^Enduring Understanding\s+(\d+\.[A-Z])\s*[:\-]?\s*(.+)$", r"^EU\s+(\d+\.[A-Z])\s*[:\-]?\s*(.+)$", r"^(?:EU\s*)?\[(\d+\.[A-Z])\]\s*(.+)$")
-OBJECTIVE = (r"^Learning Objective\s+(\d+\.[A-Z]\.\d+)\s*[:\-]?\s*(.+)$", r"^LO\s+(\d+\.[A-Z]\.\d+)\s*[:\-]?\s*(.+)$", r"^(?:LO\s*)?\[(\d+\.[A-Z]\.\d+)\]\s*(.+)$")
+UNDERSTANDING = (
+    r"^Enduring Understanding\s+(\d+\.[A-Z])\s*[:\-]?\s*(.+)$", r"^EU\s+(\d+\.[A-Z])\s*[:\-]?\s*(.+)$", r"^(?:EU\s*)?\[(\d+\.[A-Z])\]\s*(.+)$",
+)
+OBJECTIVE = (
+    r"^Learning Objective\s+(\d+\.[A-Z]\.\d+)\s*[:\-]?\s*(.+)$", r"^LO\s+(\d+\.[A-Z]\.\d+)\s*[:\-]?\s*(.+)$",
+    r"^(?:LO\s*)?\[(\d+\.[A-Z]\.\d+)\]\s*(.+)$",
+)
 # End of the fixed values.
 
 
@@ -35,7 +43,10 @@ def parse_code(c: Column) -> Column:
     pick = lambda a, b, d: F.when(arts, a).when(k8, b).when(hs, d)
     return F.struct(
         pick(F.lit("arts"), F.lit("math"), F.lit("math_hs")).alias("family"),
-        pick(F.concat(group(c, ARTS_CODE, 1), F.lit(":"), group(c, ARTS_CODE, 2)), group(c, MATH_K8_CODE, 2), F.concat_ws("-", group(c, MATH_HS_CODE, 1), group(c, MATH_HS_CODE, 2))).alias("subject"),
+        pick(
+            F.concat(group(c, ARTS_CODE, 1), F.lit(":"), group(c, ARTS_CODE, 2)), group(c, MATH_K8_CODE, 2),
+            F.concat_ws("-", group(c, MATH_HS_CODE, 1), group(c, MATH_HS_CODE, 2)),
+        ).alias("subject"),
         pick(group(c, ARTS_CODE, 5), group(c, MATH_K8_CODE, 1), F.lit("HS")).alias("grade"),
         pick(F.concat_ws(".", group(c, ARTS_CODE, 3), group(c, ARTS_CODE, 4)), group(c, MATH_K8_CODE, 4), group(c, MATH_HS_CODE, 4)).alias("number"),
         pick(group(c, ARTS_CODE, 6), group(c, MATH_K8_CODE, 5), group(c, MATH_HS_CODE, 5)).alias("part"),
@@ -55,7 +66,14 @@ def science_records(lines: DataFrame, key: str) -> DataFrame:
     skips = line.rlike(r"(?i)copyright|©|^\d+ of \d+$|^=== .* ===$")
     found = L.records(lines, key, begins, stops, skips)
     t = F.col("text")
-    return found.select(key, "record_no", F.concat(group(t, SCIENCE_RECORD, 1), F.lit("-"), group(t, SCIENCE_RECORD, 2), group(t, SCIENCE_RECORD, 3), F.lit("-"), group(t, SCIENCE_RECORD, 4)).alias("code"), group(t, SCIENCE_RECORD, 1).alias("grade"), group(t, SCIENCE_RECORD, 2).alias("category"), group(t, SCIENCE_RECORD, 5).alias("text"))
+    return found.select(
+        key, "record_no",
+        F.concat(
+            group(t, SCIENCE_RECORD, 1), F.lit("-"), group(t, SCIENCE_RECORD, 2), group(t, SCIENCE_RECORD, 3), F.lit("-"),
+            group(t, SCIENCE_RECORD, 4),
+        ).alias("code"),
+        group(t, SCIENCE_RECORD, 1).alias("grade"), group(t, SCIENCE_RECORD, 2).alias("category"), group(t, SCIENCE_RECORD, 5).alias("text"),
+    )
 
 
 def science_notes(lines: DataFrame, key: str, ahead: int = 10) -> DataFrame:
@@ -65,10 +83,14 @@ def science_notes(lines: DataFrame, key: str, ahead: int = 10) -> DataFrame:
     line = F.trim("line")
     begins = line.rlike(SCIENCE_RECORD)
     numbered = lines.withColumn("record_no", F.sum(begins.cast("int")).over(L.by(key))).where("record_no > 0")
-    stop = F.min(F.when(~begins & ((line == "") | line.rlike(r"^\[(Clarification|Assessment)")), F.col("line_no"))).over(Window.partitionBy(key, "record_no"))
+    stop = F.min(
+        F.when(~begins & ((line == "") | line.rlike(r"^\[(Clarification|Assessment)")), F.col("line_no"))
+    ).over(Window.partitionBy(key, "record_no"))
     near = numbered.withColumn("_stop", stop).where(F.col("line_no").between(F.col("_stop"), F.col("_stop") + ahead))
     last = lambda p: F.max(F.when(line.rlike(p), F.struct("line_no", F.regexp_extract(line, p, 1).alias("t")))).getField("t")
-    return near.groupBy(key, "record_no").agg(last(r"^\[Clarification Statement:\s*(.*?)\]?$").alias("clarification"), last(r"^\[Assessment Boundary:\s*(.*?)\]?$").alias("boundary"))
+    return near.groupBy(key, "record_no").agg(
+        last(r"^\[Clarification Statement:\s*(.*?)\]?$").alias("clarification"), last(r"^\[Assessment Boundary:\s*(.*?)\]?$").alias("boundary"),
+    )
 
 
 def inquiry_records(lines: DataFrame, key: str) -> DataFrame:
@@ -77,14 +99,20 @@ def inquiry_records(lines: DataFrame, key: str) -> DataFrame:
     begins = line.rlike(INQUIRY_RECORD)
     found = L.records(lines, key, begins, ~begins & (line == ""), line.rlike(r"^=== .* ===$") | F.contains(line, F.lit("Framework")))
     t = F.col("text")
-    return found.select(key, "record_no", *(group(t, INQUIRY_RECORD, i).alias(n) for i, n in enumerate(("dimension", "discipline", "number", "grade_band", "text"), 1)))
+    return found.select(
+        key, "record_no",
+        *(group(t, INQUIRY_RECORD, i).alias(n) for i, n in enumerate(("dimension", "discipline", "number", "grade_band", "text"), 1)),
+    )
 
 
 def course_states(lines: DataFrame, key: str) -> DataFrame:
     """Lines with the big idea, understanding and objective that hold at each; an idea ends what was below the one before."""
     c = F.trim("line")
     idea, eu, lo = first_of(c, BIG_IDEA, 1), first_of(c, UNDERSTANDING, 1), first_of(c, OBJECTIVE, 1)
-    return L.fill_forward(lines, [key], ["line_no"], big_idea=idea, understanding=F.when(idea.isNotNull(), "").otherwise(eu), objective=F.when(idea.isNotNull() | eu.isNotNull(), "").otherwise(lo)).withColumns({"understanding": F.nullif("understanding", F.lit("")), "objective": F.nullif("objective", F.lit(""))})
+    return L.fill_forward(
+        lines, [key], ["line_no"], big_idea=idea, understanding=F.when(idea.isNotNull(), "").otherwise(eu),
+        objective=F.when(idea.isNotNull() | eu.isNotNull(), "").otherwise(lo),
+    ).withColumns({"understanding": F.nullif("understanding", F.lit("")), "objective": F.nullif("objective", F.lit(""))})
 
 
 def policy_tree(lines: DataFrame, key: str) -> DataFrame:
@@ -93,8 +121,14 @@ def policy_tree(lines: DataFrame, key: str) -> DataFrame:
     sub = F.when(F.col("line").rlike(r"^## "), F.trim(F.substring("line", 4, 1000))).when(F.col("line").rlike(r"^# "), F.lit(""))
     held = L.fill_forward(lines, [key], ["line_no"], section=section, subsection=sub)
     item = held.where(F.col("line").rlike(r"^- \[[ x]\] ") & F.col("section").isNotNull())
-    one = F.struct("line_no", F.trim(F.substring("line", 7, 1000)).alias("text"), F.when(F.substring("line", 4, 1) == "x", "adopted").otherwise("pending").alias("status"))
-    return item.groupBy(key, "section", "subsection").agg(F.min("line_no").alias("place"), F.transform(F.array_sort(F.collect_list(one)), lambda x: F.struct(x["text"].alias("text"), x["status"].alias("status"))).alias("policies"))
+    one = F.struct(
+        "line_no", F.trim(F.substring("line", 7, 1000)).alias("text"),
+        F.when(F.substring("line", 4, 1) == "x", "adopted").otherwise("pending").alias("status"),
+    )
+    return item.groupBy(key, "section", "subsection").agg(
+        F.min("line_no").alias("place"),
+        F.transform(F.array_sort(F.collect_list(one)), lambda x: F.struct(x["text"].alias("text"), x["status"].alias("status"))).alias("policies"),
+    )
 
 
 # Forms of lines in lists of arts and mathematics standards.
@@ -120,17 +154,26 @@ def anchored_standards(lines: DataFrame, key: str) -> DataFrame:
 
     c = F.trim("line")
     after = F.trim(F.coalesce(F.lead("line").over(Window.partitionBy(key).orderBy("line_no")), F.lit("")))
-    told = lines.withColumn("_eu", F.when(c.rlike(UNDERSTANDING_LINE), F.coalesce(group(c, UNDERSTANDING_LINE, 1), F.nullif(after, F.lit(""))))).withColumn("_eq", F.when(c.rlike(QUESTION_LINE), F.coalesce(group(c, QUESTION_LINE, 1), F.nullif(after, F.lit("")))))
+    told = lines.withColumn(
+        "_eu", F.when(c.rlike(UNDERSTANDING_LINE), F.coalesce(group(c, UNDERSTANDING_LINE, 1), F.nullif(after, F.lit("")))),
+    ).withColumn("_eq", F.when(c.rlike(QUESTION_LINE), F.coalesce(group(c, QUESTION_LINE, 1), F.nullif(after, F.lit("")))))
     last = F.element_at(questions(F.col("_eq")), -1)
-    held = L.fill_forward(told, [key], ["line_no"], anchor=group(c, ANCHOR_LINE, 1), understanding=F.col("_eu"), question=F.when(F.size(questions(F.col("_eq"))) > 0, last))
-    return held.where(c.rlike(ARTS_LINE)).select(key, "line_no", group(c, ARTS_LINE, 1).alias("code"), group(c, ARTS_LINE, 2).alias("text"), "anchor", "understanding", "question")
+    held = L.fill_forward(
+        told, [key], ["line_no"], anchor=group(c, ANCHOR_LINE, 1), understanding=F.col("_eu"),
+        question=F.when(F.size(questions(F.col("_eq"))) > 0, last),
+    )
+    return held.where(c.rlike(ARTS_LINE)).select(
+        key, "line_no", group(c, ARTS_LINE, 1).alias("code"), group(c, ARTS_LINE, 2).alias("text"), "anchor", "understanding", "question",
+    )
 
 
 def edges(standards: DataFrame, key: str) -> DataFrame:
     """(anchor, other_id, type): which understandings and questions belong to which anchor, each once; ids are made of the texts."""
     from ..functions.text import short_id
 
-    one = lambda col, kind: standards.where(F.col("anchor").isNotNull() & F.col(col).isNotNull()).select("anchor", short_id(f"{kind}_", F.col(col)).alias("other_id"), F.lit(kind).alias("type"))
+    one = lambda col, kind: standards.where(F.col("anchor").isNotNull() & F.col(col).isNotNull()).select(
+        "anchor", short_id(f"{kind}_", F.col(col)).alias("other_id"), F.lit(kind).alias("type"),
+    )
     return one("understanding", "eu").unionByName(one("question", "eq")).distinct()
 
 
@@ -145,13 +188,20 @@ def math_records(lines: DataFrame, key: str) -> DataFrame:
     number, part = c.rlike(MATH_STANDARD_LINE) & ~domain, c.rlike(MATH_PART_LINE)
     state = L.fill_forward(lines, [key], ["line_no"], grade=group(c, MATH_DOMAIN_LINE, 1), domain=group(c, MATH_DOMAIN_LINE, 2))
     # a record goes on until a blank line, another record or a domain; a long line outside a record names a cluster
-    state = state.withColumn("_mark", F.when(domain | (c == "") | c.rlike(r"^=== .* ===$"), 0).when(number | part, 1)).withColumn("_in", F.last("_mark", ignorenulls=True).over(w))
+    state = state.withColumn(
+        "_mark", F.when(domain | (c == "") | c.rlike(r"^=== .* ===$"), 0).when(number | part, 1),
+    ).withColumn("_in", F.last("_mark", ignorenulls=True).over(w))
     state = state.withColumn("_new", F.when(F.coalesce("_in", F.lit(0)) == 0, F.when(F.length(c) > 20, c)))
-    state = L.fill_forward(state, [key], ["line_no"], cluster=F.when(domain, "").otherwise(F.col("_new")), _number=F.when(domain, "").otherwise(group(c, MATH_STANDARD_LINE, 1)))
+    state = L.fill_forward(
+        state, [key], ["line_no"], cluster=F.when(domain, "").otherwise(F.col("_new")),
+        _number=F.when(domain, "").otherwise(group(c, MATH_STANDARD_LINE, 1)),
+    )
     state = state.withColumn("record_no", F.sum((number | part).cast("int")).over(w)).where("_in = 1 and domain is not null")
     text = F.when(number, group(c, MATH_STANDARD_LINE, 2)).when(part, group(c, MATH_PART_LINE, 2)).otherwise(c)
     parts = F.array_sort(F.collect_list(F.struct("line_no", F.coalesce(text, F.lit("")).alias("t"))))
     code = F.concat(F.col("grade"), F.lit("."), F.col("domain"), F.lit("."), F.col("_number"), F.coalesce(group(c, MATH_PART_LINE, 1), F.lit("")))
     first = F.min(F.struct("line_no", code.alias("code"), "grade", "domain", "cluster"))
-    g = state.groupBy(key, "record_no").agg(first.alias("f"), F.array_join(F.filter(F.transform(parts, lambda x: x["t"]), lambda t: t != ""), " ").alias("text"))
+    g = state.groupBy(key, "record_no").agg(
+        first.alias("f"), F.array_join(F.filter(F.transform(parts, lambda x: x["t"]), lambda t: t != ""), " ").alias("text"),
+    )
     return g.select(key, "record_no", "f.code", "f.grade", "f.domain", F.nullif("f.cluster", F.lit("")).alias("cluster"), "text")

@@ -17,14 +17,22 @@ TYPES = {
 
 # Collections, their properties and vectors.
 COLLECTIONS = {
-    "KnowledgeItem": ("title TEXT, body TEXT, chapter TEXT, author TEXT, year INT, categories TEXT_ARRAY, type TEXT, source TEXT, url TEXT, format TEXT, language TEXT, summary TEXT, embedding BLOB, created_at DATE, chunk_index INT", ("body_vector",)),
+    "KnowledgeItem": (
+        "title TEXT, body TEXT, chapter TEXT, author TEXT, year INT, categories TEXT_ARRAY, type TEXT, source TEXT, url TEXT, format TEXT, language TEXT, summary TEXT, embedding BLOB, created_at DATE, chunk_index INT",
+        ("body_vector",),
+    ),
     "KnowledgeMain": ("text TEXT, filename TEXT, tags TEXT_ARRAY, chunk_index INT", ("text_vector",)),
     "AudioItem": ("transcript TEXT, duration_sec NUMBER, language TEXT, filename TEXT, ofKnowledgeItem UUID", ("transcript_vector",)),
     "AudioChunk": ("text TEXT, time_start NUMBER, time_end NUMBER, chunk_index INT, ofAudioItem UUID", ("text_vector",)),
-    "ImageItem": ("caption TEXT, ocr_text TEXT, width INT, height INT, backend TEXT, filename TEXT, ofKnowledgeItem UUID", ("caption_vector", "ocr_vector")),
+    "ImageItem": (
+        "caption TEXT, ocr_text TEXT, width INT, height INT, backend TEXT, filename TEXT, ofKnowledgeItem UUID", ("caption_vector", "ocr_vector"),
+    ),
     "VideoItem": ("transcript TEXT, duration_sec NUMBER, language TEXT, filename TEXT, ofKnowledgeItem UUID", ("transcript_vector",)),
     "VideoChunk": ("text TEXT, time_start NUMBER, time_end NUMBER, chunk_index INT, ofVideoItem UUID", ("text_vector",)),
-    "AdaptiveSchools": ("text TEXT, chunk_index INT, document_id TEXT, title TEXT, type TEXT, chapterNumber INT, tags TEXT, source TEXT, uniqueId TEXT", ("default_vector",)),
+    "AdaptiveSchools": (
+        "text TEXT, chunk_index INT, document_id TEXT, title TEXT, type TEXT, chapterNumber INT, tags TEXT, source TEXT, uniqueId TEXT",
+        ("default_vector",),
+    ),
 }
 # End of the fixed values.
 
@@ -45,7 +53,9 @@ def schema_of_yaml(text: str) -> tuple[str, T.StructType]:
     d = yaml.safe_load(text) or {}
     props = d.get("properties") or []
     pairs = [(k, v) for k, v in props.items()] if isinstance(props, dict) else [(p["name"], p.get("data_type") or p.get("dataType") or p.get("type") or "TEXT") for p in props]
-    kind = lambda v: (v[0] + "_ARRAY" if isinstance(v, list) and len(v) == 1 and not str(v[0]).isupper() else v[0]) if isinstance(v, list) else str(v).upper().replace("[]", "_ARRAY")
+    kind = lambda v: (
+        v[0] + "_ARRAY" if isinstance(v, list) and len(v) == 1 and not str(v[0]).isupper() else v[0]
+    ) if isinstance(v, list) else str(v).upper().replace("[]", "_ARRAY")
     return d.get("name") or d.get("class"), schema_of(", ".join(f"{n} {str(kind(v)).upper()}" for n, v in pairs), ("default_vector",))
 
 
@@ -108,7 +118,9 @@ class Catalog:
             raise ValueError(f"more than {max_errors} rows without a key")
         ident = uuid5(F.concat_ws("/", F.lit(name), *(F.col(k).cast("string") for k in key)))
         have = {f.name.lower() for f in rows.schema.fields}
-        shaped = rows.where(~bad).withColumn("uuid", ident).select(*((F.col(f.name) if f.name.lower() in have or f.name == "uuid" else F.lit(None)).cast(f.dataType).alias(f.name) for f in target.fields))
+        shaped = rows.where(~bad).withColumn("uuid", ident).select(
+            *((F.col(f.name) if f.name.lower() in have or f.name == "uuid" else F.lit(None)).cast(f.dataType).alias(f.name) for f in target.fields)
+        )
         new = shaped.dropDuplicates(["uuid"]).join(self.table(name).select("uuid"), "uuid", "left_anti").select(*target.names)
         new.write.mode("append").insertInto(self._name(name))
         return errors

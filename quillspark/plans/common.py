@@ -20,4 +20,6 @@ def once(spark: SparkSession, sf: str, name: str, key: str, *columns: str) -> Da
 
 
 def once_sql(name: str, key: str, *columns: str) -> str:
-    return f"(SELECT {key}, {', '.join(f'max({c}) AS {c.replace("metadata.", "")}' for c in columns)} FROM {name} WHERE {key} IS NOT NULL GROUP BY {key})"
+    return f"(SELECT {key}, {
+        ', '.join(f'max({c}) AS {c.replace("metadata.", "")}' for c in columns)
+    } FROM {name} WHERE {key} IS NOT NULL GROUP BY {key})"

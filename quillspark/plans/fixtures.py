@@ -9,8 +9,14 @@ from ..functions import text as T
 from ..operators import lines as L
 from ..operators import standards as S
 
-CODES = ("MU:Cr1.1.PKa", "VA:Re7.2.III", "DA:Pr4.1.8b", "2.NBT.A.1", "CCSS.MATH.CONTENT.6.RP.A.3b", "HSA-CED.A.2", "HSA-CED.A.2a", "K.CC.B.4", "not a code", "")
-SUBTITLES = ("WEBVTT\n\n1\n00:00:01.000 --> 00:00:03.000\nGood morning.\n\n2\n00:00:03.000 --> 00:00:05.000\nWe begin.", "<?xml version=\"1.0\"?>\n42\nOnly this\n", "")
+CODES = (
+    "MU:Cr1.1.PKa", "VA:Re7.2.III", "DA:Pr4.1.8b", "2.NBT.A.1", "CCSS.MATH.CONTENT.6.RP.A.3b", "HSA-CED.A.2", "HSA-CED.A.2a", "K.CC.B.4",
+    "not a code", "",
+)
+SUBTITLES = (
+    "WEBVTT\n\n1\n00:00:01.000 --> 00:00:03.000\nGood morning.\n\n2\n00:00:03.000 --> 00:00:05.000\nWe begin.",
+    "<?xml version=\"1.0\"?>\n42\nOnly this\n", "",
+)
 QUESTIONS = ("How do rivers change? Why does it matter?", "What? Who decides the rule?", "No question here", "Ok?")
 SCIENCE = """Topic: Forces
 MS-PS2-1. Apply a law of motion to a
@@ -85,7 +91,9 @@ def _lines(spark: SparkSession, text: str) -> DataFrame:
 
 
 def code_parse(spark: SparkSession, sf: str) -> DataFrame:
-    return _texts(spark, *CODES).select("id", S.parse_code(F.col("text")).alias("c")).select("id", "c.*").withColumn("grade_name", S.grade_name(F.col("grade")))
+    return _texts(spark, *CODES).select(
+        "id", S.parse_code(F.col("text")).alias("c"),
+    ).select("id", "c.*").withColumn("grade_name", S.grade_name(F.col("grade")))
 
 
 def subtitle_clean(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,11 +106,15 @@ def question_split(spark: SparkSession, sf: str) -> DataFrame:
 
 def record_multiline(spark: SparkSession, sf: str) -> DataFrame:
     lines = _lines(spark, SCIENCE)
-    return S.science_records(lines, "id").join(S.science_notes(lines, "id"), ["id", "record_no"], "left").select(F.col("record_no").cast("int").alias("record_no"), "code", "grade", "category", "text", "clarification", "boundary")
+    return S.science_records(lines, "id").join(S.science_notes(lines, "id"), ["id", "record_no"], "left").select(
+        F.col("record_no").cast("int").alias("record_no"), "code", "grade", "category", "text", "clarification", "boundary",
+    )
 
 
 def record_inquiry(spark: SparkSession, sf: str) -> DataFrame:
-    return S.inquiry_records(_lines(spark, INQUIRY), "id").select(F.col("record_no").cast("int").alias("record_no"), "dimension", "discipline", "number", "grade_band", "text")
+    return S.inquiry_records(_lines(spark, INQUIRY), "id").select(
+        F.col("record_no").cast("int").alias("record_no"), "dimension", "discipline", "number", "grade_band", "text",
+    )
 
 
 def anchor_states(spark: SparkSession, sf: str) -> DataFrame:
@@ -114,7 +126,9 @@ def relationship_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def record_math(spark: SparkSession, sf: str) -> DataFrame:
-    return S.math_records(_lines(spark, MATHS), "id").select(F.col("record_no").cast("int").alias("record_no"), "code", "grade", "domain", "cluster", "text")
+    return S.math_records(_lines(spark, MATHS), "id").select(
+        F.col("record_no").cast("int").alias("record_no"), "code", "grade", "domain", "cluster", "text",
+    )
 
 
 def multi_pattern_extract(spark: SparkSession, sf: str) -> DataFrame:
@@ -134,7 +148,9 @@ def slide_format(spark: SparkSession, sf: str) -> DataFrame:
     rows = [(0, [("Opening", "Welcome"), (None, "No title"), ("", "Blank title")]), (1, [])]
     title = lambda s, i: F.coalesce(F.nullif(F.trim(s["title"]), F.lit("")), F.concat(F.lit("Slide "), (i + 1).cast("string")))
     d = spark.createDataFrame(rows, "id int, slides array<struct<title string, content string>>")
-    return d.select("id", F.array_join(F.transform("slides", lambda s, i: F.concat(F.lit("# "), title(s, i), F.lit("\n\n"), s["content"])), "\n\n").alias("text"))
+    return d.select(
+        "id", F.array_join(F.transform("slides", lambda s, i: F.concat(F.lit("# "), title(s, i), F.lit("\n\n"), s["content"])), "\n\n").alias("text"),
+    )
 
 
 def _values(rows) -> str:
@@ -154,14 +170,60 @@ ORACLES = {
         LEFT JOIN (VALUES {_values(S.GRADE_NAMES.items())}) g(grade, name) ON c.grade = g.grade""",
     "subtitle_clean": f"SELECT id, coalesce(array_to_string(list_filter(list_transform(string_split(t, chr(10)), lambda x: trim(x)), lambda x: NOT contains(x, '-->') AND NOT regexp_matches(x, '^\\d+$') AND NOT starts_with(x, 'WEBVTT') AND NOT starts_with(x, '<?xml')), ' '), '') AS text FROM (VALUES {_values(enumerate(SUBTITLES))}) v(id, t)",
     "question_split": f"WITH q AS (SELECT id, list_filter(list_transform(list_transform(string_split(t, '? '), lambda x: trim(x)), lambda x: CASE WHEN ends_with(x, '?') THEN x ELSE x || '?' END), lambda x: length(x) > 5) AS q FROM (VALUES {_values(enumerate(QUESTIONS))}) v(id, t)) SELECT id, (unnest(generate_series(0, len(q) - 1)))::INT AS place, unnest(q) AS question FROM q",
-    "record_multiline": "SELECT * FROM (VALUES " + _values([(1, "MS-PS2-1", "MS", "PS", "Apply a law of motion to a problem of two bodies.", "Bodies may be cars.", "One dimension only."), (2, "3-LS4-2", "3", "LS", "Use evidence to explain how traits help.", None, None), (3, "HS-ESS1-5", "HS", "ESS", "Weigh evidence of plates.", None, None)]) + ") v(record_no, code, grade, category, text, clarification, boundary)",
-    "record_inquiry": "SELECT * FROM (VALUES " + _values([(1, "1", None, "2", "K-2", "Identify facts about a question."), (2, "2", "His", "3", "6-8", "Use questions to weigh events of the past. and their causes."), (3, "4", None, "7", "9-12", "Assess options.")]) + ") v(record_no, dimension, discipline, number, grade_band, text)",
-    "anchor_states": "SELECT * FROM (VALUES " + _values([(3, "VA:Cr1.1.Ka", "Draw a thing you saw.", "1", "Ideas come from looking.", "How do they grow?"), (5, "VA:Cr1.1.1a", "Draw a place.", "1", "Ideas come from looking.", "How do they grow?"), (9, "MU:Pr4.1.2a", "Sing for others.", "2", "Work is shared.", "How do they grow?")]) + ") v(line_no, code, text, anchor, understanding, question)",
-    "relationship_edges": "SELECT * FROM (VALUES " + _values([("1", "eu", 1), ("1", "eq", 1), ("2", "eu", 1), ("2", "eq", 1)]) + ") v(anchor, type, n)",
-    "record_math": "SELECT * FROM (VALUES " + _values([(1, "2.OA.1", "2", "OA", "Represent and solve problems of adding", "Use adding within 100 to solve word problems."), (2, "2.OA.1a", "2", "OA", "Represent and solve problems of adding", "With two steps."), (3, "2.OA.2", "2", "OA", "Represent and solve problems of adding", "Add within 20."), (4, "2.OA.3", "2", "OA", "Work with equal groups of objects", "Tell if a number is even."), (5, "3.MD.4", "3", "MD", None, "Measure time.")]) + ") v(record_no, code, grade, domain, cluster, text)",
-    "multi_pattern_extract": "SELECT * FROM (VALUES " + _values([(0, "1", None, None), (1, "1", "1.A", None), (2, "1", "1.A", "1.A.1"), (3, "1", "1.A", "1.A.1"), (4, "1", "1.B", None), (5, "2", None, None), (6, "2", None, None), (7, "2", "2.A", None), (8, "2", "2.A", "2.A.3")]) + ") v(line_no, big_idea, understanding, objective)",
-    "nested_json_build": "SELECT * FROM (VALUES " + _values([("School day", "Hours", 3, '[{"text":"Doors open at eight","status":"adopted"},{"text":"Late entry by the side door","status":"pending"}]'), ("School day", "Meals", 6, '[{"text":"Lunch at noon","status":"adopted"}]'), ("Library", "", 8, '[{"text":"Quiet in the hall","status":"pending"}]')]) + ") v(section, subsection, place, policies)",
-    "table_format": "SELECT * FROM (VALUES " + _values([(0, "Name | Score\n------------\nAda | 9\nBo | 7"), (1, "only | one\n----------"), (2, None), (3, None)]) + ") v(id, text)",
-    "slide_format": "SELECT * FROM (VALUES " + _values([(0, "# Opening\n\nWelcome\n\n# Slide 2\n\nNo title\n\n# Slide 3\n\nBlank title"), (1, "")]) + ") v(id, text)",
+    "record_multiline": "SELECT * FROM (VALUES " + _values(
+        [
+            (1, "MS-PS2-1", "MS", "PS", "Apply a law of motion to a problem of two bodies.", "Bodies may be cars.", "One dimension only."),
+            (2, "3-LS4-2", "3", "LS", "Use evidence to explain how traits help.", None, None),
+            (3, "HS-ESS1-5", "HS", "ESS", "Weigh evidence of plates.", None, None),
+        ]
+    ) + ") v(record_no, code, grade, category, text, clarification, boundary)",
+    "record_inquiry": "SELECT * FROM (VALUES " + _values(
+        [
+            (1, "1", None, "2", "K-2", "Identify facts about a question."),
+            (2, "2", "His", "3", "6-8", "Use questions to weigh events of the past. and their causes."),
+            (3, "4", None, "7", "9-12", "Assess options."),
+        ]
+    ) + ") v(record_no, dimension, discipline, number, grade_band, text)",
+    "anchor_states": "SELECT * FROM (VALUES " + _values(
+        [
+            (3, "VA:Cr1.1.Ka", "Draw a thing you saw.", "1", "Ideas come from looking.", "How do they grow?"),
+            (5, "VA:Cr1.1.1a", "Draw a place.", "1", "Ideas come from looking.", "How do they grow?"),
+            (9, "MU:Pr4.1.2a", "Sing for others.", "2", "Work is shared.", "How do they grow?"),
+        ]
+    ) + ") v(line_no, code, text, anchor, understanding, question)",
+    "relationship_edges": "SELECT * FROM (VALUES " + _values(
+        [("1", "eu", 1), ("1", "eq", 1), ("2", "eu", 1), ("2", "eq", 1)]
+    ) + ") v(anchor, type, n)",
+    "record_math": "SELECT * FROM (VALUES " + _values(
+        [
+            (1, "2.OA.1", "2", "OA", "Represent and solve problems of adding", "Use adding within 100 to solve word problems."),
+            (2, "2.OA.1a", "2", "OA", "Represent and solve problems of adding", "With two steps."),
+            (3, "2.OA.2", "2", "OA", "Represent and solve problems of adding", "Add within 20."),
+            (4, "2.OA.3", "2", "OA", "Work with equal groups of objects", "Tell if a number is even."),
+            (5, "3.MD.4", "3", "MD", None, "Measure time."),
+        ]
+    ) + ") v(record_no, code, grade, domain, cluster, text)",
+    "multi_pattern_extract": "SELECT * FROM (VALUES " + _values(
+        [
+            (0, "1", None, None), (1, "1", "1.A", None), (2, "1", "1.A", "1.A.1"), (3, "1", "1.A", "1.A.1"), (4, "1", "1.B", None),
+            (5, "2", None, None), (6, "2", None, None), (7, "2", "2.A", None), (8, "2", "2.A", "2.A.3"),
+        ]
+    ) + ") v(line_no, big_idea, understanding, objective)",
+    "nested_json_build": "SELECT * FROM (VALUES " + _values(
+        [
+            (
+                "School day", "Hours", 3,
+                '[{"text":"Doors open at eight","status":"adopted"},{"text":"Late entry by the side door","status":"pending"}]',
+            ),
+            ("School day", "Meals", 6, '[{"text":"Lunch at noon","status":"adopted"}]'),
+            ("Library", "", 8, '[{"text":"Quiet in the hall","status":"pending"}]'),
+        ]
+    ) + ") v(section, subsection, place, policies)",
+    "table_format": "SELECT * FROM (VALUES " + _values(
+        [(0, "Name | Score\n------------\nAda | 9\nBo | 7"), (1, "only | one\n----------"), (2, None), (3, None)]
+    ) + ") v(id, text)",
+    "slide_format": "SELECT * FROM (VALUES " + _values(
+        [(0, "# Opening\n\nWelcome\n\n# Slide 2\n\nNo title\n\n# Slide 3\n\nBlank title"), (1, "")]
+    ) + ") v(id, text)",
 }
 QUERIES = {k: globals()[k] for k in ORACLES}

@@ -22,7 +22,10 @@ class Ledger:
         return entries.groupBy("key").agg(F.max(F.struct("at", "status", "pages")).alias("e")).select("key", "e.status", "e.pages", "e.at")
 
     def add(self, done: DataFrame, key: str, status: str = "processed", pages: str | None = None) -> None:
-        rows = done.select(F.col(key).cast("string").alias("key"), F.lit(status).alias("status"), (F.col(pages) if pages else F.lit(None)).cast("int").alias("pages"), F.current_timestamp().alias("at"))
+        rows = done.select(
+            F.col(key).cast("string").alias("key"), F.lit(status).alias("status"),
+            (F.col(pages) if pages else F.lit(None)).cast("int").alias("pages"), F.current_timestamp().alias("at"),
+        )
         rows.dropDuplicates(["key"]).write.mode("append").parquet(self.path)
 
     def remaining(self, todo: DataFrame, key: str, again: tuple[str, ...] = ("failed",)) -> DataFrame:
@@ -34,7 +37,9 @@ class Ledger:
         """Adds ``next_page``: the page to go on with, or null if all are done."""
         seen = self.read().select(F.col("key").alias("_k"), F.col("pages").alias("_p"))
         done = F.coalesce("_p", F.lit(0))
-        return documents.join(seen, F.col(key).cast("string") == F.col("_k"), "left").withColumn("next_page", F.when(done < F.col(num_pages), done + 1)).drop("_k", "_p")
+        return documents.join(
+            seen, F.col(key).cast("string") == F.col("_k"), "left",
+        ).withColumn("next_page", F.when(done < F.col(num_pages), done + 1)).drop("_k", "_p")
 
     def clear(self) -> None:
         jvm = self.spark.sparkContext._jvm

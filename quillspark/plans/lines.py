@@ -21,7 +21,9 @@ def _content(spark, sf):
 
 
 def line_continuation(spark: SparkSession, sf: str) -> DataFrame:
-    return L.line_continuation(_content(spark, sf), "id").groupBy("id").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("continues").cast("bigint")).alias("n_continued"))
+    return L.line_continuation(_content(spark, sf), "id").groupBy("id").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("continues").cast("bigint")).alias("n_continued"),
+    )
 
 
 def merge_broken_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -38,11 +40,15 @@ def _as_markdown(spark, sf):
 
 
 def extract_sections(spark: SparkSession, sf: str) -> DataFrame:
-    return L.extract_sections(_as_markdown(spark, sf), "id").select("id", "section_no", "level", "heading", "n_lines", F.length("content").alias("n_chars"))
+    return L.extract_sections(_as_markdown(spark, sf), "id").select(
+        "id", "section_no", "level", "heading", "n_lines", F.length("content").alias("n_chars"),
+    )
 
 
 def split_by_headings(spark: SparkSession, sf: str) -> DataFrame:
-    return L.split_at(_as_markdown(spark, sf), "id", F.startswith("line", F.lit("## "))).select("id", "part_no", "first_line", "n_lines", F.md5("content").alias("content_md5"))
+    return L.split_at(_as_markdown(spark, sf), "id", F.startswith("line", F.lit("## "))).select(
+        "id", "part_no", "first_line", "n_lines", F.md5("content").alias("content_md5"),
+    )
 
 
 def toc_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,7 +60,9 @@ def toc_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split_marked_sections(spark: SparkSession, sf: str) -> DataFrame:
-    return L.split_at(_content(spark, sf), "id", F.col("line").rlike(r"^=== Page \d+ ===$")).select("id", "part_no", "n_lines", F.length("content").alias("n_chars"))
+    return L.split_at(
+        _content(spark, sf), "id", F.col("line").rlike(r"^=== Page \d+ ===$"),
+    ).select("id", "part_no", "n_lines", F.length("content").alias("n_chars"))
 
 
 def split_nested_sections(spark: SparkSession, sf: str) -> DataFrame:
@@ -63,7 +71,10 @@ def split_nested_sections(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fix_section_headers(spark: SparkSession, sf: str) -> DataFrame:
-    return L.fix_section_headers(_content(spark, sf), "id").groupBy("id").agg(F.sum((F.col("fixed") != F.col("line")).cast("bigint")).alias("n_fixed"), F.max(F.when(F.col("fixed") != F.col("line"), F.col("fixed"))).alias("last_fixed"))
+    return L.fix_section_headers(_content(spark, sf), "id").groupBy("id").agg(
+        F.sum((F.col("fixed") != F.col("line")).cast("bigint")).alias("n_fixed"),
+        F.max(F.when(F.col("fixed") != F.col("line"), F.col("fixed"))).alias("last_fixed"),
+    )
 
 
 def slide_split_islands(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,31 +85,41 @@ def slide_split_islands(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_split(spark: SparkSession, sf: str) -> DataFrame:
-    return L.pages(once(spark, sf, "source_document", "id", "content"), "id", "content", r"=== Page \d+ ===").select("id", "page_no", F.length("page").alias("n_chars"))
+    return L.pages(
+        once(spark, sf, "source_document", "id", "content"), "id", "content", r"=== Page \d+ ===",
+    ).select("id", "page_no", F.length("page").alias("n_chars"))
 
 
 def question_lines(spark: SparkSession, sf: str) -> DataFrame:
     from ..functions.text import questions
 
-    return base(spark, sf, "documents", "doc_id", "text").where("text like '%?%'").select("doc_id", F.posexplode(questions(F.col("text"))).alias("question_no", "question"))
+    return base(spark, sf, "documents", "doc_id", "text").where("text like '%?%'").select(
+        "doc_id", F.posexplode(questions(F.col("text"))).alias("question_no", "question"),
+    )
 
 
 def fill_forward_state(spark: SparkSession, sf: str) -> DataFrame:
     """The latest sign-up before or at each event of a user."""
     events = base(spark, sf, "events", "event_id", "ts", "user_id", "event_type")
-    return L.fill_forward(events, ["user_id"], ["ts", "event_id"], F.to_date("ts"), last_signup=F.when(F.col("event_type") == "signup", F.col("event_id"))).select("event_id", "user_id", "last_signup")
+    return L.fill_forward(
+        events, ["user_id"], ["ts", "event_id"], F.to_date("ts"), last_signup=F.when(F.col("event_type") == "signup", F.col("event_id")),
+    ).select("event_id", "user_id", "last_signup")
 
 
 def running_avg_eta(spark: SparkSession, sf: str) -> DataFrame:
     events = base(spark, sf, "events", "event_id", "ts", "user_id", "value")
-    run = L.running_totals(events, ["user_id"], ["ts", "event_id"], F.to_date("ts"), cents=F.round(F.col("value") * 100).cast("bigint"), done=F.lit(1))
+    run = L.running_totals(
+        events, ["user_id"], ["ts", "event_id"], F.to_date("ts"), cents=F.round(F.col("value") * 100).cast("bigint"), done=F.lit(1),
+    )
     run = run.join(events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")), "user_id")
     mean = F.col("cents").cast("double") / F.col("done") / 100
     return run.select("event_id", mean.alias("mean_value"), (mean * (F.col("n") - F.col("done"))).alias("eta"))
 
 
 def chunk_token_window(spark: SparkSession, sf: str) -> DataFrame:
-    return C.token_windows(base(spark, sf, "documents", "doc_id", "text"), "text", 200, 50).select("doc_id", "chunk_index", "n_tokens", F.md5("content").alias("content_md5"))
+    return C.token_windows(base(spark, sf, "documents", "doc_id", "text"), "text", 200, 50).select(
+        "doc_id", "chunk_index", "n_tokens", F.md5("content").alias("content_md5"),
+    )
 
 
 def chunk_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -129,7 +150,9 @@ def chunk_sentences_abbreviations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chunk_upload_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return C.upload_rows(C.fixed_chars(base(spark, sf, "documents", "doc_id", "text"), "text"), "doc_id").select("id", "chunk_index", "document_id", F.length("text").alias("n_chars"))
+    return C.upload_rows(
+        C.fixed_chars(base(spark, sf, "documents", "doc_id", "text"), "text"), "doc_id",
+    ).select("id", "chunk_index", "document_id", F.length("text").alias("n_chars"))
 
 
 _LINES = rf"(SELECT id, (unnest(generate_series(0, len(l) - 1)))::INT AS line_no, unnest(l) AS line FROM (SELECT id, string_split_regex(content, '\r?\n') AS l FROM {SRC} WHERE content IS NOT NULL))"

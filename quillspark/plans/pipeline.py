@@ -48,10 +48,28 @@ def markdown(df: DataFrame) -> DataFrame:
     """Adds ``markdown``: title, contents and text with detected headings."""
     lines = L.detect_headings(L.exploded(df, "id", "content"), "id").withColumn("line", F.coalesce("heading", "line"))
     parts = F.array_sort(F.collect_list(F.struct("line_no", "line")))
-    toc = F.array_sort(F.collect_list(F.when(F.col("heading").isNotNull(), F.struct("line_no", F.concat(F.lit("  - ["), F.substring("heading", 4, 1000), F.lit("](#"), T.anchor(F.substring("heading", 4, 1000)), F.lit(")")).alias("e")))))
-    body = lines.groupBy("id").agg(T.collapsed_blank_lines(F.array_join(F.transform(parts, lambda x: x["line"]), "\n")).alias("_body"), F.array_join(F.transform(toc, lambda x: x["e"]), "\n").alias("_toc"))
+    toc = F.array_sort(
+        F.collect_list(
+            F.when(
+                F.col("heading").isNotNull(),
+                F.struct(
+                    "line_no",
+                    F.concat(
+                        F.lit("  - ["), F.substring("heading", 4, 1000), F.lit("](#"), T.anchor(F.substring("heading", 4, 1000)), F.lit(")"),
+                    ).alias("e"),
+                ),
+            )
+        )
+    )
+    body = lines.groupBy("id").agg(
+        T.collapsed_blank_lines(F.array_join(F.transform(parts, lambda x: x["line"]), "\n")).alias("_body"),
+        F.array_join(F.transform(toc, lambda x: x["e"]), "\n").alias("_toc"),
+    )
     title = T.title_cascade(F.col("metadata.title"), F.col("source_path"), F.col("content"))
-    whole = F.concat(F.lit("# "), title, F.lit("\n\n"), F.when(F.col("_toc") != "", F.concat(F.lit("## Contents\n\n"), F.col("_toc"), F.lit("\n\n"))).otherwise(""), F.coalesce("_body", F.lit("")))
+    whole = F.concat(
+        F.lit("# "), title, F.lit("\n\n"),
+        F.when(F.col("_toc") != "", F.concat(F.lit("## Contents\n\n"), F.col("_toc"), F.lit("\n\n"))).otherwise(""), F.coalesce("_body", F.lit("")),
+    )
     return df.join(body, "id", "left").withColumn("markdown", F.when(F.col("content").isNotNull(), whole)).drop("_body", "_toc")
 
 
@@ -59,8 +77,18 @@ def structured(df: DataFrame) -> DataFrame:
     """Adds ``json``: title, source and sections with summaries, by rule."""
     sections = L.extract_sections(L.detect_headings(L.exploded(df, "id", "content"), "id").withColumn("line", F.coalesce("heading", "line")), "id")
     one = F.struct("section_no", "heading", "level", T.truncated(F.col("content"), 200).alias("content_summary"))
-    found = sections.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(one)), lambda s: F.struct(s["heading"].alias("heading"), s["level"].alias("level"), s["content_summary"].alias("content_summary"))).alias("_s"))
-    j = F.to_json(F.struct(F.col("id").alias("document_id"), T.title_of_text(F.col("content")).alias("title"), F.col("source_path").alias("source"), F.col("_s").alias("sections")))
+    found = sections.groupBy("id").agg(
+        F.transform(
+            F.array_sort(F.collect_list(one)),
+            lambda s: F.struct(s["heading"].alias("heading"), s["level"].alias("level"), s["content_summary"].alias("content_summary")),
+        ).alias("_s")
+    )
+    j = F.to_json(
+        F.struct(
+            F.col("id").alias("document_id"), T.title_of_text(F.col("content")).alias("title"), F.col("source_path").alias("source"),
+            F.col("_s").alias("sections"),
+        )
+    )
     return df.join(found, "id", "left").withColumn("json", j).drop("_s")
 
 
@@ -73,7 +101,10 @@ def chunked(size: int, overlap: int) -> Step:
 
 def steps(s: Settings) -> list[Step]:
     chunk = chunked(s.chunk_size, s.chunk_overlap)
-    own = {"text": [], "markdown": [markdown], "json": [structured], "structured": [structured], "hybrid": [markdown, structured], "chunk": [chunk], "store": [chunk, lambda d: C.upload_rows(d, "id")]}[s.kind]
+    own = {
+        "text": [], "markdown": [markdown], "json": [structured], "structured": [structured], "hybrid": [markdown, structured], "chunk": [chunk],
+        "store": [chunk, lambda d: C.upload_rows(d, "id")],
+    }[s.kind]
     return [*s.before, identified, *own, *s.after]
 
 

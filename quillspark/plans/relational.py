@@ -13,10 +13,16 @@ from ..operators import relational as R
 from .common import base, once, once_sql
 
 KM = once_sql("knowledge_main", "chunk_id", "text", "filename", "document_id", "chunk_index")
-SRC = once_sql("source_document", "id", "source_path", "content", "is_scanned", "metadata.num_pages", "metadata.num_processed_pages", "metadata.file_size", "error")
+SRC = once_sql(
+    "source_document", "id", "source_path", "content", "is_scanned", "metadata.num_pages", "metadata.num_processed_pages", "metadata.file_size",
+    "error",
+)
 ITEM = once_sql("knowledge_item", "item_id", "title", "year", "language")
 # Subject words looked for in texts.
-SUBJECTS = ("mathematics", "science", "history", "geography", "music", "theatre", "dance", "biology", "physics", "chemistry", "economics", "civics", "writing", "reading", "health")
+SUBJECTS = (
+    "mathematics", "science", "history", "geography", "music", "theatre", "dance", "biology", "physics", "chemistry", "economics", "civics",
+    "writing", "reading", "health",
+)
 # Cost of a page by method.
 PAGE_COST = (("text", 0.0), ("scan", 0.0002))
 # End of the fixed values.
@@ -32,7 +38,9 @@ def _src(spark, sf, *columns):
 
 def lookup_left_join(spark: SparkSession, sf: str) -> DataFrame:
     nation = base(spark, sf, "nation").where("n_nationkey < 20")
-    return R.lookup(base(spark, sf, "customer"), R.small(nation), "c_nationkey", "n_nationkey", "n_name", "nation_name").groupBy("nation_name").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+    return R.lookup(
+        base(spark, sf, "customer"), R.small(nation), "c_nationkey", "n_nationkey", "n_name", "nation_name",
+    ).groupBy("nation_name").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
 
 
 def resume_anti_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,12 +51,16 @@ def resume_anti_join(spark: SparkSession, sf: str) -> DataFrame:
 def scan_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents that were read, by kind, with their sizes; a projection of nested fields."""
     d = base(spark, sf, "source_document", "id", "metadata", "error").where("id is not null")
-    one = d.groupBy("id").agg(F.lower(F.max("metadata.file_type")).alias("file_type"), F.max("metadata.file_size").alias("file_size"), F.max("error").alias("error"))
+    one = d.groupBy("id").agg(
+        F.lower(F.max("metadata.file_type")).alias("file_type"), F.max("metadata.file_size").alias("file_size"), F.max("error").alias("error"),
+    )
     return one.groupBy("file_type").agg(F.count(F.lit(1)).alias("n"), F.sum("file_size").alias("bytes"), F.count("error").alias("n_errors"))
 
 
 def render_commands(spark: SparkSession, sf: str) -> DataFrame:
-    return _method(spark, sf).select("id", F.format_string("process --method %s --pages %d %s", F.col("method"), F.coalesce("num_pages", F.lit(0)), F.col("id")).alias("command"))
+    return _method(spark, sf).select(
+        "id", F.format_string("process --method %s --pages %d %s", F.col("method"), F.coalesce("num_pages", F.lit(0)), F.col("id")).alias("command"),
+    )
 
 
 def resume_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,7 +83,9 @@ def first_match_join(spark: SparkSession, sf: str) -> DataFrame:
 
 def chunk_parent_join(spark: SparkSession, sf: str) -> DataFrame:
     km, src = _km(spark, sf, "document_id", "chunk_index"), _src(spark, sf, "source_path")
-    return km.join(src, km.document_id == src.id, "left").groupBy("document_id", "source_path").agg(F.count(F.lit(1)).alias("n_chunks"), F.max("chunk_index").alias("last_index"))
+    return km.join(src, km.document_id == src.id, "left").groupBy("document_id", "source_path").agg(
+        F.count(F.lit(1)).alias("n_chunks"), F.max("chunk_index").alias("last_index"),
+    )
 
 
 def slide_outer_merge(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,15 +99,22 @@ def slide_outer_merge(spark: SparkSession, sf: str) -> DataFrame:
 def hierarchy_paths(spark: SparkSession, sf: str) -> DataFrame:
     r, n, c = base(spark, sf, "region"), base(spark, sf, "nation"), base(spark, sf, "customer")
     path = F.concat_ws("/", "r_name", "n_name", "c_name")
-    return c.join(R.small(n), F.col("c_nationkey") == F.col("n_nationkey")).join(R.small(r), F.col("n_regionkey") == F.col("r_regionkey")).select("c_custkey", path.alias("path"))
+    return c.join(
+        R.small(n), F.col("c_nationkey") == F.col("n_nationkey"),
+    ).join(R.small(r), F.col("n_regionkey") == F.col("r_regionkey")).select("c_custkey", path.alias("path"))
 
 
 def _levels(spark, sf):
-    return base(spark, sf, "documents", "doc_id", "lang", "source").select("doc_id", F.coalesce("lang", F.lit("none")).alias("lang"), F.coalesce("source", F.lit("none")).alias("source"))
+    return base(spark, sf, "documents", "doc_id", "lang", "source").select(
+        "doc_id", F.coalesce("lang", F.lit("none")).alias("lang"), F.coalesce("source", F.lit("none")).alias("source"),
+    )
 
 
 def surrogate_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return R.surrogate_keys(_levels(spark, sf), ["lang", "source"], "doc_id").select(F.col("level").cast("bigint").alias("level"), "lang", "source", F.col("id").cast("bigint").alias("id"), F.col("parent_id").cast("bigint").alias("parent_id"))
+    return R.surrogate_keys(_levels(spark, sf), ["lang", "source"], "doc_id").select(
+        F.col("level").cast("bigint").alias("level"), "lang", "source", F.col("id").cast("bigint").alias("id"),
+        F.col("parent_id").cast("bigint").alias("parent_id"),
+    )
 
 
 def hierarchy_levels(spark: SparkSession, sf: str) -> DataFrame:
@@ -103,7 +124,9 @@ def hierarchy_levels(spark: SparkSession, sf: str) -> DataFrame:
 
 def dedupe_first_seen(spark: SparkSession, sf: str) -> DataFrame:
     t = F.encode("text", "UTF-8")
-    hashed = base(spark, sf, "documents", "doc_id", "text").where("text is not null").select("doc_id", F.sha2(t, 256).alias("h"), F.md5(t).alias("text_md5"))
+    hashed = base(spark, sf, "documents", "doc_id", "text").where("text is not null").select(
+        "doc_id", F.sha2(t, 256).alias("h"), F.md5(t).alias("text_md5"),
+    )
     return R.first_seen(hashed, ["h"], ["doc_id"]).select("doc_id", "text_md5")
 
 
@@ -117,7 +140,9 @@ def fuzzy_title_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def large_documents_topn(spark: SparkSession, sf: str) -> DataFrame:
-    return base(spark, sf, "documents", "doc_id", "text").select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes")).where("n_bytes >= 2048").orderBy(F.desc("n_bytes"), "doc_id").limit(20)
+    return base(spark, sf, "documents", "doc_id", "text").select(
+        "doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"),
+    ).where("n_bytes >= 2048").orderBy(F.desc("n_bytes"), "doc_id").limit(20)
 
 
 def point_lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,7 +186,9 @@ def collection_stats(spark: SparkSession, sf: str) -> DataFrame:
     n = F.length("text")
     return _km(spark, sf, "text", "document_id").agg(
         F.count(F.lit(1)).alias("n_chunks"), F.countDistinct("document_id").alias("n_documents"), F.round(F.avg(n), 4).alias("mean_chars"), F.max(n).alias("max_chars"),
-        F.sum(F.when(F.trim(F.coalesce("text", F.lit(""))) == "", 1).otherwise(0)).alias("n_blank"), F.round(F.try_divide(F.count("document_id"), F.countDistinct("document_id")), 4).alias("chunks_per_document"),
+        F.sum(F.when(F.trim(F.coalesce("text", F.lit(""))) == "", 1).otherwise(0)).alias("n_blank"), F.round(
+            F.try_divide(F.count("document_id"), F.countDistinct("document_id")), 4,
+        ).alias("chunks_per_document"),
     )
 
 
@@ -171,29 +198,44 @@ def collection_count(spark: SparkSession, sf: str) -> DataFrame:
 
 def group_counts_sets(spark: SparkSession, sf: str) -> DataFrame:
     i = once(spark, sf, "knowledge_item", "item_id", "year", "language")
-    return i.groupBy("language").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.transform(F.collect_set("year"), lambda y: y.cast("string"))), ",").alias("years"))
+    return i.groupBy("language").agg(
+        F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.transform(F.collect_set("year"), lambda y: y.cast("string"))), ",").alias("years"),
+    )
 
 
 def _method(spark, sf):
-    return _src(spark, sf, "is_scanned", "metadata.num_pages", "metadata.file_size").withColumn("method", F.when(F.col("is_scanned"), "scan").otherwise("text"))
+    return _src(
+        spark, sf, "is_scanned", "metadata.num_pages", "metadata.file_size",
+    ).withColumn("method", F.when(F.col("is_scanned"), "scan").otherwise("text"))
 
 
 def method_cost_report(spark: SparkSession, sf: str) -> DataFrame:
     rate = F.element_at(F.create_map(*(F.lit(x) for kv in PAGE_COST for x in kv)), F.col("method"))
     g = _method(spark, sf).groupBy("method").agg(F.count(F.lit(1)).alias("n"), F.sum("num_pages").alias("pages"), F.sum("file_size").alias("bytes"))
-    return g.select("method", "n", F.round(100 * F.col("n") / F.sum("n").over(Window.partitionBy()), 2).alias("percent"), "pages", "bytes", F.round(F.coalesce("pages", F.lit(0)) * rate, 4).alias("cost"))
+    return g.select(
+        "method", "n", F.round(100 * F.col("n") / F.sum("n").over(Window.partitionBy()), 2).alias("percent"), "pages", "bytes",
+        F.round(F.coalesce("pages", F.lit(0)) * rate, 4).alias("cost"),
+    )
 
 
 def _page_stats(spark, sf):
-    pages = base(spark, sf, "source_document", "id", "pages").where("pages is not null").select("id", F.explode("pages").alias("p")).select("id", F.col("p.page_number").alias("page_number"), F.col("p.text").alias("page")).groupBy("id", "page_number").agg(F.max("page").alias("page"))
+    pages = base(spark, sf, "source_document", "id", "pages").where("pages is not null").select("id", F.explode("pages").alias("p")).select(
+        "id", F.col("p.page_number").alias("page_number"), F.col("p.text").alias("page"),
+    ).groupBy("id", "page_number").agg(F.max("page").alias("page"))
     return pages.withColumn("n", F.length(F.trim(F.coalesce("page", F.lit("")))))
 
 
 def doc_complexity(spark: SparkSession, sf: str) -> DataFrame:
     has_table = F.contains(F.lower(F.coalesce("page", F.lit(""))), F.lit("table")) | F.contains(F.coalesce("page", F.lit("")), F.lit("|"))
-    g = _page_stats(spark, sf).groupBy("id").agg(F.count(F.lit(1)).alias("n_pages"), (F.sum((F.col("n") > 50).cast("int")) / F.count(F.lit(1))).alias("coverage"), F.max(has_table.cast("int")).alias("tables"))
+    g = _page_stats(spark, sf).groupBy("id").agg(
+        F.count(F.lit(1)).alias("n_pages"), (F.sum((F.col("n") > 50).cast("int")) / F.count(F.lit(1))).alias("coverage"),
+        F.max(has_table.cast("int")).alias("tables"),
+    )
     kind = F.when(F.col("coverage") < 0.1, "complex").when(F.col("tables") == 1, "medium").otherwise("simple")
-    return g.select("id", "n_pages", F.round("coverage", 4).alias("coverage"), kind.alias("complexity"), F.when(kind == "complex", "layout").when(kind == "medium", "layout_tables").otherwise("text").alias("recommended"))
+    return g.select(
+        "id", "n_pages", F.round("coverage", 4).alias("coverage"), kind.alias("complexity"),
+        F.when(kind == "complex", "layout").when(kind == "medium", "layout_tables").otherwise("text").alias("recommended"),
+    )
 
 
 def doc_complexity_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -203,20 +245,35 @@ def doc_complexity_summary(spark: SparkSession, sf: str) -> DataFrame:
 def doc_quick_method(spark: SparkSession, sf: str) -> DataFrame:
     g = _page_stats(spark, sf).where("page_number <= 5").groupBy("id").agg(F.avg("n").alias("mean_chars"))
     m = F.col("mean_chars")
-    return g.select("id", F.round(m, 3).alias("mean_chars"), F.when(m > 500, "text").when(m > 100, "layout").otherwise("fallback").alias("method"), F.when(m > 500, "High").when(m > 100, "Medium").otherwise("Low").alias("confidence"))
+    return g.select(
+        "id", F.round(m, 3).alias("mean_chars"), F.when(m > 500, "text").when(m > 100, "layout").otherwise("fallback").alias("method"),
+        F.when(m > 500, "High").when(m > 100, "Medium").otherwise("Low").alias("confidence"),
+    )
 
 
 def page_text_gate(spark: SparkSession, sf: str) -> DataFrame:
     p = _page_stats(spark, sf)
     kept = F.col("n") >= 50
-    parts = F.array_sort(F.collect_list(F.when(kept, F.struct("page_number", F.concat(F.lit("=== Page "), F.col("page_number").cast("string"), F.lit(" ===\n"), F.col("page")).alias("t")))))
-    g = p.groupBy("id").agg(F.count(F.lit(1)).alias("n_pages"), F.sum(kept.cast("bigint")).alias("n_kept"), F.sum(F.when(kept, F.col("n")).otherwise(0)).alias("total"), F.md5(F.array_join(F.transform(parts, lambda x: x["t"]), "\n")).alias("text_md5"))
+    parts = F.array_sort(
+        F.collect_list(
+            F.when(
+                kept,
+                F.struct("page_number", F.concat(F.lit("=== Page "), F.col("page_number").cast("string"), F.lit(" ===\n"), F.col("page")).alias("t")),
+            )
+        )
+    )
+    g = p.groupBy("id").agg(
+        F.count(F.lit(1)).alias("n_pages"), F.sum(kept.cast("bigint")).alias("n_kept"), F.sum(F.when(kept, F.col("n")).otherwise(0)).alias("total"),
+        F.md5(F.array_join(F.transform(parts, lambda x: x["t"]), "\n")).alias("text_md5"),
+    )
     return g.select("id", "n_pages", "n_kept", "text_md5", ((F.col("n_kept") == 0) | (F.col("total") < 25 * F.col("n_pages"))).alias("requires_ocr"))
 
 
 def page_concat(spark: SparkSession, sf: str) -> DataFrame:
     parts = F.array_sort(F.collect_list(F.struct("page_number", "page")))
-    return _page_stats(spark, sf).where("page is not null").groupBy("id").agg(F.md5(F.array_join(F.transform(parts, lambda x: x["page"]), "\n--- Page Break ---\n")).alias("text_md5"), F.count(F.lit(1)).alias("n_pages"))
+    return _page_stats(spark, sf).where("page is not null").groupBy("id").agg(
+        F.md5(F.array_join(F.transform(parts, lambda x: x["page"]), "\n--- Page Break ---\n")).alias("text_md5"), F.count(F.lit(1)).alias("n_pages"),
+    )
 
 
 def batch_outcome_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -227,10 +284,14 @@ def batch_outcome_report(spark: SparkSession, sf: str) -> DataFrame:
 def fallback_first_success(spark: SparkSession, sf: str) -> DataFrame:
     """Of the attempts at a document the first, by rank, that has text; else the last error."""
     d = _src(spark, sf, "content", "error")
-    content = d.where("trim(coalesce(content, '')) <> ''").select("id", F.lit(1).alias("attempt"), F.lit(None).cast("string").alias("error"), F.length("content").alias("n"))
+    content = d.where("trim(coalesce(content, '')) <> ''").select(
+        "id", F.lit(1).alias("attempt"), F.lit(None).cast("string").alias("error"), F.length("content").alias("n"),
+    )
     failed = d.where("error is not null").select("id", F.lit(2).alias("attempt"), "error", F.lit(0).alias("n"))
     both = content.unionByName(failed)
-    return both.groupBy("id").agg(F.min(F.when(F.col("error").isNull(), F.struct("attempt", "n"))).alias("s"), F.max(F.struct("attempt", "error")).alias("f")).select("id", F.col("s.attempt").alias("attempt"), F.col("s.n").alias("n_chars"), F.when(F.col("s").isNull(), F.col("f.error")).alias("error"))
+    return both.groupBy("id").agg(F.min(F.when(F.col("error").isNull(), F.struct("attempt", "n"))).alias("s"), F.max(F.struct("attempt", "error")).alias("f")).select(
+        "id", F.col("s.attempt").alias("attempt"), F.col("s.n").alias("n_chars"), F.when(F.col("s").isNull(), F.col("f.error")).alias("error"),
+    )
 
 
 def output_select(spark: SparkSession, sf: str) -> DataFrame:
@@ -239,8 +300,12 @@ def output_select(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def multi_format_fanout(spark: SparkSession, sf: str) -> DataFrame:
-    d = base(spark, sf, "documents", "doc_id", "text").where("text is not null").select("doc_id", "text", F.explode(F.array(F.lit("text"), F.lit("markdown"), F.lit("json"))).alias("format"))
-    out = F.when(F.col("format") == "json", F.get_json_object(F.to_json(F.struct("text")), "$.text")).when(F.col("format") == "markdown", F.concat(F.lit("# Document\n\n"), F.col("text"))).otherwise(F.col("text"))
+    d = base(spark, sf, "documents", "doc_id", "text").where("text is not null").select(
+        "doc_id", "text", F.explode(F.array(F.lit("text"), F.lit("markdown"), F.lit("json"))).alias("format"),
+    )
+    out = F.when(
+        F.col("format") == "json", F.get_json_object(F.to_json(F.struct("text")), "$.text"),
+    ).when(F.col("format") == "markdown", F.concat(F.lit("# Document\n\n"), F.col("text"))).otherwise(F.col("text"))
     return d.groupBy("format").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(out)).alias("n_chars"))
 
 
@@ -261,7 +326,9 @@ def tag_frequency_top20(spark: SparkSession, sf: str) -> DataFrame:
 
 def tags_explode(spark: SparkSession, sf: str) -> DataFrame:
     joined = F.array_join("topics", " , ")
-    return base(spark, sf, "documents", "doc_id", "topics").where("topics is not null").select("doc_id", F.posexplode(T.tags_of(joined)).alias("place", "tag"))
+    return base(spark, sf, "documents", "doc_id", "topics").where("topics is not null").select(
+        "doc_id", F.posexplode(T.tags_of(joined)).alias("place", "tag"),
+    )
 
 
 def tags_dedupe_ci(spark: SparkSession, sf: str) -> DataFrame:
@@ -288,7 +355,9 @@ def keywords_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 def tumbling_counts(spark: SparkSession, sf: str) -> DataFrame:
     e = base(spark, sf, "events", "ts", "event_type")
-    return e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n")).select(F.unix_timestamp(F.col("w.start").cast("timestamp")).alias("start"), "event_type", "n")
+    return e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n")).select(
+        F.unix_timestamp(F.col("w.start").cast("timestamp")).alias("start"), "event_type", "n",
+    )
 
 
 _ORG = r"regexp_extract(source_path, '/([^/]*)/[^/]*$', 1)"
@@ -342,7 +411,9 @@ ORACLES = {
     "tags_dedupe_ci": """WITH t AS (SELECT doc_id, list_filter(list_transform(list_concat(topics, list_transform(topics, lambda x: array_to_string(list_transform(string_split(x, ' '), lambda w: upper(substring(w, 1, 1)) || lower(substring(w, 2))), ' ')), [coalesce(title, '')]), lambda x: trim(x)), lambda x: x <> '') AS t FROM documents WHERE topics IS NOT NULL)
         SELECT doc_id, coalesce(array_to_string(list_filter(t, lambda x, i: list_position(list_transform(t, lambda y: lower(y)), lower(x)) = i)[1:20], '|'), '') AS tags FROM t""",
     "distinct_tags_sorted": "SELECT DISTINCT tag FROM (SELECT unnest(topics) AS tag FROM documents) WHERE trim(tag) <> ''",
-    "domain_tag_match": f"SELECT doc_id, tag FROM documents JOIN (VALUES {', '.join(f"('{s}')" for s in SUBJECTS)}) s(tag) ON contains(lower(text), tag)",
+    "domain_tag_match": f"SELECT doc_id, tag FROM documents JOIN (VALUES {
+        ', '.join(f"('{s}')" for s in SUBJECTS)
+    }) s(tag) ON contains(lower(text), tag)",
     "keywords_topk": r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL), p AS (SELECT doc_id, unnest(list_transform(w[1:-2], lambda x, i: x || ' ' || w[i + 1])) AS keyword FROM w WHERE len(w) > 1)
         SELECT doc_id, keyword, n, rank FROM (SELECT doc_id, keyword, count(*) AS n, (row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, keyword))::INT AS rank FROM p GROUP BY 1, 2) WHERE rank <= 15""",
     "tumbling_counts": "SELECT epoch(time_bucket(INTERVAL 1 HOUR, ts))::BIGINT AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2",

@@ -73,14 +73,20 @@ def context_concat(spark: SparkSession, sf: str) -> DataFrame:
 def chunk_search(spark: SparkSession, sf: str) -> DataFrame:
     """Texts cut into windows, embedded, ranked by distance to a question; the best window of each document."""
     chunks = C.token_windows(base(spark, sf, "documents", "doc_id", "text"), "text", 200, 50)
-    key = chunks.withColumn("chunk_key", F.col("doc_id") * 1_000_000 + F.col("chunk_index")).withColumn("v", R.hash_embedding(F.col("content"))).drop("content", "n_tokens")
+    key = chunks.withColumn(
+        "chunk_key", F.col("doc_id") * 1_000_000 + F.col("chunk_index"),
+    ).withColumn("v", R.hash_embedding(F.col("content"))).drop("content", "n_tokens")
     q = [float(x) for x in spark.range(1).select(R.hash_embedding(F.lit(QUERY)).alias("v")).first().v]
-    return R.best_per_document(R.nearest(key, "v", q, "chunk_key", 20), "doc_id", "chunk_key", 5).select("doc_id", "chunk_index", "distance", "total_chunks")
+    return R.best_per_document(
+        R.nearest(key, "v", q, "chunk_key", 20), "doc_id", "chunk_key", 5,
+    ).select("doc_id", "chunk_index", "distance", "total_chunks")
 
 
 def hash_embedding(spark: SparkSession, sf: str) -> DataFrame:
     d = base(spark, sf, "documents", "doc_id", "text").where("text is not null")
-    return d.select("doc_id", F.posexplode(R.hash_embedding(F.col("text"))).alias("bucket", "n")).where("n > 0").select("doc_id", "bucket", F.col("n").cast("bigint").alias("n"))
+    return d.select(
+        "doc_id", F.posexplode(R.hash_embedding(F.col("text"))).alias("bucket", "n"),
+    ).where("n > 0").select("doc_id", "bucket", F.col("n").cast("bigint").alias("n"))
 
 
 def bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
@@ -119,7 +125,11 @@ def reading_order_bands(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def json_flatten_one_level(spark: SparkSession, sf: str) -> DataFrame:
-    d = base(spark, sf, "source_document", "id", "metadata").groupBy("id").agg(F.struct(F.max("metadata.filename").alias("filename"), F.max("metadata.file_size").alias("file_size"), F.max("metadata.author").alias("author")).alias("metadata"))
+    d = base(spark, sf, "source_document", "id", "metadata").groupBy("id").agg(
+        F.struct(
+            F.max("metadata.filename").alias("filename"), F.max("metadata.file_size").alias("file_size"), F.max("metadata.author").alias("author"),
+        ).alias("metadata")
+    )
     return N.flattened(d, sep="_")
 
 
@@ -135,13 +145,20 @@ def json_multi_sheet(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def nested_counts(spark: SparkSession, sf: str) -> DataFrame:
-    d = base(spark, sf, "source_document", "id", "pages").groupBy("id").agg(F.max(F.size("pages")).alias("n_pages"), F.max(F.aggregate(F.transform("pages", lambda p: F.size(F.split(F.coalesce(p["text"], F.lit("")), "\n"))), F.lit(0), lambda a, b: a + b)).alias("n_lines"))
+    d = base(spark, sf, "source_document", "id", "pages").groupBy("id").agg(
+        F.max(F.size("pages")).alias("n_pages"),
+        F.max(
+            F.aggregate(F.transform("pages", lambda p: F.size(F.split(F.coalesce(p["text"], F.lit("")), "\n"))), F.lit(0), lambda a, b: a + b)
+        ).alias("n_lines"),
+    )
     return d.where("n_pages > 0")
 
 
 _Q7 = "(SELECT embedding AS q FROM embeddings WHERE vec_id = {0})"
 _ZERO = "CASE WHEN abs({0}) < 0.000000001 THEN 0.0::DOUBLE ELSE {0} END"
-_DIST = _ZERO.format("round(1 - list_inner_product(embedding::DOUBLE[], q::DOUBLE[]) / (sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) * sqrt(list_inner_product(q::DOUBLE[], q::DOUBLE[]))), 6)")
+_DIST = _ZERO.format(
+    "round(1 - list_inner_product(embedding::DOUBLE[], q::DOUBLE[]) / (sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) * sqrt(list_inner_product(q::DOUBLE[], q::DOUBLE[]))), 6)"
+)
 _NEAR = "SELECT vec_id, label, " + _DIST + " AS distance FROM embeddings, " + _Q7
 _VEC = "list_transform(generate_series(0, 63), lambda i: len(list_filter(list_transform(list_filter(regexp_split_to_array(lower({0}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> ''), lambda w: ('0x' || substring(md5(w), 1, 8))::BIGINT % 64), lambda b: b = i))::DOUBLE)"
 _TEXTD = _ZERO.format("round(1 - list_inner_product(v, q) / (sqrt(list_inner_product(v, v)) * sqrt(list_inner_product(q, q))), 6)")
@@ -164,7 +181,9 @@ ORACLES = {
     "filtered_search": f"SELECT * FROM ({_NEAR.format(7)}) WHERE label = 3 ORDER BY distance, vec_id LIMIT 10",
     "tag_filter": "SELECT doc_id, title FROM documents WHERE list_contains(topics, 'music')",
     "best_chunk_per_doc": f"SELECT vec_id, label, distance, total_chunks FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY distance, vec_id) AS r, count(*) OVER (PARTITION BY label) AS total_chunks FROM ({_NEAR.format(7)} ORDER BY distance, vec_id LIMIT 20)) WHERE r = 1 ORDER BY distance, vec_id LIMIT 5",
-    "knn_join": f"SELECT query_id, id, rank, distance FROM (SELECT query_id, id, distance, (row_number() OVER (PARTITION BY query_id ORDER BY distance, id))::INT AS rank FROM (SELECT q.vec_id AS query_id, e.vec_id AS id, {_DIST.replace('q::', 'q.embedding::').replace('(embedding', '(e.embedding').replace(', embedding', ', e.embedding')} AS distance FROM embeddings e JOIN embeddings q ON q.vec_id % 50 = 0 AND q.vec_id <> e.vec_id)) WHERE rank <= 5",
+    "knn_join": f"SELECT query_id, id, rank, distance FROM (SELECT query_id, id, distance, (row_number() OVER (PARTITION BY query_id ORDER BY distance, id))::INT AS rank FROM (SELECT q.vec_id AS query_id, e.vec_id AS id, {
+        _DIST.replace('q::', 'q.embedding::').replace('(embedding', '(e.embedding').replace(', embedding', ', e.embedding')
+    } AS distance FROM embeddings e JOIN embeddings q ON q.vec_id % 50 = 0 AND q.vec_id <> e.vec_id)) WHERE rank <= 5",
     "similar_chunks": f"SELECT chunk_id, distance FROM {_SIM} LIMIT 10",
     "context_concat": f"SELECT string_agg(text, chr(10) || chr(10) ORDER BY distance, chunk_id) AS context FROM (SELECT * FROM {_SIM} LIMIT 3)",
     "chunk_search": f"""WITH c AS (SELECT doc_id, chunk_index, {_TEXTD} AS distance FROM (SELECT doc_id, chunk_index, {_VEC.format("array_to_string(" + _P200 + ", ' ')")} AS v, {_VEC.format(f"'{QUERY}'")} AS q FROM {_C200}) WHERE list_sum(v) > 0 ORDER BY distance, doc_id, chunk_index LIMIT 20)

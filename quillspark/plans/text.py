@@ -18,20 +18,30 @@ def title_first_line(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def title_cascade(spark: SparkSession, sf: str) -> DataFrame:
-    return once(spark, sf, "source_document", "id", "source_path", "content", "metadata.title").select("id", T.title_cascade(F.col("title"), F.col("source_path"), F.col("content")).alias("title"))
+    return once(spark, sf, "source_document", "id", "source_path", "content", "metadata.title").select(
+        "id", T.title_cascade(F.col("title"), F.col("source_path"), F.col("content")).alias("title"),
+    )
 
 
 def collapse_blank_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return base(spark, sf, "documents").where("text is not null").select("doc_id", T.collapsed_blank_lines(F.col("text")).alias("collapsed"), T.squeezed(F.col("text")).alias("squeezed"))
+    return base(spark, sf, "documents").where("text is not null").select(
+        "doc_id", T.collapsed_blank_lines(F.col("text")).alias("collapsed"), T.squeezed(F.col("text")).alias("squeezed"),
+    )
 
 
 def clean_ocr_entities(spark: SparkSession, sf: str) -> DataFrame:
-    return once(spark, sf, "source_document", "id", "content").where("content is not null").select("id", T.clean_scan_marks(F.col("content")).alias("cleaned"))
+    return once(spark, sf, "source_document", "id", "content").where("content is not null").select(
+        "id", T.clean_scan_marks(F.col("content")).alias("cleaned"),
+    )
 
 
 def strip_md_links(spark: SparkSession, sf: str) -> DataFrame:
-    linked = F.concat(F.lit("See [the\nguide]("), F.coalesce("url", F.lit("https://none.example/")), F.lit(") and ![image](i.png) for "), F.col("title"))
-    return once(spark, sf, "knowledge_item", "item_id", "url", "title").where("title is not null").select("item_id", T.without_markdown_links(linked).alias("plain"))
+    linked = F.concat(
+        F.lit("See [the\nguide]("), F.coalesce("url", F.lit("https://none.example/")), F.lit(") and ![image](i.png) for "), F.col("title"),
+    )
+    return once(spark, sf, "knowledge_item", "item_id", "url", "title").where("title is not null").select(
+        "item_id", T.without_markdown_links(linked).alias("plain"),
+    )
 
 
 def html_to_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -40,25 +50,37 @@ def html_to_text(spark: SparkSession, sf: str) -> DataFrame:
 
 def slugify(spark: SparkSession, sf: str) -> DataFrame:
     t = F.col("title")
-    return base(spark, sf, "documents").select("doc_id", F.concat(T.zero_padded(F.col("doc_id") % 120), F.lit("_"), T.slug_or(t, F.concat(F.lit("section_"), F.col("doc_id").cast("string"))), F.lit(".md")).alias("file_name"), T.anchor(t).alias("anchor"))
+    return base(spark, sf, "documents").select(
+        "doc_id",
+        F.concat(
+            T.zero_padded(F.col("doc_id") % 120), F.lit("_"), T.slug_or(t, F.concat(F.lit("section_"), F.col("doc_id").cast("string"))), F.lit(".md"),
+        ).alias("file_name"),
+        T.anchor(t).alias("anchor"),
+    )
 
 
 def sanitize_names(spark: SparkSession, sf: str) -> DataFrame:
-    return base(spark, sf, "documents").where("source_path is not null").select("doc_id", T.sheet_name(F.concat("source_path", F.lit("?[x]:"))).alias("sheet_name"))
+    return base(spark, sf, "documents").where("source_path is not null").select(
+        "doc_id", T.sheet_name(F.concat("source_path", F.lit("?[x]:"))).alias("sheet_name"),
+    )
 
 
 def parse_filename(spark: SparkSession, sf: str) -> DataFrame:
     s = T.stem(F.col("filename"))
     number = F.regexp_extract(s, r"_(\d+)$", 1)
     return once(spark, sf, "knowledge_main", "chunk_id", "filename").where("filename is not null").select(
-        "chunk_id", T.extension(F.col("filename")).alias("file_type"), F.try_to_number(F.nullif(number, F.lit("")), F.lit("999999999")).cast("bigint").alias("number"),
+        "chunk_id", T.extension(F.col("filename")).alias("file_type"), F.try_to_number(
+            F.nullif(number, F.lit("")), F.lit("999999999"),
+        ).cast("bigint").alias("number"),
         F.initcap(F.translate(F.regexp_replace(s, r"_\d+$", ""), "_-", "  ")).alias("title"),
         F.when(s.rlike(r"(?i)handbook"), "handbook").when(s.rlike(r"(?i)guide"), "guide").when(s.rlike(r"(?i)report"), "report").when(s.rlike(r"(?i)plan"), "plan").otherwise("other").alias("kind"),
     )
 
 
 def truncate_text(spark: SparkSession, sf: str) -> DataFrame:
-    return base(spark, sf, "documents").where("text is not null").select("doc_id", T.truncated(F.col("text"), 100).alias("title"), T.truncated(F.col("text"), 300).alias("preview"))
+    return base(spark, sf, "documents").where("text is not null").select(
+        "doc_id", T.truncated(F.col("text"), 100).alias("title"), T.truncated(F.col("text"), 300).alias("preview"),
+    )
 
 
 def md5_ids(spark: SparkSession, sf: str) -> DataFrame:
@@ -67,7 +89,10 @@ def md5_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 def content_hash(spark: SparkSession, sf: str) -> DataFrame:
     t = F.encode("text", "UTF-8")
-    return base(spark, sf, "documents").where("text is not null").select("doc_id", F.sha2(t, 256).alias("sha256"), F.md5(t).alias("md5"), F.sha1(t).alias("sha1"), F.octet_length("text").cast("bigint").alias("n_bytes"))
+    return base(spark, sf, "documents").where("text is not null").select(
+        "doc_id", F.sha2(t, 256).alias("sha256"), F.md5(t).alias("md5"), F.sha1(t).alias("sha1"),
+        F.octet_length("text").cast("bigint").alias("n_bytes"),
+    )
 
 
 def uuid5_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,7 +100,10 @@ def uuid5_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def url_classify(spark: SparkSession, sf: str) -> DataFrame:
-    return once(spark, sf, "knowledge_item", "item_id", "url").select("item_id", T.is_url(F.col("url")).alias("is_url"), T.is_video_page(F.col("url")).alias("is_video"), F.regexp_extract("url", r"^[a-z]+://([^/]+)", 1).alias("host"))
+    return once(spark, sf, "knowledge_item", "item_id", "url").select(
+        "item_id", T.is_url(F.col("url")).alias("is_url"), T.is_video_page(F.col("url")).alias("is_video"),
+        F.regexp_extract("url", r"^[a-z]+://([^/]+)", 1).alias("host"),
+    )
 
 
 def route_sources(spark: SparkSession, sf: str) -> DataFrame:
@@ -89,28 +117,62 @@ def classify_by_name(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def render_markdown(spark: SparkSession, sf: str) -> DataFrame:
-    meta = F.array_compact(F.array(*(F.when(F.col(c).isNotNull(), F.concat(F.lit(f"- **{label}**: "), F.col(c).cast("string"))) for c, label in (("num_pages", "Pages"), ("file_size", "Size")))))
-    body = F.concat_ws("\n", F.concat(F.lit("# "), F.coalesce("title", F.lit("Untitled Document"))), F.lit(""), F.when(F.size(meta) > 0, F.array_join(meta, "\n")), F.lit(""), F.coalesce("content", F.lit("")))
-    return once(spark, sf, "source_document", "id", "content", "metadata.title", "metadata.num_pages", "metadata.file_size").select("id", F.md5(F.encode(body, "UTF-8")).alias("markdown_md5"), F.length(body).cast("bigint").alias("n_chars"))
+    meta = F.array_compact(
+        F.array(
+            *(F.when(F.col(c).isNotNull(), F.concat(F.lit(f"- **{label}**: "), F.col(c).cast("string"))) for c, label in (("num_pages", "Pages"), ("file_size", "Size")))
+        )
+    )
+    body = F.concat_ws(
+        "\n", F.concat(F.lit("# "), F.coalesce("title", F.lit("Untitled Document"))), F.lit(""), F.when(F.size(meta) > 0, F.array_join(meta, "\n")),
+        F.lit(""), F.coalesce("content", F.lit("")),
+    )
+    return once(
+        spark, sf, "source_document", "id", "content", "metadata.title", "metadata.num_pages", "metadata.file_size",
+    ).select("id", F.md5(F.encode(body, "UTF-8")).alias("markdown_md5"), F.length(body).cast("bigint").alias("n_chars"))
 
 
 def render_html_body(spark: SparkSession, sf: str) -> DataFrame:
     extra = F.coalesce(F.concat(F.lit("<p><em>"), F.nullif(F.trim("summary"), F.lit("")), F.lit("</em></p>")), F.lit(""))
-    return once(spark, sf, "knowledge_item", "item_id", "title", "body", "summary").select("item_id", F.concat(F.lit("<h2>"), F.coalesce("title", F.lit("")), F.lit("</h2><p>"), F.coalesce("body", F.lit("")), F.lit("</p>"), extra).alias("html"))
+    return once(spark, sf, "knowledge_item", "item_id", "title", "body", "summary").select(
+        "item_id",
+        F.concat(F.lit("<h2>"), F.coalesce("title", F.lit("")), F.lit("</h2><p>"), F.coalesce("body", F.lit("")), F.lit("</p>"), extra).alias("html"),
+    )
 
 
 def render_prompt(spark: SparkSession, sf: str) -> DataFrame:
-    return base(spark, sf, "documents").where("text is not null").select("doc_id", F.concat(F.lit("Extract the structure of this document as JSON.\n\nTitle: "), F.coalesce("title", F.lit("unknown")), F.lit("\n\n"), F.substring("text", 1, 5000)).alias("prompt"))
+    return base(spark, sf, "documents").where("text is not null").select(
+        "doc_id",
+        F.concat(
+            F.lit("Extract the structure of this document as JSON.\n\nTitle: "), F.coalesce("title", F.lit("unknown")), F.lit("\n\n"),
+            F.substring("text", 1, 5000),
+        ).alias("prompt"),
+    )
 
 
 def fix_counts(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col("content")
-    return once(spark, sf, "source_document", "id", "content").where("content is not null").select("id", F.regexp_count(c, F.lit(r"\n{3,}")).cast("bigint").alias("blank_runs"), F.regexp_count(c, F.lit(r"&(amp|lt|gt);")).cast("bigint").alias("entities"), F.regexp_count(c, F.lit("[‘’“”]")).cast("bigint").alias("quotes"), F.regexp_count(c, F.lit(r"=== Page \d+ ===")).cast("bigint").alias("markers"))
+    return once(spark, sf, "source_document", "id", "content").where("content is not null").select(
+        "id", F.regexp_count(c, F.lit(r"\n{3,}")).cast("bigint").alias("blank_runs"),
+        F.regexp_count(c, F.lit(r"&(amp|lt|gt);")).cast("bigint").alias("entities"),
+        F.regexp_count(c, F.lit("[‘’“”]")).cast("bigint").alias("quotes"),
+        F.regexp_count(c, F.lit(r"=== Page \d+ ===")).cast("bigint").alias("markers"),
+    )
 
 
 def rule_extract_json(spark: SparkSession, sf: str) -> DataFrame:
-    made = base(spark, sf, "documents").where("text is not null").select("doc_id", F.to_json(F.struct(F.col("doc_id").alias("document_id"), T.title_of_text(F.col("text")).alias("title"), F.struct(F.lit(1).alias("level"), T.truncated(F.col("text"), 200).alias("content_summary")).alias("section"))).alias("j"))
-    return made.select("doc_id", F.get_json_object("j", "$.title").alias("title"), F.get_json_object("j", "$.section.content_summary").alias("summary"), F.get_json_object("j", "$.document_id").cast("bigint").alias("document_id"))
+    made = base(spark, sf, "documents").where("text is not null").select(
+        "doc_id",
+        F.to_json(
+            F.struct(
+                F.col("doc_id").alias("document_id"), T.title_of_text(F.col("text")).alias("title"),
+                F.struct(F.lit(1).alias("level"), T.truncated(F.col("text"), 200).alias("content_summary")).alias("section"),
+            )
+        ).alias("j"),
+    )
+    return made.select(
+        "doc_id", F.get_json_object("j", "$.title").alias("title"), F.get_json_object("j", "$.section.content_summary").alias("summary"),
+        F.get_json_object("j", "$.document_id").cast("bigint").alias("document_id"),
+    )
 
 
 def json_salvage(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,7 +185,10 @@ def json_extract_props(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def json_build(spark: SparkSession, sf: str) -> DataFrame:
-    return base(spark, sf, "events").select("event_id", F.get_json_object(F.to_json(F.struct("user_id", "event_type")), "$.event_type").alias("event_type"), F.get_json_object(F.to_json(F.struct("user_id", "event_type")), "$.user_id").cast("bigint").alias("user_id"))
+    return base(spark, sf, "events").select(
+        "event_id", F.get_json_object(F.to_json(F.struct("user_id", "event_type")), "$.event_type").alias("event_type"),
+        F.get_json_object(F.to_json(F.struct("user_id", "event_type")), "$.user_id").cast("bigint").alias("user_id"),
+    )
 
 
 _FIRST = "list_filter(list_transform(string_split(text, chr(10)){0}, lambda x: trim(replace(replace(x, chr(9), ' '), chr(13), ' '))), lambda x: x <> '')[1]"
@@ -143,7 +208,9 @@ ORACLES = {
     "clean_ocr_entities": rf"""SELECT id, regexp_replace(regexp_replace(regexp_replace(replace(replace(replace(translate(content, chr(8216) || chr(8217) || chr(8220) || chr(8221), chr(39) || chr(39) || chr(34) || chr(34)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'),
         '\| +\|', '| |', 'g'), '(?m)^(\d+\.\d+) +(\p{{Lu}}[^\n]*)$', '## \1 \2', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g') AS cleaned FROM {SRC} WHERE content IS NOT NULL""",
     "strip_md_links": rf"SELECT item_id, regexp_replace('See [the' || chr(10) || 'guide](' || coalesce(url, 'https://none.example/') || ') and ![image](i.png) for ' || title, '!?\[[^\]]*\]\([^)]*\)', '', 'g') AS plain FROM {ITEM} WHERE title IS NOT NULL",
-    "html_to_text": rf"""SELECT doc_id, {_SQUEEZE.format(r"regexp_replace(regexp_replace(text, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '<[^<>]*>', ' ', 'g')")} AS plain FROM documents WHERE text IS NOT NULL""",
+    "html_to_text": rf"""SELECT doc_id, {
+        _SQUEEZE.format(r"regexp_replace(regexp_replace(text, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '<[^<>]*>', ' ', 'g')")
+    } AS plain FROM documents WHERE text IS NOT NULL""",
     "slugify": rf"""SELECT doc_id, lpad((doc_id % 120)::VARCHAR, greatest(2, length((doc_id % 120)::VARCHAR))::INT, '0') || '_' || coalesce(nullif({_SLUG}, ''), 'section_' || doc_id) || '.md' AS file_name,
         regexp_replace(regexp_replace(replace(lower(title), ' ', '-'), '[.,]', '', 'g'), '[^\p{{L}}\p{{N}}_-]', '', 'g') AS anchor FROM documents""",
     "sanitize_names": r"SELECT doc_id, translate(substring(source_path || '?[x]:', 1, 31), ':\/?*[]', '_______') AS sheet_name FROM documents WHERE source_path IS NOT NULL",

@@ -40,7 +40,9 @@ def hash_embedder(texts: list[str], dim: int = 64) -> list[list[float]]:
     return out
 
 
-def completed(df: DataFrame, prompt: str, complete: Callable[[list[str]], list[str]], out: str = "answer", batch: int = 32, retries: int = 2) -> DataFrame:
+def completed(
+    df: DataFrame, prompt: str, complete: Callable[[list[str]], list[str]], out: str = "answer", batch: int = 32, retries: int = 2,
+) -> DataFrame:
     """Adds the answers to the prompts; a batch that fails is tried again, and then its rows get ``<out>_error``."""
     names = df.columns
 

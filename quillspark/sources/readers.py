@@ -23,7 +23,12 @@ METADATA = T.StructType([
     T.StructField("title", T.StringType()), T.StructField("author", T.StringType()), T.StructField("num_pages", T.LongType()), T.StructField("num_processed_pages", T.LongType()),
 ])
 PAGES = T.ArrayType(T.StructType([T.StructField("page_number", T.IntegerType()), T.StructField("text", T.StringType())]))
-DOCUMENT = T.StructType([T.StructField("source_path", T.StringType()), T.StructField("content", T.StringType()), T.StructField("metadata", METADATA), T.StructField("pages", PAGES), T.StructField("error", T.StringType())])
+DOCUMENT = T.StructType(
+    [
+        T.StructField("source_path", T.StringType()), T.StructField("content", T.StringType()), T.StructField("metadata", METADATA),
+        T.StructField("pages", PAGES), T.StructField("error", T.StringType()),
+    ]
+)
 # Extensions that are read from a folder.
 EXTENSIONS = ("pdf", "docx", "doc", "pptx", "ppt", "txt", "md", "json", "jpg", "jpeg", "png", "gif", "bmp", "tiff", "mp3", "wav", "mp4", "mov", "avi")
 # End of the fixed values.
@@ -53,7 +58,9 @@ def large_files(spark: SparkSession, path: str, least: str = "10M", n: int = 20)
 
 
 def file_hashes(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    return binary(spark, path, recursive).select("path", F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"), F.sha1("content").alias("sha1"))
+    return binary(spark, path, recursive).select(
+        "path", F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"), F.sha1("content").alias("sha1"),
+    )
 
 
 def _shaped(df: DataFrame) -> DataFrame:
@@ -80,14 +87,25 @@ def extracted(files: DataFrame, extract: Callable[[bytes, str], dict]) -> DataFr
                 except Exception as e:
                     found.append({"content": None, "title": None, "author": None, "pages": None, "error": f"{type(e).__name__}: {e}"[:500]})
             page = pa.list_(pa.struct([("page_number", pa.int32()), ("text", pa.string())]))
-            yield pa.RecordBatch.from_arrays([b.column("path"), b.column("length"), b.column("modificationTime"), *(pa.array([x[k] for x in found], t) for k, t in (("content", pa.string()), ("title", pa.string()), ("author", pa.string()), ("pages", page), ("error", pa.string())))], names=["path", "length", "modificationTime", "content", "title", "author", "pages", "error"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column("path"), b.column("length"), b.column("modificationTime"),
+                    *(pa.array([x[k] for x in found], t) for k, t in (("content", pa.string()), ("title", pa.string()), ("author", pa.string()), ("pages", page), ("error", pa.string()))),
+                ],
+                names=["path", "length", "modificationTime", "content", "title", "author", "pages", "error"],
+            )
 
     return _shaped(files.select("path", "length", "modificationTime", "content").mapInArrow(run, _EXTRACTED))
 
 
 def text(files: DataFrame, encoding: str = "UTF-8") -> DataFrame:
     """Text and Markdown files as a whole; JVM only."""
-    return _shaped(files.select("path", "length", "modificationTime", F.decode("content", encoding).alias("content"), F.lit(None).alias("title"), F.lit(None).alias("author"), F.lit(None).cast(PAGES).alias("pages"), F.lit(None).cast("string").alias("error")))
+    return _shaped(
+        files.select(
+            "path", "length", "modificationTime", F.decode("content", encoding).alias("content"), F.lit(None).alias("title"),
+            F.lit(None).alias("author"), F.lit(None).cast(PAGES).alias("pages"), F.lit(None).cast("string").alias("error"),
+        )
+    )
 
 
 def json(files: DataFrame) -> DataFrame:
@@ -158,7 +176,10 @@ def load(spark: SparkSession, path: str, recursive: bool = False, providers: dic
     for name, f in extractors.items():
         out = out.unionByName(extracted(files.where(F.col("_route") == name), f))
     missing = [r for r in ("pdf", "audio", "video") if r not in extractors]
-    absent = files.where(F.col("_route").isin(*missing)).select("path", "length", "modificationTime", F.lit(None).cast("string").alias("content"), F.lit(None).alias("title"), F.lit(None).alias("author"), F.lit(None).cast(PAGES).alias("pages"), F.concat(F.lit("no extractor for "), "_route").alias("error"))
+    absent = files.where(F.col("_route").isin(*missing)).select(
+        "path", "length", "modificationTime", F.lit(None).cast("string").alias("content"), F.lit(None).alias("title"), F.lit(None).alias("author"),
+        F.lit(None).cast(PAGES).alias("pages"), F.concat(F.lit("no extractor for "), "_route").alias("error"),
+    )
     return out.unionByName(_shaped(absent))
 
 

@@ -33,7 +33,10 @@ def write_csv_split(df: DataFrame, path: str, key: str) -> None:
     flat, sides = side_tables(df, key)
     flat.write.mode("overwrite").csv(f"{path}/main", header=True)
     for name, t in sides.items():
-        simple = t.select(key, "place", F.to_json("value").alias("value") if t.schema["value"].dataType.typeName() in ("struct", "array", "map") else F.col("value").cast("string"))
+        simple = t.select(
+            key, "place",
+            F.to_json("value").alias("value") if t.schema["value"].dataType.typeName() in ("struct", "array", "map") else F.col("value").cast("string"),
+        )
         simple.write.mode("overwrite").csv(f"{path}/{name}", header=True)
 
 
@@ -49,7 +52,9 @@ def merged(*named: tuple[str, DataFrame]) -> DataFrame:
 def column_widths(df: DataFrame, most: int = 50) -> DataFrame:
     """(column, width) for a sheet: the longest value or the name, and 2; at most ``most``."""
     cols = df.columns
-    w = df.agg(*(F.least(F.greatest(F.coalesce(F.max(F.length(F.col(c).cast("string"))), F.lit(0)), F.lit(len(c))) + 2, F.lit(most)).alias(c) for c in cols))
+    w = df.agg(
+        *(F.least(F.greatest(F.coalesce(F.max(F.length(F.col(c).cast("string"))), F.lit(0)), F.lit(len(c))) + 2, F.lit(most)).alias(c) for c in cols)
+    )
     return w.unpivot([], cols, "column", "width")
 
 
@@ -72,16 +77,33 @@ def write_workbook(path: str, sheets: dict[str, DataFrame]) -> None:
     package = "http://schemas.openxmlformats.org/package/2006"
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         n = range(1, len(names) + 1)
-        z.writestr("[Content_Types].xml", f'<Types xmlns="{package}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/styles.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/>' + "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in n) + "</Types>")
-        z.writestr("_rels/.rels", f'<Relationships xmlns="{package}/relationships"><Relationship Id="r1" Type="{rel}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
-        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>' + "".join(f'<sheet name="{escape(x, {chr(34): "&quot;"})}" sheetId="{i}" r:id="s{i}"/>' for i, x in zip(n, names)) + "</sheets></workbook>")
-        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{package}/relationships">' + "".join(f'<Relationship Id="s{i}" Type="{rel}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in n) + f'<Relationship Id="st" Type="{rel}/styles" Target="styles.xml"/></Relationships>')
-        z.writestr("xl/styles.xml", f'<styleSheet xmlns="{main}"><fonts count="2"><font/><font><b/></font></fonts><fills count="1"><fill/></fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs><cellXfs count="2"><xf/><xf fontId="1" applyFont="1"/></cellXfs></styleSheet>')
+        z.writestr(
+            "[Content_Types].xml",
+            f'<Types xmlns="{package}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/styles.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/>' + "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in n) + "</Types>",
+        )
+        z.writestr(
+            "_rels/.rels",
+            f'<Relationships xmlns="{package}/relationships"><Relationship Id="r1" Type="{rel}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
+        )
+        z.writestr(
+            "xl/workbook.xml",
+            f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>' + "".join(f'<sheet name="{escape(x, {chr(34): "&quot;"})}" sheetId="{i}" r:id="s{i}"/>' for i, x in zip(n, names)) + "</sheets></workbook>",
+        )
+        z.writestr(
+            "xl/_rels/workbook.xml.rels",
+            f'<Relationships xmlns="{package}/relationships">' + "".join(f'<Relationship Id="s{i}" Type="{rel}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in n) + f'<Relationship Id="st" Type="{rel}/styles" Target="styles.xml"/></Relationships>',
+        )
+        z.writestr(
+            "xl/styles.xml",
+            f'<styleSheet xmlns="{main}"><fonts count="2"><font/><font><b/></font></fonts><fills count="1"><fill/></fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs><cellXfs count="2"><xf/><xf fontId="1" applyFont="1"/></cellXfs></styleSheet>',
+        )
         for i, df in zip(n, sheets.values()):
             widths = {r.column: r.width for r in column_widths(df).collect()}
             with z.open(f"xl/worksheets/sheet{i}.xml", "w") as f:
                 put = lambda s: f.write(s.encode())  # noqa: B023, E731
-                put(f'<worksheet xmlns="{main}"><cols>' + "".join(f'<col min="{k}" max="{k}" width="{widths[c]}" customWidth="1"/>' for k, c in enumerate(df.columns, 1)) + "</cols><sheetData>")
+                put(
+                    f'<worksheet xmlns="{main}"><cols>' + "".join(f'<col min="{k}" max="{k}" width="{widths[c]}" customWidth="1"/>' for k, c in enumerate(df.columns, 1)) + "</cols><sheetData>"
+                )
                 put("<row>" + "".join(_cell(c, ' s="1"') for c in df.columns) + "</row>")
                 for row in df.toLocalIterator(prefetchPartitions=True):
                     put("<row>" + "".join(_cell(v) for v in row) + "</row>")

@@ -12,7 +12,10 @@ from ..operators.chunks import token_windows
 def text_stream(spark: SparkSession, path: str, files_per_trigger: int = 1_000) -> DataFrame:
     """(source_path, content, modified_at) of text files as they come."""
     raw = spark.readStream.format("text").option("wholetext", "true").option("maxFilesPerTrigger", files_per_trigger).load(path)
-    return raw.select(F.col("_metadata.file_path").alias("source_path"), F.col("value").alias("content"), F.col("_metadata.file_modification_time").alias("modified_at"))
+    return raw.select(
+        F.col("_metadata.file_path").alias("source_path"), F.col("value").alias("content"),
+        F.col("_metadata.file_modification_time").alias("modified_at"),
+    )
 
 
 def chunk_stream(documents: DataFrame, size: int = 800, overlap: int = 100) -> DataFrame:
@@ -25,7 +28,9 @@ def first_seen_stream(df: DataFrame, key: str, time: str, late: str = "1 day") -
 
 
 def counts_stream(df: DataFrame, time: str, group: str, window: str = "1 hour", late: str = "10 minutes") -> DataFrame:
-    g = df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).groupBy(F.window(time, window).alias("w"), group).agg(F.count(F.lit(1)).alias("n"))
+    g = df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).groupBy(
+        F.window(time, window).alias("w"), group,
+    ).agg(F.count(F.lit(1)).alias("n"))
     return g.select(F.col("w.start").alias("start"), group, "n")
 
 

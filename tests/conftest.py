@@ -9,7 +9,13 @@ DATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    s = session.build("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false", "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
+    s = session.build(
+        "tests", "local[4]",
+        **{
+            "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
+    )
     s.sparkContext.setLogLevel("ERROR")
     s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield s

@@ -17,7 +17,13 @@ def one(spark, column):
     return spark.range(1).select(column.alias("x")).first().x
 
 
-@pytest.mark.parametrize("f", [T.slug, T.anchor, T.squeezed, T.collapsed_blank_lines, T.clean_scan_marks, T.without_markdown_links, T.without_tags, T.sheet_name, T.uuid5, T.subtitle_text, T.salvaged_json])
+@pytest.mark.parametrize(
+    "f",
+    [
+        T.slug, T.anchor, T.squeezed, T.collapsed_blank_lines, T.clean_scan_marks, T.without_markdown_links, T.without_tags, T.sheet_name, T.uuid5,
+        T.subtitle_text, T.salvaged_json,
+    ],
+)
 def test_null_stays_null(spark, f):
     assert one(spark, f(F.lit(None).cast("string"))) is None
 
@@ -64,14 +70,18 @@ def test_merged_lines(spark):
     text = "First part of the\nsecond.\n\nA hyphen-\nated word\n=== Page 2 ===\nNext: no\n- item\nlast of\nThe end"
     got = L.merge_broken_lines(L.exploded(spark.createDataFrame([(1, text)], "id int, t string"), "id", "t"), "id").orderBy("paragraph").collect()
     assert [r.text for r in got] == ["First part of the second.", "", "A hyphen ated word", "=== Page 2 ===", "Next: no - item last of The end"]
-    glued = L.merge_broken_lines(L.exploded(spark.createDataFrame([(1, "a hyphen-\nated word")], "id int, t string"), "id", "t"), "id", glue_hyphen=True).first()
+    glued = L.merge_broken_lines(
+        L.exploded(spark.createDataFrame([(1, "a hyphen-\nated word")], "id int, t string"), "id", "t"), "id", glue_hyphen=True,
+    ).first()
     assert glued.text == "a hyphenated word"
 
 
 def test_headings_and_sections(spark):
     text = "INTRODUCTION\nbody of it\n\n1. First thing\nmore\n\nShort one\n\n  indented\nEND."
     lines = L.detect_headings(L.exploded(spark.createDataFrame([(1, text)], "id int, t string"), "id", "t"), "id")
-    assert [r.heading for r in lines.where("heading is not null").orderBy("line_no").collect()] == ["## INTRODUCTION", "## 1. First thing", "## Short one"]
+    assert [r.heading for r in lines.where("heading is not null").orderBy("line_no").collect()] == [
+        "## INTRODUCTION", "## 1. First thing", "## Short one",
+    ]
     md = "before\n# One\n## Two\nbody\n## Two\n\n"
     got = L.extract_sections(L.exploded(spark.createDataFrame([(1, md)], "id int, t string"), "id", "t"), "id").orderBy("section_no").collect()
     assert [(r.level, r.heading, r.content) for r in got] == [(None, None, "before"), (2, "Two", "body"), (2, "Two", "\n")]
@@ -80,7 +90,10 @@ def test_headings_and_sections(spark):
 def test_empty_tables(spark):
     d = spark.createDataFrame([], "id int, t string")
     lines = L.exploded(d, "id", "t")
-    for out in (L.merge_broken_lines(lines, "id"), L.detect_headings(lines, "id"), L.extract_sections(lines, "id"), C.token_windows(d, "t"), C.fixed_chars(d, "t"), C.sentences(d, "t"), V.bm25(d, "id", "t", "a word", 5)):
+    for out in (
+        L.merge_broken_lines(lines, "id"), L.detect_headings(lines, "id"), L.extract_sections(lines, "id"), C.token_windows(d, "t"),
+        C.fixed_chars(d, "t"), C.sentences(d, "t"), V.bm25(d, "id", "t", "a word", 5),
+    ):
         assert out.count() == 0
 
 
@@ -131,9 +144,14 @@ def test_flattened_names_that_clash(spark):
 
 
 def test_sheets(spark):
-    d = spark.createDataFrame([(1, '{"a":[{"k":1},{"k":2}],"b":{"k":3}}'), (2, '{"a":1}'), (3, "[{\"x\":1}]"), (4, "5"), (5, "nonsense{"), (6, None)], "id int, j string")
+    d = spark.createDataFrame(
+        [(1, '{"a":[{"k":1},{"k":2}],"b":{"k":3}}'), (2, '{"a":1}'), (3, "[{\"x\":1}]"), (4, "5"), (5, "nonsense{"), (6, None)], "id int, j string",
+    )
     got = {(r.id, r.sheet, r.row_no): dict(r.cells) for r in N.sheets(d, "id", "j").collect() if r.id < 5}
-    assert got == {(1, "a", 0): {"k": "1"}, (1, "a", 1): {"k": "2"}, (1, "b", 0): {"k": "3"}, (2, "Data", 0): {"a": "1"}, (3, "Data", 0): {"x": "1"}, (4, "Data", 0): {"value": "5"}}
+    assert got == {
+        (1, "a", 0): {"k": "1"}, (1, "a", 1): {"k": "2"}, (1, "b", 0): {"k": "3"}, (2, "Data", 0): {"a": "1"}, (3, "Data", 0): {"x": "1"},
+        (4, "Data", 0): {"value": "5"},
+    }
 
 
 @pytest.mark.parametrize("ratio", [0.6, 0.75, 0.85, 1.0])

@@ -31,4 +31,6 @@ def test_abbreviations_end_no_sentence(spark):
     from quillspark.operators import chunks as C
 
     d = spark.createDataFrame([(1, "Mr. Hale met Dr. Roe. They left at 5 p.m. Then what? Home."), (2, None), (3, "")], "id int, text string")
-    assert [r.content for r in C.sentences(d, "text").orderBy("id", "chunk_index").collect()] == ["Mr. Hale met Dr. Roe.", "They left at 5 p.m. Then what?", "Home."]
+    assert [r.content for r in C.sentences(d, "text").orderBy("id", "chunk_index").collect()] == [
+        "Mr. Hale met Dr. Roe.", "They left at 5 p.m. Then what?", "Home.",
+    ]

@@ -18,8 +18,13 @@ def docx(title: str, *paragraphs: str) -> bytes:
     w = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as z:
-        z.writestr("word/document.xml", f'<w:document xmlns:w="{w}"><w:body>' + "".join(f"<w:p><w:r><w:t>{p}</w:t></w:r></w:p>" for p in paragraphs) + "</w:body></w:document>")
-        z.writestr("docProps/core.xml", f'<c xmlns:dc="http://purl.org/dc/elements/1.1/"><dc:title>{title}</dc:title><dc:creator>A. Writer</dc:creator></c>')
+        z.writestr(
+            "word/document.xml",
+            f'<w:document xmlns:w="{w}"><w:body>' + "".join(f"<w:p><w:r><w:t>{p}</w:t></w:r></w:p>" for p in paragraphs) + "</w:body></w:document>",
+        )
+        z.writestr(
+            "docProps/core.xml", f'<c xmlns:dc="http://purl.org/dc/elements/1.1/"><dc:title>{title}</dc:title><dc:creator>A. Writer</dc:creator></c>',
+        )
     return out.getvalue()
 
 
@@ -44,7 +49,9 @@ def test_load(spark, folder):
     assert got["c.docx"].content == "One\nTwo" and got["c.docx"].metadata.title == "Plan"
     assert got["broken.docx"].error and got["bad.json"].error and got["d.pdf"].error == "no extractor for pdf"
     assert got["e.png"].content == "width=640 height=480" and got["a.txt"].error is None
-    with_pdf = readers.load(spark, str(folder), providers={"pdf": lambda data, path: {"content": "text of it", "pages": [{"page_number": 1, "text": "text of it"}]}})
+    with_pdf = readers.load(
+        spark, str(folder), providers={"pdf": lambda data, path: {"content": "text of it", "pages": [{"page_number": 1, "text": "text of it"}]}},
+    )
     assert {r.metadata.filename: r.metadata.num_pages for r in with_pdf.where("content = 'text of it'").collect()} == {"d.pdf": 1}
 
 
@@ -106,8 +113,12 @@ def test_catalog(spark):
 
 
 def test_schemas():
-    name, s = schema_of_yaml("name: Notes\nproperties:\n  - {name: text, data_type: text}\n  - {name: n, data_type: int}\n  - {name: tags, data_type: 'text[]'}\n  - {name: odd, data_type: unheard}\n")
-    assert name == "Notes" and [f.dataType.simpleString() for f in s.fields] == ["string", "string", "bigint", "array<string>", "string", "array<float>"]
+    name, s = schema_of_yaml(
+        "name: Notes\nproperties:\n  - {name: text, data_type: text}\n  - {name: n, data_type: int}\n  - {name: tags, data_type: 'text[]'}\n  - {name: odd, data_type: unheard}\n"
+    )
+    assert name == "Notes" and [f.dataType.simpleString() for f in s.fields] == [
+        "string", "string", "bigint", "array<string>", "string", "array<float>",
+    ]
     assert schema_of("a TEXT").names == ["uuid", "a"]
 
 
