@@ -60,7 +60,10 @@ def schedule(weights: list[float], blocks: list[int]) -> Iterator[tuple[int, int
 
 
 def _targets(target: DataFrame) -> DataFrame:
-    clean = target.select(standard_source("source").alias("source"), F.greatest(F.coalesce(F.col("weight").cast("double"), F.lit(0.0)), F.lit(0.0)).alias("weight"), F.greatest(F.coalesce(F.col("max_repeats").cast("int"), F.lit(1)), F.lit(1)).alias("max_repeats"))
+    clean = target.select(
+        standard_source("source").alias("source"), F.greatest(F.coalesce(F.col("weight").cast("double"), F.lit(0.0)), F.lit(0.0)).alias("weight"),
+        F.greatest(F.coalesce(F.col("max_repeats").cast("int"), F.lit(1)), F.lit(1)).alias("max_repeats"),
+    )
     return clean.where("source is not null").groupBy("source").agg(F.sum("weight").alias("weight"), F.max("max_repeats").alias("max_repeats"))
 
 
@@ -87,13 +90,20 @@ def mix(counted: DataFrame, target: DataFrame, total_tokens: int | None = None,
     steps, over buckets and within each, so that no task sorts a whole source.
     """
     spark = counted.sparkSession
-    src = counted.select(standard_source("source").alias("source"), "doc_id", "n_tokens").where("source is not null and n_tokens > 0").withColumn("hash", F.xxhash64("doc_id")).withColumn("bucket", F.pmod(F.shiftrightunsigned("hash", 8), F.lit(BUCKETS)).cast("int"))
+    src = counted.select(standard_source("source").alias("source"), "doc_id", "n_tokens").where("source is not null and n_tokens > 0").withColumn("hash", F.xxhash64("doc_id")).withColumn(
+        "bucket", F.pmod(F.shiftrightunsigned("hash", 8), F.lit(BUCKETS)).cast("int"),
+    )
     by_bucket = src.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("tokens"))
     known = by_bucket.join(F.broadcast(_targets(target).select("source")), "source")
     rows, block = _plan(spark, known.groupBy("source").agg(F.sum("tokens").alias("tokens")), target, total_tokens, block_tokens)
-    plan = spark.createDataFrame([(r["source"], float(r["weight"]), int(r["max_repeats"]), int(r["tokens"]), int(r["quota"])) for r in rows], "source string, weight double, max_repeats int, tokens bigint, quota bigint")
+    plan = spark.createDataFrame(
+        [(r["source"], float(r["weight"]), int(r["max_repeats"]), int(r["tokens"]), int(r["quota"])) for r in rows],
+        "source string, weight double, max_repeats int, tokens bigint, quota bigint",
+    )
     # at most BUCKETS rows for each source of the target
-    before = known.withColumn("before", F.sum("tokens").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))).select("source", "bucket", F.coalesce("before", F.lit(0)).alias("before"))
+    before = known.withColumn(
+        "before", F.sum("tokens").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
+    ).select("source", "bucket", F.coalesce("before", F.lit(0)).alias("before"))
     within = Window.partitionBy("source", "bucket").orderBy("hash", "doc_id")
     placed = (
         src.join(F.broadcast(plan.where("quota > 0").select("source", F.col("tokens").alias("length"), "quota")), "source")
@@ -127,14 +137,22 @@ def mix(counted: DataFrame, target: DataFrame, total_tokens: int | None = None,
 
 def _slot_batch(rows: list[tuple[int, int, int]], names: list[str]) -> pa.RecordBatch:
     slot, source, block = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), pa.array([names[i] for i in source], pa.string()), pa.array(block, pa.int64())], names=["slot", "source", "block_no"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(slot, pa.int64()), pa.array([names[i] for i in source], pa.string()), pa.array(block, pa.int64())],
+        names=["slot", "source", "block_no"],
+    )
 
 
 def shares(mixed: DataFrame, plan: DataFrame) -> DataFrame:
     """Target and reached share of each source of the target."""
-    got = mixed.groupBy("source").agg(F.count(F.lit(1)).alias("n_used"), F.countDistinct("doc_id").alias("n_records"), (F.max("repeat_no") + 1).alias("most_used"), F.sum("n_tokens").alias("used_tokens"))
+    got = mixed.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_used"), F.countDistinct("doc_id").alias("n_records"), (F.max("repeat_no") + 1).alias("most_used"),
+        F.sum("n_tokens").alias("used_tokens"),
+    )
     every = Window.partitionBy()  # over the rows of the target
     return plan.join(got, "source", "left").select(
-        "source", F.try_divide("weight", F.sum("weight").over(every)).alias("target_share"), F.coalesce(F.try_divide(F.coalesce("used_tokens", F.lit(0)), F.sum(F.coalesce("used_tokens", F.lit(0))).over(every)), F.lit(0.0)).alias("actual_share"),
+        "source", F.try_divide("weight", F.sum("weight").over(every)).alias("target_share"), F.coalesce(
+            F.try_divide(F.coalesce("used_tokens", F.lit(0)), F.sum(F.coalesce("used_tokens", F.lit(0))).over(every)), F.lit(0.0),
+        ).alias("actual_share"),
         F.coalesce("used_tokens", F.lit(0)).alias("used_tokens"), F.coalesce("n_used", F.lit(0)).alias("n_used"), F.coalesce("n_records", F.lit(0)).alias("n_records"), F.coalesce("most_used", F.lit(0)).alias("most_used"), "max_repeats",
     )

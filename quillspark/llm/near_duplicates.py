@@ -150,7 +150,13 @@ def _features(settings: Settings):
             sig = (min_hashes(x, begin, settings.hashes, 2) >> np.uint32(16)).astype(np.uint16).T
             ends = [*begin[1:].tolist(), len(x)]
             sets = [np.unique(x[i:j]).tobytes() for i, j in zip(begin.tolist(), ends)]
-            yield pa.RecordBatch.from_arrays([b.column("id").filter(pa.array(keep)), pa.array([s.tobytes() for s in np.ascontiguousarray(sig)], pa.binary()), pa.array(sets, pa.binary())], names=["id", "sig", "shingles"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column("id").filter(pa.array(keep)), pa.array([s.tobytes() for s in np.ascontiguousarray(sig)], pa.binary()),
+                    pa.array(sets, pa.binary()),
+                ],
+                names=["id", "sig", "shingles"],
+            )
 
     return run
 
@@ -200,7 +206,9 @@ def _verify(settings: Settings):
                 found.append(both / (len(x) + len(y) - both))
             like = np.array(found, np.float64)
             keep = pa.array(like >= settings.threshold - 1e-12)
-            yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep), pa.array(like).filter(keep)], names=["a", "b", "similarity"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("a").filter(keep), b.column("b").filter(keep), pa.array(like).filter(keep)], names=["a", "b", "similarity"],
+            )
 
     return run
 
@@ -219,7 +227,9 @@ def class_links(texts: DataFrame, text_col: str, settings: Settings) -> DataFram
     """(a, b, similarity), a < b: the classes of different texts that are alike. Written to the shared folder."""
     src = texts.where(F.col(text_col).isNotNull()).select(_class(text_col).alias("id"), F.col(text_col).alias("t"))
     bands = src.mapInArrow(_band_keys(settings), "id bigint, keys array<bigint>").select("id", F.explode("keys").alias("key"))
-    pairs = bands.alias("l").join(bands.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.id") < F.col("r.id"))).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+    pairs = bands.alias("l").join(
+        bands.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.id") < F.col("r.id")),
+    ).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
     candidates = materialise(pairs.distinct())
     ids = candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     ids = materialise(ids)
@@ -250,15 +260,21 @@ def found_pairs(texts: DataFrame, id_col: str, text_col: str, settings: Settings
     """(id_a, id_b), smaller first: all pairs of ids whose texts are alike, equal texts included."""
     of = classes(texts, id_col, text_col)
     links = class_links(texts, text_col, settings)
-    across = links.join(of.select(F.col("class").alias("a"), F.col("id").alias("x")), "a").join(of.select(F.col("class").alias("b"), F.col("id").alias("y")), "b").select("x", "y")
+    across = links.join(
+        of.select(F.col("class").alias("a"), F.col("id").alias("x")), "a",
+    ).join(of.select(F.col("class").alias("b"), F.col("id").alias("y")), "b").select("x", "y")
     # classes with more than one id; of their texts only those with enough words count
     many = of.groupBy("class").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("class")
     src = texts.where(F.col(text_col).isNotNull()).select(_class(text_col).alias("class"), F.col(text_col).alias("t"))
     many = materialise(many)
     many = F.broadcast(many) if many.count() <= BROADCAST_IDS else many
-    long = countable(src.where(F.length("t") >= 2 * max(settings.min_words, settings.words) - 1).join(many, "class", "left_semi"), "t", settings).distinct()
+    long = countable(
+        src.where(F.length("t") >= 2 * max(settings.min_words, settings.words) - 1).join(many, "class", "left_semi"), "t", settings,
+    ).distinct()
     copies = of.join(long, "class", "left_semi")
-    within = copies.alias("l").join(copies.alias("r"), (F.col("l.class") == F.col("r.class")) & (F.col("l.id") < F.col("r.id"))).select(F.col("l.id").alias("x"), F.col("r.id").alias("y"))
+    within = copies.alias("l").join(
+        copies.alias("r"), (F.col("l.class") == F.col("r.class")) & (F.col("l.id") < F.col("r.id")),
+    ).select(F.col("l.id").alias("x"), F.col("r.id").alias("y"))
     both = across.unionByName(within).where("x <> y")
     return both.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
 
@@ -270,7 +286,9 @@ def groups(texts: DataFrame, id_col: str, text_col: str, settings: Settings) ->
     links = class_links(texts, text_col, settings)
     label = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count(F.lit(1)).alias("n_links"))
-    named = of.join(label, "class", "left").join(degree, "class", "left").select("id", F.coalesce("root", "class").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    named = of.join(label, "class", "left").join(degree, "class", "left").select(
+        "id", F.coalesce("root", "class").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    )
     names = named.groupBy("root").agg(F.min("id").alias("group_id"))
     return named.join(names, "root").select("id", "group_id", "n_links")
 
@@ -290,11 +308,15 @@ def components(links: DataFrame) -> DataFrame:
         # small star: each node and its smaller neighbours go to the smallest of these
         down = large.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b"))
         root = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(root, "a").select(F.col("b").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(root.select(F.col("a").alias("u"), F.col("m").alias("v"))).distinct()
+        small = down.join(root, "a").select(F.col("b").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(
+            root.select(F.col("a").alias("u"), F.col("m").alias("v"))
+        ).distinct()
         old, edges = edges, materialise(small.select(F.col("v").alias("a"), F.col("u").alias("b")))
         released(old)
         state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if state == before:
             break
         before = state
-    return edges.select(F.col("b").alias("class"), F.col("a").alias("root")).unionByName(edges.select(F.col("a").alias("class"), F.col("a").alias("root"))).distinct()
+    return edges.select(F.col("b").alias("class"), F.col("a").alias("root")).unionByName(
+        edges.select(F.col("a").alias("class"), F.col("a").alias("root"))
+    ).distinct()

@@ -61,13 +61,17 @@ def usable(values: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _packed(x: np.ndarray) -> pa.Array:
-    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(x.shape[1] * 4), len(x), [None, pa.py_buffer(np.ascontiguousarray(x, np.float32))]).cast(pa.binary())
+    return pa.FixedSizeBinaryArray.from_buffers(
+        pa.binary(x.shape[1] * 4), len(x), [None, pa.py_buffer(np.ascontiguousarray(x, np.float32))],
+    ).cast(pa.binary())
 
 
 def _unpacked(col: pa.Array, dim: int) -> np.ndarray:
     col = pa.concat_arrays(col.chunks) if isinstance(col, pa.ChunkedArray) else col
     offset = np.frombuffer(col.buffers()[1], np.int32)[col.offset] if len(col) else 0
-    return np.frombuffer(col.buffers()[2], np.uint8, len(col) * dim * 4, int(offset)).view(np.float32).reshape(-1, dim) if len(col) else np.empty((0, dim), np.float32)
+    return np.frombuffer(
+        col.buffers()[2], np.uint8, len(col) * dim * 4, int(offset),
+    ).view(np.float32).reshape(-1, dim) if len(col) else np.empty((0, dim), np.float32)
 
 
 def unit_vectors(items: DataFrame, id_col: str, vector_col: str, dim: int) -> DataFrame:
@@ -78,7 +82,9 @@ def unit_vectors(items: DataFrame, id_col: str, vector_col: str, dim: int) -> Da
             keep, x = usable(b.column("v"), dim)
             yield pa.RecordBatch.from_arrays([b.column("id").filter(pa.array(keep)), _packed(x)], names=["id", "vec"])
 
-    src = items.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<float>").alias("v")).where("id is not null and v is not null")
+    src = items.select(
+        F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<float>").alias("v"),
+    ).where("id is not null and v is not null")
     return src.mapInArrow(run, "id bigint, vec binary")
 
 
@@ -166,7 +172,9 @@ def _within(sims: np.ndarray, ids: np.ndarray, most: int, ratio: float) -> np.nd
     return keep
 
 
-def nearest(vectors_of: Callable[[str], DataFrame], n_rows: int, k: int, dim: int, min_similarity: float = -2.0, queries: str | None = None) -> DataFrame:
+def nearest(
+    vectors_of: Callable[[str], DataFrame], n_rows: int, k: int, dim: int, min_similarity: float = -2.0, queries: str | None = None,
+) -> DataFrame:
     """(id, other_id, similarity, rank) of the k most similar others of each query.
 
     ``vectors_of``: gives id and vec, as of :func:`unit_vectors`, of the rows that meet an SQL condition on ``id``. ``n_rows``: about how
@@ -218,7 +226,10 @@ def nearest(vectors_of: Callable[[str], DataFrame], n_rows: int, k: int, dim: in
                 block = np.where(role[at] & 1, block, own[at])
                 kind = np.where(block == own[at], role[at], 1).astype(np.int8)
                 rows = pa.array(r[at])
-                yield pa.RecordBatch.from_arrays([pa.array(cell[at] * 65536 + block, pa.int64()), part.column("id").take(rows), pa.array(kind), part.column("vec").take(rows)], names=["cell", "id", "role", "vec"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cell[at] * 65536 + block, pa.int64()), part.column("id").take(rows), pa.array(kind), part.column("vec").take(rows)],
+                    names=["cell", "id", "role", "vec"],
+                )
 
     def compare(t):
         x, key, role = _unpacked(t.column("vec"), dim), t.column("id").to_numpy(), t.column("role").to_numpy()
@@ -241,21 +252,34 @@ def nearest(vectors_of: Callable[[str], DataFrame], n_rows: int, k: int, dim: in
             xs.append(mk[best[r, j]])
             ss.append(val[r, j])
         cat = lambda v, t_: np.concatenate(v) if v else np.empty(0, t_)
-        return pa.table({"id": pa.array(cat(qs, np.int64), pa.int64()), "other": pa.array(cat(xs, np.int64), pa.int64()), "similarity": pa.array(cat(ss, np.float32), pa.float32())})
+        return pa.table(
+            {
+                "id": pa.array(cat(qs, np.int64), pa.int64()), "other": pa.array(cat(xs, np.int64), pa.int64()),
+                "similarity": pa.array(cat(ss, np.float32), pa.float32()),
+            }
+        )
 
     placed = reps.select("id", "vec", asked.alias("asked")).mapInArrow(place, "cell bigint, id bigint, role tinyint, vec binary")
     pairs = placed.groupBy("cell").applyInArrow(compare, "id bigint, other bigint, similarity float")
 
     # of each group of equal vectors only the k + 1 smallest ids can be among anyone's k nearest
-    salted = of_copies.select("rep", "id", F.row_number().over(Window.partitionBy("rep", F.pmod(F.xxhash64("id"), F.lit(64))).orderBy("id")).alias("n")).where(F.col("n") <= k + 1)
+    salted = of_copies.select(
+        "rep", "id", F.row_number().over(Window.partitionBy("rep", F.pmod(F.xxhash64("id"), F.lit(64))).orderBy("id")).alias("n"),
+    ).where(F.col("n") <= k + 1)
     firsts = salted.groupBy("rep").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids"))
-    unfolded = pairs.join(firsts.withColumnRenamed("rep", "other"), "other", "left").select("id", "similarity", F.explode(F.coalesce("ids", F.array("other"))).alias("other"))
-    own = of_copies.where("any_query").select(F.col("rep").alias("id")).distinct().join(firsts, F.col("rep") == F.col("id")).select("id", F.lit(1.0).cast("float").alias("similarity"), F.explode("ids").alias("other"))
+    unfolded = pairs.join(firsts.withColumnRenamed("rep", "other"), "other", "left").select(
+        "id", "similarity", F.explode(F.coalesce("ids", F.array("other"))).alias("other"),
+    )
+    own = of_copies.where("any_query").select(F.col("rep").alias("id")).distinct().join(firsts, F.col("rep") == F.col("id")).select(
+        "id", F.lit(1.0).cast("float").alias("similarity"), F.explode("ids").alias("other"),
+    )
     best = unfolded.unionByName(own).repartition("id").groupBy("id", "other").agg(F.max("similarity").alias("similarity"))
     # at most (k + 1) x (k + 1) x PROBES x blocks rows for a query
     ranked = best.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "other"))).where(F.col("n") <= k + 1)
     tops = ranked.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "other", "similarity"))).alias("top"))
-    everyone = tops.join(of_copies.select(F.col("rep").alias("id"), F.col("id").alias("copy")), "id", "left").select(F.coalesce("copy", "id").alias("id"), "top")
+    everyone = tops.join(
+        of_copies.select(F.col("rep").alias("id"), F.col("id").alias("copy")), "id", "left",
+    ).select(F.coalesce("copy", "id").alias("id"), "top")
     if queries:
         everyone = everyone.where(F.expr(queries))
     kept = everyone.select("id", F.posexplode(F.slice(F.filter("top", lambda t: t["other"] != F.col("id")), 1, k)).alias("rank", "t"))
@@ -295,4 +319,6 @@ def text_vectors(texts: DataFrame, id_col: str, text_col: str, dim: int = 64) ->
             keep = size[:, 0] > 0
             yield pa.RecordBatch.from_arrays([pa.array(np.array(ids, np.int64)[keep]), _packed(x[keep] / size[keep])], names=["id", "vec"])
 
-    return texts.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t")).where("id is not null and t is not null").mapInArrow(run, "id bigint, vec binary")
+    return texts.select(
+        F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t"),
+    ).where("id is not null and t is not null").mapInArrow(run, "id bigint, vec binary")

@@ -69,7 +69,13 @@ def _pack_group(key, items):
     found = [0] * len(lengths)
     for i, b in zip(order, bins):
         found[i] = b
-    return pa.table({"container_name": items.column("container_name"), "shard": items.column("shard"), "bin": pa.array(found, pa.int64()), "doc_id": items.column("doc_id"), "piece_no": items.column("piece_no"), "token_start": items.column("token_start"), "n_tokens": items.column("n")})
+    return pa.table(
+        {
+            "container_name": items.column("container_name"), "shard": items.column("shard"), "bin": pa.array(found, pa.int64()),
+            "doc_id": items.column("doc_id"), "piece_no": items.column("piece_no"), "token_start": items.column("token_start"),
+            "n_tokens": items.column("n"),
+        }
+    )
 
 
 def fill_containers(counted: DataFrame, spec: DataFrame, n_items: int) -> DataFrame:
@@ -79,20 +85,29 @@ def fill_containers(counted: DataFrame, spec: DataFrame, n_items: int) -> DataFr
     how many texts there are, for the number of shards.
     """
     shards = max(1, -(-n_items // SHARD_ITEMS))
-    spec = spec.where("capacity_tokens > 0").dropDuplicates(["container_name"]).select("container_name", F.col("capacity_tokens").cast("bigint").alias("capacity"))
+    spec = spec.where("capacity_tokens > 0").dropDuplicates(["container_name"]).select(
+        "container_name", F.col("capacity_tokens").cast("bigint").alias("capacity"),
+    )
     kinds = [F.struct(F.lit(r.container_name).alias("container_name"), F.lit(r.capacity).cast("bigint").alias("capacity")) for r in spec.limit(MAX_KINDS).collect()]
     kind = F.array(*kinds) if kinds else F.from_json(F.lit("[]"), "array<struct<container_name:string,capacity:bigint>>")
     rows = counted.where("n_tokens > 0").withColumn("_kind", F.explode(kind)).select("doc_id", "n_tokens", "_kind.container_name", "_kind.capacity")
     n_full = F.floor((F.col("n_tokens") - 1) / F.col("capacity")).cast("int")
     pieces = rows.withColumn("piece_no", F.explode(F.sequence(F.lit(0), n_full))).select(
         "container_name", "capacity", "doc_id", "piece_no", (F.col("piece_no") * F.col("capacity")).alias("token_start"),
-        F.least("capacity", F.col("n_tokens") - F.col("piece_no") * F.col("capacity")).alias("n"), F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"),
+        F.least(
+            "capacity", F.col("n_tokens") - F.col("piece_no") * F.col("capacity"),
+        ).alias("n"), F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"),
     )
-    packed = pieces.groupBy("container_name", "capacity", "shard").applyInArrow(_pack_group, "container_name string, shard int, bin bigint, doc_id bigint, piece_no int, token_start bigint, n_tokens bigint")
+    packed = pieces.groupBy("container_name", "capacity", "shard").applyInArrow(
+        _pack_group, "container_name string, shard int, bin bigint, doc_id bigint, piece_no int, token_start bigint, n_tokens bigint",
+    )
     return packed.select("container_name", F.concat_ws("-", "shard", "bin").alias("container_id"), "doc_id", "piece_no", "token_start", "n_tokens")
 
 
 def fill_report(packed: DataFrame, spec: DataFrame) -> DataFrame:
     """Containers, tokens and the share of room used, per container kind."""
     each = packed.groupBy("container_name").agg(F.countDistinct("container_id").alias("n_containers"), F.sum("n_tokens").alias("n_tokens"))
-    return each.join(F.broadcast(spec.dropDuplicates(["container_name"])), "container_name").select("container_name", F.col("capacity_tokens").cast("bigint").alias("capacity_tokens"), "n_containers", "n_tokens", (F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens"))).alias("share_filled"))
+    return each.join(F.broadcast(spec.dropDuplicates(["container_name"])), "container_name").select(
+        "container_name", F.col("capacity_tokens").cast("bigint").alias("capacity_tokens"), "n_containers", "n_tokens",
+        (F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens"))).alias("share_filled"),
+    )

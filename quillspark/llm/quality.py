@@ -69,7 +69,10 @@ def _word(w: str) -> tuple:
     if len(_MEMO) >= _MEMO_SIZE:
         _MEMO.clear()
     plain = len(w) > 3 and w.isalpha()
-    found = (len(w), w in COMMON_WORDS, plain, plain and (not _VOWEL.search(w) or len(w) > 24), not w.isalpha() and not w.isdigit() and len(w) > 12, 1 << (hash_word(w) & 511))
+    found = (
+        len(w), w in COMMON_WORDS, plain, plain and (not _VOWEL.search(w) or len(w) > 24), not w.isalpha() and not w.isdigit() and len(w) > 12,
+        1 << (hash_word(w) & 511),
+    )
     _MEMO[w] = found
     return found
 
@@ -184,7 +187,9 @@ def partial(text: str) -> dict:
 
 
 def _empty() -> dict:
-    return {k: 0 for k in TOTALS} | {f"{k}_chars": 0 for k in KINDS} | {f"{k}_lines": 0 for k in KINDS} | {"list_words": 0, "list_common": 0, "bits": 0}
+    return {k: 0 for k in TOTALS} | {f"{k}_chars": 0 for k in KINDS} | {f"{k}_lines": 0 for k in KINDS} | {
+        "list_words": 0, "list_common": 0, "bits": 0,
+    }
 
 
 def _add(total: dict, x: dict) -> None:
@@ -300,12 +305,23 @@ def text_statistics(documents: DataFrame, id_col: str = "doc_id", text_col: str
     Texts of one chunk are done where they are read, without a shuffle; of longer ones only the
     partial counts are shuffled.
     """
-    src = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.regexp_replace(F.col(text_col), "\r\n?", "\n").alias("text")).where("text is not null")
+    src = documents.select(
+        F.col(id_col).cast("bigint").alias("doc_id"), F.regexp_replace(F.col(text_col), "\r\n?", "\n").alias("text"),
+    ).where("text is not null")
     size = F.length("text")
     short = src.where(size <= chunk_chars).mapInArrow(_whole, f"doc_id bigint, {SCHEMA}")
-    cut = src.where(size > chunk_chars).select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(0), ((size - 1) / chunk_chars).cast("int")), lambda i: F.substring("text", i * chunk_chars + 1, F.lit(chunk_chars)))).alias("no", "text"))
+    cut = src.where(size > chunk_chars).select(
+        "doc_id",
+        F.posexplode(
+            F.transform(
+                F.sequence(F.lit(0), ((size - 1) / chunk_chars).cast("int")), lambda i: F.substring("text", i * chunk_chars + 1, F.lit(chunk_chars)),
+            )
+        ).alias("no", "text"),
+    )
     parts = cut.mapInArrow(_parts, "doc_id bigint, no int, part binary").dropDuplicates(["doc_id", "no"])
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("no", "part"))), lambda x: x["part"]).alias("parts")
-    once = parts.groupBy("doc_id", F.floor(F.col("no") / FAN_IN).cast("int").alias("block")).agg(ordered).withColumnRenamed("block", "no").mapInArrow(_merged, "doc_id bigint, no int, part binary")
+    once = parts.groupBy(
+        "doc_id", F.floor(F.col("no") / FAN_IN).cast("int").alias("block"),
+    ).agg(ordered).withColumnRenamed("block", "no").mapInArrow(_merged, "doc_id bigint, no int, part binary")
     long = once.groupBy("doc_id").agg(ordered).mapInArrow(_finished, f"doc_id bigint, {SCHEMA}")
     return short.unionByName(long)

@@ -60,7 +60,9 @@ def p4_items(spark: SparkSession, sf: str) -> DataFrame:
 
 def p4_texts(spark: SparkSession, sf: str) -> DataFrame:
     texts = table(spark, sf, "knowledge_main").withColumnRenamed("chunk_id", "id")
-    return neighbours.nearest(lambda where: neighbours.text_vectors(texts.where(where), "id", "text"), texts.count(), k=5, dim=64, queries="id % 50 = 0")
+    return neighbours.nearest(
+        lambda where: neighbours.text_vectors(texts.where(where), "id", "text"), texts.count(), k=5, dim=64, queries="id % 50 = 0",
+    )
 
 
 def _over(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,7 +111,10 @@ def p8_statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_paragraphs, p3_found, p3_turns, p4_found, p4_items, p4_texts, p5_found, p5_pieces, p6_containers, p6_fill, p7_mixture, p7_shares, p8_found, p8_statistics)
+    f.__name__: f for f in (
+        p1_found, p1_groups, p2_found, p2_paragraphs, p3_found, p3_turns, p4_found, p4_items, p4_texts, p5_found, p5_pieces, p6_containers, p6_fill,
+        p7_mixture, p7_shares, p8_found, p8_statistics,
+    )
 }
 
 _UNIT = "(SELECT item_id AS id, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS v FROM (SELECT item_id, any_value(embedding)::DOUBLE[] AS e FROM knowledge_item WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64 AND len(list_filter(embedding, lambda x: x <> 0)) > 0 GROUP BY item_id))"

@@ -42,7 +42,10 @@ CONFUSED = [
 # End of the fixed values.
 
 #: Each character as a sequence such that confused spellings become the same.
-_CANON = {"e": "c", "(": "c", "o": "c", "0": "c", "a": "c", "@": "c", "h": "ii", "b": "ii", "6": "ii", "n": "ii", "u": "ii", "r": "i", "l": "i", "1": "i", "|": "i", "!": "i", "t": "f", "$": "s", "5": "s", "9": "g", "q": "g", "y": "v", "d": "ci", "m": "iii", "w": "vv", "z": "2"}
+_CANON = {
+    "e": "c", "(": "c", "o": "c", "0": "c", "a": "c", "@": "c", "h": "ii", "b": "ii", "6": "ii", "n": "ii", "u": "ii", "r": "i", "l": "i", "1": "i",
+    "|": "i", "!": "i", "t": "f", "$": "s", "5": "s", "9": "g", "q": "g", "y": "v", "d": "ci", "m": "iii", "w": "vv", "z": "2",
+}
 _CANON_TABLE = str.maketrans(_CANON)
 _PAIRS: dict[str, list[tuple[str, str]]] = {}
 for _true, _seen in CONFUSED:
@@ -68,7 +71,9 @@ def word_counts(texts: DataFrame, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: Counter = Counter()
-        flush = lambda: pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], names=["word", "n"])
+        flush = lambda: pa.RecordBatch.from_arrays(
+            [pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], names=["word", "n"],
+        )
         for b in sliced(batches):
             for t in b.column("t").to_pylist():
                 count.update(_WORD.findall(t.lower()))
@@ -282,7 +287,9 @@ def kinds(lines: list[str], heads: Heads) -> list[str]:
         if out[i] == "body" and len(line.strip()) <= 60 and _HEADING.match(line) and line.rstrip()[-1] not in ".,;:!?" + SIGNS:
             words = [w for w in line.split() if any(c.isalpha() for c in w)]
             before = next((out[j] for j in range(i - 1, -1, -1)), "edge")
-            if words and len(words) <= 6 and all(w[0].isupper() or w[0] in "0158$|6@(9" for w in words) and (before != "body" or lines[i - 1].rstrip()[-1:] in ".!?" and len(words) > 1) and (len(words) > 1 or line.isupper()):
+            if words and len(words) <= 6 and all(w[0].isupper() or w[0] in "0158$|6@(9" for w in words) and (
+                before != "body" or lines[i - 1].rstrip()[-1:] in ".!?" and len(words) > 1
+            ) and (len(words) > 1 or line.isupper()):
                 after = next((lines[j].split() for j in range(i + 1, len(lines)) if out[j] == "body"), None)
                 if after is None or after[0][:1].isupper() or not after[0][:1].isalpha():
                     out[i] = "heading"
@@ -501,12 +508,17 @@ def _sections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in sliced(batches):
         rows = zip(*(b.column(c).to_pylist() for c in ("text", "title", "path")))
         found = [section_heads(t, title, path) if t else [] for t, title, path in rows]
-        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("id", "text", "title", "path")), pa.array(found, pa.list_(pa.string()))], names=["id", "text", "title", "path", "sections"])
+        yield pa.RecordBatch.from_arrays(
+            [*(b.column(c) for c in ("id", "text", "title", "path")), pa.array(found, pa.list_(pa.string()))],
+            names=["id", "text", "title", "path", "sections"],
+        )
 
 
 def scanned_documents(documents: DataFrame) -> DataFrame:
     """(id, text, title, path, sections) of scanned documents, once each."""
-    once = documents.where("is_scanned and id is not null").groupBy("id").agg(F.max("content").alias("text"), F.max("metadata.title").alias("title"), F.max("source_path").alias("path"))
+    once = documents.where("is_scanned and id is not null").groupBy("id").agg(
+        F.max("content").alias("text"), F.max("metadata.title").alias("title"), F.max("source_path").alias("path"),
+    )
     return once.mapInArrow(_sections, "id string, text string, title string, path string, sections array<string>")
 
 
@@ -517,9 +529,13 @@ def scanned_texts(documents: DataFrame, chunks: DataFrame) -> DataFrame:
     if about.count() <= BROADCAST_DOCUMENTS:
         about = F.broadcast(about)
     # beyond that size Spark's join by shuffle, which splits the rows of a hot document between tasks
-    pieces = chunks.where("text is not null and document_id is not null").select("chunk_id", "text", "document_id").join(about, F.col("document_id") == F.col("id"))
+    pieces = chunks.where(
+        "text is not null and document_id is not null"
+    ).select("chunk_id", "text", "document_id").join(about, F.col("document_id") == F.col("id"))
     rest = ("text", "title", "path", "sections")
-    return content.where("text is not null").select(F.lit("source_document.content").alias("field_name"), F.col("id").alias("record_key"), *rest).unionByName(pieces.select(F.lit("knowledge_main.text").alias("field_name"), F.col("chunk_id").cast("string").alias("record_key"), *rest))
+    return content.where("text is not null").select(F.lit("source_document.content").alias("field_name"), F.col("id").alias("record_key"), *rest).unionByName(
+        pieces.select(F.lit("knowledge_main.text").alias("field_name"), F.col("chunk_id").cast("string").alias("record_key"), *rest)
+    )
 
 
 def corpus_lexicon(documents: DataFrame) -> dict[str, int]:
@@ -532,7 +548,9 @@ def _each(words, run_one, names: list[str], types: list[pa.DataType]):
         for b in sliced(batches):
             d = d or Decoder(words.value)
             out: list[tuple] = []
-            for field, key, text, title, path, sections in zip(*(b.column(c).to_pylist() for c in ("field_name", "record_key", "text", "title", "path", "sections"))):
+            for field, key, text, title, path, sections in zip(
+                *(b.column(c).to_pylist() for c in ("field_name", "record_key", "text", "title", "path", "sections"))
+            ):
                 out += [(field, key, *x) for x in run_one(text, Heads(title, path, sections), d)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names=names)
 
@@ -542,12 +560,20 @@ def _each(words, run_one, names: list[str], types: list[pa.DataType]):
 def defects(texts: DataFrame, words: dict[str, int]) -> DataFrame:
     """(field_name, record_key, line_no, defect)."""
     shared = texts.sparkSession.sparkContext.broadcast(words)
-    run = _each(shared, lambda t, h, d: analyse(t, h, d)[1], ["field_name", "record_key", "line_no", "defect"], [pa.string(), pa.string(), pa.int64(), pa.string()])
+    run = _each(
+        shared, lambda t, h, d: analyse(t, h, d)[1], ["field_name", "record_key", "line_no", "defect"],
+        [pa.string(), pa.string(), pa.int64(), pa.string()],
+    )
     return texts.mapInArrow(run, "field_name string, record_key string, line_no bigint, defect string").distinct()
 
 
 def repaired(texts: DataFrame, words: dict[str, int]) -> DataFrame:
     """(field_name, record_key, paragraph_no, paragraph)."""
     shared = texts.sparkSession.sparkContext.broadcast(words)
-    run = _each(shared, lambda t, h, d: enumerate(paragraphs(t, h, d), 1), ["field_name", "record_key", "paragraph_no", "paragraph"], [pa.string(), pa.string(), pa.int32(), pa.string()])
-    return texts.dropDuplicates(["field_name", "record_key"]).mapInArrow(run, "field_name string, record_key string, paragraph_no int, paragraph string")
+    run = _each(
+        shared, lambda t, h, d: enumerate(paragraphs(t, h, d), 1), ["field_name", "record_key", "paragraph_no", "paragraph"],
+        [pa.string(), pa.string(), pa.int32(), pa.string()],
+    )
+    return texts.dropDuplicates(["field_name", "record_key"]).mapInArrow(
+        run, "field_name string, record_key string, paragraph_no int, paragraph string",
+    )

@@ -96,7 +96,9 @@ def _split(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):
             out: list[tuple] = []
-            for field, key, text, most, overlap in zip(*(b.column(c).to_pylist() for c in ("field_name", "record_key", "text", "max_chars", "overlap_chars"))):
+            for field, key, text, most, overlap in zip(
+                *(b.column(c).to_pylist() for c in ("field_name", "record_key", "text", "max_chars", "overlap_chars"))
+            ):
                 level = boundary_level(text, most)
                 for k, (a, own, z) in enumerate(split_text(text, most, overlap)):
                     out.append((field, key, level, k, own, z, own - a, text[a:z] if with_text else None))
@@ -113,8 +115,12 @@ _PIECES = "field_name string, record_key string, boundary_level string, chunk_in
 def oversized(texts: DataFrame, key_col: str, text_col: str, field_name: str, spec: DataFrame) -> DataFrame:
     """Texts above the limit of ``field_name`` in ``spec`` (a table of a few rows, one per field)."""
     limit = spec.where(F.col("field_name") == field_name).select("field_name", "max_chars", "overlap_chars").limit(1)
-    src = texts.select(F.lit(field_name).alias("field_name"), F.col(key_col).cast("string").alias("record_key"), F.col(text_col).alias("text")).where("text is not null")
-    return src.join(F.broadcast(limit), "field_name").where(F.length("text") > F.col("max_chars")).select("field_name", "record_key", "text", "max_chars", "overlap_chars")
+    src = texts.select(
+        F.lit(field_name).alias("field_name"), F.col(key_col).cast("string").alias("record_key"), F.col(text_col).alias("text"),
+    ).where("text is not null")
+    return src.join(F.broadcast(limit), "field_name").where(F.length("text") > F.col("max_chars")).select(
+        "field_name", "record_key", "text", "max_chars", "overlap_chars",
+    )
 
 
 def split_pieces(over: DataFrame, with_text: bool = True) -> DataFrame:

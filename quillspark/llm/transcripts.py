@@ -34,7 +34,10 @@ from .common import sliced
 HESITATIONS = """uh uhh uhhh um umm ummm er err erm ah ahh eh ehh eeh em emm hm hmm hmmm mm mmm mhm mm-hmm mmhmm uh-huh huh oh äh ähm hä ehm euh heu
 este este...""".split()
 PHRASES = ["you know", "i mean", "like,", "kind of", "sort of", "okay so", "well,", "o sea", "pues", "bueno,"]
-UNKNOWN_LABELS = ["unknown speaker", "unknown", "unidentified voice", "unidentified speaker", "unidentified", "audience member", "audience", "caller", "speaker ?", "spk_?", "multiple speakers", "all", "voice", "participant"]
+UNKNOWN_LABELS = [
+    "unknown speaker", "unknown", "unidentified voice", "unidentified speaker", "unidentified", "audience member", "audience", "caller", "speaker ?",
+    "spk_?", "multiple speakers", "all", "voice", "participant",
+]
 # End of the fixed values.
 
 _TIME = r"(?:\d{1,2}:)?\d{1,3}:\d{2}(?:[.,]\d{1,3})?"
@@ -110,7 +113,10 @@ class Roster:
             parts = _plain(f or "").split()
             if parts:
                 first, last = parts[0], parts[-1]
-                for form in (" ".join(parts), first, last, f"{first} {last[0]}.", f"{first} {last[0]}", f"{first[0]}. {last}", f"{first[0]} {last}", f"{first[0]}.{last[0]}.", f"{first[0]}. {last[0]}.", f"{first[0]}{last[0]}", f"{last}, {first}"):
+                for form in (
+                    " ".join(parts), first, last, f"{first} {last[0]}.", f"{first} {last[0]}", f"{first[0]}. {last}", f"{first[0]} {last}",
+                    f"{first[0]}.{last[0]}.", f"{first[0]}. {last[0]}.", f"{first[0]}{last[0]}", f"{last}, {first}",
+                ):
                     forms.setdefault(form, set()).add(n)
             if role:
                 forms.setdefault(_plain(role), set()).add(n)
@@ -144,7 +150,9 @@ class Roster:
 def _person(label: str) -> bool:
     """Whether a label that is on no list looks like one: initials, or names and titles in capitals."""
     words = label.split()
-    return 0 < len(words) <= 4 and not any(c.isdigit() for c in label) and all(re.match(r"(?:[^\W\d_]\.)+$|[^\W\d_][\w'’-]*\.?$", w) and w[0].isupper() for w in words) and (len(words) > 1 or label.isupper() or "." in label)
+    return 0 < len(words) <= 4 and not any(c.isdigit() for c in label) and all(re.match(r"(?:[^\W\d_]\.)+$|[^\W\d_][\w'’-]*\.?$", w) and w[0].isupper() for w in words) and (
+        len(words) > 1 or label.isupper() or "." in label
+    )
 
 
 def _head(text: str, roster: Roster, marked: bool) -> tuple[int | None, int]:
@@ -281,13 +289,27 @@ def parse(text: str, speakers: list[tuple[int, str, str]]) -> list[tuple[int, in
 
 def recordings(items: DataFrame, chunks: DataFrame) -> DataFrame:
     """(audio_id, text): the transcript, else the chunks in their order."""
-    item = items.groupBy("audio_id").agg(F.max("uuid").alias("uuid"), F.max(F.when(F.length(F.trim("transcript")) > 0, F.col("transcript"))).alias("transcript"))
+    item = items.groupBy("audio_id").agg(
+        F.max("uuid").alias("uuid"), F.max(F.when(F.length(F.trim("transcript")) > 0, F.col("transcript"))).alias("transcript"),
+    )
     time = F.when(~F.isnan("time_start"), F.col("time_start"))
-    piece = chunks.where("text is not null and of_audio_item.uuid is not null").groupBy("chunk_id").agg(F.max("of_audio_item.uuid").alias("uuid"), F.max("text").alias("text"), F.max(time).alias("time"), F.max("chunk_index").alias("place"))
+    piece = chunks.where("text is not null and of_audio_item.uuid is not null").groupBy("chunk_id").agg(
+        F.max("of_audio_item.uuid").alias("uuid"), F.max("text").alias("text"), F.max(time).alias("time"), F.max("chunk_index").alias("place"),
+    )
     need = item.where("transcript is null and uuid is not null").select("audio_id", "uuid")
-    by = piece.join(need, "uuid").groupBy("audio_id").agg(F.array_sort(F.collect_list(F.struct("place", "time", "chunk_id", "text"))).alias("by_place"), (F.count("place") == F.count(F.lit(1))).alias("complete"), (F.countDistinct("place") == F.count(F.lit(1))).alias("distinct_"))
-    by_time = F.array_sort(F.transform("by_place", lambda x: F.struct(x["time"].alias("time"), x["place"].alias("place"), x["chunk_id"].alias("chunk_id"), x["text"].alias("text"))))
-    texts = F.when(F.col("complete") & F.col("distinct_"), F.transform("by_place", lambda x: x["text"])).otherwise(F.transform(by_time, lambda x: x["text"]))
+    by = piece.join(need, "uuid").groupBy("audio_id").agg(
+        F.array_sort(F.collect_list(F.struct("place", "time", "chunk_id", "text"))).alias("by_place"),
+        (F.count("place") == F.count(F.lit(1))).alias("complete"), (F.countDistinct("place") == F.count(F.lit(1))).alias("distinct_"),
+    )
+    by_time = F.array_sort(
+        F.transform(
+            "by_place",
+            lambda x: F.struct(x["time"].alias("time"), x["place"].alias("place"), x["chunk_id"].alias("chunk_id"), x["text"].alias("text")),
+        )
+    )
+    texts = F.when(
+        F.col("complete") & F.col("distinct_"), F.transform("by_place", lambda x: x["text"]),
+    ).otherwise(F.transform(by_time, lambda x: x["text"]))
     joined = by.select("audio_id", F.array_join(texts, "\n").alias("text"))
     return item.where("transcript is not null").select("audio_id", F.col("transcript").alias("text")).unionByName(joined)
 
@@ -297,14 +319,23 @@ def _utterance_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         out = []
         for i, text, people in zip(*(b.column(c).to_pylist() for c in ("audio_id", "text", "people"))):
             out += [(i, *u) for u in parse(text, [(p["speaker_no"], p["full_name"], p["role_name"]) for p in people or []])]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.string()))], names=["audio_id", "place", "speaker_no", "said"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.string()))],
+            names=["audio_id", "place", "speaker_no", "said"],
+        )
 
 
 def turns(items: DataFrame, chunks: DataFrame, roster: DataFrame) -> DataFrame:
     """(audio_id, turn_no, speaker_no, text)."""
-    people = roster.where("speaker_no is not null").groupBy("audio_id").agg(F.array_sort(F.collect_set(F.struct("speaker_no", "full_name", "role_name"))).alias("people"))
-    spoken = recordings(items, chunks).join(people, "audio_id", "left").select("audio_id", "text", "people").mapInArrow(_utterance_rows, "audio_id bigint, place int, speaker_no int, said string")
+    people = roster.where("speaker_no is not null").groupBy("audio_id").agg(
+        F.array_sort(F.collect_set(F.struct("speaker_no", "full_name", "role_name"))).alias("people")
+    )
+    spoken = recordings(items, chunks).join(people, "audio_id", "left").select("audio_id", "text", "people").mapInArrow(
+        _utterance_rows, "audio_id bigint, place int, speaker_no int, said string",
+    )
     order = Window.partitionBy("audio_id").orderBy("place")
-    change = spoken.withColumn("new", F.when(F.lag("speaker_no").over(order) == F.col("speaker_no"), 0).otherwise(1)).withColumn("turn_no", F.sum("new").over(order).cast("int"))
+    change = spoken.withColumn(
+        "new", F.when(F.lag("speaker_no").over(order) == F.col("speaker_no"), 0).otherwise(1),
+    ).withColumn("turn_no", F.sum("new").over(order).cast("int"))
     said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "said"))), lambda x: x["said"]), " ")
     return change.groupBy("audio_id", "turn_no").agg(F.min("speaker_no").alias("speaker_no"), said.alias("text"))

@@ -32,7 +32,10 @@ def test_neighbours_against_brute_force(spark):
 
 def test_copies_unusable_vectors_and_ties(spark):
     e = np.eye(4).tolist()
-    rows = [(i, e[0]) for i in range(1, 9)] + [(20, [1.0, 0.1, 0.0, 0.0]), (30, e[2]), (31, None), (32, [0.0] * 4), (33, [1.0]), (34, [float("nan"), 1.0, 1.0, 1.0]), (35, [None, 1.0, 1.0, 1.0]), (36, [float("inf"), 1.0, 1.0, 1.0]), (1, e[0])]
+    rows = [(i, e[0]) for i in range(1, 9)] + [
+        (20, [1.0, 0.1, 0.0, 0.0]), (30, e[2]), (31, None), (32, [0.0] * 4), (33, [1.0]), (34, [float("nan"), 1.0, 1.0, 1.0]),
+        (35, [None, 1.0, 1.0, 1.0]), (36, [float("inf"), 1.0, 1.0, 1.0]), (1, e[0]),
+    ]
     got = N.nearest(lambda w: N.unit_vectors(frame(spark, rows).where(w), "id", "v", 4), len(rows), 3, 4).collect()
     near = {}
     for r in sorted(got, key=lambda r: (r.id, r["rank"])):

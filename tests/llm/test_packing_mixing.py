@@ -47,7 +47,9 @@ def test_containers_of_the_tables(spark, data):
     got = Q.p6_containers(spark, data)
     whole = got.groupBy("container_name", "doc_id").agg(F.sum("n_tokens").alias("n")).join(counted, "doc_id")
     assert whole.where("n <> n_tokens").count() == 0 and whole.count() == 4 * counted.count()
-    over = got.groupBy("container_name", "container_id").agg(F.sum("n_tokens").alias("n")).join(spark.read.parquet(f"{data}/container_spec.parquet"), "container_name").where("n > capacity_tokens")
+    over = got.groupBy("container_name", "container_id").agg(F.sum("n_tokens").alias("n")).join(
+        spark.read.parquet(f"{data}/container_spec.parquet"), "container_name",
+    ).where("n > capacity_tokens")
     assert over.count() == 0
     assert Q.p6_fill(spark, data).where("share_filled > 0.9").count() >= 3
 
@@ -64,9 +66,13 @@ def test_schedule_stays_within_a_block():
 
 
 def test_mixture(spark):
-    rows = [(i, ["Big", " big", "BIG"][i % 3], 100) for i in range(2000)] + [(5000 + i, "Small-One", 50) for i in range(40)] + [(9000, None, 5), (9001, "big", 0), (9002, "other", 7)]
+    rows = [(i, ["Big", " big", "BIG"][i % 3], 100) for i in range(2000)] + [(5000 + i, "Small-One", 50) for i in range(40)] + [
+        (9000, None, 5), (9001, "big", 0), (9002, "other", 7),
+    ]
     d = spark.createDataFrame(rows, "doc_id bigint, source string, n_tokens bigint").withColumn("slot", F.lit(1))
-    target = spark.createDataFrame([("big", 3.0, 1), ("small_one", 1.0, 4), ("absent", 1.0, 9), ("nothing", None, None)], "source string, weight double, max_repeats int")
+    target = spark.createDataFrame(
+        [("big", 3.0, 1), ("small_one", 1.0, 4), ("absent", 1.0, 9), ("nothing", None, None)], "source string, weight double, max_repeats int",
+    )
     mixed, plan = M.mix(d, target, block_tokens=400)
     got = {r.source: r for r in M.shares(mixed, plan).collect()}
     assert abs(got["small_one"].actual_share - 0.25) < 0.03 and got["absent"].actual_share == 0 and got["small_one"].most_used == 4

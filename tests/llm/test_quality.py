@@ -30,10 +30,18 @@ def test_chunks_merge_to_the_whole(text, cuts):
 
 
 @pytest.mark.parametrize("kind,text", [
-    ("prose", PROSE * 3), ("prose", PROSE.lower()), ("prose", "El consejo revisó el plan de la escuela y la maestra explicó las normas del aula para que todos participaran.\n" * 2), ("prose", PROSE * 4 + "\n- one thing\n- another\n"),
-    ("prose", PROSE * 4 + "a | b | c\n1 | 2 | 3\n"), ("prose", PROSE.replace(" ", "\n", 30).replace("\n", " \n")), ("list", "\n".join(f"{i}. steady garden" for i in range(12))), ("list", "- red apples\n- green pears\n- blue plums\n" * 3),
-    ("list", "Anna Roe\nBen Lund, Coach\nCara Finn\nDan Holt\n" * 2), ("table", "name,a,b,c\n" + "\n".join(f"Item,{i},{i * 2},x" for i in range(9))), ("table", "| a | b |\n| - | - |\n" + "| x1 | 2 |\n" * 9), ("table", "Name: Ann\nAge: 4\n\nName: Bo\nAge: 5\n" * 3),
-    ("junk", "}{)(*&^%$#@!~`=+-_ " * 20), ("junk", "xkcd qwrt zxcv bnmp lkjh gfds ptrw mnbv " * 5), ("junk", "click garden here " * 30), ("junk", "<div class='a'><span></span></div>" * 10), ("junk", "8237462 9823746 1928374 5647382 " * 6),
+    ("prose", PROSE * 3), ("prose", PROSE.lower()), (
+        "prose", "El consejo revisó el plan de la escuela y la maestra explicó las normas del aula para que todos participaran.\n" * 2,
+    ), ("prose", PROSE * 4 + "\n- one thing\n- another\n"),
+    ("prose", PROSE * 4 + "a | b | c\n1 | 2 | 3\n"), ("prose", PROSE.replace(" ", "\n", 30).replace("\n", " \n")), (
+        "list", "\n".join(f"{i}. steady garden" for i in range(12)),
+    ), ("list", "- red apples\n- green pears\n- blue plums\n" * 3),
+    ("list", "Anna Roe\nBen Lund, Coach\nCara Finn\nDan Holt\n" * 2), (
+        "table", "name,a,b,c\n" + "\n".join(f"Item,{i},{i * 2},x" for i in range(9)),
+    ), ("table", "| a | b |\n| - | - |\n" + "| x1 | 2 |\n" * 9), ("table", "Name: Ann\nAge: 4\n\nName: Bo\nAge: 5\n" * 3),
+    ("junk", "}{)(*&^%$#@!~`=+-_ " * 20), (
+        "junk", "xkcd qwrt zxcv bnmp lkjh gfds ptrw mnbv " * 5,
+    ), ("junk", "click garden here " * 30), ("junk", "<div class='a'><span></span></div>" * 10), ("junk", "8237462 9823746 1928374 5647382 " * 6),
 ])
 def test_kinds(kind, text):
     assert Q8.finish(Q8.partial(text))["text_kind"] == kind

@@ -29,12 +29,17 @@ HEADS = S.Heads("Harbor Reading Guide", "/in/harbor_board/harbor_reading_guide_0
 
 def test_defects_of_a_page(decoder):
     kinds, found = S.analyse(PAGE, HEADS, decoder)
-    assert found == [(2, "running_head"), (3, "hyphen_break"), (3, "misread"), (8, "hyphen_break"), (9, "page_number"), (10, "running_head"), (11, "misread")]
+    assert found == [
+        (2, "running_head"), (3, "hyphen_break"), (3, "misread"), (8, "hyphen_break"), (9, "page_number"), (10, "running_head"), (11, "misread"),
+    ]
     assert kinds[6] == "heading" and kinds[0] == "marker"
 
 
 def test_paragraphs_of_a_page(decoder):
-    assert S.paragraphs(PAGE, HEADS, decoder) == ["The teachers met in the long hall and planned another standards-based lesson for reading.", "CLEAR READING 4", "Every library described our garden because families came."]
+    assert S.paragraphs(PAGE, HEADS, decoder) == [
+        "The teachers met in the long hall and planned another standards-based lesson for reading.", "CLEAR READING 4",
+        "Every library described our garden because families came.",
+    ]
 
 
 @pytest.mark.parametrize("line", ["12", " - 12 -", "[45]", "p. 9", "Page 3 of 12", "P a g e  1 4 1", "xiv", "l06", "I27", "ll2"])
@@ -47,7 +52,13 @@ def test_no_page_numbers(line):
     assert not S.page_number(line)
 
 
-@pytest.mark.parametrize("seen,true", [("becanse", None), ("beoause", "because"), ("fhe", "the"), ("c0nference", "conference"), ("rnet", "met"), ("famihes", "families"), ("cvery", "every"), ("de$cribed", "described"), ("gardeii", None)])
+@pytest.mark.parametrize(
+    "seen,true",
+    [
+        ("becanse", None), ("beoause", "because"), ("fhe", "the"), ("c0nference", "conference"), ("rnet", "met"), ("famihes", "families"),
+        ("cvery", "every"), ("de$cribed", "described"), ("gardeii", None),
+    ],
+)
 def test_confused_characters(decoder, seen, true):
     found = decoder.read(seen)
     assert true is None or found and found[0] == true
@@ -71,9 +82,16 @@ def test_odd_texts(decoder):
 
 def test_tables(spark):
     meta = "metadata struct<title:string>"
-    docs = [("d1", PAGE, ("Harbor Reading Guide",), "/in/harbor_board/harbor_reading_guide_0012.pdf", True), ("d1", PAGE, (None,), "/in/harbor_board/harbor_reading_guide_0012.pdf", True), ("d2", " ".join(WORDS) * 9, (None,), None, False), ("d3", None, None, None, True), (None, "x", None, None, None)]
+    docs = [
+        ("d1", PAGE, ("Harbor Reading Guide",), "/in/harbor_board/harbor_reading_guide_0012.pdf", True),
+        ("d1", PAGE, (None,), "/in/harbor_board/harbor_reading_guide_0012.pdf", True), ("d2", " ".join(WORDS) * 9, (None,), None, False),
+        ("d3", None, None, None, True), (None, "x", None, None, None),
+    ]
     d = spark.createDataFrame(docs, f"id string, content string, {meta}, source_path string, is_scanned boolean")
-    k = spark.createDataFrame([(1, PAGE, "d1"), (1, PAGE, None), (2, PAGE, "d2"), (3, PAGE, None), (4, None, "d1"), (5, "", "d1"), (6, "The garden.", "gone")], "chunk_id bigint, text string, document_id string")
+    k = spark.createDataFrame(
+        [(1, PAGE, "d1"), (1, PAGE, None), (2, PAGE, "d2"), (3, PAGE, None), (4, None, "d1"), (5, "", "d1"), (6, "The garden.", "gone")],
+        "chunk_id bigint, text string, document_id string",
+    )
     words = {w: 500 for w in WORDS} | {"planned": 500}
     found = S.defects(S.scanned_texts(d, k), words)
     assert {r.record_key for r in found.collect()} == {"d1", "1"} and found.count() == 14
@@ -84,5 +102,7 @@ def test_tables(spark):
 
 def test_query_on_whole_tables(spark, data):
     found = Q.p2_found(spark, data)
-    assert set(found.columns) == {"field_name", "record_key", "line_no", "defect"} and {r.defect for r in found.select("defect").distinct().collect()} <= {"hyphen_break", "misread", "running_head", "page_number"}
+    assert set(found.columns) == {"field_name", "record_key", "line_no", "defect"} and {r.defect for r in found.select("defect").distinct().collect()} <= {
+        "hyphen_break", "misread", "running_head", "page_number",
+    }
     assert found.count() == found.distinct().count() > 0

@@ -56,7 +56,9 @@ def test_query_on_whole_tables(spark, data):
     spec = {r.field_name: r.max_chars for r in spark.read.parquet(f"{data}/split_spec.parquet").collect()}
     cuts = (r"\n[ \t\r]*\n", r"\n[ \t\r]*\n|(?<=[.!?])[ \t\r\n]+", r"[ \t\r\n]+")
     want = set()
-    for table, key, col, field in (("source_document", "id", "content", "source_document.content"), ("knowledge_main", "chunk_id", "text", "knowledge_main.text")):
+    for table, key, col, field in (
+        ("source_document", "id", "content", "source_document.content"), ("knowledge_main", "chunk_id", "text", "knowledge_main.text"),
+    ):
         for r in spark.read.parquet(f"{data}/{table}.parquet").select(key, col).collect():
             if r[col] and len(r[col]) > spec[field]:
                 level = next((n for n, c in zip(P.LEVELS, cuts) if all(len(x.strip(" \t\r\n")) <= spec[field] for x in re.split(c, r[col]))), "none")

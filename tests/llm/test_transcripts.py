@@ -27,7 +27,9 @@ def test_layouts(text):
 
 def test_words_that_look_like_labels():
     text = "[0:05] Ada Marlow: We come to Question 2: who\ndecides? Note: this\nwas new at 10:30 and the ratio 3:1 held\n[0:09] Unknown speaker: No.\n[0:10] Caller: Yes (all of them)."
-    assert turns(text) == [(1, "We come to Question 2: who decides? Note: this was new at 10:30 and the ratio 3:1 held"), (0, "No. Yes (all of them).")]
+    assert turns(text) == [
+        (1, "We come to Question 2: who decides? Note: this was new at 10:30 and the ratio 3:1 held"), (0, "No. Yes (all of them)."),
+    ]
 
 
 def test_odd_texts():
@@ -37,9 +39,18 @@ def test_odd_texts():
 
 
 def test_turns_from_chunks_and_transcript(spark):
-    items = spark.createDataFrame([(1, "u1", "[0:01] Ada Marlow: Hi.\n[0:02] Bo: Ho."), (1, "u1", None), (2, "u2", None), (3, None, None), (4, "u4", "  ")], "audio_id bigint, uuid string, transcript string")
+    items = spark.createDataFrame(
+        [(1, "u1", "[0:01] Ada Marlow: Hi.\n[0:02] Bo: Ho."), (1, "u1", None), (2, "u2", None), (3, None, None), (4, "u4", "  ")],
+        "audio_id bigint, uuid string, transcript string",
+    )
     chunk = "chunk_id bigint, text string, time_start double, chunk_index int, of_audio_item struct<uuid string>"
-    chunks = spark.createDataFrame([(12, "[0:02] Bo: Ho.", 2.0, 0, ("u2",)), (11, "[0:01] Ada Marlow: Hi.", 1.0, 0, ("u2",)), (11, "[0:01] Ada Marlow: Hi.", 1.0, 0, ("u2",)), (13, None, 3.0, 0, ("u2",)), (14, "x", 1.0, 1, None)], chunk)
+    chunks = spark.createDataFrame(
+        [
+            (12, "[0:02] Bo: Ho.", 2.0, 0, ("u2",)), (11, "[0:01] Ada Marlow: Hi.", 1.0, 0, ("u2",)), (11, "[0:01] Ada Marlow: Hi.", 1.0, 0, ("u2",)),
+            (13, None, 3.0, 0, ("u2",)), (14, "x", 1.0, 1, None),
+        ],
+        chunk,
+    )
     roster = spark.createDataFrame([(i, *p) for i in (1, 2) for p in PEOPLE], "audio_id bigint, speaker_no int, full_name string, role_name string")
     got = sorted((r.audio_id, r.turn_no, r.speaker_no, r.text) for r in R.turns(items, chunks, roster).collect())
     assert got == [(1, 1, 1, "Hi."), (1, 2, 2, "Ho."), (2, 1, 1, "Hi."), (2, 2, 2, "Ho.")]
