@@ -24,25 +24,26 @@ CHUNK_CHARS = 32_768
 #: Two levels hold 256 * 256 chunks, which is the largest string that Spark can hold.
 FAN_IN = 256
 
-# Frequent function words of English, Spanish, French, German, Italian and Portuguese.
-COMMON_WORDS = frozenset(
-    """
-the and of for a an this that these those another our their his her its your my each every some any no not in on at to from by with
-without under near across within throughout beyond alongside during before after until unless while whereas although though even so as
-because since if when where who whom which what whether how is are was were be been being has have had do does did will would can could
-should may might must shall it there they we you he she i or but nor than then also however both all more most such into over about again
-el la los las un una unos unas de del al y o en con sin por para que se lo le les su sus es son fue como cada este esta porque según antes
-durante entre sobre más pero muy no ni ya
-le les des du et ou dans avec sans pour par que qui ne pas sur ce cette ces son sa ses est sont était comme chaque parce avant pendant
-selon au aux plus mais très qu
-der die das den dem des ein eine einen einem einer und oder in im mit ohne für von vom zu zum zur auf aus bei nach vor während ist sind
-war wie weil jede jeder jedes nicht auch sich es
-il lo gli uno di da con su per che e ed o non del della dei delle nel nella si come questo questa ogni prima
-os as um uma do da dos das em no na nos nas com sem por para que se e ou não mais seu sua ao aos
-""".split()
-)
+# Frequent function words by language.
+COMMON_BY_LANGUAGE = {
+    "en": """the and of for a an this that these those another our their his her its your my each every some any no not in on at to from by
+        with without under near across within throughout beyond alongside during before after until unless while whereas although though even
+        so as because since if when where who whom which what whether how is are was were be been being has have had do does did will would can
+        could should may might must shall it there they we you he she i or but nor than then also however both all more most such into over
+        about again""",
+    "es": """el la los las un una unos unas de del al y o en con sin por para que se lo le les su sus es son fue como cada este esta porque según
+        antes durante entre sobre más pero muy no ni ya""",
+    "fr": """les le la des du et ou dans avec sans pour par que qui ne pas sur ce cette ces son sa ses est sont était comme chaque parce avant
+        pendant selon au aux plus mais très qu""",
+    "de": """der die das den dem des ein eine einen einem einer und oder in im mit ohne für von vom zu zum zur auf aus bei nach vor während ist
+        sind war wie weil jede jeder jedes nicht auch sich es""",
+    "it": "il lo gli uno di da con su per che e ed o non del della dei delle nel nella si come questo questa ogni prima",
+    "pt": "os as um uma do da dos das em no na nos nas com sem por para que se e ou não mais seu sua ao aos",
+}
 # End of the fixed values.
 
+COMMON_WORDS = frozenset(w for words in COMMON_BY_LANGUAGE.values() for w in words.split())
+
 TOTALS = ("chars", "words", "word_chars", "letters", "digits", "symbols", "common", "lines", "blank_lines", "lines_end_punct", "repeated_words")
 KINDS = ("prose", "list", "table", "junk")
 _WORD = re.compile(r"\bn/a\b|[^\W_]+(?:['’][^\W_]+)*")
