@@ -163,3 +163,25 @@ def test_stream_of_events(spark, data, tmp_path):
     q = ingest.first_seen_stream(e, "event_id", "ts").writeStream.format("memory").queryName("first_seen").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert spark.table("first_seen").count() == spark.read.parquet(f"{data}/events.parquet").select("event_id").distinct().count()
+
+
+def test_command_line(spark, folder, tmp_path, capsys):
+    from quillspark import cli
+
+    out, ledger = str(tmp_path / "out"), str(tmp_path / "ledger")
+    assert cli.main(["run", str(folder), out, "--kind", "markdown", "--formats", "markdown,json", "--ledger", ledger]) == 0
+    assert spark.read.json(f"{out}/json").where("error is null").count() == 4
+    done = {r.key.rsplit("/", 1)[-1]: r.status for r in Ledger(spark, ledger).read().collect()}
+    assert done["a.txt"] == "processed" and done["d.pdf"] == "failed"
+    (tmp_path / "notes.yaml").write_text("name: Notes\nproperties:\n  - {name: text, data_type: text}\n")
+    (tmp_path / "rows.jsonl").write_text('{"text": "one"}\n{"text": "two"}\n{"text": "one"}\n')
+    db = ["--database", "cli_test"]
+    cli.main([*db, "create", str(tmp_path / "notes.yaml")])
+    cli.main([*db, "ingest", "Notes", str(tmp_path / "rows.jsonl"), "--key", "text"])
+    assert spark.table("cli_test.Notes").count() == 2
+    capsys.readouterr()
+    cli.main([*db, "list"])
+    assert capsys.readouterr().out.strip().lower() == "notes"
+    with pytest.raises(ValueError):
+        cli.main([*db, "drop", "Notes"])
+    cli.main([*db, "drop", "Notes", "--yes-i-know"])
