@@ -2,9 +2,11 @@
 
 Method: lines of a text are told apart (marker, blank, page number, running head, heading, body); body
 lines are put end to end, and word segmentation is decoded jointly over the stream of characters by
-dynamic programming over a lexicon: a piece of the stream may be a known word, a known word with confused
-characters, two words run together, one word with a blank or a line break and its sign inside, or stay
-as it is, each at a cost; pieces that are known words are the anchors between which there is a choice.
+dynamic programming over a lexicon: from any character a known word may be read, with confused characters
+and over any number of blanks, line breaks and their signs, and end where a blank is missing, or a token may
+stay as it is, each at a cost; tokens that are known words are the anchors between which there is a choice.
+Of words run together each has
+two letters or more, and only tokens in lower case are cut, as unknown names would fall into words.
 Paragraph boundaries are chosen by dynamic programming over the lines.
 
 The lexicon holds the words of all texts that aren't scanned, counted over the whole corpus, the most
@@ -29,6 +31,7 @@ from .transcripts import edit_distance
 
 LEXICON_WORDS = 200_000
 LEAST_COUNT = 2
+COMMON = 20
 BROADCAST_DOCUMENTS = 100_000
 SIGNS = "-‐­¬‑"
 SOFT = "‐­¬‑"
@@ -104,6 +107,8 @@ class Decoder:
                 for i in range(len(w)):
                     self.by_delete.setdefault(w[:i] + w[i + 1 :], []).append(w)
         self.memo: dict[str, tuple[str, float] | None] = {}
+        self.prefixes = {w[:i] for w in words for i in range(1, len(w) + 1)}
+        self.longest = max(map(len, words), default=0)
         self.first_parts = {w.split("-")[0] for w in words if "-" in w}
 
     def starts_compound(self, word: str) -> bool:
@@ -162,6 +167,36 @@ class Decoder:
         self.memo[key] = min(found)[2:] + (min(found)[0],) if found else None
         return self.memo[key]
 
+    def arcs(self, chars: str, blanks: set[int], signs: set[int], start: int) -> dict[tuple[int, str], tuple[int, int]]:
+        """Known words that may be read from ``start`` on: (end, word) with (confusions, blanks inside), cheapest first.
+
+        A blank stands before each position of ``blanks`` and may be left out, as may the character at each of ``signs``.
+        """
+        found: dict[tuple[int, str], tuple[int, int]] = {}
+        seen: dict[tuple[int, str], tuple[int, int]] = {}
+        stack = [(start, "", 0, 0)]
+        while stack:
+            i, word, c, b = stack.pop()
+            old = seen.get((i, word))
+            if old is not None and old[0] <= c and old[1] <= b:
+                continue
+            seen[i, word] = (c, b)
+            if word in self.words and (i, word) not in found or (i, word) in found and (c, b) < found[i, word]:
+                found[i, word] = (c, b)
+            if i == len(chars):
+                continue
+            if i in signs and word:
+                stack.append((i + 1, word, c, b))
+            inside = b + (i in blanks and i > start)
+            if word + chars[i] in self.prefixes:
+                stack.append((i + 1, word + chars[i], c, inside))
+            if c < 2:
+                for true, read in _PAIRS.get(chars[i], ()):
+                    if word + true in self.prefixes and chars.startswith(read, i):
+                        within = sum(k in blanks for k in range(i + 1, i + len(read)))
+                        stack.append((i + len(read), word + true, c + 1, inside + within))
+        return found
+
     def two(self, word: str) -> tuple[str, str] | None:
         """Two frequent words run together."""
         best = None
@@ -455,47 +490,208 @@ def paragraphs(text: str, heads: Heads, d: Decoder) -> list[str]:
         if s == 0 or not groups:
             groups.append([])
         groups[-1].append(i)
-    return [decode([lines[i] for i in g], d) for g in groups]
+    return [decoded([(i, lines[i]) for i in g], d)[0] for g in groups]
+
+
+class Token:
+    """A word of the stream with its marks; one broken at a line's end has parts on several lines."""
+
+    __slots__ = ("text", "pre", "word", "post", "chars", "signs", "parts", "plain", "held")
+
+    def __init__(self, text: str, line: int):
+        self.parts, self.signs, self.held = [(0, line)], set(), ""
+        self.put(text)
+
+    def put(self, text: str) -> None:
+        self.text = text
+        self.pre, self.word, self.post = core(text)
+        self.chars = self.word
+
+    def join(self, text: str, second: str, line: int) -> None:
+        """Go on with ``second`` of the next line; ``text`` is both as they are written."""
+        before, signs = self.chars[:-1], set(self.signs)
+        self.parts.append((len(before), line))
+        self.put(text)
+        self.chars, self.signs = before + "-" + core(second)[1], signs | {len(before)}
+
+    def lines_wrong(self, d: Decoder, fragment: bool) -> list[int]:
+        """Lines on which the word is wrongly recognised."""
+        if not wrong(self.held or self.text, d, fragment):
+            return []
+        if len(self.parts) == 1:
+            return [self.parts[0][1]]
+        cuts = [k for k, _ in self.parts] + [len(self.chars)]
+        pieces = [self.chars[x:y].lstrip("-") for x, y in zip(cuts, cuts[1:])]
+        bad = [line for (_, line), piece in zip(self.parts, pieces) if wrong(piece, d, True)]
+        if bad:
+            return bad
+        # where the whole word differs from what it should be
+        true = d.read(self.word.lower(), self.word[:1].isupper())
+        k = next((k for k, (x, y) in enumerate(zip(self.word.lower(), true[0])) if x != y), len(self.word)) if true else 0
+        return [[line for start, line in self.parts if start <= k][-1]]
+
+
+def tokens_of(rows: list[tuple[int, str]], d: Decoder, last: bool) -> tuple[list[Token], set[tuple[int, str]]]:
+    """The words of lines put end to end, and the breaks with a sign; ``last`` if no body line follows."""
+    out: list[Token] = []
+    edits: set[tuple[int, str]] = set()
+    end = ""
+    for no, line in rows:
+        words = line.split()
+        if out and words and end[-1] in SIGNS and len(end) > 1:
+            prev, second, sign = out[-1], words[0], end[-1]
+            first = prev.text[:-1]
+            how = joined(first, second, sign, d)
+            breaks = None
+            if end[-2].isalnum():
+                if _CODE.match(core(prev.text + second)[1]):
+                    how, breaks = None, False  # a code's own hyphen
+                elif how and (second[:1].islower() or not second[:1].isalpha() or end.isupper()):
+                    breaks = how[1]
+                else:
+                    breaks = sign in SOFT or bool(second[:1] in "@$|0165(9") and len(second) > 1 and any(c.isalpha() for c in second)
+                if breaks:
+                    edits.add((prev.parts[-1][1], "hyphen_break"))
+            if how or breaks is not None:
+                prev.join(how[0] if how else first + second if breaks else prev.text + second, second, no)
+                words = words[1:]
+                if not words:
+                    end = second
+                    continue
+        out += [Token(w, no) for w in words]
+        end = words[-1] if words else end
+    if last and out and end[-1] in SIGNS and len(end) > 1 and end[-2].isalnum():
+        a = core(end[:-1])[1].lower()
+        if not (end[-1] == "-" and d.known(a) and d.starts_compound(a)):
+            edits.add((out[-1].parts[-1][1], "hyphen_break"))
+        out[-1].held = out[-1].text[:-1]
+    return out, edits
+
+
+def _single(t: Token, d: Decoder, fragment: bool) -> list[tuple[float, str, list[int]]]:
+    """(cost, reading, lines that are wrong) of a token by itself."""
+    bad = t.lines_wrong(d, fragment)
+    if t.plain:
+        return [(0.0, t.text, bad)]
+    out = [(4.0 + 0.7 * max(0, len(t.word) - 6), t.text, bad)]
+    if (bad or fragment and t.lines_wrong(d, False)) and not _CODE.match(t.word) and (found := d.read(t.word.lower(), t.word[:1].isupper())):
+        out.append((1.0 + 0.5 * found[1], t.pre + _cased(found[0], t.word) + t.post, bad))
+    return out
+
+
+def _lower(s: str) -> str:
+    return "".join(x if len(x := c.lower()) == 1 else c for c in s)
+
+
+def _region(tokens: list[Token], d: Decoder, fragment: bool) -> tuple[list[str], list[int]]:
+    """Words and wrong lines of tokens without marks between them: the cheapest way through their characters."""
+    starts, raw, signs = [], "", set()
+    for t in tokens:
+        starts.append(len(raw))
+        signs |= {len(raw) + k for k in t.signs}
+        raw += t.chars
+    m, chars, blanks = len(raw), _lower(raw), set(starts[1:])
+    ends = [*starts[1:], m]
+    of = [k for k, t in enumerate(tokens) for _ in t.chars]
+    lines: list[int] = []
+    for t in tokens:
+        cuts = [at for at, _ in t.parts] + [len(t.chars)]
+        lines += [line for (at, line), to in zip(t.parts, cuts[1:]) for _ in range(to - at)]
+    first, final = dict(zip(starts, range(len(tokens)))), set(ends)
+    best: list[tuple[float, int, str, list[int]]] = [(0.0, 0, "", [])] + [(1e9, 0, "", [])] * m
+
+    def offer(i: int, j: int, cost: float, text: str, bad: list[int]) -> None:
+        if best[i][0] + cost < best[j][0]:
+            best[j] = (best[i][0] + cost, i, text, bad)
+
+    for i in range(m):
+        if best[i][0] >= 1e9:
+            continue
+        at = first.get(i)
+        if at is not None:
+            for cost, text, bad in _single(tokens[at], d, fragment and at == 0):
+                offer(i, ends[at], cost, text, bad)
+        for (j, word), (c, b) in d.arcs(chars, blanks, signs, i).items():
+            over = range(of[i], of[j - 1] + 1)
+            if all(tokens[k].plain for k in over):
+                continue
+            cut = ([over[0]] if at is None else []) + ([over[-1]] if j not in final else [])
+            n = len(word)
+            if cut:
+                if any(not tokens[k].word.islower() or len(tokens[k].word) < 5 and not b for k in cut):
+                    continue
+                if n < 2 or n < 4 and d.words[word] < COMMON or c > 1 or c and n < (3 if d.words[word] >= COMMON else 5):
+                    continue
+            elif not b and (c > (1 if n <= 8 else 2) or n < 5 or c and not raw[i:j].islower()):
+                continue
+            if b:
+                inner = [k for k in range(i + 1, j) if k in blanks]
+                if n < 4 or c and (n < 6 or c > (1 if n <= 8 else 2)) or not raw[i:j].isupper() and any(raw[k].isupper() for k in inner):
+                    continue
+            bad = {lines[i] for _ in cut[:1]}
+            if c:
+                bad |= {lines[k] for k in range(i, j) if not tokens[of[k]].plain}
+            if b:
+                bad |= {lines[k] for k in inner if lines[k - 1] == lines[k]}
+            text = (tokens[at].pre if at is not None else "") + _cased(word, raw[i:j]) + (tokens[over[-1]].post if j in final else "")
+            offer(i, j, b + (1.0 + 0.5 * c if c else 0.0) + (0.0 if j in final else 2.6) + 0.01 / (1 + d.words[word]), text, sorted(bad))
+    words, bad, j = [], [], m
+    while j:
+        _, i, text, lines_bad = best[j]
+        words.append(text)
+        bad += lines_bad
+        j = i
+    return words[::-1], bad
+
+
+def decoded(rows: list[tuple[int, str]], d: Decoder, last: bool = False) -> tuple[str, set[tuple[int, str]]]:
+    """Lines with their numbers put end to end and decoded: the text, and (line, defect) of what was changed.
+
+    Words that are known by themselves stay; about each that isn't, characters are read as far as a word can go.
+    """
+    tokens, edits = tokens_of(rows, d, last)
+    for t in tokens:
+        t.plain = d.known(t.word.lower())
+    fragment = bool(rows) and rows[0][0] == 0 and not rows[0][1].split()[0][:1].isupper()
+    out: list[str] = []
+    done, n = 0, len(tokens)
+
+    def linked(k: int) -> bool:
+        return not tokens[k].post and not tokens[k + 1].pre and tokens[k].word != "" and tokens[k + 1].word != ""
+
+    def upto(k: int) -> None:
+        nonlocal done
+        for i in range(done, k):
+            out.append(tokens[i].text)
+            edits.update((line, "misread") for line in tokens[i].lines_wrong(d, fragment and i == 0))
+        done = max(done, k)
+
+    i = 0
+    while i < n:
+        if tokens[i].plain:
+            i += 1
+            continue
+        a = i
+        room = d.longest
+        while a > done and linked(a - 1) and room > 0:
+            a -= 1
+            room -= len(tokens[a].word)
+        z, room = i, d.longest
+        while z + 1 < n and linked(z) and room > 0:
+            z += 1
+            room = room - len(tokens[z].word) if tokens[z].plain else d.longest
+        upto(a)
+        words, bad = _region(tokens[a : z + 1], d, fragment and a == 0)
+        out += words
+        edits.update((line, "misread") for line in bad)
+        done = i = z + 1
+    upto(n)
+    return " ".join(out), edits
 
 
 def decode(lines: list[str], d: Decoder) -> str:
     """One paragraph: the lines put end to end, and its words decoded jointly."""
-    stream: list[str] = []
-    for line in lines:
-        tokens = line.split()
-        if stream and stream[-1][-1] in SIGNS and len(stream[-1]) > 1 and tokens:
-            how = joined(stream[-1][:-1], tokens[0], stream[-1][-1], d)
-            if how:
-                stream[-1] = how[0]
-                tokens = tokens[1:]
-        stream += tokens
-    n = len(stream)
-    cores = [core(t) for t in stream]
-    plain = [d.known(c[1].lower()) for c in cores]
-    cost = [0.0] + [1e9] * n
-    step: list[tuple[int, str]] = [(0, "")] * (n + 1)
-    for i in range(n):
-        pre, w, post = cores[i]
-        options = [(0.0 if plain[i] else 4.0, 1, stream[i])]
-        if not plain[i] and not _CODE.match(w):
-            found = d.read(w.lower(), w[:1].isupper())
-            if found and wrong(stream[i], d):
-                options.append((1.0 + 0.5 * found[1], 1, pre + _cased(found[0], w) + post))
-            if len(w) >= 5 and not found and w.islower() and (pair := d.two(w)):
-                options.append((2.5, 1, pre + " ".join(pair) + post))
-        if i + 1 < n and not (plain[i] and plain[i + 1]) and not post and not cores[i + 1][0]:
-            whole = (w + cores[i + 1][1]).lower()
-            if whole in d.words and len(whole) > 3:
-                options.append((1.0, 2, pre + _cased(whole, w) + cores[i + 1][2]))
-        for c, k, s in options:
-            if cost[i] + c < cost[i + k]:
-                cost[i + k], step[i + k] = cost[i] + c, (k, s)
-    out, i = [], n
-    while i:
-        k, s = step[i]
-        out.append(s)
-        i -= k
-    return " ".join(reversed(out))
+    return decoded(list(enumerate(lines, 1)), d)[0]
 
 
 def _cased(word: str, like: str) -> str:

@@ -74,6 +74,20 @@ def test_split_and_merged_words(decoder):
     assert S.decode(["thelibrary was", "ca lm and c1ear"], decoder) == "the library was calm and clear"
 
 
+@pytest.mark.parametrize(
+    "lines,text",
+    [
+        (["met in every gar den of", "the lib ra ry"], "met in every garden of the library"), (["met inthelong hall"], "met in the long hall"),
+        (["the c0nfer ence was"], "the conference was"), (["a confer-", "en ce was calm"], "a conference was calm"),
+        (["the lib ra-", "ry of"], "the library of"), (["HIS LI BRA RY"], "HIS LIBRARY"), (["Under CV-", "9.A.8c, the"], "Under CV-9.A.8c, the"),
+        (["met with rarelibrary"], "met with rare library"), (["for Gar Den"], "for Gar Den"),
+    ],
+)
+def test_decoding_over_characters(lines, text):
+    d = S.Decoder({w: 500 for w in WORDS} | {"rare": 3, "with": 500, "a": 500, "under": 500, "his": 500})
+    assert S.decode(lines, d) == text
+
+
 def test_odd_texts(decoder):
     for t in ("", "\n\n", "===", "-", "- \n-", "\x00", "word " * 100_000):
         S.analyse(t, HEADS, decoder)
