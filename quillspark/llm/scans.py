@@ -5,7 +5,7 @@ lines are put end to end, and word segmentation is decoded jointly over the stre
 dynamic programming over a lexicon: from any character a known word may be read, with confused characters
 and over any number of blanks, line breaks and their signs, and end where a blank is missing, or a token may
 stay as it is, each at a cost; tokens that are known words are the anchors between which there is a choice.
-Of words run together each has
+Both the paragraphs and the defects of body lines come from this decoding. Of words run together each has
 two letters or more, and only tokens in lower case are cut, as unknown names would fall into words.
 Paragraph boundaries are chosen by dynamic programming over the lines.
 
@@ -197,15 +197,6 @@ class Decoder:
                         stack.append((i + len(read), word + true, c + 1, inside + within))
         return found
 
-    def two(self, word: str) -> tuple[str, str] | None:
-        """Two frequent words run together."""
-        best = None
-        for i in range(2, len(word) - 1):
-            n = min(self.words.get(word[:i], 0), self.words.get(word[i:], 0))
-            if n >= 20 and (best is None or n > best[0]):
-                best = (n, word[:i], word[i:])
-        return best[1:] if best else None
-
 
 def core(token: str) -> tuple[str, str, str]:
     """Marks before, the word, marks after."""
@@ -242,7 +233,7 @@ def wrong(token: str, d: Decoder, fragment: bool = False) -> bool:
     found = d.read(low, capital)
     if found:
         return not capital or found[1] <= 2 and d.words[found[0]] >= 3 if found[0] in d.words else True
-    return not capital and len(low) >= 5 and d.two(low) is not None
+    return False
 
 
 def _letters(s: str) -> str:
@@ -385,67 +376,21 @@ def joined(first: str, second: str, sign: str, d: Decoder) -> tuple[str, bool] |
 
 
 def analyse(text: str, heads: Heads, d: Decoder) -> tuple[list[str], list[tuple[int, str]]]:
-    """Kinds of the lines, and (line from 1, defect)."""
+    """Kinds of the lines, and (line from 1, defect): those of body lines are the edits of decoding them."""
     lines = text.split("\n")
     kind = kinds(lines, heads)
-    body = [i for i, k in enumerate(kind) if k == "body"]
-    defects: list[tuple[int, str]] = [(i + 1, k) for i, k in enumerate(kind) if k in ("page_number", "running_head")]
-    carried = None  # the part of a word from the line before
-    for at, i in enumerate(body):
-        tokens = lines[i].split()
-        follow = lines[body[at + 1]].split() if at + 1 < len(body) else None
-        between = kind[i + 1 : body[at + 1]] if follow else []
-        bad = False
-        end = tokens[-1]
-        sign = end[-1] if end[-1] in SIGNS and len(end) > 1 and end[-2].isalnum() else ""
-        breaks = None
-        if sign and "heading" not in between:
-            if follow is None:
-                a = core(end[:-1])[1].lower()
-                own = sign == "-" and d.known(a) and d.starts_compound(a)
-                breaks = not own
-            else:
-                how = joined(end[:-1], follow[0], sign, d) if follow[0][:1].islower() or not follow[0][:1].isalpha() or end.isupper() else None
-                if how is None and sign in SOFT:
-                    breaks = True
-                elif how is None:
-                    second = follow[0]
-                    breaks = bool(second[:1] in "@$|0165(9") and len(second) > 1 and any(c.isalpha() for c in second)
-                else:
-                    breaks = how[1]
-            if breaks:
-                defects.append((i + 1, "hyphen_break"))
-        for j, tok in enumerate(tokens):
-            if j == 0 and carried is not None:
-                bad = bad or carried
-                continue
-            if j == len(tokens) - 1 and breaks is not None:
-                continue
-            fragment = j == 0 and at == 0 and i == 0 and not tok[:1].isupper()
-            if wrong(tok, d, fragment):
-                bad = True
-                break
-        if carried is True:
-            bad = True
-        carried = None
-        if breaks is not None:
-            first = end[:-1]
-            second = follow[0] if follow else ""
-            whole = core(first)[1] + core(second)[1] if breaks else f"{core(first)[1]}-{core(second)[1]}"
-            carried = False
-            if follow is None:
-                bad = bad or wrong(first, d, True)
-                carried = None
-            elif wrong(whole, d):
-                left, right = wrong(first, d, True), wrong(second, d, True)
-                if not left and not right:  # where the whole word differs from what it should be
-                    true = d.read(whole.lower(), whole[:1].isupper())
-                    k = next((k for k, (x, y) in enumerate(zip(whole.lower(), true[0])) if x != y), len(whole)) if true else 0
-                    left = k < len(core(first)[1])
-                    right = not left
-                bad, carried = bad or left, right
-        if bad:
-            defects.append((i + 1, "misread"))
+    defects = {(i + 1, k) for i, k in enumerate(kind) if k in ("page_number", "running_head")}
+    runs: list[list[int]] = [[]]
+    for i, k in enumerate(kind):
+        if k == "body":
+            runs[-1].append(i)
+        elif k == "heading" and runs[-1]:
+            runs.append([])
+    if not runs[-1] and len(runs) > 1:
+        runs.pop()
+    for at, run in enumerate(runs):
+        edits = decoded([(i, lines[i]) for i in run], d, at + 1 == len(runs))[1]
+        defects |= {(i + 1, k) for i, k in edits}
     return kind, sorted(defects)
 
 

@@ -88,6 +88,11 @@ def test_decoding_over_characters(lines, text):
     assert S.decode(lines, d) == text
 
 
+def test_defects_come_from_decoding(decoder):
+    page = "The families met in every gar den of\nthe long hall. Every lib ra-\nry was calm and\nplannedthelibrary. Under CV-\n9.A.8c, the"
+    assert S.analyse(page, HEADS, decoder)[1] == [(1, "misread"), (2, "hyphen_break"), (2, "misread"), (4, "misread")]
+
+
 def test_odd_texts(decoder):
     for t in ("", "\n\n", "===", "-", "- \n-", "\x00", "word " * 100_000):
         S.analyse(t, HEADS, decoder)
