@@ -52,7 +52,8 @@ _ACCENT = re.compile(r"[^\x00-\x7f]")
 _LETTER = re.compile(r"[^\W\d_]+")
 _VOWEL = re.compile(r"[aeiouyáéíóúàèìòùâêîôûäëïöüãõœæ]")
 _BULLET = re.compile(r"\s*(?:[-*+•▪◦‣·–—o]\s+|\[[ xX]?\]\s*|\(?(?:\d{1,4}|[a-zA-Z]|[ivxlcIVXLC]{1,6})[.)]\s+|\d{1,4}\s+\S|[A-Z]{1,4}[-.]\d\S*\s)")
-_FIELD = re.compile(r"[^\s:][^:]{0,40}:(?:\s|$)")
+_FIELD_NAME = 41
+_LOOSE = re.compile(r",(?=\s)")
 _GAPS = re.compile(r"\S(?: {2,}|\t)(?=\S)")
 _CODED = re.compile(r"\s*\(?[A-Z]{1,4}[-.]?\d+[-.]\S*\s")
 #: A lead byte of UTF-8 shown as Latin-1 with a byte after it.
@@ -93,10 +94,11 @@ def _line(text: str) -> dict:
     rest = text if text.isascii() else ""
     return {
         "chars": len(text), "spaces": text.count(" ") + text.count("\t"), "words": len(words), "word_chars": size, "letters": letters, "digits": len(_DIGIT.findall(text)),
-        "common": common, "pipes": text.count("|"), "tabs": text.count("\t"), "commas": text.count(","), "semis": text.count(";"), "leaders": text.count("...."),
+        "common": common, "pipes": text.count("|"), "tabs": text.count("\t"), "commas": text.count(","), "loose": len(_LOOSE.findall(text)) if "," in text else 0, "semis": text.count(";"), "leaders": text.count("...."),
         "gaps": len(_GAPS.findall(text)) if "  " in text or "\t" in text else 0, "tag_chars": sum(map(len, _TAG.findall(text))) if "<" in text else 0, "ends": text.count(".") + text.count("!") + text.count("?"),
         "odd_words": odd, "plain": plain, "mixed": mixed, "code": len(_CODE_SIGNS.findall(text)), "broken": 0 if rest else 2 * len(_MOJIBAKE.findall(text)),
         "accents": 0 if rest else len(_ACCENT.findall(text)), "bits": bits, "head": text[:24], "tail": text[-24:],
+        "colon": (colon := text.find(":")), "after": text[colon + 1 : colon + 2] if colon >= 0 else "",
     }
 
 
@@ -109,9 +111,14 @@ def hash_word(w: str) -> int:
 
 def _join_lines(a: dict, b: dict) -> dict:
     """The line of which ``a`` is the first and ``b`` the second part."""
-    out = {k: a[k] + b[k] for k in a if k not in ("bits", "head", "tail")}
+    out = {k: a[k] + b[k] for k in a if k not in ("bits", "head", "tail", "colon", "after")}
     out["bits"] = a["bits"] | b["bits"]
     out["head"], out["tail"] = (a["head"] + b["head"])[:24], (a["tail"] + b["tail"])[-24:]
+    out["loose"] += a["tail"][-1:] == "," and b["head"][:1].isspace()
+    if a["colon"] >= 0:
+        out["colon"], out["after"] = a["colon"], a["after"] or b["head"][:1]
+    else:
+        out["colon"], out["after"] = (a["chars"] + b["colon"] if b["colon"] >= 0 else -1), b["after"]
     if a["tail"] and b["head"] and a["tail"][-1].isalnum() and b["head"][0].isalnum():
         # a word lies across the border: it was counted on both sides
         left, right = re.search(r"[^\W_]+$", a["tail"]).group(), re.match(r"[^\W_]+", b["head"]).group()
@@ -150,7 +157,7 @@ def _kind(x: dict) -> str:
     if x["words"] >= 4 and share >= 0.14 and x["letters"] >= 0.6 * body:
         return "prose"
     delims = max(x["commas"], x["semis"])
-    if _FIELD.match(x["head"]) and x["words"] <= 8 and not mark:
+    if _field(x) and x["words"] <= 8 and not mark:
         return "table"
     if x["commas"] >= 2 and x["words"] <= 4 * (x["commas"] + 1) and x["chars"] < 160 and x["ends"] <= x["commas"] + 2 and _cells(x):
         return "table"
@@ -174,8 +181,12 @@ def _common_in_mark(x: dict) -> int:
 
 def _cells(x: dict) -> bool:
     """Fields without a space after the commas, as in rows of values."""
-    t = x["head"]
-    return bool(re.search(r",(?=\S|$)", t)) and t.count(", ") * 2 <= t.count(",")
+    return x["commas"] > x["loose"] and x["loose"] * 2 <= x["commas"]
+
+
+def _field(x: dict) -> bool:
+    """The name of a field, a colon, and a blank or nothing after it."""
+    return 1 <= x["colon"] <= _FIELD_NAME and not x["head"][0].isspace() and not x["after"].strip()
 
 
 def partial(text: str) -> dict:

@@ -47,6 +47,18 @@ def test_kinds(kind, text):
     assert Q8.finish(Q8.partial(text))["text_kind"] == kind
 
 
+ROWS = "".join(f"Conference on steady gardens {i},{i * 2},{i + 7},x\n" for i in range(9))
+FIELDS = "".join(f"Number steady gardens visited: {i}\nTeachers present first mornings: {i * 2}\n\n" for i in range(9))
+
+
+@pytest.mark.parametrize("text", [ROWS, FIELDS])
+def test_rows_and_fields_beyond_the_head_of_a_line(text):
+    whole = Q8.finish(Q8.partial(text))
+    assert whole["text_kind"] == "table" and whole["table_share"] > 0.9
+    for cut in range(120):
+        assert Q8.finish(Q8.merge(Q8.partial(text[:cut]), Q8.partial(text[cut:])))["table_share"] == whole["table_share"]
+
+
 def test_statistics(spark):
     long = PROSE * 2000
     rows = [(1, None), (2, ""), (3, "  \n"), (4, PROSE), (5, long), (6, long), (5, long)]
