@@ -2,7 +2,8 @@
 
 Method: one pass of an Aho-Corasick automaton over the lower-cased text finds speaker labels, fillers and
 notes of sounds; context rules decide which hits count (a label only at the head of an utterance and
-followed by a mark that ends labels, a note only in brackets, a filler only as whole words); the intervals
+followed by a mark that ends labels, a note only in brackets, a filler only as whole words and, where it may
+be speech, by the words and marks beside it and the recording's language); the intervals
 of the hits that count are subtracted from the utterance; windows over the utterances in order of time
 build the turns.
 
@@ -20,6 +21,7 @@ ids count once.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import sliced
+from .quality import COMMON_BY_LANGUAGE
 
 # Hesitation sounds and empty phrases that are no speech, and labels of unknown persons.
 HESITATIONS = """uh uhh uhhh um umm ummm er err erm ah ahh eh ehh eeh em emm hm hmm hmmm mm mmm mhm mm-hmm mmhmm uh-huh huh oh äh ähm hä ehm euh heu
@@ -60,7 +63,20 @@ SOUNDS = """laughter laughs laughing laugh applause claps clapping cough coughs
 closes closing opens slams knock knocks chair scrapes crosstalk chatter background inaudible unintelligible pause silence static beep whisper whispers murmur
 murmurs breath breathes inhales exhales clears throat sniffs gasps footsteps typing paper rustles rustling bell buzz click risas aplausos tos ruido música silencio
 inaudible suspira puerta teléfono rires applaudissements toux bruit musique soupir lachen beifall husten geräusch musik""".split()
+# Words before a phrase, or after it, with which it is real speech; phrases that need a mark after them; words of other languages.
+_NOUN_BEFORE = "what which any some all no same other different new certain a the this that these those another each every one two many".split()
+REAL_AFTER = {
+    "kind of": {*_NOUN_BEFORE}, "sort of": {*_NOUN_BEFORE}, "you know": {*"as what if do did how don't didn't would should could whatever who".split()},
+    "i mean": {*"what do did how if whatever".split()}, "like,": {*"look looks looked feel feels felt sound sounds seem seems would i'd we'd they'd".split()},
+    "bueno,": {*"es muy ser fue era sería más tan lo algo nada".split()},
+}
+REAL_BEFORE = {"okay so": {"far"}}
+NEEDS_MARK = {"you know", "i mean", "o sea", "este"}
+REAL_IN = {"de": {"um", "er"}, "pt": {"em", "um"}}
 # End of the fixed values.
+_WORD_BEFORE = re.compile(r"([^\s,.;:!?…]+)\s*$")
+_WORD_AFTER = re.compile(r"\s*([^\W\d_]+)")
+_LANGUAGES = {k: frozenset(w.split()) for k, w in COMMON_BY_LANGUAGE.items()}
 
 
 def seconds(clock: str) -> float:
@@ -235,9 +251,33 @@ def utterances(text: str, roster: Roster) -> list[list]:
     return found
 
 
-def clean(text: str) -> tuple[str, bool]:
-    """The speech without notes and hesitations, and whether any is left."""
+def language(text: str) -> str:
+    """The language with the most frequent words in the text."""
+    counts = Counter(re.findall(r"[^\W\d_]+", text.lower()))
+    return max(_LANGUAGES, key=lambda k: sum(counts[w] for w in _LANGUAGES[k]))
+
+
+def filler(low: str, a: int, z: int, word: str, lang: str) -> bool:
+    """Whether a hesitation or phrase is one by the words and marks about it."""
+    marked = low[z : z + 1] in (",", "…", "–", "—") or low.startswith(("...", " –", " —", " -"), z)
+    if word in REAL_IN.get(lang, ()):
+        return marked
+    before = low[max(0, a - 40) : a].rstrip()
+    if word == "este":
+        return low.startswith(("...", "…"), z) or marked and before[-1:] in ("", ",", ".", "!", "?")
+    if word in NEEDS_MARK and not (marked or before[-1:] == "," and low[z : z + 1] in ("", ".", "!", "?")):
+        return False
+    m = _WORD_BEFORE.search(before)
+    if m and m.group(1) in REAL_AFTER.get(word, ()):
+        return False
+    m = _WORD_AFTER.match(low, z)
+    return not (m and m.group(1) in REAL_BEFORE.get(word, ()))
+
+
+def clean(text: str, lang: str = "en") -> tuple[str, bool]:
+    """The speech without notes and hesitations, and whether any is left; phrases are speech where nothing else is said."""
     cut = [(m.start(), m.end()) for m in _NOTE.finditer(text)]
+    phrases: list[tuple[int, int]] = []
     low = text.lower()
     if len(low) != len(text):  # some capitals become longer
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
@@ -248,24 +288,29 @@ def clean(text: str) -> tuple[str, bool]:
             continue
         if kind == "sound":
             sounds.append((a, z))
-        else:
+        elif filler(low, a, z, w, lang):
             while z < len(low) and low[z] in ",.…" and kind == "hesitation":
                 z += 1
-            cut.append((a, z))
+            (cut if kind == "hesitation" else phrases).append((a, z))
     for m in _ROUND.finditer(text):
         inside = sum(1 for a, z in sounds if m.start() < a and z < m.end())
         if inside and 2 * inside >= len(_WORDS.findall(m.group(1))):
             cut.append((m.start(), m.end()))
-    cut.sort()
+    said = _without(text, cut + phrases)
+    if phrases and not _WORDS.search(said):
+        said = _without(text, cut)
+    return said, bool(_WORDS.search(said))
+
+
+def _without(text: str, cut: list[tuple[int, int]]) -> str:
     kept, at = [], 0
-    for a, z in cut:  # subtraction of intervals that may overlap
+    for a, z in sorted(cut):  # subtraction of intervals that may overlap
         if a > at:
             kept.append(text[at:a])
         at = max(at, z)
     kept.append(text[at:])
     said = re.sub(r"\s+", " ", " ".join(kept)).strip()
-    said = _CUT_OFF.sub("", re.sub(r"\s+([,.;:!?])", r"\1", said))
-    return said, bool(_WORDS.search(said))
+    return _CUT_OFF.sub("", re.sub(r"\s+([,.;:!?])", r"\1", said))
 
 
 def parse(text: str, speakers: list[tuple[int, str, str]]) -> list[tuple[int, int, str]]:
@@ -277,11 +322,11 @@ def parse(text: str, speakers: list[tuple[int, str, str]]) -> list[tuple[int, in
         known = u[0] if u[0] is not None else known
         u.append((known, i))
     found.sort(key=lambda u: u[3])
-    out, now = [], 0
+    out, now, lang = [], 0, language(text)
     for k, (_, number, body, _) in enumerate(found):
         if number is not None:
             now = number
-        said, speech = clean(body)
+        said, speech = clean(body, lang)
         if speech:
             out.append((k, now, said))
     return out

@@ -32,6 +32,20 @@ def test_words_that_look_like_labels():
     ]
 
 
+@pytest.mark.parametrize(
+    "said,kept",
+    [
+        ("What kind of book is it?", "What kind of book is it?"), ("It is kind of new.", "It is new."), ("As you know, we met.", "As you know, we met."),
+        ("We met, you know.", "We met,."), ("Do you know the plan?", "Do you know the plan?"), ("You know.", "You know."),
+        ("Leemos este libro y la novela.", "Leemos este libro y la novela."), ("Leemos este... la novela.", "Leemos la novela."),
+        ("Wenn er kommt und das Buch nicht da ist, um zu lesen.", "Wenn er kommt und das Buch nicht da ist, um zu lesen."),
+        ("We er met um here.", "We met here."), ("It looks like, say, a plan.", "It looks like, say, a plan."), ("Um, uh.", None),
+    ],
+)
+def test_fillers_by_context(said, kept):
+    assert turns(f"[0:01] Ada Marlow: {said}") == ([(1, kept)] if kept else [])
+
+
 def test_odd_texts():
     assert turns("") == [] and turns("\n \n") == [] and turns("[music]") == [] and turns("Just words.") == [(0, "Just words.")]
     assert turns("[0:01] Ada Marlow: Hi.\n[0:02] no label here\n", []) == [(0, "Hi. no label here")]
