@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import providers
 from ..functions import text as T
 from ..operators import chunks as C
 from ..operators import lines as L
@@ -24,6 +25,7 @@ class Settings:
     chunk_overlap: int = 100
     strategy: str = "fallback_chain"
     processors: tuple[str, ...] = ("text",)
+    least_chars: int = 1
     before: tuple[Step, ...] = field(default=())
     after: tuple[Step, ...] = field(default=())
 
@@ -34,6 +36,8 @@ class Settings:
             raise ValueError(f"unknown strategy: {self.strategy}")
         if self.strategy == "exclusive" and len(self.processors) != 1:
             raise ValueError("an exclusive strategy has one processor")
+        if not self.processors:
+            raise ValueError("a pipeline has at least one processor")
         if not 0 <= self.chunk_overlap < self.chunk_size:
             raise ValueError("the overlap must be at least 0 and less than the size")
 
@@ -99,16 +103,35 @@ def chunked(size: int, overlap: int) -> Step:
     return step
 
 
+def extracted(df: DataFrame, s: Settings, processors: dict[str, Step]) -> DataFrame:
+    """``content`` and ``error`` of the first listed processor that succeeds, else the last error.
+
+    A processor takes rows and gives them with their ``content`` and ``error``; ``text`` leaves them as they were read.
+    A chain of more than one writes to the shared checkpoint folder.
+    """
+    known = {"text": lambda d: d, **processors}
+    unknown = [n for n in s.processors if n not in known]
+    if unknown:
+        raise ValueError(f"unknown processors: {', '.join(unknown)}")
+    if len(s.processors) == 1:
+        got = known[s.processors[0]](df)
+        return got.withColumn("error", providers.failure(s.least_chars)) if {"content", "error"} <= set(got.columns) else got
+    rows = df.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
+    found = providers.first_success(rows, "_row", [(n, known[n]) for n in s.processors], s.least_chars).drop("processor")
+    rest = rows.drop("content", "error").join(found, "_row", "left")
+    return rest.select(*df.columns)
+
+
 def steps(s: Settings) -> list[Step]:
     chunk = chunked(s.chunk_size, s.chunk_overlap)
     own = {
         "text": [], "markdown": [markdown], "json": [structured], "structured": [structured], "hybrid": [markdown, structured], "chunk": [chunk],
         "store": [chunk, lambda d: C.upload_rows(d, "id")],
     }[s.kind]
-    return [*s.before, identified, *own, *s.after]
+    return [identified, *own, *s.after]
 
 
-def run(df: DataFrame, settings: Settings) -> DataFrame:
-    for step in steps(settings):
+def run(df: DataFrame, settings: Settings, processors: dict[str, Step] | None = None) -> DataFrame:
+    for step in (*settings.before, lambda d: extracted(d, settings, processors or {}), *steps(settings)):
         df = df.transform(step)
     return df

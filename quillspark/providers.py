@@ -69,16 +69,22 @@ def completed(
     return df.select(*names).mapInPandas(run, schema)
 
 
-def first_success(df: DataFrame, key: str, attempts: list[tuple[str, Callable[[DataFrame], DataFrame]]]) -> DataFrame:
+def failure(least_chars: int = 1):
+    """The error of a row: its own, else that its content is missing, blank or shorter than ``least_chars``."""
+    size = F.length(F.regexp_replace(F.coalesce("content", F.lit("")), r"^\s+|\s+$", ""))
+    return F.coalesce("error", F.when(size < max(1, least_chars), F.lit("too little text")))
+
+
+def first_success(df: DataFrame, key: str, attempts: list[tuple[str, Callable[[DataFrame], DataFrame]]], least_chars: int = 1) -> DataFrame:
     """(key, content, processor, error): attempts in order, each only over what those before have failed on.
 
-    An attempt takes rows and gives (key, content, error). What all fail on keeps the last error. The results of an
+    An attempt takes rows and gives (key, content, error); content that is blank or shorter than ``least_chars`` is a failure. What all fail on keeps the last error. The results of an
     attempt are written to the shared checkpoint folder, as the next depends on them.
     """
     left, out, last = df, None, None
     for name, attempt in attempts:
-        got = attempt(left).select(key, "content", "error").withColumn("processor", F.lit(name)).checkpoint()
-        ok = got.where("error is null and content is not null")
+        got = attempt(left).select(key, "content", failure(least_chars).alias("error")).withColumn("processor", F.lit(name)).checkpoint()
+        ok = got.where("error is null")
         out = ok if out is None else out.unionByName(ok)
         left = left.join(ok.select(key), key, "left_anti")
         last = got

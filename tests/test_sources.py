@@ -76,6 +76,22 @@ def test_pipelines(spark, folder):
         Settings(strategy="exclusive", processors=("a", "b"))
 
 
+def test_pipeline_applies_its_chain(spark):
+    rows = [("a", "good text", None), ("b", None, "broken"), ("c", " \n ", None), ("d", "x", None), ("b", None, "broken"), ("e", None, "broken")]
+    d = spark.createDataFrame([(i, f"/in/{i}.pdf", c, e) for i, c, e in rows], "id string, source_path string, content string, error string")
+    ocr = lambda x: x.withColumn("content", F.when(F.col("id") != "e", F.concat(F.lit("read "), "id"))).withColumn(
+        "error", F.when(F.col("id") == "e", "unreadable"),
+    )
+    got = run(d, Settings(processors=("text", "ocr"), least_chars=3), {"ocr": ocr})
+    assert got.columns == d.columns and sorted((r.id, r.content, r.error) for r in got.collect() if r.content) == [
+        ("a", "good text", None), ("b", "read b", None), ("b", "read b", None), ("c", "read c", None), ("d", "read d", None),
+    ]
+    assert [(r.content, r.error) for r in got.where("id = 'e'").collect()] == [(None, "unreadable")]
+    assert {r.id: r.error for r in run(d, Settings()).collect()} == {"a": None, "b": "broken", "c": "too little text", "d": None, "e": "broken"}
+    with pytest.raises(ValueError):
+        run(d, Settings(processors=("text", "gone")))
+
+
 def test_sinks(spark, tmp_path):
     d = spark.createDataFrame([(1, "x", ["a", "b"])], "id int, content string, tags array<string>")
     sinks.write_formats(d, str(tmp_path / "out"), ("text", "json"))
