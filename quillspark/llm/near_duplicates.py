@@ -5,8 +5,9 @@ all rows of some band of MinHash values are candidates; for each, further MinHas
 steps, and the pair is dropped as soon as the posterior probability that its similarity reaches the
 threshold falls below a tolerance; what is left is verified on the shingles exactly.
 
-Equal texts are one class from the start, so that however many copies there are, only one of each takes
-part. Bands are joined by Spark's join, whose skew handling splits a hot bucket between tasks.
+Equal texts are one from the start: of each a single row is hashed into bands, so that the work doesn't grow
+with the number of copies or of repeated rows. Bands are joined by Spark's join, whose skew handling splits a
+hot bucket between tasks.
 
 Defined results: null texts and texts of fewer than ``min_words`` words (or without a shingle) are alike
 to nothing; a repeated id counts once; similarity is symmetric and pairs come smaller id first.
@@ -213,27 +214,32 @@ def _verify(settings: Settings):
     return run
 
 
-def classes(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(class, id): ids with the same text have the same class. A class is 64 bits of a hash of the text."""
-    src = texts.where(f"{id_col} is not null and {text_col} is not null")
-    return src.select(_class(text_col).alias("class"), F.col(id_col).cast("bigint").alias("id")).distinct()
+def distinct_texts(texts: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(id, t) of texts that occur in one row; (id, t) of texts that occur in several, once each under the smallest of their ids;
+    and (rep, id), the smallest id and each id of the latter. The last two are written to the shared folder.
 
-
-def _class(text_col: str):
-    return F.conv(F.substring(F.sha2(F.col(text_col), 256), 1, 16), 16, -10).cast("bigint")
-
-
-def class_links(texts: DataFrame, text_col: str, settings: Settings) -> DataFrame:
-    """(a, b, similarity), a < b: the classes of different texts that are alike. Written to the shared folder."""
-    src = texts.where(F.col(text_col).isNotNull()).select(_class(text_col).alias("id"), F.col(text_col).alias("t"))
-    bands = src.mapInArrow(_band_keys(settings), "id bigint, keys array<bigint>").select("id", F.explode("keys").alias("key"))
+    Texts are told apart by 128 bits of a hash, of which alone a shuffle is made; the ids of repeated texts are sent to all
+    executors up to ``BROADCAST_IDS``, and joined by a shuffle beyond. Of an id with different texts one counts.
+    """
+    src = texts.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t")).where("id is not null and t is not null")
+    keyed = src.select(F.unhex(F.md5("t")).alias("key"), "id")
+    many = keyed.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "rep")
+    members = materialise(keyed.join(many, "key").groupBy("id").agg(F.min("rep").alias("rep")))
+    sent = F.broadcast if members.count() <= BROADCAST_IDS else lambda df: df
+    single = src.join(sent(members.select("id")), "id", "left_anti")
+    again = materialise(src.join(sent(members.where("id = rep").select("id")), "id", "left_semi").dropDuplicates(["id"]))
+    return single, again, members
+
+
+def text_links(texts: DataFrame, settings: Settings) -> DataFrame:
+    """(a, b, similarity), a < b: different texts that are alike, of (id, t) with one row for each text. Written to the shared folder."""
+    bands = texts.mapInArrow(_band_keys(settings), "id bigint, keys array<bigint>").select("id", F.explode("keys").alias("key"))
     pairs = bands.alias("l").join(
         bands.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.id") < F.col("r.id")),
     ).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
     candidates = materialise(pairs.distinct())
-    ids = candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    ids = materialise(ids)
-    chosen = src.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi").dropDuplicates(["id"])
+    ids = materialise(candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    chosen = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
     features = materialise(chosen.mapInArrow(_features(settings), "id bigint, sig binary, shingles binary"))
     with_sig = candidates
     for side in ("a", "b"):
@@ -241,56 +247,55 @@ def class_links(texts: DataFrame, text_col: str, settings: Settings) -> DataFram
     left = with_sig.mapInArrow(_prune(settings), "a bigint, b bigint")
     for side in ("a", "b"):
         left = left.join(features.select(F.col("id").alias(side), F.col("shingles").alias(f"set_{side}")), side)
-    return materialise(left.mapInArrow(_verify(settings), "a bigint, b bigint, similarity double"))
+    links = materialise(left.mapInArrow(_verify(settings), "a bigint, b bigint, similarity double"))
+    for done in (candidates, ids, features):
+        released(done)
+    return links
 
 
-def countable(texts: DataFrame, text_col: str, settings: Settings) -> DataFrame:
-    """Texts with enough words; the count of words is bounded below by the cheap test before it."""
+def countable(texts: DataFrame, settings: Settings) -> DataFrame:
+    """The ids of texts with enough words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = max(settings.min_words, settings.words)
         for b in batches:
-            keep = pa.array([len(_WORD.findall(t.lower())) >= least for t in b.column("t").to_pylist()])
-            yield pa.RecordBatch.from_arrays([b.column("class").filter(keep)], names=["class"])
+            keep = pa.array([len(_WORD.findall(t.lower())) >= least for t in b.column("t").to_pylist()], pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column("id").filter(keep)], names=["id"])
 
-    return texts.select("class", "t").mapInArrow(run, "class bigint")
+    return texts.select("id", "t").mapInArrow(run, "id bigint")
 
 
 def found_pairs(texts: DataFrame, id_col: str, text_col: str, settings: Settings) -> DataFrame:
-    """(id_a, id_b), smaller first: all pairs of ids whose texts are alike, equal texts included."""
-    of = classes(texts, id_col, text_col)
-    links = class_links(texts, text_col, settings)
-    across = links.join(
-        of.select(F.col("class").alias("a"), F.col("id").alias("x")), "a",
-    ).join(of.select(F.col("class").alias("b"), F.col("id").alias("y")), "b").select("x", "y")
-    # classes with more than one id; of their texts only those with enough words count
-    many = of.groupBy("class").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("class")
-    src = texts.where(F.col(text_col).isNotNull()).select(_class(text_col).alias("class"), F.col(text_col).alias("t"))
-    many = materialise(many)
-    many = F.broadcast(many) if many.count() <= BROADCAST_IDS else many
-    long = countable(
-        src.where(F.length("t") >= 2 * max(settings.min_words, settings.words) - 1).join(many, "class", "left_semi"), "t", settings,
-    ).distinct()
-    copies = of.join(long, "class", "left_semi")
-    within = copies.alias("l").join(
-        copies.alias("r"), (F.col("l.class") == F.col("r.class")) & (F.col("l.id") < F.col("r.id")),
-    ).select(F.col("l.id").alias("x"), F.col("r.id").alias("y"))
-    both = across.unionByName(within).where("x <> y")
-    return both.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
+    """(id_a, id_b), smaller first: all pairs of ids whose texts are alike, equal texts included.
+
+    Pairs are found between different texts, and only in the result unfolded to the ids that have these texts.
+    """
+    single, again, members = distinct_texts(texts, id_col, text_col)
+    links = text_links(single.unionByName(again), settings)
+    copies = members.where("id <> rep").join(countable(again, settings).withColumnRenamed("id", "rep"), "rep", "left_semi")
+    everyone = copies.unionByName(copies.select("rep", F.col("rep").alias("id")).distinct())
+    across = links
+    for side in ("a", "b"):
+        across = across.join(everyone.select(F.col("rep").alias(side), F.col("id").alias(f"id_{side}")), side, "left").withColumn(
+            side, F.coalesce(f"id_{side}", side),
+        ).drop(f"id_{side}")
+    within = everyone.alias("l").join(
+        copies.alias("r"), (F.col("l.rep") == F.col("r.rep")) & (F.col("l.id") < F.col("r.id")),
+    ).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+    both = across.select("a", "b").unionByName(within)
+    return both.select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"))
 
 
 def groups(texts: DataFrame, id_col: str, text_col: str, settings: Settings) -> DataFrame:
-    """(id, group_id, n_links): one row per id with a text. Groups are the connected classes, named by their
+    """(id, group_id, n_links): one row per id with a text. Groups are the connected texts, named by their
     smallest id; ``n_links`` is the number of different texts that are alike to the id's own."""
-    of = classes(texts, id_col, text_col)
-    links = class_links(texts, text_col, settings)
-    label = components(links)
+    single, again, members = distinct_texts(texts, id_col, text_col)
+    links = text_links(single.unionByName(again), settings)
     degree = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count(F.lit(1)).alias("n_links"))
-    named = of.join(label, "class", "left").join(degree, "class", "left").select(
-        "id", F.coalesce("root", "class").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    of = single.select("id", F.col("id").alias("class")).unionByName(members.select("id", F.col("rep").alias("class")))
+    return of.join(components(links), "class", "left").join(degree, "class", "left").select(
+        "id", F.coalesce("root", "class").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
-    names = named.groupBy("root").agg(F.min("id").alias("group_id"))
-    return named.join(names, "root").select("id", "group_id", "n_links")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -54,6 +54,33 @@ def test_groups_are_connected_and_count_links(spark):
     assert got[1][1] == got[4][1] >= 1
 
 
+def test_copies_add_no_work(spark, monkeypatch):
+    """However often two texts are repeated, under other ids or the same, the tables written between hold as many rows."""
+    a = [f"a{k}" for k in range(60)]
+    b = ["x", *a[1:]]
+    seen = []
+
+    def spied(df):
+        out = written(df)
+        seen.append((out.columns, out.count()))
+        return out
+
+    written = D.materialise
+    monkeypatch.setattr(D, "materialise", spied)
+    for n in (1, 60):
+        seen.clear()
+        rows = [(k + i * 1000, " ".join(t)) for i, t in enumerate((a, b)) for k in range(n) for _ in range(2 if n > 1 else 1)]
+        df = spark.createDataFrame(rows, "id bigint, t string")
+        single, again, members = D.distinct_texts(df, "id", "t")
+        texts = single.unionByName(again)
+        assert members.count() == (0 if n == 1 else 2 * n)
+        assert texts.mapInArrow(D._band_keys(S), "id bigint, keys array<bigint>").count() == 2
+        seen.clear()
+        assert [tuple(r)[:2] for r in D.text_links(texts, S).collect()] == [(0, 1000)]
+        assert [x for _, x in seen] == [1, 2, 2, 1]
+        assert D.found_pairs(df, "id", "t", S).count() == (2 * n) * (2 * n - 1) // 2
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(0, 40)] + [(100, 101)], "a bigint, b bigint")
     got = {r["class"]: r.root for r in D.components(chain).collect()}
