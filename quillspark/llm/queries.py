@@ -103,7 +103,7 @@ def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
 
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").where(usable_text("text"))
-    return quality.text_statistics(docs).where("text_kind in ('list', 'table', 'junk')").select("doc_id", "text_kind")
+    return quality.each_statistics(docs).where("text_kind in ('list', 'table', 'junk')").select("doc_id", "text_kind").distinct()
 
 
 def p8_statistics(spark: SparkSession, sf: str) -> DataFrame:
