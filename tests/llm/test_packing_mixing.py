@@ -12,18 +12,58 @@ from quillspark.llm import tokens
 needs_tokenizer = pytest.mark.skipif(not os.path.exists(tokens.TOKENIZER_PATH), reason="no tokenizer files here")
 
 
+def classes_of(lengths, capacity):
+    kinds, seen, bins = [min(capacity // n, P.CLASSES) for n in lengths], {}, []
+    for k in kinds:
+        bins.append(seen.get(k, 0) // k)
+        seen[k] = seen.get(k, 0) + 1
+    return kinds, bins
+
+
+def largest_fit(lengths, capacity):
+    """Always the largest item that fits; the bins as sets of lengths."""
+    left, out = sorted(lengths), []
+    while left:
+        room, own = capacity, []
+        while fits := [n for n in left if n <= room]:
+            left.remove(fits[-1])
+            own.append(fits[-1])
+            room -= fits[-1]
+        out.append(tuple(sorted(own)))
+    return sorted(out)
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_bins_hold_all_items_within_capacity(seed):
     rng = random.Random(seed)
     capacity = rng.choice([1, 7, 100, 512])
     lengths = [rng.randint(1, capacity) for _ in range(rng.randint(0, 600))]
-    bins = P.pack(lengths, capacity)
+    kinds, own = classes_of(lengths, capacity)
+    bins = P.topped_up(lengths, kinds, own, capacity)
     load = {}
     for n, b in zip(lengths, bins):
-        load[b] = load.get(b, 0) + n
-    assert len(bins) == len(lengths) and all(x <= capacity for x in load.values()) and sorted(load) == list(range(len(load)))
+        load.setdefault(b, []).append(n)
+    assert len(bins) == len(lengths) and all(sum(x) <= capacity for x in load.values()) and sorted(load) == list(range(len(load)))
+    assert len(load) <= len(set(zip(kinds, own)))
     if lengths and capacity == 100:
         assert len(load) <= 1.2 * sum(lengths) / capacity + 3
+    if len(lengths) > 50 and capacity >= 100:
+        assert sorted(tuple(sorted(x)) for x in load.values()) != largest_fit(lengths, capacity)
+
+
+def test_classes_have_a_fixed_count_whatever_others_hold(spark):
+    rng = random.Random(5)
+    rows = [("box", 100, i % 3, i, 0, rng.randint(1, 100)) for i in range(900)]
+    d = spark.createDataFrame(rows, "container_name string, capacity bigint, shard int, doc_id bigint, piece_no int, n bigint")
+    got = P.harmonic(d).collect()
+    bins = {}
+    for r in got:
+        assert r["class"] == min(100 // r.n, P.CLASSES)
+        bins.setdefault((r.shard, r["class"]), {}).setdefault(r.class_bin, []).append(r.n)
+    for (_, k), own in bins.items():
+        assert sorted(own) == list(range(len(own))) and all(len(own[b]) == k and sum(own[b]) <= 100 for b in list(own)[:-1] if b != max(own)) and len(own[max(own)]) <= k
+    alone = {(r.shard, r.doc_id): r.class_bin for r in P.harmonic(d.where("n between 26 and 33")).collect()}
+    assert alone == {(r.shard, r.doc_id): r.class_bin for r in got if r["class"] == 3} and len(alone) > 20
 
 
 def test_containers(spark):
@@ -38,6 +78,8 @@ def test_containers(spark):
     assert [(r.piece_no, r.token_start, r.n_tokens) for r in sorted(got, key=lambda r: r.piece_no) if r.container_name == "small" and r.doc_id == 1] == [(0, 0, 10), (1, 10, 10), (2, 20, 5)]
     assert all(r.piece_no == 0 for r in got if r.doc_id != 1 or r.container_name == "large") and all(r.doc_id != 4 for r in got)
     assert P.fill_containers(d.limit(0), spec, 0).count() == 0
+    report = {r.container_name: r for r in P.fill_report(P.fill_containers(d, spec, 5), spec).collect()}
+    assert report["small"].n_tokens == 45 and report["small"].share_filled >= report["small"].share_filled_before > 0
 
 
 @needs_tokenizer
@@ -51,7 +93,8 @@ def test_containers_of_the_tables(spark, data):
         spark.read.parquet(f"{data}/container_spec.parquet"), "container_name",
     ).where("n > capacity_tokens")
     assert over.count() == 0
-    assert Q.p6_fill(spark, data).where("share_filled > 0.9").count() >= 3
+    fill = Q.p6_fill(spark, data)
+    assert fill.where("share_filled > 0.9").count() >= 3 and fill.where("share_filled < share_filled_before").count() == 0
 
 
 def test_schedule_stays_within_a_block():
