@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from heapq import nsmallest
+from itertools import compress
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import tokens, uuid5
+from .relational import distinct_ignoring_case
+
+_PHRASE_WORD = re.compile(r"[^\W_]+")
 
 
 def token_windows(df: DataFrame, text: str, size: int = 800, overlap: int = 100) -> DataFrame:
@@ -63,34 +67,68 @@ def upload_rows(chunks: DataFrame, key: str) -> DataFrame:
     )
 
 
-def top_phrases(df: DataFrame, key: str, text: str, words: int = 2, k: int = 15) -> DataFrame:
-    """(key, keyword, n, rank): the k most frequent runs of so many words of each text, the first by alphabet of equal ones.
+# Words that no phrase of interest ends with.
+STOP_WORDS = frozenset(
+    """a about above after again all also am an and any are as at be because been before being below between both but by can could did do does doing
+    down during each every few for from further had has have having he her here hers him his how i if in into is it its just may me might more most must
+    my no nor not now of off on once one only or other our ours out over own same shall she should so some such than that the their theirs them then there
+    these they this those through to too under until up upon us very was we were what when where which while who whom why will with would you your
+    yours""".split()
+)
+# End of the fixed values.
+
+
+def frequent_phrases(text: str, most_words: int, k: int) -> list[tuple[str, int]]:
+    """(phrase, times) of the k most frequent runs of up to ``most_words`` words that don't end with a stop word, the first by alphabet of equal ones."""
+    w = _PHRASE_WORD.findall(text.lower())
+    ends = [x not in STOP_WORDS for x in w]
+    n: Counter = Counter()
+    for size in range(1, most_words + 1):
+        n.update(compress(map(" ".join, zip(*(w[j:] for j in range(size)))), ends[size - 1 :]))
+    return nsmallest(k, n.items(), key=lambda x: (-x[1], x[0]))
+
+
+def top_phrases(df: DataFrame, key: str, text: str, words: int = 3, k: int = 15) -> DataFrame:
+    """(key, keyword, n, rank): the k most frequent phrases of each text, as of :func:`frequent_phrases`.
 
     Counted where a text is read, in Arrow batches: a text's phrases are many times its size and would all be shuffled
-    otherwise. Null texts and texts of fewer words give no rows.
+    otherwise. Null texts and texts without words give no rows.
     """
-    word = re.compile(r"[^\W_]+")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for i in range(0, whole.num_rows, 512):
-                b = whole.slice(i, 512)
-                at, phrases, counts, ranks = [], [], [], []
-                for r, t in enumerate(b.column("_t").to_pylist()):
-                    w = word.findall(t.lower())
-                    n = Counter(map(" ".join, zip(*(w[j:] for j in range(words)))))
-                    for rank, (phrase, c) in enumerate(nsmallest(k, n.items(), key=lambda x: (-x[1], x[0])), 1):
-                        at.append(r)
-                        phrases.append(phrase)
-                        counts.append(c)
-                        ranks.append(rank)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        b.column("_k").take(pa.array(at, pa.int64())), pa.array(phrases, pa.string()), pa.array(counts, pa.int64()),
-                        pa.array(ranks, pa.int32()),
-                    ],
-                    names=[key, "keyword", "n", "rank"],
-                )
+        for b in _few(batches):
+            rows = [(r, *x, i) for r, t in enumerate(b.column("_t").to_pylist()) for i, x in enumerate(frequent_phrases(t, words, k), 1)]
+            col = lambda j, t: pa.array([x[j] for x in rows], t)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("_k").take(col(0, pa.int64())), col(1, pa.string()), col(2, pa.int64()), col(3, pa.int32())], names=[key, "keyword", "n", "rank"],
+            )
 
     src = df.select(F.col(key).alias("_k"), F.col(text).alias("_t")).where("_t is not null")
     return src.mapInArrow(run, f"`{key}` {src.schema['_k'].dataType.simpleString()}, keyword string, n bigint, rank int")
+
+
+def hybrid_tags(df: DataFrame, key: str, text: str, given: str, terms: tuple[str, ...], k: int = 15, most: int = 20) -> DataFrame:
+    """(key, tags): the tags ``given`` (an array, of a model for example), the k frequent phrases and the ``terms`` that occur in the text, in this
+    order, of those that differ in case only the first, at most ``most``. A null text adds nothing to what is given; null tags are none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _few(batches):
+            found = [[p for p, _ in frequent_phrases(t, 3, k)] if t else [] for t in b.column("_t").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("_k"), b.column("_given"), pa.array(found, pa.list_(pa.string())), b.column("_terms")], names=["_k", "_given", "_phrases", "_terms"],
+            )
+
+    low = F.lower(F.coalesce(F.col(text), F.lit("")))
+    src = df.select(
+        F.col(key).alias("_k"), F.col(text).alias("_t"), F.array_compact(F.coalesce(F.col(given), F.array().cast("array<string>"))).alias("_given"),
+        F.array_compact(F.array(*(F.when(F.contains(low, F.lit(t.lower())), F.lit(t)) for t in terms))).cast("array<string>").alias("_terms"),
+    )
+    kind = src.schema["_k"].dataType.simpleString()
+    tagged = src.mapInArrow(run, f"_k {kind}, _given array<string>, _phrases array<string>, _terms array<string>")
+    return tagged.select(F.col("_k").alias(key), distinct_ignoring_case(F.concat("_given", "_phrases", "_terms"), most).alias("tags"))
+
+
+def _few(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)

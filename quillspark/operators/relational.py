@@ -99,14 +99,14 @@ def distinct_ignoring_case(tags: Column, most: int = 20) -> Column:
     return F.slice(firsts, 1, most)
 
 
-def similar_strings(df: DataFrame, col: str, ratio: float = 0.85, longest: int = 200) -> DataFrame:
+def similar_strings(df: DataFrame, col: str, ratio: float = 0.85) -> DataFrame:
     """(a, b, ratio), a < b: distinct values alike by 1 - edit distance / longer length, found without comparing all pairs.
 
     A value alike to a longer one by at most k edits has, cut into k + 1 pieces, one that is in the longer value as it
     is, at most k characters off its place. Pieces meet such substrings in an equi-join on length, piece and text.
-    Nulls and values beyond ``longest`` characters are left out; values are distinct first, so that copies cost nothing.
+    Nulls and empty values are left out; values are distinct first, so that copies cost nothing.
     """
-    v = df.select(F.col(col).alias("v")).where(F.col(col).isNotNull() & F.length(col).between(1, longest)).distinct().withColumn("n", F.length("v"))
+    v = df.select(F.col(col).alias("v")).where(F.col(col).isNotNull() & (F.length(col) > 0)).distinct().withColumn("n", F.length("v"))
     edits = lambda n: F.floor(F.lit(1 - ratio) * F.floor(n / F.lit(ratio) + 1e-9) + 1e-9).cast("int")
     start = lambda i, n, k: F.floor(i * n / (k + 1)).cast("int")
     short = v.withColumn("k", edits(F.col("n"))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k"))))

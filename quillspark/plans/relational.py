@@ -37,7 +37,7 @@ def _src(spark, sf, *columns):
 
 
 def lookup_left_join(spark: SparkSession, sf: str) -> DataFrame:
-    nation = base(spark, sf, "nation").where("n_nationkey < 20")
+    nation = base(spark, sf, "nation").join(base(spark, sf, "supplier"), F.col("n_nationkey") == F.col("s_nationkey"), "left_semi")
     return R.lookup(
         base(spark, sf, "customer"), R.small(nation), "c_nationkey", "n_nationkey", "n_name", "nation_name",
     ).groupBy("nation_name").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
@@ -89,10 +89,10 @@ def chunk_parent_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def slide_outer_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """Two lists put side by side by position: topics of the lines of odd orders and of even ones."""
-    li = base(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    a = li.where("l_partkey % 2 = 0").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("slide"))
-    b = li.where("l_suppkey % 2 = 0").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_suppkey").alias("note"))
+    """Two lists put side by side by position: parts of the lines that came back, and suppliers of the lines that are closed."""
+    li = base(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
+    a = li.where("l_returnflag = 'R'").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("slide"))
+    b = li.where("l_linestatus = 'F'").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_suppkey").alias("note"))
     return a.join(b, ["l_orderkey", "l_linenumber"], "full_outer")
 
 
@@ -349,10 +349,16 @@ def domain_tag_match(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def keywords_topk(spark: SparkSession, sf: str) -> DataFrame:
-    """The 15 most frequent pairs of words of a text."""
+    """The 15 most frequent phrases of up to three words of a text."""
     return C.top_phrases(base(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
 
 
+def hybrid_tags(spark: SparkSession, sf: str) -> DataFrame:
+    """Tags of a text that are given, its frequent phrases, and the subjects in it."""
+    d = base(spark, sf, "documents", "doc_id", "text", "topics").where("text is not null")
+    return C.hybrid_tags(d, "doc_id", "text", "topics", SUBJECTS).select("doc_id", F.array_join("tags", "|").alias("tags"))
+
+
 def tumbling_counts(spark: SparkSession, sf: str) -> DataFrame:
     e = base(spark, sf, "events", "ts", "event_type")
     return e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n")).select(
@@ -360,6 +366,9 @@ def tumbling_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(C.STOP_WORDS))
+_PHRASES = rf"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL), r AS (SELECT doc_id, unnest(w) AS l, generate_subscripts(w, 1) AS i, w FROM w),
+    p AS (SELECT doc_id, array_to_string(w[i - m + 1 : i], ' ') AS keyword FROM r, range(1, 4) s(m) WHERE i >= m AND l NOT IN ({_STOP})), k AS (SELECT doc_id, keyword, count(*) AS n, (row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, keyword))::INT AS rank FROM p GROUP BY 1, 2 QUALIFY rank <= 15)"""
 _ORG = r"regexp_extract(source_path, '/([^/]*)/[^/]*$', 1)"
 _PAGES = "(SELECT id, page_number, page, length(trim(coalesce(page, '')))::INT AS n FROM (SELECT id, p.page_number AS page_number, max(p.text) AS page FROM (SELECT id, unnest(pages) AS p FROM source_document WHERE pages IS NOT NULL AND id IS NOT NULL) GROUP BY 1, 2))"
 _CX = f"""(SELECT id, n_pages, round(coverage, 4) AS coverage, CASE WHEN coverage < 0.1 THEN 'complex' WHEN tables THEN 'medium' ELSE 'simple' END AS complexity FROM (SELECT id, count(*) AS n_pages, sum((n > 50)::INT) / count(*) AS coverage,
@@ -367,7 +376,7 @@ _CX = f"""(SELECT id, n_pages, round(coverage, 4) AS coverage, CASE WHEN coverag
 _LEV = "(SELECT doc_id, coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS source FROM documents)"
 
 ORACLES = {
-    "lookup_left_join": "SELECT coalesce(n_name, c_nationkey::VARCHAR) AS nation_name, count(*) AS n, round(sum(c_acctbal), 2) AS balance FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) ON c_nationkey = n_nationkey GROUP BY 1",
+    "lookup_left_join": "SELECT coalesce(n_name, c_nationkey::VARCHAR) AS nation_name, count(*) AS n, round(sum(c_acctbal), 2) AS balance FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier)) ON c_nationkey = n_nationkey GROUP BY 1",
     "resume_anti_join": f"SELECT id, source_path FROM {SRC} WHERE id NOT IN (SELECT document_id FROM {KM} WHERE document_id IS NOT NULL)",
     "scan_documents": "SELECT file_type, count(*) AS n, sum(file_size)::BIGINT AS bytes, count(error) AS n_errors FROM (SELECT id, lower(max(metadata.file_type)) AS file_type, max(metadata.file_size) AS file_size, max(error) AS error FROM source_document WHERE id IS NOT NULL GROUP BY id) GROUP BY file_type",
     "render_commands": f"SELECT id, 'process --method ' || CASE WHEN is_scanned THEN 'scan' ELSE 'text' END || ' --pages ' || coalesce(num_pages, 0) || ' ' || id AS command FROM {SRC}",
@@ -375,14 +384,14 @@ ORACLES = {
     "semi_join_referenced": f"SELECT id, source_path FROM {SRC} WHERE id IN (SELECT document_id FROM {KM} WHERE document_id IS NOT NULL)",
     "first_match_join": f"SELECT org, source_rank, path FROM (SELECT {_ORG} AS org, CASE WHEN source_path LIKE '%.pdf' THEN 1 WHEN source_path LIKE '%.docx' THEN 2 ELSE 3 END AS source_rank, source_path AS path FROM {SRC}) QUALIFY row_number() OVER (PARTITION BY org ORDER BY source_rank, path) = 1",
     "chunk_parent_join": f"SELECT k.document_id, s.source_path, count(*) AS n_chunks, max(chunk_index) AS last_index FROM {KM} k LEFT JOIN {SRC} s ON k.document_id = s.id GROUP BY 1, 2",
-    "slide_outer_merge": "SELECT coalesce(a.l_orderkey, b.l_orderkey) AS l_orderkey, coalesce(a.l_linenumber, b.l_linenumber) AS l_linenumber, slide, note FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS slide FROM lineitem WHERE l_partkey % 2 = 0 GROUP BY 1, 2) a FULL JOIN (SELECT l_orderkey, l_linenumber, min(l_suppkey) AS note FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY 1, 2) b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber",
+    "slide_outer_merge": "SELECT coalesce(a.l_orderkey, b.l_orderkey) AS l_orderkey, coalesce(a.l_linenumber, b.l_linenumber) AS l_linenumber, slide, note FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS slide FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2) a FULL JOIN (SELECT l_orderkey, l_linenumber, min(l_suppkey) AS note FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1, 2) b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber",
     "hierarchy_paths": "SELECT c_custkey, r_name || '/' || n_name || '/' || c_name AS path FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
     "surrogate_keys": f"""WITH a AS (SELECT 1 AS level, lang, NULL::VARCHAR AS source, min(doc_id) AS f FROM {_LEV} GROUP BY lang UNION ALL SELECT 2, lang, source, min(doc_id) FROM {_LEV} GROUP BY lang, source), g AS (SELECT *, min(f) OVER (PARTITION BY lang) AS gf FROM a),
         n AS (SELECT *, 49999 + row_number() OVER (ORDER BY gf, lang, level, f, source) AS id FROM g) SELECT n.level::BIGINT AS level, n.lang, n.source, n.id, p.id AS parent_id FROM n LEFT JOIN n p ON p.level = 1 AND n.level = 2 AND p.lang = n.lang""",
     "hierarchy_levels": f"SELECT lang, count(DISTINCT source) AS n_children, count(*) AS n_leaves FROM {_LEV} GROUP BY lang",
     "dedupe_first_seen": "SELECT min(doc_id) AS doc_id, md5(text) AS text_md5 FROM documents WHERE text IS NOT NULL GROUP BY text",
     "dedupe_content_hash": "SELECT sha256(text) AS sha256, count(*) AS n, min(doc_id) AS first_id FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
-    "fuzzy_title_pairs": "WITH t AS (SELECT DISTINCT title AS v FROM documents WHERE length(title) BETWEEN 1 AND 200), p AS (SELECT a.v AS a, b.v AS b, 1 - levenshtein(a.v, b.v) / greatest(length(a.v), length(b.v)) AS r FROM t a JOIN t b ON a.v < b.v) SELECT a, b, round(r, 4) AS ratio FROM p WHERE r >= 0.75::DOUBLE - 0.000000001",
+    "fuzzy_title_pairs": "WITH t AS (SELECT DISTINCT title AS v FROM documents WHERE length(title) > 0), p AS (SELECT a.v AS a, b.v AS b, 1 - levenshtein(a.v, b.v) / greatest(length(a.v), length(b.v)) AS r FROM t a JOIN t b ON a.v < b.v) SELECT a, b, round(r, 4) AS ratio FROM p WHERE r >= 0.75::DOUBLE - 0.000000001",
     "large_documents_topn": "SELECT doc_id, strlen(text)::BIGINT AS n_bytes FROM documents WHERE strlen(text) >= 2048 ORDER BY 2 DESC, 1 LIMIT 20",
     "point_lookup": "SELECT doc_id, title, source_org FROM documents WHERE doc_id = 42",
     "batch_assignment": "SELECT doc_id, source, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 10 AS batch FROM documents",
@@ -414,8 +423,10 @@ ORACLES = {
     "domain_tag_match": f"SELECT doc_id, tag FROM documents JOIN (VALUES {
         ', '.join(f"('{s}')" for s in SUBJECTS)
     }) s(tag) ON contains(lower(text), tag)",
-    "keywords_topk": r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL), p AS (SELECT doc_id, unnest(list_transform(w[1:-2], lambda x, i: x || ' ' || w[i + 1])) AS keyword FROM w WHERE len(w) > 1)
-        SELECT doc_id, keyword, n, rank FROM (SELECT doc_id, keyword, count(*) AS n, (row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, keyword))::INT AS rank FROM p GROUP BY 1, 2) WHERE rank <= 15""",
+    "keywords_topk": f"{_PHRASES} SELECT doc_id, keyword, n, rank FROM k",
+    "hybrid_tags": f"""{_PHRASES}, g AS (SELECT doc_id, list(keyword ORDER BY rank) AS g FROM k GROUP BY 1),
+        t AS (SELECT d.doc_id, list_filter(list_transform(list_concat(coalesce(topics, []), coalesce(g, []), list_filter([{', '.join(f"'{s}'" for s in SUBJECTS)}], lambda x: contains(lower(text), x))), lambda x: trim(x)), lambda x: x <> '') AS t FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id WHERE text IS NOT NULL)
+        SELECT doc_id, coalesce(array_to_string(list_filter(t, lambda x, i: list_position(list_transform(t, lambda y: lower(y)), lower(x)) = i)[1:20], '|'), '') AS tags FROM t""",
     "tumbling_counts": "SELECT epoch(time_bucket(INTERVAL 1 HOUR, ts))::BIGINT AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
 }
 QUERIES = {k: globals()[k] for k in ORACLES}

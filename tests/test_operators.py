@@ -11,6 +11,7 @@ from quillspark.operators import lines as L
 from quillspark.operators import nested as N
 from quillspark.operators import relational as R
 from quillspark.operators import retrieval as V
+from quillspark.operators import standards as S
 
 
 def one(spark, column):
@@ -174,10 +175,51 @@ def test_similar_strings_against_all_pairs(spark, ratio):
     assert {(r.a, r.b) for r in R.similar_strings(d, "v", ratio).collect()} == want
 
 
+def test_similar_strings_of_any_length(spark):
+    long = "".join(chr(97 + i * i % 26) for i in range(300))
+    d = spark.createDataFrame([(long,), (long[:-3] + "zzz",), ("x" * 250,)], "v string")
+    assert [(r.a, r.b) for r in R.similar_strings(d, "v", 0.95).collect()] == [tuple(sorted((long, long[:-3] + "zzz")))]
+
+
 def test_top_phrases(spark):
-    d = spark.createDataFrame([("1", "b a b a. B-a c"), ("2", None), ("3", ""), ("4", "one"), ("5", "x y")], "key string, text string")
-    got = [(r.key, r.keyword, r.n, r["rank"]) for r in C.top_phrases(d, "key", "text", k=2).orderBy("key", "rank").collect()]
-    assert got == [("1", "b a", 3, 1), ("1", "a b", 2, 2), ("5", "x y", 1, 1)]
+    d = spark.createDataFrame([("1", "Oak trees grow. Oak trees and the"), ("2", None), ("3", ""), ("4", "one the"), ("5", "x y")], "key string, text string")
+    got = [(r.key, r.keyword, r.n, r["rank"]) for r in C.top_phrases(d, "key", "text", k=3).orderBy("key", "rank").collect()]
+    assert got == [("1", "oak", 2, 1), ("1", "oak trees", 2, 2), ("1", "trees", 2, 3), ("5", "x", 1, 1), ("5", "x y", 1, 2), ("5", "y", 1, 3)]
+
+
+def test_hybrid_tags(spark):
+    d = spark.createDataFrame(
+        [("1", "Oak trees. Oak music", ["Oak", " Trees ", None, ""]), ("2", None, ["a"]), ("3", "", None), ("4", "the MUSIC of the", None)],
+        "_k string, _t string, tags array<string>",
+    )
+    got = {r["_k"]: r.tags for r in C.hybrid_tags(d, "_k", "_t", "tags", ("music", "art")).collect()}
+    assert got["2"] == ["a"] and got["3"] == [] and got["1"][:2] == ["Oak", "Trees"] and "oak" not in got["1"] and "trees oak music" in got["1"]
+    assert got["4"] == ["music", "the music"] and C.hybrid_tags(d.limit(0), "_k", "_t", "tags", ("x",)).count() == 0
+
+
+def test_long_policy_lines(spark):
+    lines = L.exploded(spark.createDataFrame([(1, "# S\n- [x] " + "a" * 3000)], "id int, text string"), "id", "text")
+    assert len(S.policy_tree(lines, "id").first().policies[0].text) == 3000
+
+
+def test_course_and_math_records_of_odd_lines(spark):
+    texts = ["", "BIG IDEA 1", "EU 1.A", "BIG IDEA 1\n(EVO)", "Learning Objective 1\n\nx", "EU 1.A\nEU 1.B\nEU 1.C\nEU 1.D: d", None]
+    lines = L.exploded(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), "id", "text")
+    got = {(r.id, r.line_no): (r.kind, r.code, r.text) for r in S.course_records(lines, "id").collect()}
+    assert got == {(5, 0): ("understanding", "1.A", "EU 1.B"), (5, 2): ("understanding", "1.C", "EU 1.D: d")}
+    assert S.math_coded_records(lines, "id").count() == 0 and S.science_records(lines, "id").count() == 0
+
+
+def test_once_keeps_whole_texts_where_they_are(spark, tmp_path):
+    from quillspark.plans.common import once
+
+    rows = [(1, "a", None), (1, "a", "f"), (2, "b", "g"), (None, "c", "h"), (3, None, None), (3, None, "i")]
+    spark.createDataFrame(rows, "k int, text string, side string").write.parquet(f"{tmp_path}/t.parquet")
+    for columns in (("text", "side"), ("side",)):
+        got = sorted((r.k, *(r[c] for c in columns)) for r in once(spark, str(tmp_path), "t", "k", *columns).collect())
+        assert got == [(k, *(x[c] for c in columns)) for k, x in ((1, {"text": "a", "side": "f"}), (2, {"text": "b", "side": "g"}), (3, {"text": None, "side": "i"}))]
+    plan = once(spark, str(tmp_path), "t", "k", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "Union" in plan
 
 
 def test_buckets_give_the_same_states_and_totals(spark):
