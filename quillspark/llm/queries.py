@@ -72,8 +72,7 @@ def _over(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    pieces = splitting.split_pieces(_over(spark, sf), with_text=False)
-    return pieces.where("chunk_index = 0").select("field_name", "record_key", "boundary_level")
+    return splitting.levels(_over(spark, sf))
 
 
 def p5_pieces(spark: SparkSession, sf: str) -> DataFrame:

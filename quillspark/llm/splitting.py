@@ -30,14 +30,12 @@ _CUTS = (re.compile(r"\n[ \t\r]*\n[ \t\r\n]*"), re.compile(r"[.!?][ \t\r\n]+"),
 _BLANKS = " \t\r\n"
 
 
-def _segments(text: str, start: int, end: int, level: int, limit: int, out: list[tuple[int, int]], trimmed: bool) -> int:
-    """Append (end, level of the boundary at the end) of each segment; gives the finest level used."""
-    finest, at = level, start
+def _segments(text: str, start: int, end: int, level: int, limit: int, out: list[tuple[int, int]], trimmed: bool) -> None:
+    """Append (end, level of the boundary at the end) of each segment."""
     if level == 3:
-        for e in range(start + limit, end, limit):
-            out.append((e, 3))
-        out.append((end, 3))
-        return 3
+        out += [(e, 3) for e in [*range(start + limit, end, limit), end]]
+        return
+    at = start
     ends = [m.end() for m in _CUTS[level].finditer(text, start, end)]
     if not ends or ends[-1] != end:
         ends.append(end)
@@ -46,66 +44,86 @@ def _segments(text: str, start: int, end: int, level: int, limit: int, out: list
         if size <= limit:
             out.append((e, level))
         else:
-            finest = max(finest, _segments(text, at, e, level + 1, limit, out, trimmed))
+            _segments(text, at, e, level + 1, limit, out, trimmed)
             out[-1] = (out[-1][0], level)
         at = e
-    return finest
 
 
-def boundary_level(text: str, limit: int) -> str:
-    """The coarsest boundary at which all segments, without blanks at their ends, keep the limit."""
-    return LEVELS[_segments(text, 0, len(text), 0, limit, [], True)]
-
+def _merged(text: str, first_limit: int, limit: int, trimmed: bool) -> list[tuple[int, int, int]]:
+    """(first character, end, level of the boundary at the end) of the pieces into which the atomic segments merge.
 
-def split_text(text: str, max_chars: int, overlap_chars: int) -> list[tuple[int, int, int]]:
-    """(first character of the overlap, first own character, end) of each piece."""
-    if overlap_chars < 0 or overlap_chars >= max_chars:
-        raise ValueError("the overlap must be at least 0 and less than the limit")
-    if len(text) <= max_chars:
-        return [(0, 0, len(text))] if text else []
-    room = max_chars - overlap_chars
+    ``first_limit`` is the limit of a piece that begins the text. With ``trimmed`` blanks at the ends of a piece don't count.
+    """
     atoms: list[tuple[int, int]] = []
-    _segments(text, 0, len(text), 0, room, atoms, False)
+    _segments(text, 0, len(text), 0, limit, atoms, trimmed)
     n = len(atoms)
-    begin = [0, *(e for e, _ in atoms[:-1])]
-    end = [e for e, _ in atoms]
-    after = list(range(1, n)) + [-1]
-    before = [-1, *range(n - 1)]
+    begin, end, level = [0, *(e for e, _ in atoms[:-1])], [e for e, _ in atoms], [k for _, k in atoms]
+    low, high = begin[:], end[:]  # what counts of a piece
+    if trimmed:
+        for i in range(n):
+            body = text[begin[i] : end[i]]
+            bare = body.lstrip(_BLANKS)
+            low[i] = begin[i] + len(body) - len(bare) if bare else len(text)
+            high[i] = begin[i] + len(body.rstrip(_BLANKS)) if bare else 0
+    after, before = [*range(1, n), -1], [-1, *range(n - 1)]
     alive = [True] * n
-    fits = lambda i, j: end[j] - begin[i] <= (max_chars if begin[i] == 0 else room)
-    # boundary levels count from 0, the strongest; the weakest has the highest level
-    heap = [(-atoms[i][1], end[i + 1] - begin[i], begin[i], i, i + 1, end[i + 1]) for i in range(n - 1) if fits(i, i + 1)]
-    heapq.heapify(heap)
+    size = lambda i, j: max(0, max(high[i], high[j]) - min(low[i], low[j]))
+    heap: list[tuple] = []
+
+    def offer(i: int, j: int) -> None:
+        if size(i, j) <= (first_limit if begin[i] == 0 else limit):
+            # boundary levels count from 0, the strongest; the weakest has the highest level
+            heapq.heappush(heap, (-level[i], size(i, j), begin[i], i, j, end[j]))
+
+    for i in range(n - 1):
+        offer(i, i + 1)
     while heap:
-        _, size, b, i, j, e = heapq.heappop(heap)
+        _, _, b, i, j, e = heapq.heappop(heap)
         if not (alive[i] and alive[j]) or begin[i] != b or end[j] != e or after[i] != j:
             continue
-        end[i] = end[j]
-        atoms[i] = (end[j], atoms[j][1])
-        alive[j] = False
-        after[i] = after[j]
+        low[i], high[i] = min(low[i], low[j]), max(high[i], high[j])
+        end[i], level[i], alive[j], after[i] = end[j], level[j], False, after[j]
         if after[i] >= 0:
             before[after[i]] = i
-        for a, z in ((before[i], i), (i, after[i])):
-            if a >= 0 and z >= 0 and fits(a, z):
-                heapq.heappush(heap, (-atoms[a][1], end[z] - begin[a], begin[a], a, z, end[z]))
-    return [(max(0, begin[i] - overlap_chars), begin[i], end[i]) for i in range(n) if alive[i]]
+        if before[i] >= 0:
+            offer(before[i], i)
+        if after[i] >= 0:
+            offer(i, after[i])
+    return [(begin[i], end[i], level[i]) for i in range(n) if alive[i]]
+
 
+def boundary_level(text: str, limit: int) -> str:
+    """The coarsest boundary at which all pieces, without blanks at their ends, can keep the limit: the finest that is left
+    when segments have merged. Where a segment had to be cut finer, at least one such boundary is left in it."""
+    return LEVELS[max((level for _, _, level in _merged(text, limit, limit, True)[:-1]), default=0)]
 
-def _split(with_text: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches):
-            out: list[tuple] = []
-            for field, key, text, most, overlap in zip(
-                *(b.column(c).to_pylist() for c in ("field_name", "record_key", "text", "max_chars", "overlap_chars"))
-            ):
-                level = boundary_level(text, most)
-                for k, (a, own, z) in enumerate(split_text(text, most, overlap)):
-                    out.append((field, key, level, k, own, z, own - a, text[a:z] if with_text else None))
-            kinds = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=_NAMES)
 
-    return run
+def split_text(text: str, max_chars: int, overlap_chars: int) -> list[tuple[int, int, int]]:
+    """(first character of the overlap, first own character, end) of each piece."""
+    if overlap_chars < 0 or overlap_chars >= max_chars:
+        raise ValueError("the overlap must be at least 0 and less than the limit")
+    if len(text) <= max_chars:
+        return [(0, 0, len(text))] if text else []
+    return [(max(0, b - overlap_chars), b, e) for b, e, _ in _merged(text, max_chars, max_chars - overlap_chars, False)]
+
+
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in sliced(batches):
+        out: list[tuple] = []
+        for field, key, text, most, overlap in zip(
+            *(b.column(c).to_pylist() for c in ("field_name", "record_key", "text", "max_chars", "overlap_chars"))
+        ):
+            level = boundary_level(text, most)
+            for k, (a, own, z) in enumerate(split_text(text, most, overlap)):
+                out.append((field, key, level, k, own, z, own - a, text[a:z]))
+        kinds = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=_NAMES)
+
+
+def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in sliced(batches):
+        found = [boundary_level(t, most) for t, most in zip(b.column("text").to_pylist(), b.column("max_chars").to_pylist())]
+        yield pa.RecordBatch.from_arrays([b.column("field_name"), b.column("record_key"), pa.array(found, pa.string())], names=_NAMES[:3])
 
 
 _NAMES = ["field_name", "record_key", "boundary_level", "chunk_index", "start", "end", "overlap", "piece"]
@@ -113,8 +131,8 @@ _PIECES = "field_name string, record_key string, boundary_level string, chunk_in
 
 
 def oversized(texts: DataFrame, key_col: str, text_col: str, field_name: str, spec: DataFrame) -> DataFrame:
-    """Texts above the limit of ``field_name`` in ``spec`` (a table of a few rows, one per field)."""
-    limit = spec.where(F.col("field_name") == field_name).select("field_name", "max_chars", "overlap_chars").limit(1)
+    """Texts above the limit of ``field_name`` in ``spec`` (a table of a few rows, one per field; of several the smallest limit)."""
+    limit = spec.where(F.col("field_name") == field_name).select("field_name", "max_chars", "overlap_chars").orderBy("max_chars", "overlap_chars").limit(1)
     src = texts.select(
         F.lit(field_name).alias("field_name"), F.col(key_col).cast("string").alias("record_key"), F.col(text_col).alias("text"),
     ).where("text is not null")
@@ -123,12 +141,14 @@ def oversized(texts: DataFrame, key_col: str, text_col: str, field_name: str, sp
     )
 
 
-def split_pieces(over: DataFrame, with_text: bool = True) -> DataFrame:
+def split_pieces(over: DataFrame) -> DataFrame:
     """The pieces of each text of :func:`oversized`, with a new sequence ``chunk_index`` from 0.
 
     A piece is characters ``start`` to ``end`` of the text, after ``overlap`` characters from before them.
-    Without the text of the pieces no text is shuffled: repeats are dropped afterwards.
     """
-    if with_text:
-        return over.dropDuplicates(["field_name", "record_key"]).mapInArrow(_split(True), _PIECES)
-    return over.mapInArrow(_split(False), _PIECES).drop("piece").dropDuplicates(["field_name", "record_key", "chunk_index"])
+    return over.dropDuplicates(["field_name", "record_key"]).mapInArrow(_split, _PIECES)
+
+
+def levels(over: DataFrame) -> DataFrame:
+    """(field_name, record_key, boundary_level) of each text of :func:`oversized`, from merging its segments; no text is shuffled."""
+    return over.mapInArrow(_levels, "field_name string, record_key string, boundary_level string").distinct()

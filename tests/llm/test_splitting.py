@@ -16,6 +16,17 @@ def test_round_trip_and_limits(text, most, overlap):
         assert own - a == (min(overlap, own) if k else 0)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab .\n\t!", max_size=200), st.integers(1, 40))
+def test_level_is_the_coarsest_at_which_all_segments_fit(text, limit):
+    import re
+
+    cuts = (r"\n[ \t\r]*\n", r"\n[ \t\r]*\n|(?<=[.!?])[ \t\r\n]+", r"[ \t\r\n]+")
+    fits = lambda cut: all(len(x.strip(" \t\r\n")) <= limit for x in re.split(cut, text))
+    want = next((name for name, cut in zip(P.LEVELS, cuts) if fits(cut)), "none")
+    assert P.boundary_level(text, limit) == want
+
+
 def test_levels():
     limit = 20
     assert P.boundary_level("a" * 15 + "\n\n" + "b" * 15, limit) == "paragraph"
@@ -47,7 +58,8 @@ def test_pieces(spark):
         own = [r for r in got if r.record_key == key]
         assert "".join(r.piece[r.overlap :] for r in own) == (rows[1][1] if key == "2" else "é" * 11) and [r.chunk_index for r in own] == list(range(len(own)))
     empty = P.oversized(d.limit(0), "k", "t", "f", spec)
-    assert P.split_pieces(empty).count() == 0 and P.split_pieces(P.oversized(d, "k", "t", "f", spec), with_text=False).count() == len(got)
+    assert P.split_pieces(empty).count() == 0 and P.levels(empty).count() == 0
+    assert sorted(tuple(r) for r in P.levels(P.oversized(d, "k", "t", "f", spec)).collect()) == [("f", "2", "word"), ("f", "6", "none")]
 
 
 def test_query_on_whole_tables(spark, data):
