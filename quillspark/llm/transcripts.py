@@ -1,11 +1,11 @@
 """Problem 3: raw transcripts into clean speaker turns.
 
-Method: one pass of an Aho-Corasick automaton over the lower-cased text finds speaker labels, fillers and
-notes of sounds; context rules decide which hits count (a label only at the head of an utterance and
-followed by a mark that ends labels, a note only in brackets, a filler only as whole words and, where it may
-be speech, by the words and marks beside it and the recording's language); the intervals
-of the hits that count are subtracted from the utterance; windows over the utterances in order of time
-build the turns.
+Method: an Aho-Corasick automaton, one for each recording, finds the labels of its speakers (and pieces of their
+names, for labels spelt wrong), fillers, words of sounds and the marks about notes; context rules decide which hits
+count (a label only as a whole, at the head of an utterance and followed by a mark that ends labels, a note only
+between two marks of a kind, a filler only as whole words and, where it may be speech, by the words and marks
+beside it and the recording's language); the intervals of the hits that count are subtracted from the utterance;
+windows over the utterances in order of time build the turns.
 
 An utterance begins at a line with a mark of its own (a clock time, a cue, ``>>`` or a header line with a
 name and a time); other lines go on with the utterance before them. An utterance without a label goes on
@@ -23,7 +23,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,6 +40,10 @@ UNKNOWN_LABELS = [
     "unknown speaker", "unknown", "unidentified voice", "unidentified speaker", "unidentified", "audience member", "audience", "caller", "speaker ?",
     "spk_?", "multiple speakers", "all", "voice", "participant",
 ]
+#: Words before the number of a speaker.
+NUMBERED = ["speaker", "spk", "spkr", "s", "sprecher", "hablante", "locuteur", "voice", "person"]
+#: Marks that open a note, the one that closes it, and how many characters may stand between.
+NOTE_MARKS = [("[", "]", 80), ("{", "}", 80), ("<", ">", 80), ("(", ")", 80), ("*", "*", 60), ("♪", "♪", 200)]
 # End of the fixed values.
 
 _TIME = r"(?:\d{1,2}:)?\d{1,3}:\d{2}(?:[.,]\d{1,3})?"
@@ -52,9 +55,7 @@ _NAME_TIME = re.compile(rf"^\s*(\S.{{0,60}}?)\s*[\[(]\s*({_TIME})\s*[\])]\s*:?\s
 _NAME_SPACES_TIME = re.compile(rf"^\s*(\S.{{0,60}}?)(?:\s{{2,}}|\t)\s*({_TIME})\s*$")
 _VOICE = re.compile(r"^\s*<v(?:\.\S+)?\s+([^>]{1,80})>\s*", re.I)
 _LABEL_END = re.compile(r"\s*(\([^()]{1,40}\))?\s*(?::(?!\d)|\||\s-\s|\s–\s|\s—\s|>)\s*")
-_NUMBERED = re.compile(r"^(?:speaker|spk|spkr|s|sprecher|hablante|locuteur|voice|person)[\s_#-]*0*(\d{1,4})$", re.I)
-_NOTE = re.compile(r"\[[^\[\]]{0,80}\]|\{[^{}]{0,80}\}|<[^<>]{0,80}>|\(\([^()]{0,80}\)\)|\*[^*\n]{1,60}\*|♪[^♪]{0,200}♪|♪+")
-_ROUND = re.compile(r"\(([^()]{1,60})\)")
+_NUMBER_AFTER = re.compile(r"[\s_#-]*0*(\d{1,4})$")
 _TITLE = re.compile(r"^(?:dr|mr|mrs|ms|prof|sr|sra|hr|fr|herr|frau|m|mme)\.?\s+", re.I)
 _CUT_OFF = re.compile(r"\b([^\W\d_]{1,6})- (?=\1)", re.I)
 _WORDS = re.compile(r"[^\W_]+")
@@ -86,14 +87,18 @@ def seconds(clock: str) -> float:
     return total
 
 
-@lru_cache(maxsize=1)
-def _automaton():
+def _automaton(more: dict[str, list[tuple]]):
+    """Finds fillers, words of sounds and marks of notes, and what else is given: (kind, word, what it means) lists by word."""
     import ahocorasick
 
-    a = ahocorasick.Automaton()
-    for kind, words in (("hesitation", HESITATIONS), ("phrase", PHRASES), ("sound", SOUNDS)):
+    entries: dict[str, list[tuple]] = {k: list(v) for k, v in more.items()}
+    marks = {m for mark in NOTE_MARKS for m in mark[:2]}
+    for kind, words in (("hesitation", HESITATIONS), ("phrase", PHRASES), ("sound", SOUNDS), ("mark", marks)):
         for w in words:
-            a.add_word(w, (kind, w))
+            entries.setdefault(w, []).append((kind, None))
+    a = ahocorasick.Automaton()
+    for w, found in entries.items():
+        a.add_word(w, (w, found))
     a.make_automaton()
     return a
 
@@ -117,47 +122,64 @@ def _plain(s: str) -> str:
 
 
 class Roster:
-    """Labels of a recording's speakers."""
+    """The automaton of a recording, with the labels of its speakers.
 
-    def __init__(self, speakers: list[tuple[int, str, str]]):
-        import ahocorasick
+    Label entries are the forms of a speaker's name and role, labels of unknown persons, and words before a number. A label that is
+    spelt wrong in at most k places has at least one of k + 1 pieces of the name as it is, at most k characters off its
+    place: pieces are entries, too, and their hits say which names are compared.
+    """
 
+    def __init__(self, speakers: list[tuple[int, str, str]]):
         self.numbers = {n for n, _, _ in speakers}
-        self.full = {_plain(f): n for n, f, _ in speakers if f}
-        forms: dict[str, set[int]] = {}
+        entries: dict[str, list[tuple]] = {}
+        add = lambda word, *what: entries.setdefault(word, []).append(what)
         for n, f, role in speakers:
             parts = _plain(f or "").split()
             if parts:
                 first, last = parts[0], parts[-1]
-                for form in (
+                for form in {
                     " ".join(parts), first, last, f"{first} {last[0]}.", f"{first} {last[0]}", f"{first[0]}. {last}", f"{first[0]} {last}",
                     f"{first[0]}.{last[0]}.", f"{first[0]}. {last[0]}.", f"{first[0]}{last[0]}", f"{last}, {first}",
-                ):
-                    forms.setdefault(form, set()).add(n)
-            if role:
-                forms.setdefault(_plain(role), set()).add(n)
-        self.forms = forms
-        self.labels = ahocorasick.Automaton()
-        for form in [*forms, *UNKNOWN_LABELS, "speaker", "spk", "sprecher", "hablante", "locuteur"]:
-            self.labels.add_word(form, len(form))
-        self.labels.make_automaton()
+                }:
+                    add(form, "label", n)
+                for name, k in ((" ".join(parts), 2), (last, 1)):
+                    cuts = [i * len(name) // (k + 1) for i in range(k + 2)]
+                    for x, y in zip(cuts, cuts[1:]):
+                        if y > x:
+                            add(name[x:y], "piece", (n, name, k, x))
+            if role and _plain(role):
+                add(_plain(role), "label", n)
+        for label in UNKNOWN_LABELS:
+            add(label, "unknown", None)
+        for word in NUMBERED:
+            add(word, "numbered", None)
+        self.automaton = _automaton(entries)
+
+    def hits(self, low: str) -> list[tuple[int, int, str, object, str]]:
+        """(begin, end, kind, meaning, word) of all entries in a text in lower case."""
+        return [(end + 1 - len(w), end + 1, kind, what, w) for end, (w, found) in self.automaton.iter(low) for kind, what in found]
 
     def number(self, label: str) -> int | None:
         """The speaker of a label, 0 for someone not on the roster, None for what is no label."""
         label = _plain(label)
-        m = _NUMBERED.match(label)
-        if m:
-            n = int(m.group(1))
-            return n if n in self.numbers else 0
-        if label in UNKNOWN_LABELS or label.startswith(("unknown", "unidentified")):
-            return 0
-        for form in (label, _TITLE.sub("", label), label.split(" (")[0]):
-            found = self.forms.get(form)
+        title = _TITLE.match(label)
+        begins = {0, title.end()} if title else {0}
+        ends = {len(label), len(label.split(" (")[0])}
+        hits = self.hits(label)
+        for a, z, kind, what, word in hits:
+            if a == 0 and kind == "numbered" and (m := _NUMBER_AFTER.match(label, z)):
+                return int(m.group(1)) if int(m.group(1)) in self.numbers else 0
+            if a == 0 and kind == "unknown" and (z == len(label) or word.startswith(("unknown", "unidentified"))):
+                return 0
+        for a, z in ((0, len(label)), *((x, len(label)) for x in begins - {0}), *((0, y) for y in ends - {len(label)})):
+            found = [what for x, y, kind, what, _ in hits if kind == "label" and (x, y) == (a, z)]
             if found:
                 return min(found)  # of two speakers that share a form, the first on the roster
-        near = sorted((edit_distance(label, f, 2), n) for f, n in self.full.items()) if len(label) >= 6 else []
-        near += sorted((edit_distance(_TITLE.sub("", label), f.split()[-1], 1), n) for f, n in self.full.items()) if len(label) >= 6 else []
-        near = sorted(x for x in near if x[0] <= 2 and (x[0] < 2 or len(label) >= 9))
+        if len(label) < 6:
+            return None
+        names = {what[:3] for a, _, kind, what, _ in hits if kind == "piece" and any(abs(a - x - what[3]) <= what[2] for x in begins)}
+        bare = label[max(begins) :]
+        near = sorted((d, n) for n, name, k in names if (d := edit_distance(label if k == 2 else bare, name, k)) <= k and (d < 2 or len(label) >= 9))
         if near and (len(near) == 1 or near[0][0] < near[1][0] or near[0][1] == near[1][1]):
             return near[0][1]
         return None
@@ -183,8 +205,7 @@ def _head(text: str, roster: Roster, marked: bool) -> tuple[int | None, int]:
     label = text[lead : m.start()].strip()
     if not label:
         return None, m.end() if marked else 0
-    hits = list(roster.labels.iter(_plain(label)))
-    number = roster.number(label) if hits or len(label) <= 45 else None
+    number = roster.number(label)
     if number is not None:
         return number, m.end()
     return (0, m.end()) if marked and _person(label) else (None, 0)
@@ -274,28 +295,53 @@ def filler(low: str, a: int, z: int, word: str, lang: str) -> bool:
     return not (m and m.group(1) in REAL_BEFORE.get(word, ()))
 
 
-def clean(text: str, lang: str = "en") -> tuple[str, bool]:
+def noted(hits: list[tuple], low: str) -> list[tuple[int, int]]:
+    """Intervals of notes, from the hits of their marks and of words of sounds: in brackets that hold no other of their kind, in round
+    brackets if these are double or half of the words in them are of sounds, and between marks in a line."""
+    cut: list[tuple[int, int]] = []
+    for opening, closing, most in NOTE_MARKS:
+        at = [(a, w) for a, _, kind, _, w in hits if kind == "mark" and w in (opening, closing)]
+        if opening == closing:
+            i = 0
+            while i < len(at):
+                a, z = at[i][0], at[i + 1][0] if i + 1 < len(at) else -1
+                if 1 <= z - a - 1 <= most and (opening == "♪" or "\n" not in low[a:z]):
+                    cut.append((a, z + 1))
+                    i += 1
+                elif opening == "♪":
+                    cut.append((a, a + 1))
+                i += 1
+            continue
+        for (a, w), (z, x) in zip(at, at[1:]):
+            if w != opening or x != closing or z - a - 1 > most:
+                continue
+            if opening != "(":
+                cut.append((a, z + 1))
+            elif low[a - 1 : a] == "(" and low[z + 1 : z + 2] == ")":
+                cut.append((a - 1, z + 2))
+            elif inside := sum(1 for s, e, kind, _, _ in hits if kind == "sound" and a < s and e <= z and _bounded(low, s, e)):
+                if 2 * inside >= len(_WORDS.findall(low[a + 1 : z])):
+                    cut.append((a, z + 1))
+    return cut
+
+
+def _bounded(low: str, a: int, z: int) -> bool:
+    """Whether a hit is of whole words."""
+    return not (a and (low[a - 1].isalnum() or low[a - 1] == "-") or z < len(low) and (low[z].isalnum() or low[z] == "-"))
+
+
+def clean(text: str, roster: Roster, lang: str = "en") -> tuple[str, bool]:
     """The speech without notes and hesitations, and whether any is left; phrases are speech where nothing else is said."""
-    cut = [(m.start(), m.end()) for m in _NOTE.finditer(text)]
-    phrases: list[tuple[int, int]] = []
     low = text.lower()
     if len(low) != len(text):  # some capitals become longer
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-    sounds: list[tuple[int, int]] = []
-    for end, (kind, w) in _automaton().iter(low):
-        a, z = end + 1 - len(w), end + 1
-        if a and (low[a - 1].isalnum() or low[a - 1] == "-") or z < len(low) and (low[z].isalnum() or low[z] == "-"):
-            continue
-        if kind == "sound":
-            sounds.append((a, z))
-        elif filler(low, a, z, w, lang):
+    hits = [h for h in roster.hits(low) if h[2] in ("hesitation", "phrase", "sound", "mark")]
+    cut, phrases = noted(hits, low), []
+    for a, z, kind, _, w in hits:
+        if kind in ("hesitation", "phrase") and _bounded(low, a, z) and filler(low, a, z, w, lang):
             while z < len(low) and low[z] in ",.…" and kind == "hesitation":
                 z += 1
             (cut if kind == "hesitation" else phrases).append((a, z))
-    for m in _ROUND.finditer(text):
-        inside = sum(1 for a, z in sounds if m.start() < a and z < m.end())
-        if inside and 2 * inside >= len(_WORDS.findall(m.group(1))):
-            cut.append((m.start(), m.end()))
     said = _without(text, cut + phrases)
     if phrases and not _WORDS.search(said):
         said = _without(text, cut)
@@ -326,7 +372,7 @@ def parse(text: str, speakers: list[tuple[int, str, str]]) -> list[tuple[int, in
     for k, (_, number, body, _) in enumerate(found):
         if number is not None:
             now = number
-        said, speech = clean(body, lang)
+        said, speech = clean(body, roster, lang)
         if speech:
             out.append((k, now, said))
     return out

@@ -46,6 +46,26 @@ def test_fillers_by_context(said, kept):
     assert turns(f"[0:01] Ada Marlow: {said}") == ([(1, kept)] if kept else [])
 
 
+@pytest.mark.parametrize("label,number", [
+    ("Ada Marlow", 1), ("ADA MARLW", 1), ("Ada Marrlowe", 1), ("Adq Mzrlow", 1), ("Dr. Hestrn", 2), ("Mr Hestrin", 2), ("Hestrin", 2), ("Librarian", 2), ("Speaker 2", 2),
+    ("spk_07", 0), ("Unknown woman", 0), ("Caller", 0), ("Cara Delgado", None), ("Note", None), ("Bo", 2), ("B.H.", 2), ("Coach (left)", 1), ("", None), ("Library", None),
+])
+def test_labels_are_hits_of_the_automaton(label, number):
+    assert R.Roster(PEOPLE).number(label) == number
+
+
+def test_one_speaker_is_not_everyone():
+    assert R.Roster(PEOPLE[:1]).number("Somebody Else") is None
+
+
+@pytest.mark.parametrize("text,kept", [
+    ("a [door] b", "a b"), ("a [x [y] z] b", "a [x z] b"), ("a ((noise here)) b", "a b"), ("a (door closes) b", "a b"), ("a (all of them) b", "a (all of them) b"), ("a *sighs* b * c", "a b * c"),
+    ("a ♪ la la ♪ b ♪", "a b"), ("a < b and c > d", "a d"), ("a [ b", "a [ b"), ("a ] b [", "a ] b ["), ("a {x} b", "a b"), ("a [" + "x" * 81 + "] b", "a [" + "x" * 81 + "] b"),
+])
+def test_notes_are_pairs_of_marks(text, kept):
+    assert R.clean(text, R.Roster(PEOPLE))[0] == kept
+
+
 def test_odd_texts():
     assert turns("") == [] and turns("\n \n") == [] and turns("[music]") == [] and turns("Just words.") == [(0, "Just words.")]
     assert turns("[0:01] Ada Marlow: Hi.\n[0:02] no label here\n", []) == [(0, "Hi. no label here")]
