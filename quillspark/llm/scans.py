@@ -9,8 +9,10 @@ Both the paragraphs and the defects of body lines come from this decoding. Of wo
 two letters or more, and only tokens in lower case are cut, as unknown names would fall into words.
 Paragraph boundaries are chosen by dynamic programming over the lines.
 
-The lexicon holds the words of all texts that aren't scanned, counted over the whole corpus, the most
-frequent ``LEXICON_WORDS`` of those that occur ``LEAST_COUNT`` times or more; no more is sent to the workers.
+The lexicon holds the words of the contents of all documents that aren't scanned, counted over the whole corpus, whose share
+of all words is ``LEAST_SHARE`` or more, so that a page is read alike in a corpus of any size; there are at most 1 / ``LEAST_SHARE``
+of them, which bounds what is sent to the workers. Where the corpus is too small for shares, ``LEAST_COUNT`` and ``COMMON_COUNT``
+are the least counts. Chunks aren't counted: they repeat these contents, and their edited copies have misspellings of their own.
 
 Defined results: null and empty texts give no rows; texts of documents that aren't scanned, or that have
 no document, are not repaired; repeated keys count once.
@@ -18,20 +20,24 @@ no document, are not repaired; repeated keys count once.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, sliced
+from .common import materialise, released, sliced
 from .transcripts import edit_distance
 
-LEXICON_WORDS = 200_000
-LEAST_COUNT = 2
-COMMON = 20
+#: Share of all words from which a word is known, and from which it is common; never less than so many times.
+LEAST_SHARE, COMMON_SHARE = 1e-6, 1.1e-5
+LEAST_COUNT, COMMON_COUNT = 2, 20
+#: Known words are of at most so many characters.
+LONGEST_WORD = 40
 BROADCAST_DOCUMENTS = 100_000
 SIGNS = "-‐­¬‑"
 SOFT = "‐­¬‑"
@@ -88,22 +94,36 @@ def word_counts(texts: DataFrame, text_col: str) -> DataFrame:
     return texts.select(F.col(text_col).alias("t")).where("t is not null").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def lexicon(counts: DataFrame, most: int = LEXICON_WORDS, least: int = LEAST_COUNT) -> dict[str, int]:
-    """The most frequent words: at most ``most`` rows come to the driver."""
-    rows = counts.where((F.col("n") >= least) & (F.length("word") <= 40)).orderBy(F.desc("n"), "word").limit(most).toArrow()
-    return dict(zip(rows.column("word").to_pylist(), rows.column("n").to_pylist()))
+@dataclass(frozen=True)
+class Lexicon:
+    """Known words with their counts, and the counts from which a word is known and common."""
+
+    words: dict[str, int]
+    least: int = LEAST_COUNT
+    common: int = COMMON_COUNT
+
+
+def lexicon(counts: DataFrame) -> Lexicon:
+    """The known words: at most 1 / ``LEAST_SHARE`` rows come to the driver."""
+    counts = materialise(counts)
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    least, common = max(LEAST_COUNT, math.ceil(LEAST_SHARE * total)), max(COMMON_COUNT, math.ceil(COMMON_SHARE * total))
+    rows = counts.where((F.col("n") >= least) & (F.length("word") <= LONGEST_WORD)).orderBy("word").toArrow()
+    released(counts)
+    return Lexicon(dict(zip(rows.column("word").to_pylist(), rows.column("n").to_pylist())), least, common)
 
 
 class Decoder:
     """Known words and the decoding of others; remembers what it has decoded."""
 
-    def __init__(self, words: dict[str, int]):
-        self.words = words
+    def __init__(self, known: Lexicon):
+        words = self.words = known.words
+        self.common, self.some = known.common, math.ceil(1.5 * known.least)
         self.by_canon: dict[str, list[str]] = {}
         self.by_delete: dict[str, list[str]] = {}
         for w, n in words.items():
             self.by_canon.setdefault(canon(w), []).append(w)
-            if n >= 20 and 5 <= len(w) <= 24:
+            if n >= self.common and 5 <= len(w) <= 24:
                 for i in range(len(w)):
                     self.by_delete.setdefault(w[:i] + w[i + 1 :], []).append(w)
         self.memo: dict[str, tuple[str, float] | None] = {}
@@ -157,7 +177,7 @@ class Decoder:
         found = [x for x in found if 0 < x[0] <= most]
         if not found and not capital and 5 <= len(word) <= 24:
             near = {w for i in range(len(word)) for w in self.by_delete.get(word[:i] + word[i + 1 :], ())} | set(self.by_delete.get(word, ()))
-            near |= {w for w in (word[:i] + word[i + 1 :] for i in range(len(word))) if self.words.get(w, 0) >= 20}
+            near |= {w for w in (word[:i] + word[i + 1 :] for i in range(len(word))) if self.words.get(w, 0) >= self.common}
             found = [(self.cost(word, w), -self.words[w], w) for w in near]
             found = [x for x in found if 0 < x[0] <= 2]
         if not found and "-" in word:
@@ -232,7 +252,7 @@ def wrong(token: str, d: Decoder, fragment: bool = False) -> bool:
     capital = w[0].isupper()
     found = d.read(low, capital)
     if found:
-        return not capital or found[1] <= 2 and d.words[found[0]] >= 3 if found[0] in d.words else True
+        return not capital or found[1] <= 2 and d.words[found[0]] >= d.some if found[0] in d.words else True
     return False
 
 
@@ -565,7 +585,7 @@ def _region(tokens: list[Token], d: Decoder, fragment: bool) -> tuple[list[str],
             if cut:
                 if any(not tokens[k].word.islower() or len(tokens[k].word) < 5 and not b for k in cut):
                     continue
-                if n < 2 or n < 4 and d.words[word] < COMMON or c > 1 or c and n < (3 if d.words[word] >= COMMON else 5):
+                if n < 2 or n < 4 and d.words[word] < d.common or c > 1 or c and n < (3 if d.words[word] >= d.common else 5):
                     continue
             elif not b and (c > (1 if n <= 8 else 2) or n < 5 or c and not raw[i:j].islower()):
                 continue
@@ -679,7 +699,7 @@ def scanned_texts(documents: DataFrame, chunks: DataFrame) -> DataFrame:
     )
 
 
-def corpus_lexicon(documents: DataFrame) -> dict[str, int]:
+def corpus_lexicon(documents: DataFrame) -> Lexicon:
     return lexicon(word_counts(documents.where("not coalesce(is_scanned, false)"), "content"))
 
 
@@ -698,7 +718,7 @@ def _each(words, run_one, names: list[str], types: list[pa.DataType]):
     return run
 
 
-def defects(texts: DataFrame, words: dict[str, int]) -> DataFrame:
+def defects(texts: DataFrame, words: Lexicon) -> DataFrame:
     """(field_name, record_key, line_no, defect)."""
     shared = texts.sparkSession.sparkContext.broadcast(words)
     run = _each(
@@ -708,7 +728,7 @@ def defects(texts: DataFrame, words: dict[str, int]) -> DataFrame:
     return texts.mapInArrow(run, "field_name string, record_key string, line_no bigint, defect string").distinct()
 
 
-def repaired(texts: DataFrame, words: dict[str, int]) -> DataFrame:
+def repaired(texts: DataFrame, words: Lexicon) -> DataFrame:
     """(field_name, record_key, paragraph_no, paragraph)."""
     shared = texts.sparkSession.sparkContext.broadcast(words)
     run = _each(

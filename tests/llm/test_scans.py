@@ -21,7 +21,7 @@ y described our garden be(ause families came.
 
 @pytest.fixture(scope="module")
 def decoder():
-    return S.Decoder({w: 500 for w in WORDS} | {"planned": 500, "teachers": 500})
+    return S.Decoder(S.Lexicon({w: 500 for w in WORDS} | {"planned": 500, "teachers": 500}))
 
 
 HEADS = S.Heads("Harbor Reading Guide", "/in/harbor_board/harbor_reading_guide_0012.pdf")
@@ -84,7 +84,7 @@ def test_split_and_merged_words(decoder):
     ],
 )
 def test_decoding_over_characters(lines, text):
-    d = S.Decoder({w: 500 for w in WORDS} | {"rare": 3, "with": 500, "a": 500, "under": 500, "his": 500})
+    d = S.Decoder(S.Lexicon({w: 500 for w in WORDS} | {"rare": 3, "with": 500, "a": 500, "under": 500, "his": 500}))
     assert S.decode(lines, d) == text
 
 
@@ -111,12 +111,31 @@ def test_tables(spark):
         [(1, PAGE, "d1"), (1, PAGE, None), (2, PAGE, "d2"), (3, PAGE, None), (4, None, "d1"), (5, "", "d1"), (6, "The garden.", "gone")],
         "chunk_id bigint, text string, document_id string",
     )
-    words = {w: 500 for w in WORDS} | {"planned": 500}
+    words = S.Lexicon({w: 500 for w in WORDS} | {"planned": 500})
     found = S.defects(S.scanned_texts(d, k), words)
     assert {r.record_key for r in found.collect()} == {"d1", "1"} and found.count() == 14
     assert S.repaired(S.scanned_texts(d, k), words).groupBy("record_key").count().where("count = 3").count() == 2
     assert S.defects(S.scanned_texts(d.limit(0), k.limit(0)), words).count() == 0
-    assert S.corpus_lexicon(d)["garden"] == 9 and len(S.lexicon(S.word_counts(d, "content"), most=5)) == 5
+    assert S.corpus_lexicon(d).words["garden"] == 9 and S.corpus_lexicon(d.limit(0)).words == {}
+
+
+def test_known_words_are_a_share_of_the_corpus(spark):
+    """The same words are known when the corpus is repeated."""
+    small = spark.createDataFrame([("the", 900_000), ("garden", 1000), ("often", 30), ("seldom", 4), ("once", 1)], "word string, n bigint")
+    a, b = S.lexicon(small), S.lexicon(small.selectExpr("word", "n * 1000 as n"))
+    assert set(a.words) == {"the", "garden", "often", "seldom"} and (a.least, a.common) == (2, 20)
+    assert set(b.words) == {*a.words, "once"} and (b.least, b.common) == (902, 9912)
+    assert [w for w, n in a.words.items() if n >= a.common] == [w for w, n in b.words.items() if n >= b.common] == ["garden", "often", "the"]
+
+
+@pytest.mark.parametrize("line,text", [
+    ("the tea cbers and", "the teachers and"), ("the con tin uous paragraph", "the continuous paragraph"), ("the tcachersand school", "the teachers and school"),
+    ("schoo1students were", "school students were"), ("thelessonswere planned", "the lessons were planned"),
+])
+def test_splits_merges_and_confusions_together(line, text):
+    d = S.Decoder(S.Lexicon({w: 500 for w in [*WORDS, *"teachers continuous paragraph school students were lessons planned".split()]}))
+    assert S.decode([line], d) == text
+    assert S.analyse("The " + line[4:] if line.startswith("the ") else line, HEADS, d)[1] == [(1, "misread")]
 
 
 def test_query_on_whole_tables(spark, data):
