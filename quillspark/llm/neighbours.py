@@ -10,8 +10,12 @@ Every vector is indexed. Equal vectors are indexed once and unfolded at the end,
 A list that the sample shows to be crowded is divided into blocks by a hash of the id, and queries go
 to all its blocks, so that no task holds a whole crowded list.
 
+There is a list for each ``LIST_SIZE`` vectors, so that work grows with their number. Up to ``ONE_LEVEL`` centroids are fitted
+on the driver; more in two levels, coarse ones on the driver and those within each coarse cell by the workers. From
+``MAX_LISTS`` lists (210 million vectors) on lists grow.
+
 Bounds of what is kept on the driver or sent to all: ``SAMPLE`` vectors, ``MAX_LISTS`` centroids with
-``DEGREE`` links each.
+``DEGREE`` links each (93 MB for 64 numbers).
 
 Defined results: a vector is usable if it has the given number of finite values, not all zero; others give
 no rows; ties go to the smaller id; a repeated id counts once.
@@ -31,8 +35,10 @@ from pyspark.sql.window import Window
 from .common import materialise, sliced
 
 LIST_SIZE = 800
-MAX_LISTS = 4_096
+ONE_LEVEL, MAX_LISTS = 4_096, 262_144
 SAMPLE = 131_072
+#: Vectors of the sample for each list, and those from which a worker fits centroids at a time.
+PER_LIST, FIT_AT_ONCE = 40, 16_384
 BLOCK = 4_000
 #: Ids sent to all executors, of vectors that equal one indexed; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -41,6 +47,8 @@ ENTRIES = 128
 #: Lists of a vector: at most so many, whose distance is at most so many times that of the nearest centroid.
 COPIES, COPY_RATIO = 4, 1.2
 PROBES, PROBE_RATIO = 6, 1.3
+#: The same where queries are a part of the vectors, so that more lists of each cost little.
+PART_PROBES, PART_RATIO = 40, 1.6
 BEAM = 48
 
 
@@ -108,6 +116,35 @@ def fit_centroids(x: np.ndarray, n: int, rounds: int = 8) -> tuple[np.ndarray, n
     return c, count / len(x)
 
 
+def fit_within(
+    vectors_of: Callable[[str], DataFrame], n_rows: int, lists: int, coarse: np.ndarray, share: np.ndarray, dim: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """About so many centroids, and each list's share: a worker fits those of one coarse cell, or of a part of a crowded one, on its part of the
+    sample. Equal vectors of the sample count once, so that many copies don't draw all centroids."""
+    wanted = PER_LIST * lists
+    parts = np.maximum(1, np.ceil(share * wanted / FIT_AT_ONCE)).astype(np.int64)
+    shared = vectors_of("true").sparkSession.sparkContext.broadcast((coarse, parts))
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c, n_parts = shared.value
+        for b in sliced(batches, 4096):
+            x = _unpacked(b.column("vec"), dim)
+            near = np.argmax(x @ c.T, axis=1) if len(x) else np.empty(0, np.int64)
+            mixed = x.view(np.uint32)[:, :2].astype(np.uint64) @ np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F][: min(2, dim)], np.uint64)
+            part = (mixed >> np.uint64(33)).astype(np.int64) % n_parts[near]
+            yield pa.RecordBatch.from_arrays([pa.array(near, pa.int64()), pa.array(part, pa.int64()), b.column("vec")], names=["coarse", "part", "vec"])
+
+    def fit(t):
+        x = np.unique(_unpacked(t.column("vec"), dim), axis=0)
+        c, own = fit_centroids(x, max(1, round(len(x) / PER_LIST)))
+        return pa.table({"vec": _packed(c), "n": pa.array(own * len(x), pa.float64())})
+
+    drawn = vectors_of("true" if n_rows <= wanted else f"pmod(xxhash64(id), {n_rows}) < {wanted}").select("vec")
+    found = drawn.mapInArrow(cells, "coarse bigint, part bigint, vec binary").groupBy("coarse", "part").applyInArrow(fit, "vec binary, n double").toArrow()
+    n = found.column("n").to_numpy()
+    return _unpacked(found.column("vec"), dim).copy(), n / n.sum()
+
+
 class CentroidGraph:
     """Links of each centroid to near ones; best-first search for many vectors at once."""
 
@@ -116,17 +153,38 @@ class CentroidGraph:
         self.c = np.ascontiguousarray(c, np.float32)
         degree = min(DEGREE, n - 1)
         self.links = np.empty((n, degree + 1), np.int32)
-        for i in range(0, n, 1024):
-            s = c[i : i + 1024] @ c.T
-            s[np.arange(len(s)), np.arange(i, i + len(s))] = -9
-            self.links[i : i + len(s), :degree] = np.argpartition(-s, degree - 1, axis=1)[:, :degree] if degree else 0
+        for own, others in self._near_groups():
+            s = self.c[own] @ self.c[others].T
+            s[own[:, None] == others[None, :]] = -9
+            self.links[own, :degree] = others[np.argpartition(-s, degree - 1, axis=1)[:, :degree]] if degree else 0
         self.links[:, degree] = (np.arange(n) * 7919 + 1) % n  # a far link keeps the graph in one piece
         entries, best = [0], self.c @ self.c[0]
-        while len(entries) < min(ENTRIES, n):  # each the farthest from those before
+        while len(entries) < min(max(ENTRIES, int(2 * n**0.5)), n):  # each the farthest from those before
             entries.append(int(np.argmin(best)))
             best = np.maximum(best, self.c @ self.c[entries[-1]])
         self.entries = np.array(entries, np.int32)
 
+    def _near_groups(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Centroids, and those among which their near ones are sought: all, or if they are many those about the nearest of some pivots."""
+        n = len(self.c)
+        if n <= ONE_LEVEL:
+            for i in range(0, n, 1024):
+                yield np.arange(i, min(i + 1024, n)), np.arange(n)
+            return
+        pivots = self.c[np.random.default_rng(5).choice(n, int(n**0.5), replace=False)]
+        of = np.concatenate([np.argmax(self.c[i : i + 8192] @ pivots.T, axis=1) for i in range(0, n, 8192)])
+        order = np.argsort(of, kind="stable")
+        begin = np.searchsorted(of[order], np.arange(len(pivots) + 1))
+        members = [order[a:z] for a, z in zip(begin, begin[1:])]
+        near = np.argsort(-(pivots @ pivots.T), axis=1)
+        for g, own in enumerate(members):
+            others, k = [], 0
+            while k < len(pivots) and (k < 8 or sum(map(len, others)) <= 4 * DEGREE):
+                others.append(members[near[g, k]])
+                k += 1
+            for i in range(0, len(own), 1024):
+                yield own[i : i + 1024], np.concatenate(others)
+
     def search(self, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest centroids found, best first, with their cosines; fewer are filled with -1."""
         q, n, beam = len(x), len(self.c), max(BEAM, k)
@@ -183,14 +241,16 @@ def nearest(
     vectors = vectors_of("true")
     spark = vectors.sparkSession
     lists = int(min(MAX_LISTS, max(1, -(-n_rows // LIST_SIZE))))
-    wanted = min(SAMPLE, 40 * lists)
+    probes, probe_ratio = (PART_PROBES, PART_RATIO) if queries else (PROBES, PROBE_RATIO)
+    wanted = min(SAMPLE, PER_LIST * lists)
     drawn = vectors if n_rows <= wanted else vectors_of(f"pmod(xxhash64(id), {n_rows}) < {wanted}")
     sample = _unpacked(drawn.select("vec").limit(2 * SAMPLE).toArrow().column("vec"), dim)
     if not len(sample):
         return spark.createDataFrame([], "id bigint, other_id bigint, similarity float, rank int")
     sample = np.unique(sample, axis=0) if len(sample) < 1000 else sample
-    lists = min(lists, len(sample))
-    c, share = fit_centroids(sample, lists)
+    c, share = fit_centroids(sample, min(lists, len(sample)) if lists <= ONE_LEVEL else max(1, min(int(lists**0.5), len(sample) // 4)))
+    if lists > ONE_LEVEL:
+        c, share = fit_within(vectors_of, n_rows, lists, c, share, dim)
     blocks = np.maximum(1, np.ceil(share * n_rows * COPIES / BLOCK / 2)).astype(np.int32)
     graph = spark.sparkContext.broadcast((CentroidGraph(c), blocks))
 
@@ -209,12 +269,13 @@ def nearest(
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g, n_blocks = graph.value
+        step = max(64, min(2048, 2**24 // len(n_blocks)))
         for b in batches:
-            for i in range(0, b.num_rows, 2048):
-                part = b.slice(i, 2048)
+            for i in range(0, b.num_rows, step):
+                part = b.slice(i, step)
                 x = _unpacked(part.column("vec"), dim)
-                ids, sims = g.search(x, PROBES)
-                probe, keep = _within(sims, ids, PROBES, PROBE_RATIO), _within(sims, ids, COPIES, COPY_RATIO)
+                ids, sims = g.search(x, probes)
+                probe, keep = _within(sims, ids, probes, probe_ratio), _within(sims, ids, COPIES, COPY_RATIO)
                 probe &= part.column("asked").to_numpy(zero_copy_only=False)[:, None]
                 key = part.column("id").to_numpy()
                 r, j = np.nonzero(probe | keep)
@@ -227,8 +288,11 @@ def nearest(
                 kind = np.where(block == own[at], role[at], 1).astype(np.int8)
                 rows = pa.array(r[at])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell[at] * 65536 + block, pa.int64()), part.column("id").take(rows), pa.array(kind), part.column("vec").take(rows)],
-                    names=["cell", "id", "role", "vec"],
+                    [
+                        pa.array(cell[at], pa.int32()), pa.array(block, pa.int32()), part.column("id").take(rows), pa.array(kind),
+                        part.column("vec").take(rows),
+                    ],
+                    names=["cell", "block", "id", "role", "vec"],
                 )
 
     def compare(t):
@@ -259,8 +323,8 @@ def nearest(
             }
         )
 
-    placed = reps.select("id", "vec", asked.alias("asked")).mapInArrow(place, "cell bigint, id bigint, role tinyint, vec binary")
-    pairs = placed.groupBy("cell").applyInArrow(compare, "id bigint, other bigint, similarity float")
+    placed = reps.select("id", "vec", asked.alias("asked")).mapInArrow(place, "cell int, block int, id bigint, role tinyint, vec binary")
+    pairs = placed.groupBy("cell", "block").applyInArrow(compare, "id bigint, other bigint, similarity float")
 
     # of each group of equal vectors only the k + 1 smallest ids can be among anyone's k nearest
     salted = of_copies.select(
@@ -274,7 +338,7 @@ def nearest(
         "id", F.lit(1.0).cast("float").alias("similarity"), F.explode("ids").alias("other"),
     )
     best = unfolded.unionByName(own).repartition("id").groupBy("id", "other").agg(F.max("similarity").alias("similarity"))
-    # at most (k + 1) x (k + 1) x PROBES x blocks rows for a query
+    # at most (k + 1) x (k + 1) x probes x blocks rows for a query
     ranked = best.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "other"))).where(F.col("n") <= k + 1)
     tops = ranked.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "other", "similarity"))).alias("top"))
     everyone = tops.join(

@@ -65,6 +65,50 @@ def test_graph_finds_near_centroids():
     assert np.mean([len(set(a) & set(b)) / 5 for a, b in zip(ids.tolist(), best.tolist())]) > 0.9
 
 
+def test_graph_of_many_centroids(monkeypatch):
+    x = np.random.default_rng(3).normal(size=(5000, 16)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    monkeypatch.setattr(N, "ONE_LEVEL", 500)
+    g = N.CentroidGraph(x[:3000])
+    assert ((g.links >= 0) & (g.links < 3000)).all()
+    ids, _ = g.search(x[3000:4000], 5)
+    best = np.argsort(-(x[3000:4000] @ x[:3000].T), axis=1)[:, :5]
+    assert np.mean([len(set(a) & set(b)) / 5 for a, b in zip(ids.tolist(), best.tolist())]) > 0.9
+
+
+def test_centroids_in_two_levels(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(60, 16))
+    rows = {i: (centres[i % 60] + 0.3 * rng.normal(size=16)).tolist() for i in range(6000)} | {i: centres[0].tolist() for i in range(6000, 9000)}
+    for name, value in (("LIST_SIZE", 60), ("ONE_LEVEL", 20), ("FIT_AT_ONCE", 300)):
+        monkeypatch.setattr(N, name, value)
+    v = N.unit_vectors(frame(spark, list(rows.items())), "id", "v", 16)
+    near = N.nearest(lambda w: v.where(w), 9000, 5, 16).collect()
+    got = {(r.id, r.other_id) for r in near}
+    want = brute({i: x for i, x in rows.items() if i < 6000}, 5)
+    alone = [(a, b) for a, b in want if a % 60]  # not about the centre that a third of the rows are copies of
+    assert len({p for p in alone if p in got}) >= 0.9 * len(alone)
+    assert {r.id for r in near} == set(rows) and {r.other_id for r in near if r.id == 8999} == {6000, 6001, 6002, 6003, 6004}
+
+
+def test_recall_of_vectors_of_texts(spark, data, monkeypatch):
+    """The queries of p4_texts and p4_items against brute force, with lists small enough that a part of them is searched."""
+    monkeypatch.setattr(N, "LIST_SIZE", 12)
+    texts = spark.read.parquet(f"{data}/knowledge_main.parquet").withColumnRenamed("chunk_id", "id")
+    rows = {r.id: np.frombuffer(r.vec, np.float32) for r in N.text_vectors(texts, "id", "text").collect()}
+    found = Q.p4_texts(spark, data).collect()
+    asked = sorted({r.id for r in found})
+    assert asked == sorted(i for i in rows if i % 50 == 0)
+    ids = np.array(sorted(rows))
+    x = np.array([rows[i] for i in ids])
+    hits = 0
+    for i in asked:
+        s = x @ rows[i]
+        s[ids == i] = -9
+        hits += sum(r.similarity >= np.sort(s)[-5] - 1e-5 for r in found if r.id == i)
+    assert hits >= 0.95 * 5 * len(asked)
+
+
 def test_query_on_whole_table(spark, data):
     rows = {}
     for r in spark.read.parquet(f"{data}/knowledge_item.parquet").select("item_id", "embedding").collect():
