@@ -47,8 +47,8 @@ ENTRIES = 128
 #: Lists of a vector: at most so many, whose distance is at most so many times that of the nearest centroid.
 COPIES, COPY_RATIO = 4, 1.2
 PROBES, PROBE_RATIO = 6, 1.3
-#: The same where queries are a part of the vectors, so that more lists of each cost little.
-PART_PROBES, PART_RATIO = 40, 1.6
+#: The same where queries are a part of the vectors: more lists of each query cost less than more copies of each vector.
+PART_COPIES, PART_PROBES, PART_RATIO = 2, 40, 1.6
 BEAM = 48
 
 
@@ -241,7 +241,7 @@ def nearest(
     vectors = vectors_of("true")
     spark = vectors.sparkSession
     lists = int(min(MAX_LISTS, max(1, -(-n_rows // LIST_SIZE))))
-    probes, probe_ratio = (PART_PROBES, PART_RATIO) if queries else (PROBES, PROBE_RATIO)
+    copies_of, probes, probe_ratio = (PART_COPIES, PART_PROBES, PART_RATIO) if queries else (COPIES, PROBES, PROBE_RATIO)
     wanted = min(SAMPLE, PER_LIST * lists)
     drawn = vectors if n_rows <= wanted else vectors_of(f"pmod(xxhash64(id), {n_rows}) < {wanted}")
     sample = _unpacked(drawn.select("vec").limit(2 * SAMPLE).toArrow().column("vec"), dim)
@@ -251,7 +251,7 @@ def nearest(
     c, share = fit_centroids(sample, min(lists, len(sample)) if lists <= ONE_LEVEL else max(1, min(int(lists**0.5), len(sample) // 4)))
     if lists > ONE_LEVEL:
         c, share = fit_within(vectors_of, n_rows, lists, c, share, dim)
-    blocks = np.maximum(1, np.ceil(share * n_rows * COPIES / BLOCK / 2)).astype(np.int32)
+    blocks = np.maximum(1, np.ceil(share * n_rows * copies_of / BLOCK / 2)).astype(np.int32)
     graph = spark.sparkContext.broadcast((CentroidGraph(c), blocks))
 
     # equal vectors: one of each group is indexed; only hashes of vectors are shuffled to find them
@@ -275,7 +275,7 @@ def nearest(
                 part = b.slice(i, step)
                 x = _unpacked(part.column("vec"), dim)
                 ids, sims = g.search(x, probes)
-                probe, keep = _within(sims, ids, probes, probe_ratio), _within(sims, ids, COPIES, COPY_RATIO)
+                probe, keep = _within(sims, ids, probes, probe_ratio), _within(sims, ids, copies_of, COPY_RATIO)
                 probe &= part.column("asked").to_numpy(zero_copy_only=False)[:, None]
                 key = part.column("id").to_numpy()
                 r, j = np.nonzero(probe | keep)
