@@ -218,3 +218,16 @@ def table_text(rows: Column) -> Column:
     head = F.get(lines, F.lit(0))
     rest = F.when(F.size(lines) > 1, F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(1)))).otherwise(F.array().cast("array<string>"))
     return F.when(F.size(lines) > 0, F.array_join(F.concat(F.array(head, F.repeat(F.lit("-"), F.length(head))), rest), "\n"))
+
+
+def speech_response(c: Column) -> Column:
+    """(content, language, words, error) of a speech program's answer in JSON: the first alternative of the first channel; an answer without
+    one has empty content, one that is no JSON an error. ``words`` is JSON, with times."""
+    first = "$.results.channels[0].alternatives[0]"
+    parsed = F.get_json_object(c, "$").isNotNull()
+    part = lambda path: F.get_json_object(c, path)
+    return F.struct(
+        F.when(parsed, F.coalesce(part(f"{first}.transcript"), F.lit(""))).alias("content"),
+        F.when(part(first).isNotNull(), part("$.results.language")).alias("language"), part(f"{first}.words").alias("words"),
+        F.when(c.isNull() | ~parsed, "no answer in JSON").alias("error"),
+    )

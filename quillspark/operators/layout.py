@@ -56,3 +56,18 @@ def reading_order(df: DataFrame, page: str, key: str, y: str, column: str) -> Da
     banded = df.withColumn("band", band.cast("int"))
     order = Window.partitionBy(page).orderBy("band", F.when(F.col("band") == 1, F.col(column)).otherwise(0), F.col(y).asc_nulls_last(), key)
     return banded.withColumn("place", F.row_number().over(order))
+
+
+def columns_per_page(df: DataFrame, page: str, x: str, threshold: float = 0.3) -> DataFrame:
+    """(page, n_columns) of each page with blocks: its peaks, or one column if it has none."""
+    found = peaks(df, page, x, threshold).groupBy(page).agg(F.count(F.lit(1)).alias("n_columns"))
+    return df.select(page).distinct().join(found, page, "left").select(page, F.coalesce("n_columns", F.lit(1)).alias("n_columns"))
+
+
+def tables(df: DataFrame, key: str, found: str) -> DataFrame:
+    """(key, table_index, page_number, rows) of the tables that a layout program found, an array of (page_number, data); a table
+    without data has no rows, a null table no page either; documents without tables give nothing."""
+    each = df.select(key, F.posexplode(found).alias("table_index", "_t"))
+    return each.select(
+        key, "table_index", F.col("_t.page_number").alias("page_number"), F.coalesce(F.col("_t.data"), F.array().cast("array<array<string>>")).alias("rows"),
+    )

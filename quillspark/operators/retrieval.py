@@ -144,12 +144,14 @@ def hybrid(vector_hits: DataFrame, keyword_hits: DataFrame, key: str, alpha: flo
     ).select("*", "_s.*").select(key, F.round(score, 5).alias("score")).orderBy(F.desc("score"), key).limit(k)
 
 
-def knn_join(queries: DataFrame, df: DataFrame, key: str, vector: str, k: int, blocks: int = 16) -> DataFrame:
+def knn_join(queries: DataFrame, df: DataFrame, key: str, vector: str, k: int, blocks: int | None = None) -> DataFrame:
     """(query_id, id, rank, distance): exact neighbours of each query among all rows.
 
     The queries are a stated set. Rows are dealt to blocks and each block keeps its k best of each query, so that what
-    is shuffled is queries x blocks x k rows, whatever the collection's size.
+    is shuffled is queries x blocks x k rows, whatever the collection's size. There are as many blocks as the session has
+    shuffle partitions, or ``blocks``.
     """
+    blocks = blocks or max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     q = queries.select(F.col(key).alias("query_id"), F.col(vector).alias("_q"), norm(F.col(vector)).alias("_qn"))
     rows = df.select(
         F.col(key).alias("id"), F.col(vector).alias("_v"), norm(F.col(vector)).alias("_vn"), F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_b"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import layout as G
 from ..operators import lines as L
 from ..operators import standards as S
 
@@ -190,6 +191,22 @@ def slide_format(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def layout_tables(spark: SparkSession, sf: str) -> DataFrame:
+    rows = [(0, [(2, [["Name", "Score"], ["Ada", None]]), (None, None)]), (1, []), (2, None)]
+    d = spark.createDataFrame(rows, "id int, found array<struct<page_number int, data array<array<string>>>>")
+    return G.tables(d, "id", "found").select("id", "table_index", "page_number", F.to_json("rows").alias("rows"))
+
+
+SPEECH = (
+    '{"results": {"language": "en", "channels": [{"alternatives": [{"transcript": "Good day.", "words": [{"word": "good"}]}, {"transcript": "x"}]}]}}',
+    '{"results": {"language": "en", "channels": [{"alternatives": []}]}}', '{"results": {"channels": [{"alternatives": [{"confidence": 1}]}]}}', "{}", "timed out", "",
+)
+
+
+def speech_content(spark: SparkSession, sf: str) -> DataFrame:
+    return _texts(spark, *SPEECH).select("id", T.speech_response(F.col("text")).alias("s")).select("id", "s.*")
+
+
 def _values(rows) -> str:
     lit = lambda v: "NULL" if v is None else str(v) if isinstance(v, int) else "'" + v.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
     return ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
@@ -275,6 +292,9 @@ ORACLES = {
             ("Library", "", 8, '[{"text":"Quiet in the hall","status":"pending"}]'),
         ]
     ) + ") v(section, subsection, place, policies)",
+    "layout_tables": "SELECT * FROM (VALUES " + _values([(0, 0, 2, '[["Name","Score"],["Ada",null]]'), (0, 1, None, "[]")]) + ") v(id, table_index, page_number, rows)",
+    "speech_content": f"""SELECT id, CASE WHEN ok THEN coalesce(j ->> '$.results.channels[0].alternatives[0].transcript', '') END AS content, CASE WHEN (j -> '$.results.channels[0].alternatives[0]') IS NOT NULL THEN j ->> '$.results.language' END AS language,
+        (j -> '$.results.channels[0].alternatives[0].words')::VARCHAR AS words, CASE WHEN NOT ok THEN 'no answer in JSON' END AS error FROM (SELECT id, json_valid(t) AS ok, CASE WHEN json_valid(t) THEN t::JSON END AS j FROM (VALUES {_values(enumerate(SPEECH))}) v(id, t))""",
     "table_format": "SELECT * FROM (VALUES " + _values(
         [(0, "Name | Score\n------------\nAda | 9\nBo | 7"), (1, "only | one\n----------"), (2, None), (3, None)]
     ) + ") v(id, text)",

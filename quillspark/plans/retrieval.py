@@ -118,6 +118,10 @@ def nearest_peak_assign(spark: SparkSession, sf: str) -> DataFrame:
     return G.columns_of_blocks(b, "label", "vec_id", "x", G.peaks(b, "label", "x", 0.12)).select("vec_id", "label", "column_no")
 
 
+def columns_per_page(spark: SparkSession, sf: str) -> DataFrame:
+    return G.columns_per_page(_blocks(spark, sf), "label", "x", 0.12)
+
+
 def reading_order_bands(spark: SparkSession, sf: str) -> DataFrame:
     b = _blocks(spark, sf)
     placed = G.columns_of_blocks(b, "label", "vec_id", "x", G.peaks(b, "label", "x", 0.12))
@@ -196,6 +200,7 @@ ORACLES = {
     "histogram_10": f"SELECT label, bin, n FROM {_HIST}",
     "histogram_peaks": f"SELECT label, bin, round(centre, 6) AS centre, n FROM {_PEAK}",
     "nearest_peak_assign": f"SELECT vec_id, label, column_no FROM {_COLS}",
+    "columns_per_page": f"SELECT l.label, greatest(1, count(p.bin)) AS n_columns FROM (SELECT DISTINCT label FROM embeddings) l LEFT JOIN {_PEAK} p ON p.label IS NOT DISTINCT FROM l.label GROUP BY l.label",
     "reading_order_bands": f"""WITH b AS (SELECT *, (CASE WHEN max(column_no) OVER w = 0 THEN 1 WHEN y < min(y) OVER w + 0.1::DOUBLE * (max(y) OVER w - min(y) OVER w) THEN 0 WHEN y > max(y) OVER w - 0.1::DOUBLE * (max(y) OVER w - min(y) OVER w) THEN 2 ELSE 1 END)::INT AS band FROM {_COLS} WINDOW w AS (PARTITION BY label))
         SELECT vec_id, label, band, (row_number() OVER (PARTITION BY label ORDER BY band, CASE WHEN band = 1 THEN column_no ELSE 0 END, y, vec_id))::INT AS place FROM b""",
     "json_flatten_one_level": "SELECT id, max(metadata.filename) AS metadata_filename, max(metadata.file_size) AS metadata_file_size, max(metadata.author) AS metadata_author FROM source_document GROUP BY id",
