@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
+import os
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field, fields
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +44,26 @@ class Settings:
             raise ValueError("the overlap must be at least 0 and less than the size")
 
 
+def layered(env: Mapping[str, str] | None = None, config: str | None = None, dotenv: str | None = ".env", prefix: str = "PIPELINE_") -> Settings:
+    """Settings whose values come from the environment (``PIPELINE_CHUNK_SIZE``), else from a YAML file, else from a file of ``NAME=value``
+    lines, else the defaults. Files that don't exist and names that are no setting are passed over; lists are comma-separated."""
+    env = os.environ if env is None else env
+    path = config or env.get(f"{prefix}CONFIG")
+    found: dict[str, object] = {}
+    names = {f.name: f.default for f in fields(Settings) if f.name not in ("before", "after")}
+    if dotenv and Path(dotenv).exists():
+        pairs = (line.split("=", 1) for line in Path(dotenv).read_text().splitlines() if "=" in line and not line.lstrip().startswith("#"))
+        found |= {k.strip().upper(): v.strip().strip("\"'") for k, v in pairs}
+    if path and Path(path).exists():
+        import yaml
+
+        found |= {f"{prefix}{k}".upper(): v for k, v in (yaml.safe_load(Path(path).read_text()) or {}).items()}
+    found |= {k.upper(): v for k, v in env.items()}
+    given = {n: v for n in names if (v := found.get(f"{prefix}{n}".upper())) is not None}
+    listed = lambda v: tuple(x.strip() for x in v.split(",") if x.strip()) if isinstance(v, str) else tuple(v)
+    return Settings(**{n: listed(v) if isinstance(names[n], tuple) else type(names[n])(v) for n, v in given.items()})
+
+
 def identified(df: DataFrame) -> DataFrame:
     """An id for each document: its own, else one made of its path."""
     made = T.uuid5(F.concat(F.lit("document/"), F.coalesce("source_path", F.lit("")), F.lit("#"), F.md5(F.coalesce("content", F.lit("")))))

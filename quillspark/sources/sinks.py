@@ -60,17 +60,22 @@ def column_widths(df: DataFrame, most: int = 50) -> DataFrame:
 
 #: Rows that a sheet can hold below its header.
 SHEET_ROWS = 1_048_575
+#: Characters that a cell can hold.
+CELL_CHARS = 32_767
 
 
 def write_workbook(path: str, sheets: dict[str, DataFrame]) -> None:
     """A workbook with a sheet for each DataFrame: bold header, columns as wide as their longest value.
 
-    A workbook is one file on the driver's side; rows come to it in a stream, and a frame of more rows than a sheet holds is an error
-    before anything is written.
+    A workbook is one file on the driver's side; rows come to it in a stream, and a frame of more rows than a sheet holds, or with a
+    longer value than a cell holds, is an error before anything is written.
     """
     for name, df in sheets.items():
         if df.limit(SHEET_ROWS + 1).count() > SHEET_ROWS:
             raise ValueError(f"{name} has more rows than a sheet holds")
+        longest = df.select(F.coalesce(F.greatest(F.lit(0), *(F.max(F.length(F.col(f"`{c}`").cast("string"))) for c in df.columns)), F.lit(0)).alias("n")).first().n
+        if longest > CELL_CHARS:
+            raise ValueError(f"{name} has a value of {longest} characters; a cell holds {CELL_CHARS}")
     names = [re.sub(r"[:\\/?*\[\]]", "_", n)[:31] for n in sheets]
     main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
     rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
@@ -115,5 +120,5 @@ def _cell(v, style: str = "") -> str:
         return "<c/>"
     if isinstance(v, (int, float)) and not isinstance(v, bool) and v == v and abs(v) != float("inf"):
         return f"<c{style}><v>{v}</v></c>"
-    text = re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "", str(v))[:32_767]
+    text = re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "", str(v))
     return f'<c{style} t="inlineStr"><is><t xml:space="preserve">{escape(text)}</t></is></c>'

@@ -201,3 +201,22 @@ def test_command_line(spark, folder, tmp_path, capsys):
     with pytest.raises(ValueError):
         cli.main([*db, "drop", "Notes"])
     cli.main([*db, "drop", "Notes", "--yes-i-know"])
+
+
+def test_layered_settings(tmp_path):
+    from quillspark.plans import pipeline
+
+    (tmp_path / "c.yaml").write_text("chunk_size: 500\nkind: chunk\nprocessors: [text, layout]\nother: 1\n")
+    (tmp_path / ".env").write_text("# note\nPIPELINE_CHUNK_SIZE=300\nPIPELINE_CHUNK_OVERLAP='20'\nPIPELINE_KIND=text\n")
+    got = pipeline.layered({"PIPELINE_KIND": "markdown"}, str(tmp_path / "c.yaml"), str(tmp_path / ".env"))
+    assert (got.kind, got.chunk_size, got.chunk_overlap, got.processors, got.strategy) == ("markdown", 500, 20, ("text", "layout"), "fallback_chain")
+    assert pipeline.layered({"PIPELINE_PROCESSORS": "a, b"}, None, None).processors == ("a", "b") and pipeline.layered({}, "none.yaml", "none").chunk_size == 800
+
+
+def test_workbook_cuts_no_cell(spark, tmp_path):
+    from quillspark.sources import sinks
+
+    long = spark.createDataFrame([("x" * 40_000, [1])], "a string, b array<int>")
+    with pytest.raises(ValueError, match="40000"):
+        sinks.write_workbook(str(tmp_path / "w.xlsx"), {"s": long})
+    sinks.write_workbook(str(tmp_path / "w.xlsx"), {"s": long.limit(0)})
