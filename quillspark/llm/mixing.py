@@ -144,10 +144,11 @@ def _slot_batch(rows: list[tuple[int, int, int]], names: list[str]) -> pa.Record
 
 
 def shares(mixed: DataFrame, plan: DataFrame) -> DataFrame:
-    """Target and reached share of each source of the target."""
+    """Target and reached share of each source of the target; ``unused_tokens`` are those of its records that are in the mixture not once, as
+    the source that runs out first bounds the whole."""
     got = mixed.groupBy("source").agg(
         F.count(F.lit(1)).alias("n_used"), F.countDistinct("doc_id").alias("n_records"), (F.max("repeat_no") + 1).alias("most_used"),
-        F.sum("n_tokens").alias("used_tokens"),
+        F.sum("n_tokens").alias("used_tokens"), F.sum(F.when(F.col("repeat_no") == 0, F.col("n_tokens"))).alias("_once"),
     )
     every = Window.partitionBy()  # over the rows of the target
     return plan.join(got, "source", "left").select(
@@ -155,4 +156,5 @@ def shares(mixed: DataFrame, plan: DataFrame) -> DataFrame:
             F.try_divide(F.coalesce("used_tokens", F.lit(0)), F.sum(F.coalesce("used_tokens", F.lit(0))).over(every)), F.lit(0.0),
         ).alias("actual_share"),
         F.coalesce("used_tokens", F.lit(0)).alias("used_tokens"), F.coalesce("n_used", F.lit(0)).alias("n_used"), F.coalesce("n_records", F.lit(0)).alias("n_records"), F.coalesce("most_used", F.lit(0)).alias("most_used"), "max_repeats",
+        (F.col("tokens") - F.coalesce("_once", F.lit(0))).alias("unused_tokens"),
     )

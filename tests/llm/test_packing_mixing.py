@@ -119,6 +119,13 @@ def test_mixture(spark):
     mixed, plan = M.mix(d, target, block_tokens=400)
     got = {r.source: r for r in M.shares(mixed, plan).collect()}
     assert abs(got["small_one"].actual_share - 0.25) < 0.03 and got["absent"].actual_share == 0 and got["small_one"].most_used == 4
+    assert got["small_one"].unused_tokens == 0 and got["big"].unused_tokens == 200_000 - got["big"].used_tokens and got["absent"].unused_tokens == 0
+    # in the order of the mixture each source's tokens stay within a block, and a record that runs over its end, of its share
+    seen, total = {"big": 0, "small_one": 0}, 0
+    for r in mixed.orderBy("slot", "source", "repeat_no", "doc_id").collect():
+        seen[r.source] += r.n_tokens
+        total += r.n_tokens
+        assert all(abs(seen[k] - w * total) <= 2 * 400 + 100 for k, w in (("big", 0.75), ("small_one", 0.25)))
     used = mixed.groupBy("doc_id").agg(F.count("*").alias("n"), F.countDistinct("repeat_no").alias("m"))
     assert used.where("n > 4 or n <> m").count() == 0 and used.where("doc_id >= 9000").count() == 0
     assert used.where("doc_id between 5000 and 8999 and n = 4").count() == 40
