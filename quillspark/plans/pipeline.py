@@ -1,4 +1,4 @@
-"""Pipelines: a configuration becomes a chain of DataFrame functions; nothing runs before the result is written."""
+"""Pipelines: a configuration becomes a chain of DataFrame functions; only a chain of fallbacks runs jobs before the result is written."""
 
 from __future__ import annotations
 
