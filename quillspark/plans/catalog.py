@@ -126,9 +126,12 @@ class Catalog:
         return errors
 
     def delete(self, name: str, where: str) -> None:
-        """Rows for which the condition holds go. The rest is written beside the table first."""
+        """Rows for which the condition holds go. The rest is written beside the table, which then takes its name: a failure at any
+        point leaves all rows, under the table's name or with ``_old`` after it."""
         kept = self.table(name).where(f"NOT coalesce({where}, false)")
-        beside = self._name(f"{name}_new")
-        kept.write.mode("overwrite").format("parquet").saveAsTable(beside)
-        self.spark.table(beside).write.mode("overwrite").insertInto(self._name(name))
-        self.spark.sql(f"DROP TABLE {beside}")
+        here, new, old = (self._name(f"{name}{end}") for end in ("", "_new", "_old"))
+        kept.write.mode("overwrite").format("parquet").saveAsTable(new)
+        self.spark.sql(f"DROP TABLE IF EXISTS {old}")
+        self.spark.sql(f"ALTER TABLE {here} RENAME TO {old}")
+        self.spark.sql(f"ALTER TABLE {new} RENAME TO {here}")
+        self.spark.sql(f"DROP TABLE {old}")
