@@ -35,17 +35,31 @@ def materialise(df: DataFrame) -> DataFrame:
             spark.sparkContext.setCheckpointDir(root)
     path = f"{root.rstrip('/')}/quillspark/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
 
 
+#: Tables of this process that aren't deleted yet.
+_WRITTEN: list[str] = []
+
+
 def released(path_df: DataFrame) -> None:
     """Delete a table written by :func:`materialise`, once nothing reads it any more."""
-    spark = path_df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for f in {p.rsplit("/", 1)[0] for p in path_df.inputFiles() if "/quillspark/" in p}:
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(conf).delete(path, True)
+    _delete(path_df.sparkSession, {p.rsplit("/", 1)[0] for p in path_df.inputFiles() if "/quillspark/" in p})
+
+
+def release_all(spark: SparkSession) -> int:
+    """Delete the tables that operators have left for their results to be read from; to be called when all results are written."""
+    return _delete(spark, {*_WRITTEN})
+
+
+def _delete(spark: SparkSession, paths: set[str]) -> int:
+    conf, n = spark.sparkContext._jsc.hadoopConfiguration(), 0
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        n += bool(path.getFileSystem(conf).delete(path, True))
+        _WRITTEN[:] = [w for w in _WRITTEN if w.rsplit("/", 1)[1] != p.rsplit("/", 1)[1]]
+    return n
 
 
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:

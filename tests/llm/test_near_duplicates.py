@@ -92,6 +92,16 @@ def test_empty_table(spark):
     assert D.groups(spark.createDataFrame([], "id bigint, t string"), "id", "t", D.Settings()).count() == 0
 
 
+def test_tables_between_steps_can_be_deleted(spark):
+    from quillspark.llm import common
+
+    common.release_all(spark)
+    a, b = common.materialise(spark.range(3)), common.materialise(spark.range(4))
+    common.released(a)
+    assert len(common._WRITTEN) == 1 and b.count() == 4
+    assert common.release_all(spark) == 1 and common.release_all(spark) == 0
+
+
 def test_pruning_keeps_what_reaches_the_threshold():
     need = D.fewest_matches(0.6, 128, 16, 1e-4)
     assert list(need) == sorted(need) and need[0] < 0.6 * 16 and 0.3 * 128 < need[-1] < 0.6 * 128
